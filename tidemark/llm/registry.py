@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemark.llm import decontaminate, mixing, quality, sharding, simhash
+from tidemark.llm import chat, decontaminate, htmltext, mixing, pii, quality, secrets, sharding, simhash, warc
 
 
 def queries() -> dict:
     return {
         "op1_decontaminate": decontaminate.op1,
+        "op2_pseudonyms": pii.op2,
+        "op3_chat_format": chat.op3,
+        "op4_warc": warc.op4,
         "op5_mix_sources": mixing.op5,
+        "op6_secrets": secrets.op6,
+        "op7_main_text": htmltext.op7,
         "op8_simhash": simhash.op8,
         "op9_shard": sharding.op9,
         "op10_quality": quality.op10,
@@ -18,4 +23,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_chat_format": chat.OP3_SQL, "op4_warc": warc.OP4_SQL}
