@@ -10,10 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.plans import engagement, texts
+from tidemark.plans import engagement, ingest, texts
 
 FLAGSHIP = "b8_velocity"
-MODULES = (engagement, texts)
+MODULES = (engagement, ingest, texts)
 
 
 def _plain(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
