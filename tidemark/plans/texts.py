@@ -28,8 +28,8 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def effort(spark: SparkSession, sf: str) -> DataFrame:
-    made = t.reading_effort(F.col("text"))
-    return b.posts(spark, sf).select("platform_event_id", *[(c if k == "language" else F.round(c, 3)).alias(k) for k, c in made.items()])
+    rows = t.with_reading_effort(b.posts(spark, sf), "text")
+    return rows.select("platform_event_id", *[F.round(k, 3).alias(k) for k in ("f_word", "f_sent", "f_clause", "f_info", "f_visual", "reading_effort")], "language")
 
 
 def ids(spark: SparkSession, sf: str) -> DataFrame:
