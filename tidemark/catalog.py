@@ -10,10 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.plans import contents, engagement, ingest, texts
+from tidemark.plans import contents, engagement, ingest, reporting, texts
 
 FLAGSHIP = "b8_velocity"
-MODULES = (engagement, contents, ingest, texts)
+MODULES = (engagement, contents, ingest, reporting, texts)
 
 
 def _plain(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
