@@ -21,10 +21,14 @@ GREATEST = ("attempt_count", "last_attempt_at", "updated_at")
 
 
 class VersionedTable:
-    """A table whose every write is a new version."""
+    """A table whose every write is a new version.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    A journal (``append_only``) keeps only what each version adds, so adding rows never rewrites old ones; its
+    content is that of all versions up to the current one.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, append_only: bool = False):
+        self.spark, self.path, self.append_only = spark, path.rstrip("/"), append_only
 
     def versions(self) -> list[int]:
         try:
@@ -35,9 +39,12 @@ class VersionedTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """The current version, or a pinned one."""
-        if version is None:
-            version = self.versions()[-1]
-        return self.spark.read.parquet(f"{self.path}/v={version}")
+        there = self.versions()
+        version = there[-1] if version is None else version
+        if version not in there:
+            raise ValueError(f"{self.path} has no version {version}")
+        parts = [v for v in there if v <= version] if self.append_only else [version]
+        return self.spark.read.option("mergeSchema", self.append_only).option("basePath", self.path).parquet(*[f"{self.path}/v={v}" for v in parts]).drop("v")
 
     def exists(self) -> bool:
         return bool(self.versions())
@@ -54,7 +61,8 @@ class VersionedTable:
         if not self.exists():
             return self.write(rows)
         old = self.read()
-        return self.write(aligned_union(old, new_rows(old, rows, [key])))
+        fresh = new_rows(old, rows, [key])
+        return self.write(fresh if self.append_only else aligned_union(old, fresh))
 
     def upsert(self, rows: DataFrame, identity: Column, order: str | None = None) -> int:
         """K4, K5: merges rows by identity, keeping known values."""
