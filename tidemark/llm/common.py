@@ -1,9 +1,7 @@
-"""Shared helpers of the corpus operators: tables in the shared folder, and text columns as bytes."""
+"""Shared helpers of the corpus operators: tables, and text columns as bytes."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,28 +9,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-CHECKPOINT = "spark.checkpoint.dir"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it; a fresh local one only where it is unset (tests)."""
-    base = spark.conf.get(CHECKPOINT, None)
-    if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-        spark.conf.set(CHECKPOINT, base)
-    return base.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read again, so lost executors cost a re-read only."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from tidemark.scratch import new_path, shared_dir, written
 
+__all__ = ["new_path", "raw_texts", "rows_by_bytes", "shared_dir", "table", "text_bytes", "written"]
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
