@@ -135,10 +135,15 @@ def refresh_targets(rows: DataFrame, now: Column, days: dict[str, int], group: s
     return rows.where(ok).withColumn("turn", turn).where(F.col("turn") <= per_group)
 
 
-def refresh_minutes(age_hours: Column, growth: Column) -> Column:
-    """how long until the next reading: longer with age, down to a quarter with growth."""
-    base = F.when(age_hours < 6, 60).when(age_hours < 24, 180).when(age_hours < 72, 720).when(age_hours < 168, 1440).otherwise(10080)
-    return F.round(base * F.greatest(F.lit(0.25), F.least(F.lit(1.0), 1.0 / (1.0 + F.coalesce(growth, F.lit(0.0)))))).cast("long")
+def refresh_minutes(age_hours: Column, multiplier: Column) -> Column:
+    """how long until the next reading: longer with age, times a multiplier of 0.25 to 1."""
+    base = F.when(age_hours < 6, 30).when(age_hours < 24, 60).when(age_hours < 72, 180).when(age_hours < 168, 360).when(age_hours < 720, 1440).otherwise(10080)
+    return F.round(base * F.greatest(F.lit(0.25), F.least(F.lit(1.0), F.coalesce(multiplier, F.lit(1.0))))).cast("long")
+
+
+def growth_multiplier(views_per_hour: Column, threshold: float = 1000.0, fast: float = 0.5) -> Column:
+    """fast growers are read again sooner; unknown growth changes nothing."""
+    return F.when(views_per_hour >= threshold, max(0.25, min(1.0, fast))).otherwise(1.0)
 
 
 def retry_seconds(attempt: Column, first: int = 60, most: int = 86400) -> Column:

@@ -72,7 +72,7 @@ def retries(spark: SparkSession, sf: str) -> DataFrame:
 
 def refresh(spark: SparkSession, sf: str) -> DataFrame:
     ev = b.table(spark, sf, "events")
-    rows = ev.select(F.col("event_id").alias("content_id"), F.col("event_type").alias("source"), F.col("ts").alias("event_ts"), F.when(F.col("event_id") % 5 != 0, F.col("ts") + F.expr("INTERVAL 36 HOURS")).alias("next_refresh_at"), e.refresh_minutes(F.col("event_id") % 200, F.when(F.col("event_id") % 3 == 0, F.floor("value") / 10)).alias("minutes"))
+    rows = ev.select(F.col("event_id").alias("content_id"), F.col("event_type").alias("source"), F.col("ts").alias("event_ts"), F.when(F.col("event_id") % 5 != 0, F.col("ts") + F.expr("INTERVAL 36 HOURS")).alias("next_refresh_at"), e.refresh_minutes(F.col("event_id") % 1000, e.growth_multiplier(F.when(F.col("event_id") % 3 == 0, F.floor("value") * 40))).alias("minutes"))
     return e.refresh_targets(rows, F.lit("2024-01-20").cast("timestamp_ntz"), {"view": 7, "click": 14}, "source", 100)
 
 
@@ -136,8 +136,8 @@ SELECT c.content_id, source, interaction_count, unique_users, round(avg_length,
 SELECT u AS user_id_hash, source, event_date, sum(made)::BIGINT AS contents_created, sum(1 - made)::BIGINT AS interactions_created, count(DISTINCT content_id) AS distinct_contents, count(DISTINCT subreddit) AS distinct_subreddits, count(DISTINCT conv) AS distinct_conversations, round({_WORDS('text')}, 6) AS avg_length, count(*) FILTER (contains(coalesce(text, ''), '?')) AS questions FROM act GROUP BY ALL""",
     "b4_f16_f17_w4_transcripts": _ATTEMPTS + " SELECT video_id, language_code, attempt_id, lifecycle_status, last_attempt_at, updated_at, attempt_count, retry_seconds FROM a QUALIFY row_number() OVER (PARTITION BY video_id, language_code ORDER BY (lifecycle_status = 'available') DESC, last_attempt_at DESC NULLS LAST, updated_at DESC, attempt_id DESC) = 1",
     "p10_p23_b20_retries": _ATTEMPTS + " SELECT * FROM a WHERE lifecycle_status IN ('retryable_error', 'rate_limited', 'blocked', 'pending') AND attempt_count < 4 AND (last_attempt_at IS NULL OR last_attempt_at <= TIMESTAMP '2024-01-19') ORDER BY last_attempt_at NULLS FIRST, attempt_id LIMIT 200",
-    "p9_w8_f26_f53_refresh_targets": """WITH r AS (SELECT event_id AS content_id, event_type AS source, ts AS event_ts, CASE WHEN event_id % 5 <> 0 THEN ts + INTERVAL 36 HOUR END AS next_refresh_at, round((CASE WHEN event_id % 200 < 6 THEN 60 WHEN event_id % 200 < 24 THEN 180 WHEN event_id % 200 < 72 THEN 720 WHEN event_id % 200 < 168 THEN 1440 ELSE 10080 END)
-  * greatest(0.25, least(1.0, 1.0 / (1.0 + coalesce(CASE WHEN event_id % 3 = 0 THEN floor(value) / 10 END, 0.0)))))::BIGINT AS minutes FROM events)
+    "p9_w8_f26_f53_refresh_targets": """WITH r AS (SELECT event_id AS content_id, event_type AS source, ts AS event_ts, CASE WHEN event_id % 5 <> 0 THEN ts + INTERVAL 36 HOUR END AS next_refresh_at, round((CASE WHEN event_id % 1000 < 6 THEN 30 WHEN event_id % 1000 < 24 THEN 60 WHEN event_id % 1000 < 72 THEN 180 WHEN event_id % 1000 < 168 THEN 360 WHEN event_id % 1000 < 720 THEN 1440 ELSE 10080 END)
+  * CASE WHEN event_id % 3 = 0 AND floor(value) * 40 >= 1000 THEN 0.5 ELSE 1.0 END)::BIGINT AS minutes FROM events)
 SELECT *, row_number() OVER (PARTITION BY source ORDER BY next_refresh_at NULLS FIRST, content_id)::INTEGER AS turn FROM r WHERE ((source = 'view' AND event_ts >= TIMESTAMP '2024-01-13') OR (source = 'click' AND event_ts >= TIMESTAMP '2024-01-06')) AND (next_refresh_at IS NULL OR next_refresh_at <= TIMESTAMP '2024-01-20') QUALIFY turn <= 100""",
     "w17_covered_seconds": """WITH i AS (SELECT user_id, event_id * 37 % 5000 AS s, event_id * 37 % 5000 + floor(value)::BIGINT AS e FROM events), r AS (SELECT *, max(e) OVER (PARTITION BY user_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM i WHERE e > s)
 SELECT user_id, sum(greatest(e - greatest(s, coalesce(reach, s)), 0))::BIGINT AS covered FROM r GROUP BY user_id""",

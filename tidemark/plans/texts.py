@@ -10,10 +10,15 @@ from tidemark.bindings import with_
 from tidemark.functions import identity as i
 from tidemark.functions import text as t
 from tidemark.operators import annotate as a
+from tidemark.scratch import spread
+
+
+def _posts(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(b.posts(spark, sf))
 
 
 def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return b.posts(spark, sf).withColumn("clean_text", t.clean_text(F.col("text"))).withColumn("text_for_model", t.for_model(F.col("clean_text")))
+    return _posts(spark, sf).withColumn("clean_text", t.clean_text(F.col("text"))).withColumn("text_for_model", t.for_model(F.col("clean_text")))
 
 
 def clean(spark: SparkSession, sf: str) -> DataFrame:
@@ -28,7 +33,7 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def effort(spark: SparkSession, sf: str) -> DataFrame:
-    rows = t.with_reading_effort(b.posts(spark, sf), "text")
+    rows = t.with_reading_effort(_posts(spark, sf), "text")
     return rows.select("platform_event_id", *[F.round(k, 3).alias(k) for k in ("f_word", "f_sent", "f_clause", "f_info", "f_visual", "reading_effort")], "language")
 
 
@@ -57,28 +62,28 @@ def parsers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keywords(spark: SparkSession, sf: str) -> DataFrame:
-    return b.posts(spark, sf).select("platform_event_id", *[c.alias(k) for k, c in t.keyword_flags(F.col("text")).items()], t.model_text(F.col("text")).alias("model_text"))
+    return _posts(spark, sf).select("platform_event_id", *[c.alias(k) for k, c in t.keyword_flags(F.col("text")).items()], t.model_text(F.col("text")).alias("model_text"))
 
 
 def segments(spark: SparkSession, sf: str) -> DataFrame:
-    rows = a.segments(b.posts(spark, sf), "platform_event_id", "text")
+    rows = a.segments(_posts(spark, sf), "platform_event_id", "text")
     return rows.select("platform_event_id", "position", "segment", a.noise_reason(F.col("segment")).alias("noise_reason"))
 
 
 def roles(spark: SparkSession, sf: str) -> DataFrame:
-    rows = a.segments(b.posts(spark, sf), "platform_event_id", "text").where(a.noise_reason(F.col("segment")).isNull())
+    rows = a.segments(_posts(spark, sf), "platform_event_id", "text").where(a.noise_reason(F.col("segment")).isNull())
     return a.with_role(rows).groupBy("role", "tier").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("platform_event_id").alias("posts"))
 
 
 def sentiment(spark: SparkSession, sf: str) -> DataFrame:
-    rows = b.posts(spark, sf).withColumn("probe", F.concat(F.element_at(F.array(*[F.lit(x) for x in a.PROBES]), (F.col("platform_event_id").cast("long") % len(a.PROBES) + 1).cast("int")), F.lit(" "), F.substring("text", 1, 40)))
+    rows = _posts(spark, sf).withColumn("probe", F.concat(F.element_at(F.array(*[F.lit(x) for x in a.PROBES]), (F.col("platform_event_id").cast("long") % len(a.PROBES) + 1).cast("int")), F.lit(" "), F.substring("text", 1, 40)))
     scored = a.with_sentiment(rows, "probe")
     return scored.select("platform_event_id", "language", "hits", F.round("compound", 4).alias("compound"), "sentiment", a.stance(F.col("probe"), F.col("language"), F.col("sentiment")).alias("stance"))
 
 
 def effort_by_role(spark: SparkSession, sf: str) -> DataFrame:
     """Roles per post as counts, shares and the number of kinds."""
-    rows = a.with_role(a.segments(b.posts(spark, sf), "platform_event_id", "text"))
+    rows = a.with_role(a.segments(_posts(spark, sf), "platform_event_id", "text"))
     n = {r: F.count_if(F.col("role") == r) for r in ("proof", "benefit", "uncertain")}
     return rows.groupBy("platform_event_id").agg(F.count(F.lit(1)).alias("segments"), F.count_distinct("role").alias("diversity"), *[c.alias(f"{r}_count") for r, c in n.items()], *[F.round(c / F.count(F.lit(1)), 6).alias(f"{r}_ratio") for r, c in n.items()])
 
