@@ -10,10 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.plans import contents, engagement, ingest, models, reporting, streams, texts
+from tidemark.plans import contents, engagement, ingest, maintenance, models, reporting, streams, texts
 
 FLAGSHIP = "b8_velocity"
-MODULES = (engagement, contents, ingest, reporting, streams, texts, models)
+MODULES = (engagement, contents, ingest, maintenance, reporting, streams, texts, models)
 
 
 def _plain(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
