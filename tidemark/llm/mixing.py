@@ -47,10 +47,8 @@ def targets(sizes: dict[str | None, int], weights: tuple[int, ...] = WEIGHTS, sh
 def source_targets(sized: DataFrame) -> DataFrame:
     """source, source_size and target, from rows with source and size; one row a source."""
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    ranked = Window.orderBy(F.col("source").asc_nulls_last())
     spark = sized.sparkSession
     found = {r["source"]: int(r["source_size"]) for r in sums.toLocalIterator()}
-    del ranked
     share = targets(found)
     return spark.createDataFrame([(s, found[s], float(share[s])) for s in share], "source string, source_size long, target double")
 
@@ -61,16 +59,20 @@ def systematic(sized: DataFrame, seed: int = 42) -> DataFrame:
     kind = F.floor(F.log2(F.col("size") + 1) * 16).cast("int")
     spot = F.pmod(F.xxhash64("doc_id", "row", F.lit(seed)), F.lit(BUCKETS)).cast("int")
     rows = sized.withColumns({"kind": kind, "spot": spot})
+    same = lambda a, b, *keys: [a[k].eqNullSafe(b[k]) for k in keys]
+    before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     buckets = rows.groupBy("source", "kind", "spot").agg(F.count(F.lit(1)).alias("n"))
-    ahead = Window.partitionBy("source").orderBy("kind", "spot").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0))).drop("n")
+    # first over the size classes of a source, then over the buckets of a size class: few rows to a window
+    kinds = buckets.groupBy("source", "kind").agg(F.sum("n").alias("n"))
+    kinds = kinds.select("source", "kind", F.coalesce(F.sum("n").over(before("source").orderBy("kind")), F.lit(0)).alias("below"))
+    buckets = buckets.withColumn("inner", F.coalesce(F.sum("n").over(before("source", "kind").orderBy("spot")), F.lit(0)))
+    buckets = buckets.join(kinds, same(buckets, kinds, "source", "kind")).select(buckets.source, buckets.kind, "spot", (F.col("inner") + F.col("below")).alias("ahead"))
     inside = Window.partitionBy("source", "kind", "spot").orderBy("size", "doc_id", "row")
-    same = lambda a, b, *keys: [a[k].eqNullSafe(b[k]) for k in keys]
     ranked = rows.withColumn("rank", F.row_number().over(inside))
     placed = ranked.join(buckets, same(ranked, buckets, "source", "kind", "spot")).select(ranked["*"], "ahead")
     # a fraction of 20 bits keeps the sums below exact
     offset = F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(1 << 20)) / (1 << 20)
-    joined = placed.join(F.broadcast(rate), placed.source.eqNullSafe(rate.source)).drop(rate.source)
+    joined = placed.join(rate, placed.source.eqNullSafe(rate.source)).drop(rate.source)
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     at = F.col("ahead") + F.col("rank")
     copies = F.least(F.floor(at * each + offset) - F.floor((at - 1) * each + offset), F.lit(int(MOST)))
