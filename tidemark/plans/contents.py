@@ -41,14 +41,14 @@ def interactions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stats(spark: SparkSession, sf: str) -> DataFrame:
-    rows = e.normalised(_events(spark, sf))
+    rows = e.normalised(_events(spark, sf)).persist()  # three builders read it
     readings = rows.where("not is_interaction").select("content_id", F.col("event_ts").alias("observed_at"), "event_id", F.when(F.col("event_id") % 3 != 0, F.col("event_id")).alias("view_count"), (F.col("event_id") % 5 != 0).alias("view_count_available"))
     made = e.content_stats(e.contents(rows), e.interactions(rows), readings, ("view_count",))
     return made.select("content_id", "source", "interaction_count", "unique_users", F.round("avg_length", 6).alias("avg_length"), "total_score", "latest_view_count", "latest_view_count_available")
 
 
 def evolution(spark: SparkSession, sf: str) -> DataFrame:
-    rows = e.normalised(_events(spark, sf))
+    rows = e.normalised(_events(spark, sf)).persist()  # two builders read it
     return e.user_evolution(e.contents(rows), e.interactions(rows)).withColumn("avg_length", F.round("avg_length", 6))
 
 

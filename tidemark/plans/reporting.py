@@ -49,7 +49,7 @@ def shares(spark: SparkSession, sf: str) -> DataFrame:
 def communities(spark: SparkSession, sf: str) -> DataFrame:
     """Posts by community with its first post, and the distribution of lengths."""
     p = b.posts(spark, sf)
-    return p.groupBy("community").agg(F.count(F.lit(1)).alias("posts"), F.min_by("platform_event_id", F.struct("event_ts", "platform_event_id")).alias("first_post"), F.max("event_ts").alias("latest"), F.median(F.length("text")).alias("median_length"), F.percentile(F.length("text"), F.lit(0.9)).alias("p90_length"))
+    return p.groupBy("community").agg(F.count(F.lit(1)).alias("posts"), F.min_by("platform_event_id", F.struct("event_ts", "platform_event_id")).alias("first_post"), F.max("event_ts").alias("latest"), F.median(F.length("text")).alias("median_length"), F.round(F.percentile(F.length("text"), F.lit(0.9)), 6).alias("p90_length"))
 
 
 def snapshots(spark: SparkSession, sf: str) -> DataFrame:
@@ -229,7 +229,7 @@ SQL = {
 SELECT identifier, date, 'events' AS metric, e::BIGINT AS value FROM c UNION ALL SELECT identifier, date, 'views', v::BIGINT FROM c UNION ALL SELECT identifier, date, 'likes', l::BIGINT FROM c"""),
     "a11_rollup_counts": with_("activity", "SELECT source, event_ts::DATE AS day, count(*) AS n, grouping_id(source, event_ts::DATE)::BIGINT AS level FROM activity GROUP BY ROLLUP (source, event_ts::DATE)"),
     "a10_a13_a14_shares": with_("activity", f"SELECT 'source:' || source AS slice, {_SHARES} FROM activity GROUP BY source UNION ALL SELECT 'role:' || role, {_SHARES} FROM activity GROUP BY role"),
-    "a15_a25_communities": with_("posts", "SELECT community, count(*) AS posts, arg_min(platform_event_id, (event_ts, platform_event_id)) AS first_post, max(event_ts) AS latest, median(length(text))::DOUBLE AS median_length, quantile_cont(length(text), 0.9)::DOUBLE AS p90_length FROM posts GROUP BY community"),
+    "a15_a25_communities": with_("posts", "SELECT community, count(*) AS posts, arg_min(platform_event_id, (event_ts, platform_event_id)) AS first_post, max(event_ts) AS latest, median(length(text))::DOUBLE AS median_length, round(quantile_cont(length(text), 0.9)::DOUBLE, 6) AS p90_length FROM posts GROUP BY community"),
     "a16_snapshot_totals": with_("observations", _LAST + ", w AS (SELECT source, sum(view_count)::BIGINT AS views, sum(like_count)::BIGINT AS likes, count(*) AS posts, floor(median(trunc((floor(epoch(observed_at)) - floor(epoch(created_at))) / 60)))::BIGINT AS median_age FROM last GROUP BY source) UNPIVOT w ON views, likes, posts, median_age INTO NAME metric VALUE value"),
     "a24_w13_w14_b23_videos": f"""WITH a AS (SELECT o_custkey AS c_custkey, count(*) AS n_comments, avg((o_orderstatus = 'F')::INT) AS reply_ratio, sum(floor(o_totalprice))::BIGINT AS likes FROM orders GROUP BY 1 HAVING count(*) >= 5), r AS (SELECT a.*, floor(c_acctbal)::BIGINT AS reach, likes / greatest(floor(c_acctbal), 1) AS like_rate FROM a JOIN customer USING (c_custkey)),
 k AS (SELECT *, {_RANK('reach')} AS reach_rank, {_RANK('like_rate')} AS like_rate_rank, {_RANK('reply_ratio')} AS reply_ratio_rank FROM r), s AS (SELECT *, round((reach_rank + like_rate_rank + reply_ratio_rank) / 3, 9) AS score FROM k), q AS (SELECT quantile_cont(score, 1.0 / 3) AS a, quantile_cont(score, 2.0 / 3) AS b FROM s)

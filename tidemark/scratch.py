@@ -10,12 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT = "spark.checkpoint.dir"
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names; a fresh local one only where it names none (tests)."""
     base = spark.conf.get(CHECKPOINT, None)
     if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-        spark.conf.set(CHECKPOINT, base)
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
+        base = _own[app]
     return base.rstrip("/")
 
 
