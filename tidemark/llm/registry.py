@@ -23,4 +23,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": chat.OP3_SQL, "op4_warc": warc.OP4_SQL}
+    return {"op1_decontaminate": decontaminate.OP1_SQL, "op3_chat_format": chat.OP3_SQL, "op4_warc": warc.OP4_SQL}
