@@ -67,9 +67,11 @@ def test_binomial_tail_is_exact():
     for n, p in ((10, 0.3), (200, 0.01)):
         want = np.cumsum([comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1)])
         assert np.allclose(quality.tail(np.arange(n + 1), n, p), want)
-    bins, ones = np.array([0, 47, 48]), np.array([0, 0, 3000])
-    assert quality.choose("symbols", bins, ones, np.array([0, 50, 0]), 0.01, 0.01) is not None
-    assert quality.choose("symbols", bins, np.array([0, 0, 20]), np.array([0, 50, 0]), 0.01, 0.01) is None  # too few
+    bins, none, bad = np.array([0, 47, 48]), np.array([0, 0, 0]), np.array([0, 50, 0])
+    pick = lambda good, left=bad: quality.choose("symbols", bins, np.array([0, 0, good]), none, left, good, 50, 0.01, 0.01)
+    assert pick(3000) == quality.grid("symbols")[47]
+    assert pick(20) is None  # too few
+    assert pick(3000, none) is None  # nothing that other rules leave
 
 
 def test_targets():

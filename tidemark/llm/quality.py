@@ -5,8 +5,8 @@ Each rule is a figure of the text that is high in bad documents. Its cutoff is c
 certified while an exact binomial test rejects "more than ``RISK`` / rules of the good documents are
 lost" at level ``LEVEL`` / (strata x rules); the walk ends at the first failure, so the grid needs no
 further correction and, with probability 1 - ``LEVEL``, no stratum loses more than ``RISK`` of its good
-documents. Of the certified cutoffs that with the best balance of bad and good documents rejected
-is taken. A rule that has no certified cutoff in a stratum rejects nothing there.
+documents. Of the certified cutoffs that with the best balance of bad and good documents rejected, beyond
+those that earlier rules reject, is taken. A rule that has no certified cutoff in a stratum rejects nothing there.
 
 Null and empty texts have no words and fail the base rule. Documents of an unlabelled language are judged by
 the base rule only. Labels: a document is good if all its labels are 1; null labels are ignored. Repeated
@@ -20,7 +20,6 @@ import re
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +37,7 @@ _SPACE = bytes(range(9, 14)) + b" "
 _FOLLOW = bytes(range(0x80, 0xC0))
 _SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(0x41, 0x5B))
-_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_shouts")
+_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
 _NOT_WORD = re.compile(rb"[ \t-\r]*")
 
 #: rule: (figure of the counts, most lenient cutoff, strictest cutoff)
@@ -47,7 +46,6 @@ RULES = {
     "repeats": (lambda c: c["n_repeat_words"] / c["n_words"], 0.2, 0.01),
     "dup_lines": (lambda c: c["n_dup_lines"] / c["n_lines"], 0.9, 0.02),
     "upper": (lambda c: c["n_upper"] / c["word_chars"], 0.9, 0.05),
-    "shouts": (lambda c: c["n_shouts"] / c["n_words"], 2.0, 0.02),
     "long_words": (lambda c: c["word_chars"] / c["n_words"], 40.0, 6.0),
 }
 GRID = 48
@@ -80,7 +78,7 @@ def counts_of(text: bytes) -> tuple[int, ...]:
                 covered += i + WINDOW - max(end, i)
                 end = i + WINDOW
     bare = text.translate(None, _SPACE + _FOLLOW)
-    return n, len(bare), len(text) - len(text.translate(None, _SYMBOLS)), repeated, covered, lines, len(text) - len(text.translate(None, _UPPER)), text.count(b"!")
+    return n, len(bare), len(text) - len(text.translate(None, _SYMBOLS)), repeated, covered, lines, len(text) - len(text.translate(None, _UPPER))
 
 
 _SHAPE = ", ".join(f"{c} long" for c in _COUNTS)
@@ -112,36 +110,50 @@ def tail(k: np.ndarray, n: int, p: float) -> np.ndarray:
     return np.minimum(1.0, np.cumsum(np.exp(log)))[k]
 
 
-def choose(rule: str, bins: np.ndarray, good: np.ndarray, bad: np.ndarray, risk: float, level: float) -> float | None:
-    """The cutoff of one rule in one stratum; bin b holds the rows rejected by cutoff b and none before it."""
-    lost, gained = (np.bincount(bins, x, GRID + 1)[:GRID].cumsum() for x in (good, bad))
-    n_good, n_bad = int(good.sum()), int(bad.sum())
+def choose(rule: str, bins: np.ndarray, good: np.ndarray, good_left: np.ndarray, bad_left: np.ndarray, n_good: int, n_bad: int, risk: float, level: float) -> float | None:
+    """The cutoff of one rule in one stratum; bin b holds the rows rejected by cutoff b and none before it.
+
+    All good rows certify; the choice among certified cutoffs weighs the rows that earlier rules left.
+    """
+    lost, wasted, gained = (np.bincount(bins, x, GRID + 1)[:GRID].cumsum() for x in (good, good_left, bad_left))
     if not n_good or not n_bad:
         return None
     failed = np.flatnonzero(tail(lost.astype(np.int64), n_good, risk) > level)
     certified = int(failed[0]) if len(failed) else GRID
-    worth = (gained / n_bad - REGRET * lost / n_good)[:certified]
+    worth = (gained / n_bad - REGRET * wasted / n_good)[:certified]
     return float(grid(rule)[int(worth.argmax())]) if certified and worth.max() > 0 else None
 
 
+def _bin(rule: str) -> Column:
+    """How many cutoffs of the grid a row passes."""
+    value = RULES[rule][0](F.col("c"))
+    return F.aggregate(F.array(*[F.lit(float(g)) for g in grid(rule)]), F.lit(0), lambda acc, g: acc + (value <= g).cast("int"))
+
+
 def thresholds(rows: DataFrame, labels: DataFrame, doc_id: str = "doc_id", quality: str = "quality") -> DataFrame:
-    """stratum and cutoffs (a map by rule) from rows of doc_id, stratum and counts ``c``."""
+    """stratum and cutoffs (a map by rule) from rows of doc_id, stratum and counts ``c``.
+
+    Rules are chosen in turn; what reaches the driver are counts by stratum and bin, and cutoffs.
+    """
     marks = labels.where(F.col(quality).isNotNull()).groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg((F.min(quality) == 1).alias("good"))
-    judged = rows.where(~base_failed(F.col("c"))).join(marks, "doc_id")
-    value = lambda rule: RULES[rule][0](F.col("c"))
-    first = lambda rule: F.aggregate(F.array(*[F.lit(float(g)) for g in grid(rule)]), F.lit(0), lambda acc, g: acc + (value(rule) <= g).cast("int"))
-    each = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), first(r).alias("bin")) for r in RULES]))
-    sums = judged.select("stratum", "good", each.alias("e")).groupBy("stratum", "e.rule", "e.bin").agg(F.count_if("good").alias("n_good"), F.count_if(~F.col("good")).alias("n_bad"))
-    sums = written(sums, "rule-counts")
-    strata = max(1, sums.select("stratum").distinct().count())
-
-    def pick(part: pd.DataFrame) -> pd.DataFrame:
-        rule = part["rule"].iloc[0]
-        at = choose(rule, part["bin"].to_numpy(), part["n_good"].to_numpy(), part["n_bad"].to_numpy(), RISK / len(RULES), LEVEL / strata / len(RULES))
-        return pd.DataFrame({"stratum": part["stratum"].iloc[:1], "rule": [rule], "cutoff": [at]}).astype({"cutoff": "float64"}).dropna()
-
-    cut = sums.groupBy("stratum", "rule").applyInPandas(pick, "stratum string, rule string, cutoff double")
-    return written(cut.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs")), "cutoffs")
+    judged = written(rows.where(~base_failed(F.col("c"))).join(marks, "doc_id").select("stratum", "good", *[_bin(r).alias(r) for r in RULES]), "rule-bins")
+    sizes = {r["stratum"]: (r["good"], r["bad"]) for r in judged.groupBy("stratum").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")).collect()}
+    risk, level = RISK / len(RULES), LEVEL / max(1, len(sizes)) / len(RULES)
+    found: dict[str, dict[str, float]] = {s: {} for s in sizes}
+    left = F.lit(True)
+    for rule in RULES:
+        sums = judged.groupBy("stratum", F.col(rule).alias("bin")).agg(F.count_if("good").alias("good"), F.count_if(F.col("good") & left).alias("good_left"), F.count_if(~F.col("good") & left).alias("bad_left"))
+        by: dict[str, list] = {}
+        for r in sums.collect():
+            by.setdefault(r["stratum"], []).append((r["bin"], r["good"], r["good_left"], r["bad_left"]))
+        for s, cells in sorted(by.items()):
+            cutoff = choose(rule, *(np.array(x) for x in zip(*cells, strict=True)), *sizes[s], risk, level)
+            if cutoff is not None:
+                found[s][rule] = cutoff
+                place = int(np.flatnonzero(grid(rule) == cutoff)[0])
+                left = left & ~((F.col("stratum") == s) & (F.col(rule) <= place))
+    made = [(s, cut) for s, cut in found.items() if cut]
+    return rows.sparkSession.createDataFrame(made, "stratum string, cutoffs map<string,double>")
 
 
 def passes(c: Column, cutoffs: Column) -> Column:
