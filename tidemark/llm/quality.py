@@ -153,7 +153,8 @@ def thresholds(rows: DataFrame, labels: DataFrame, doc_id: str = "doc_id", quali
                 place = int(np.flatnonzero(grid(rule) == cutoff)[0])
                 left = left & ~((F.col("stratum") == s) & (F.col(rule) <= place))
     made = [(s, cut) for s, cut in found.items() if cut]
-    return rows.sparkSession.createDataFrame(made, "stratum string, cutoffs map<string,double>")
+    # as a written table its size is known, so that texts are not shuffled by language to meet it
+    return written(rows.sparkSession.createDataFrame(made, "stratum string, cutoffs map<string,double>"), "cutoffs")
 
 
 def passes(c: Column, cutoffs: Column) -> Column:
