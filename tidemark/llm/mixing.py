@@ -50,7 +50,8 @@ def source_targets(sized: DataFrame) -> DataFrame:
     spark = sized.sparkSession
     found = {r["source"]: int(r["source_size"]) for r in sums.toLocalIterator()}
     share = targets(found)
-    return spark.createDataFrame([(s, found[s], float(share[s])) for s in share], "source string, source_size long, target double")
+    # as a written table its size is known, so that rows are not shuffled by source to meet it
+    return written(spark.createDataFrame([(s, found[s], float(share[s])) for s in share], "source string, source_size long, target double"), "targets")
 
 
 def systematic(sized: DataFrame, seed: int = 42) -> DataFrame:
