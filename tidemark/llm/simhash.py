@@ -40,14 +40,21 @@ LARGE = 64
 CHUNK = 1 << 15
 
 
-def fingerprint(text: bytes, words: int = SHINGLE) -> int:
-    """The signed 64-bit fingerprint of a UTF-8 text."""
+def shingles(text: bytes, words: int = SHINGLE) -> np.ndarray:
+    """The hash of each shingle of a UTF-8 text; a text of fewer words is one shingle, one without words has none."""
     w = text.lower().split()  # of bytes: A-Z and ASCII white space only
     if not w:
+        return np.zeros(0, np.uint64)
+    grams = map(b" ".join, zip(*(w[i:] for i in range(words)), strict=False)) if len(w) >= words else [b" ".join(w)]
+    return np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(42)), np.uint64, max(1, len(w) - words + 1))
+
+
+def fingerprint(text: bytes, words: int = SHINGLE) -> int:
+    """The signed 64-bit fingerprint of a UTF-8 text."""
+    h = shingles(text, words)
+    n = len(h)
+    if not n:
         return 0
-    shingles = map(b" ".join, zip(*(w[i:] for i in range(words)), strict=False)) if len(w) >= words else [b" ".join(w)]
-    n = max(1, len(w) - words + 1)
-    h = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), np.uint64, n)
     ones = np.zeros(64, np.int64)
     for part in np.split(h, range(1 << 14, n, 1 << 14)):
         ones += np.add.reduce(np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), axis=0, dtype=np.uint16)
@@ -230,8 +237,13 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fp and component_id, the smallest doc_id of its component, for every document."""
     rows = written(fingerprints(docs, doc_id, text), "fingerprints")
+    return grouped(rows, links(rows.select("fp").distinct()))
+
+
+def grouped(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, row, fp) with root and component_id, by links (a, b) between values of fp."""
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(classes.select("fp")))
+    roots = components(edges)
     rooted = classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "root", "component_id")
@@ -244,12 +256,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", found: Callable[..., DataFrame] = near_duplicates) -> DataFrame:
     """One document of each component, that with the smallest id (nulls last); all columns stay.
 
-    If the smallest id is repeated in its component, the text with the smaller hash stays, once.
+    ``found`` names the components, as ``near_duplicates`` does. If the smallest id is repeated in its component, the text with the smaller hash stays, once.
     """
-    own = near_duplicates(docs, doc_id, text).where(F.col("component_id").eqNullSafe(F.col("doc_id")))
+    own = found(docs, doc_id, text).where(F.col("component_id").eqNullSafe(F.col("doc_id")))
     kept = own.groupBy("root").agg(F.min("doc_id").alias("__id"), F.min("row").alias("__row")).select("__id", "__row").distinct()
     plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
     rows = docs.withColumns({"__own": F.col(doc_id).cast("long"), "__hash": F.xxhash64(text)})
