@@ -61,6 +61,35 @@ def test_quality_thresholds_hold_their_risk(spark):
     assert quality.good_documents(docs.limit(0), labels).count() == 0
 
 
+def test_few_labels_get_cutoffs(spark):
+    """300 good labels a language, four languages: one rule tells 30 of 32 bad ones, another one more."""
+    rows, marks = [], []
+    for lang in ("en", "de", "fr", "es"):
+        for i in range(332):
+            words = [f"{lang}{i}x{j}" for j in range(30)]
+            if 300 <= i < 330:
+                words = [w + "%%" for w in words]
+            elif i == 330:
+                words = [w.upper() for w in words]
+            rows.append((len(rows), " ".join(words), lang))
+            marks.append((rows[-1][0], int(i < 300)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.kept for r in quality.verdicts(docs, spark.createDataFrame(marks, "doc_id long, quality int")).collect()}
+    for k in range(4):
+        own = [got[k * 332 + i] for i in range(332)]
+        assert all(own[:300]) and not any(own[300:331]) and own[331]
+
+
+def test_walk_is_nested_and_complete():
+    gain = np.zeros((len(quality.RULES), quality.GRID))
+    gain[0, 4:], gain[0, 20:], gain[2, 40:] = 30, 50, 1
+    moves = quality.advance(gain, [-1] * 5, 52)
+    assert moves == [(0, i) for i in range(21)]
+    gain[0] = 0
+    assert quality.advance(gain, [20, -1, -1, -1, -1], 52) == []
+    assert quality.remaining(gain, [20, -1, -1, -1, -1]) == [(2, i) for i in range(41)]
+
+
 def test_binomial_tail_is_exact():
     from math import comb
 
