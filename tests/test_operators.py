@@ -238,3 +238,13 @@ def test_imports_and_upkeep(spark):
     raw = spark.createDataFrame([(1, "mail a@b.co"), (2, "hi"), (3, "ok")], "k int, raw_text string")
     kept = spark.createDataFrame([(1, "mail a@b.co", "x"), (2, "hi", "hi")], "k int, clean_text string, text_for_model string")
     assert {r.k: r.violations for r in upkeep.audited(raw, kept, "k").collect()} == {1: ["clean_text_differs", "sensitive_value_survived"], 3: ["row_absent"]}
+
+
+def test_sentiment_query_scores_whole_texts(spark, tmp_path):
+    from tidemark.plans import texts
+
+    filler = "w " * 60  # what follows stands after character 40
+    rows = [(6, filler + "range anxiety", "en", "a", 1), (14, filler, "en", "a", 1)]  # ids whose probe is empty
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {int(r.platform_event_id): (r.hits, r.sentiment) for r in texts.sentiment(spark, str(tmp_path)).collect()}
+    assert got[6][0] >= 1 and got[6][1] == "negative" and got[14] == (0, "neutral")

@@ -76,7 +76,7 @@ def roles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sentiment(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _posts(spark, sf).withColumn("probe", F.concat(F.element_at(F.array(*[F.lit(x) for x in a.PROBES]), (F.col("platform_event_id").cast("long") % len(a.PROBES) + 1).cast("int")), F.lit(" "), F.substring("text", 1, 40)))
+    rows = _posts(spark, sf).withColumn("probe", F.concat(F.element_at(F.array(*[F.lit(x) for x in a.PROBES]), (F.col("platform_event_id").cast("long") % len(a.PROBES) + 1).cast("int")), F.lit(" "), F.col("text")))
     scored = a.with_sentiment(rows, "probe")
     return scored.select("platform_event_id", "language", "hits", F.round("compound", 4).alias("compound"), "sentiment", a.stance(F.col("probe"), F.col("language"), F.col("sentiment")).alias("stance"))
 
