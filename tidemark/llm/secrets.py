@@ -2,43 +2,52 @@
 
 Base matches (assign, access, hex) label the credentials. A bounded sample of each kind's distinct values becomes a prefix
 tree over character classes; states whose outcomes are statistically compatible (Hoeffding bound) are merged
-into a probabilistic automaton, one a kind. All other long tokens of all texts are candidates: one is
-reported as ``format`` if under some kind's automaton its likelihood a character is no less than that of nearly all
-held-out credentials, and exceeds that under the automaton of ordinary tokens.
-
-A text is scanned once; candidates and base spans are stored, and the automata score the stored candidates.
-Null and empty texts have no spans. Repeated rows give repeated rows; extra columns are ignored; with too few labels a
-kind has no automaton and adds nothing.
+into a probabilistic automaton, one a kind. Every long token of every text is a candidate, those that base patterns match
+among them: one is reported as ``format`` if under some kind's automaton its likelihood a character is no less than that of nearly
+all held-out credentials, and the whole token is more likely by it than under the automata of ordinary tokens, by ``LEAD``. So a labelled credential is
+found again by its format alone, and so is an unlabelled one; base spans stay whatever the automata say.
+
+Texts are scanned twice, once for the samples and once for the spans; no candidate is stored. Null and empty texts have no
+spans. Long texts and tokens are scanned and scored whole, in linear time. Spans that tie in start and kind go by their end. Repeated
+rows give repeated rows; extra columns, whatever their names, are ignored; an empty table gives no rows. With fewer than ``FEWEST``
+labelled values a kind has no automaton and adds nothing.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table, written
+from tidemark.llm.common import raw_texts, table
 
 KINDS = ("assign", "access", "hex")
+#: Ordinary tokens: of letters only, and with digits or signs.
+ORDINARY = ("word", "sign")
 #: Distinct labelled values of a kind (and ordinary tokens) that the automata are fitted on, a third of them held out.
 SAMPLE = 900
 #: Fewest labelled values of a kind.
-FEWEST = 30
-#: The merge test's level, the held-out credentials below the threshold, and the lead a character over ordinary tokens.
-ALPHA, BELOW, LEAD = 0.05, 0.01, 0.5
+FEWEST = 12
+#: The merge test's level, the held-out credentials below the threshold, the room a character below them where they are
+#: too few to tell, and the log-odds against ordinary tokens.
+ALPHA, BELOW, ROOM, LEAD = 0.05, 0.01, 1.0, 3.0
+#: Classes a state may see, for the share of those it never saw.
+OUTCOMES = 10
+#: Verdicts that a task keeps at hand, of tokens up to so many characters.
+KEPT, SHORT = 100_000, 128
 #: Fixed patterns of the base scan and of candidates.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{11,}[A-Za-z0-9+/_-](?:={1,2}(?![A-Za-z0-9+/_.=-]))?")
 _WORDS = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 
-Automaton = list[tuple[dict[str, tuple[int, float]], float]]
+#: For each state its ways by class (next state, probability), the probability to end there and that of a way never seen.
+Automaton = list[tuple[dict[str, tuple[int, float]], float, float]]
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -51,46 +60,40 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-def candidates(text: str, base: list[tuple[str, int, int, str]]) -> list[tuple[int, int, str]]:
-    """Long tokens that no base span touches."""
-    out, k = [], 0
-    spans = sorted((a, b) for _, a, b, _ in base)
-    for m in CANDIDATE.finditer(text):
-        while k < len(spans) and spans[k][1] <= m.start():
-            k += 1
-        if not any(a < m.end() and b > m.start() for a, b in spans[k : k + 8]):
-            out.append((m.start(), m.end(), m[0]))
-    return out
+def candidates(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, token) of all tokens of 12 or more characters; full stops at the end are none of them."""
+    return [(m.start(), m.end(), m[0]) for m in CANDIDATE.finditer(text)]
 
 
-_SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())])
+def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct (kind, value) of each batch: credentials by kind, and tokens that no base span touches as ``ORDINARY`` ones."""
+    for batch in batches:
+        seen: set[tuple[str, str]] = set()
+        for raw in raw_texts(batch.column(0)):
+            text = raw.decode()
+            base = base_spans(text)
+            seen.update((kind, value) for kind, _, _, value in base)
+            k, spans = 0, sorted((a, b) for _, a, b, _ in base)
+            for a, b, value in candidates(text):
+                while k < len(spans) and spans[k][1] <= a:
+                    k += 1
+                if len(value) <= SHORT and not any(x < b and y > a for x, y in spans[k : k + 8]):
+                    seen.add((ORDINARY[not value.isalpha()], value))
+        rows = list(seen)
+        yield pa.record_batch([pa.array([x[0] for x in rows], pa.string()), pa.array([x[1] for x in rows], pa.string())], ["kind", "value"])
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        base, more = [], []
-        for text in batch.column(1):
-            text = text.as_py() or ""
-            spans = base_spans(text)
-            base.append([dict(zip(("kind", "start", "end", "value"), x, strict=True)) for x in spans])
-            more.append([{"kind": "format", "start": a, "end": b, "value": v} for a, b, v in candidates(text, spans)])
-        yield pa.record_batch([batch.column(0), pa.array(base, pa.list_(_SPAN)), pa.array(more, pa.list_(_SPAN))], ["doc_id", "base", "more"])
-
-
-def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, base spans and candidates of every document."""
-    kind = "array<struct<kind:string,start:long,end:long,value:string>>"
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return written(rows.mapInArrow(_scan, f"doc_id long, base {kind}, more {kind}"), "secrets")
+#: Characters by class: digits 9, a-f a, other lower case z, upper case A, others as they are.
+_CLASS = str.maketrans({c: "9" if c.isdigit() else "a" if c in "abcdef" else "z" if c.islower() else "A" for c in "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"})
 
 
 def classes(value: str) -> str:
-    """A token's characters by class: digits 9, a-f a, other lower case z, upper case A, others as they are."""
-    return "".join("9" if c.isdigit() else "a" if c in "abcdef" else "z" if c.islower() else "A" if c.isupper() else c for c in value)
+    """A token's characters by class."""
+    return value.translate(_CLASS)
 
 
 def infer(words: list[str], alpha: float = ALPHA) -> Automaton:
-    """The probabilistic automaton of some words: (class: (state, probability), probability to end) by state."""
+    """The probabilistic automaton of some words of classes."""
     ends, ways, counts = [0], [{}], [0]  # the prefix tree
     for w in words:
         s = 0
@@ -153,76 +156,105 @@ def infer(words: list[str], alpha: float = ALPHA) -> Automaton:
         else:
             kept.append(state)
     name = {s: i for i, s in enumerate(kept)}
-    return [({c: (name[t], n / counts[s]) for c, (t, n) in ways[s].items()}, ends[s] / counts[s]) for s in kept]
-
-
-#: Probability of a class that a state never saw, or of an end there.
-_UNSEEN = 1e-4
+    return [({c: (name[t], n / counts[s]) for c, (t, n) in ways[s].items()}, ends[s] / counts[s], 0.5 / (counts[s] + 0.5 * OUTCOMES)) for s in kept]
 
 
 def likelihood(model: Automaton, word: str) -> float:
     """The log-likelihood a character of a word of classes."""
     s, total = 0, 0.0
     for c in word:
-        t, p = model[s][0].get(c, (s, 0.0))
-        total += math.log(max(p, _UNSEEN))
+        ways, _, unseen = model[s]
+        t, p = ways.get(c, (s, 0.0))
+        total += math.log(max(p, unseen))
         s = t
-    return (total + math.log(max(model[s][1], _UNSEEN))) / (len(word) + 1)
+    return (total + math.log(max(model[s][1], model[s][2]))) / (len(word) + 1)
 
 
-def fitted(rows: DataFrame) -> dict:
-    """Automata and thresholds by kind, and the automaton of ordinary tokens, from ``scanned`` rows."""
-    values = rows.select(F.explode(F.concat("base", "more")).alias("s")).select("s.kind", "s.value").distinct()
-    sample: dict[str, list[str]] = {}
-    for kind in (*KINDS, "format"):
-        top = values.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(SAMPLE)
-        sample[kind] = [classes(r["value"]) for r in top.collect()]
-    common = infer(sample["format"]) if sample["format"] else None
+def sampled(docs: DataFrame, text: str = "text") -> dict[str, list[str]]:
+    """For each kind, and each of ``ORDINARY`` tokens, at most ``SAMPLE`` distinct values, those with the least hashes."""
+    values = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(_values, "kind string, value string").distinct()
+    least = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
+    top = values.withColumn("n", F.row_number().over(least)).where(F.col("n") <= SAMPLE)  # cut inside each partition first
+    out: dict[str, list[str]] = {kind: [] for kind in (*KINDS, *ORDINARY)}
+    for r in top.orderBy("kind", "n").collect():
+        out[r["kind"]].append(r["value"])
+    return out
+
+
+def fitted(sample: dict[str, list[str]]) -> dict:
+    """Automata and thresholds by kind, and the automata of ordinary tokens."""
+    usual = [infer([classes(x) for x in sample[kind]]) for kind in ORDINARY if sample[kind]]
     models = {}
     for kind in KINDS:
-        words = sample[kind]
+        words = [classes(x) for x in sample[kind]]
         if len(words) >= FEWEST:
             model = infer([w for i, w in enumerate(words) if i % 3])
             held = sorted(likelihood(model, w) for w in words[::3])
-            models[kind] = (model, held[int(BELOW * len(held))])
-    return {"models": models, "common": common}
+            models[kind] = (model, held[int(BELOW * len(held))] - (ROOM if BELOW * len(held) < 1 else 0.0))
+    return {"models": models, "usual": usual}
 
 
-def is_credential(value: str, fit: dict) -> bool:
+def judged(value: str, fit: dict) -> tuple[str, float] | None:
+    """The kind whose automaton gives a token the greatest likelihood a character, and that, if it is a credential by it."""
     word = classes(value)
-    usual = likelihood(fit["common"], word) if fit["common"] else -math.inf
-    return any(score >= least and score >= usual + LEAD for model, least in fit["models"].values() for score in [likelihood(model, word)])
+    usual = max((likelihood(m, word) for m in fit["usual"]), default=-math.inf)
+    best = None
+    for kind, (model, least) in fit["models"].items():
+        score = likelihood(model, word)
+        if score >= least and (score - usual) * (len(word) + 1) >= LEAD and (best is None or score > best[1]):
+            best = (kind, score)
+    return best
+
+
+_SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()), ("like", pa.string()), ("likelihood", pa.float64())])
+_SHAPE = "array<struct<kind:string,start:long,end:long,value:string,like:string,likelihood:double>>"
+
+
+def spans_of(text: str, fit: dict, known: dict) -> list[dict]:
+    """All spans of a text; ``known`` keeps verdicts by token class."""
+    out = [{"kind": k, "start": a, "end": b, "value": v, "like": None, "likelihood": None} for k, a, b, v in base_spans(text)]
+    for a, b, value in candidates(text) if fit["models"] else ():
+        key = classes(value)
+        if key in known:
+            best = known[key]
+        else:
+            best = judged(value, fit)
+            if len(key) <= SHORT:
+                if len(known) >= KEPT:
+                    known.clear()
+                known[key] = best
+        if best:
+            out.append({"kind": "format", "start": a, "end": b, "value": value, "like": best[0], "likelihood": best[1]})
+    return out
 
 
-def _scorer(held):
+def _scanner(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fit, known = held.value, {}
+        known: dict = {}
         for batch in batches:
-            out = []
-            for base, more in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                for x in more:
-                    if x["value"] not in known:
-                        if len(known) > 100_000:
-                            known.clear()
-                        known[x["value"]] = is_credential(x["value"], fit)
-                out.append(base + [x for x in more if known[x["value"]]])
-            yield pa.record_batch([batch.column(0), pa.array(out, pa.list_(_SPAN))], ["doc_id", "spans"])
+            yield pa.record_batch([batch.column(0), pa.array([spans_of(raw.decode(), held.value, known) for raw in raw_texts(batch.column(1))], pa.list_(_SPAN))], ["doc_id", "spans"])
 
     return run
 
 
+def scanned(docs: DataFrame, fit: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and spans (kind, start, end, value; of formats the kind they are like and the likelihood) of every document."""
+    held = docs.sparkSession.sparkContext.broadcast(fit)  # a few automata of bounded samples
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(_scanner(held), f"doc_id long, spans {_SHAPE}")
+
+
 def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and spans (kind, start, end, value) of every document."""
-    rows = scanned(docs, doc_id, text)
-    held = docs.sparkSession.sparkContext.broadcast(fitted(rows))  # a few automata of bounded samples
-    return rows.mapInArrow(_scorer(held), "doc_id long, spans array<struct<kind:string,start:long,end:long,value:string>>")
+    """``scanned`` with the automata of the documents' own labels."""
+    return scanned(docs, fitted(sampled(docs, text)), doc_id, text)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts and spans of secrets in every document."""
+    """Counts and spans of secrets in every document, and what each format span is like, with its likelihood a character."""
     rows = secrets(table(spark, sf_dir, "documents"))
     place = lambda s: F.when(s["kind"] == "assign", 0).when(s["kind"] == "access", 1).when(s["kind"] == "hex", 2).otherwise(3)
     told = lambda spans: F.array_join(F.transform(F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("a"), place(s).alias("b"), s["end"].alias("c"), s["kind"].alias("d")))), lambda s: F.concat_ws(":", s["d"], s["a"], s["c"])), ",")
     n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    base = F.filter("spans", lambda s: s["kind"] != "format")
-    return rows.select("doc_id", *map(n, KINDS), F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"), n("format"))
+    base, more = F.filter("spans", lambda s: s["kind"] != "format"), F.filter("spans", lambda s: s["kind"] == "format")
+    like = F.array_join(F.transform(more, lambda s: F.concat_ws(":", s["like"], s["start"], s["end"], F.format_number(s["likelihood"], 3))), ",")
+    return rows.select("doc_id", *map(n, KINDS), F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"), n("format"), like.alias("formats"))
