@@ -16,7 +16,7 @@ def brute(docs, bench, size=10, slop=0):
     windows = []
     for item, text in bench:
         w = words(text)
-        windows += [("null" if item is None else str(item), w[i : i + size]) for i in range(max(1, len(w) - size + 1))] if w else []
+        windows += [(item, w[i : i + size]) for i in range(max(1, len(w) - size + 1))] if w else []
     out = []
     for doc_id, text in docs:
         w = words(text)
@@ -25,7 +25,7 @@ def brute(docs, bench, size=10, slop=0):
             for p in range(-slop, len(w) + slop):
                 if all(any(w[q] == t for q in range(max(0, p + o - slop), min(len(w) - 1, p + o + slop) + 1)) for o, t in enumerate(x)):
                     hit |= set(range(max(0, p), min(len(w), p + len(x))))
-                    items.add(item)
+                    items |= {str(item)} - {"None"}
         names = sorted(items)
         out.append((doc_id, len(w), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)))
     return sorted(out, key=str)
@@ -49,13 +49,16 @@ def test_matches_brute_force(spark, slop, monkeypatch):
     assert got == brute(rows, ITEMS, slop=slop)
 
 
-def test_several_passes_give_the_same(spark, sf, monkeypatch):
+def test_blocks_and_shards_of_any_size_give_the_same(spark, sf, monkeypatch):
     docs, bench = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
     index = d.build_index(docs)
     key = lambda df: sorted((r.doc_id, r.n_words, tuple(map(tuple, r.spans)), tuple(r["items"])) for r in df.collect())
     one = key(d.search(index, bench))
     monkeypatch.setattr(d, "BLOCK_WORDS", 2000)
     assert key(d.search(index, bench)) == one
+    monkeypatch.setattr(d, "HELD_BYTES", 1)  # each shard by itself
+    monkeypatch.setattr(d, "KEPT_BYTES", 100)  # the benchmark is read again for each
+    assert key(d.search(index, bench.repartition(3))) == one
     assert any(x[2] for x in one)
 
 
@@ -83,4 +86,7 @@ def test_empty_tables(spark):
     docs, bench = spark.createDataFrame(DOCS, "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")
     assert d.search(d.build_index(docs.limit(0)), bench).count() == 0
     assert all(not r.spans for r in d.search(d.build_index(docs), bench.limit(0)).collect())
-    assert sorted(str(r.doc_id) for r in d.clean_documents(docs, bench).collect()) == sorted(str(x[0]) for x in DOCS if x[0] in (2, 4, 5, 8, 10, 12, 13, 14))
+    clean = d.clean_documents(docs.selectExpr("*", "1 as hit", "2 as Hash", "3 as _hit", "4 as row"), bench)
+    assert clean.columns == ["doc_id", "text", "hit", "Hash", "_hit", "row"]
+    kept = [x for x in DOCS if x[0] in (2, 4, 5, 8, 10, 12, 13, 14)] + [(7, "x")]  # not the other text of its id
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted(kept, key=str)

@@ -11,12 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.scratch import new_path, shared_dir, written
 
-__all__ = ["new_path", "raw_texts", "rows_by_bytes", "shared_dir", "table", "text_bytes", "written"]
+__all__ = ["new_path", "raw_texts", "rows_by_bytes", "shared_dir", "table", "text_bytes", "unused", "written"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and the n + 1 offsets of its rows; null is empty."""
     col = pc.fill_null(col, "")

@@ -3,11 +3,14 @@
 ``build_index`` turns blocks of documents into index shards: for each distinct term the sorted
 token positions inside the block. The shards are stored as a table, one row a shard, so each is
 searched where it lies and no posting is shuffled. ``search`` looks the test phrases up: the lists
-of a phrase, shifted by each term's offset, are intersected from the rarest term on.
+of a phrase, shifted by each term's offset, are intersected from the rarest term on. The benchmark's terms are stored too; a task
+holds a few shards and takes the whole benchmark past them, block by block, so one pass over the index serves a
+benchmark of any size, and nothing of it goes through the driver.
 
 Terms are the maximal runs of ASCII letters (A-Z lowered), digits and non-ASCII characters, known by
-64-bit hashes. Null or empty texts have no terms and give rows without hits; repeated rows give repeated
-rows; an empty benchmark gives no hits; extra columns are ignored.
+64-bit hashes. Null or empty texts have no terms and give rows without hits; a long document is a shard of its own, searched
+whole; repeated rows give repeated rows; an empty table of documents gives no rows, an empty benchmark no hits; an item
+without an id hits words but is not among the items found; extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -17,15 +20,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import rows_by_bytes, table, text_bytes, written
+from tidemark.llm.common import new_path, rows_by_bytes, table, text_bytes, unused, written
 
 #: Bytes of text in a shard; a longer document is a shard of its own.
 SHARD_BYTES = 2 << 20
-#: Words of test phrases that are sent to the executors at once; a longer benchmark takes several passes.
+#: Words of test phrases that are searched at once.
 BLOCK_WORDS = 1 << 20
+#: Bytes of shards that a task holds while the benchmark goes past, and of a benchmark that it keeps rather than reads again.
+HELD_BYTES, KEPT_BYTES = 32 << 20, 32 << 20
 #: Candidate places held at once in the intersection.
 CANDIDATES = 1 << 20
 PHRASE = 10
@@ -82,15 +89,15 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.diff(np.append(first, len(h))).astype(np.uint32)
             steps = np.diff(order, prepend=np.uint32(0)).astype(np.uint32)  # wraps at the start of a list
             yield pa.record_batch(
-                [pa.array([uuid.uuid4().hex]), pa.array([batch.column(0).slice(i, j - i).to_pylist()], pa.list_(pa.int64())), pa.array([n.tolist()], pa.list_(pa.int64())), *(pa.array([x.tobytes()], pa.binary()) for x in (terms, counts, steps))],
-                ["shard", "doc_ids", "n_words", "terms", "counts", "steps"],
+                [*(pa.array([c.slice(i, j - i).to_pylist()], pa.list_(pa.int64())) for c in (batch.column(0), batch.column(2))), pa.array([n.tolist()], pa.list_(pa.int64())), *(pa.array([x.tobytes()], pa.binary()) for x in (terms, counts, steps))],
+                ["doc_ids", "rows", "n_words", "terms", "counts", "steps"],
             )
 
 
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The stored index: shard, doc_ids, n_words (both a list by document), terms, counts and steps of the positions."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return written(rows.mapInArrow(_shards, "shard string, doc_ids array<long>, n_words array<long>, terms binary, counts binary, steps binary"), "postings")
+    """The stored index: doc_ids, rows (hashes of the texts) and n_words (lists by document), terms, counts and steps of the positions."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.xxhash64(text).alias("row"))
+    return written(rows.mapInArrow(_shards, "doc_ids array<long>, rows array<long>, n_words array<long>, terms binary, counts binary, steps binary"), "postings")
 
 
 def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,28 +107,47 @@ def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), pa.array(out, pa.binary())], ["item", "terms"])
 
 
-def phrase_blocks(bench: DataFrame, item_id: str, text: str, words: int) -> Iterator[dict]:
-    """The benchmark's windows in blocks of at most ``BLOCK_WORDS`` words and one item."""
-    rows = bench.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"), F.col(text).cast("string").alias("text"))
-    held: list[tuple[str, np.ndarray]] = []
+def stored_items(bench: DataFrame, item_id: str = "item_id", text: str = "text") -> str:
+    """The folder of the benchmark's items and their terms."""
+    rows = bench.select(F.col(item_id).cast("string").alias("item"), F.col(text).cast("string").alias("text"))
+    path = new_path(bench.sparkSession, "items")
+    rows.mapInArrow(_item_terms, "item string, terms binary").write.parquet(path)
+    return path
+
+
+def read_items(path: str) -> Iterator[tuple[str | None, np.ndarray]]:
+    """The items in ``path``, read a batch of rows at a time."""
+    store, at = fs.FileSystem.from_uri(path)
+    for name in sorted(f.path for f in store.get_file_info(fs.FileSelector(at)) if f.path.endswith(".parquet")):
+        with store.open_input_file(name) as file:
+            for batch in pq.ParquetFile(file).iter_batches(256):
+                for item, terms in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    yield item, np.frombuffer(terms, np.uint64)
+
+
+def phrase_blocks(items: Iterator[tuple[str | None, np.ndarray]], words: int, most: int) -> Iterator[dict]:
+    """The windows of all items in blocks of at most ``most`` words."""
+    held: list[tuple[str | None, np.ndarray]] = []
     size = 0
-    for r in rows.mapInArrow(_item_terms, "item string, terms binary").toLocalIterator():
-        h = np.frombuffer(bytes(r["terms"]), np.uint64)
-        windows = h[None, :] if 0 < len(h) < words else np.lib.stride_tricks.sliding_window_view(h, words) if len(h) else h[:0].reshape(0, words)
-        if held and size + windows.size > BLOCK_WORDS:
-            yield _block(held, words)
-            held, size = [], 0
-        if len(windows):
-            held.append((r["item"], windows))
-            size += windows.size
+    for item, h in items:
+        if not len(h):
+            continue
+        windows = h[None, :] if len(h) < words else np.lib.stride_tricks.sliding_window_view(h, words)
+        step = max(1, most // windows.shape[1])
+        for part in (windows[i : i + step] for i in range(0, len(windows), step)):
+            if held and size + part.size > most:
+                yield _block(held, words)
+                held, size = [], 0
+            held.append((item, part))
+            size += part.size
     if held:
         yield _block(held, words)
 
 
-def _block(held: list[tuple[str, np.ndarray]], words: int) -> dict:
+def _block(held: list[tuple[str | None, np.ndarray]], words: int) -> dict:
     terms = np.unique(np.concatenate([w.ravel() for _, w in held]))
     rows = sum(len(w) for _, w in held)
-    at, length, item, r = np.zeros((rows, words), np.int64), np.zeros(rows, np.int64), np.zeros(rows, np.int64), 0
+    at, length, item, r = np.zeros((rows, words), np.int32), np.zeros(rows, np.int64), np.zeros(rows, np.int64), 0
     for k, (_, w) in enumerate(held):
         at[r : r + len(w), : w.shape[1]] = np.searchsorted(terms, w)
         length[r : r + len(w)], item[r : r + len(w)] = w.shape[1], k
@@ -172,65 +198,90 @@ def match_shard(terms: np.ndarray, counts: np.ndarray, steps: np.ndarray, n_word
         yield w[which], start, doc
 
 
-def _searcher(held, slop: int):
+class _Shard:
+    """A shard that waits for the benchmark's blocks, with what they have hit so far."""
+
+    def __init__(self, row: dict) -> None:
+        self.row, self.n = row, np.array(row["n_words"], np.int64)
+        self.lists = [np.frombuffer(row[k], t) for k, t in (("terms", np.uint64), ("counts", np.uint32), ("steps", np.uint32))]
+        self.bytes = sum(x.nbytes for x in self.lists)
+        self.first = np.cumsum(self.n) - self.n
+        self.change = np.zeros(int(self.n.sum()) + 1, np.int32)
+        self.items: list[set[str]] = [set() for _ in self.n]
+
+    def meet(self, block: dict, slop: int) -> None:
+        names, n, first = block["names"], self.n, self.first
+        for w, start, doc in match_shard(*self.lists, n, block, slop):
+            np.add.at(self.change, np.clip(start, first[doc], first[doc] + n[doc]), 1)
+            np.add.at(self.change, np.clip(start + block["length"][w], first[doc], first[doc] + n[doc]), -1)
+            pairs = np.unique(doc * len(names) + block["item"][w])
+            for d, k in zip((pairs // len(names)).tolist(), (pairs % len(names)).tolist(), strict=True):
+                if names[k] is not None:
+                    self.items[d].add(names[k])
+
+    def found(self) -> pa.RecordBatch:
+        n, first = self.n, self.first
+        edges = np.diff(np.concatenate([[0], (np.cumsum(self.change[:-1]) > 0).astype(np.int8), [0]]))
+        begins, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        spans: list[list[dict]] = [[] for _ in n]
+        for d, a, b in zip(np.searchsorted(np.cumsum(n), begins, "right").tolist(), begins.tolist(), ends.tolist(), strict=True):
+            while a < b:  # a covered run may reach into the next documents
+                stop = min(b, int(first[d] + n[d]))
+                if stop > a:
+                    spans[d].append({"start": a - int(first[d]), "end": stop - int(first[d])})
+                a, d = stop, d + 1
+        return pa.record_batch(
+            [pa.array(self.row["doc_ids"], pa.int64()), pa.array(self.row["rows"], pa.int64()), pa.array(n), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array([sorted(x) for x in self.items], pa.list_(pa.string()))],
+            ["doc_id", "row", "n_words", "spans", "items"],
+        )
+
+
+def _searcher(path: str, words: int, slop: int, block_words: int, held_bytes: int, kept_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = held.value
-        names = np.array(block["names"], object)
+        kept: list[tuple[str | None, np.ndarray]] | None = None
+
+        def items() -> Iterator[tuple[str | None, np.ndarray]]:
+            """The benchmark, from memory if a first reading found it small enough."""
+            nonlocal kept
+            if kept is not None:
+                yield from kept
+                return
+            have: list | None = []
+            size = 0
+            for item in read_items(path):
+                size += item[1].nbytes + 64
+                if have is not None and size <= kept_bytes:
+                    have.append(item)
+                else:
+                    have = None
+                yield item
+            kept = have
+
+        def searched(held: list[_Shard]) -> Iterator[pa.RecordBatch]:
+            for block in phrase_blocks(items(), words, block_words):
+                for shard in held:
+                    shard.meet(block, slop)
+            for shard in held:
+                yield shard.found()
+
+        held: list[_Shard] = []
         for batch in batches:
             for row in batch.to_pylist():
-                n = np.array(row["n_words"], np.int64)
-                first = np.cumsum(n) - n
-                change, items = np.zeros(int(n.sum()) + 1, np.int64), [set() for _ in n]
-                for w, start, doc in match_shard(*(np.frombuffer(row[k], t) for k, t in (("terms", np.uint64), ("counts", np.uint32), ("steps", np.uint32))), n, block, slop):
-                    length = block["length"][w]
-                    np.add.at(change, np.clip(start, first[doc], first[doc] + n[doc]), 1)
-                    np.add.at(change, np.clip(start + length, first[doc], first[doc] + n[doc]), -1)
-                    pairs = np.unique(doc * len(names) + block["item"][w])
-                    for d, k in zip((pairs // len(names)).tolist(), (pairs % len(names)).tolist(), strict=True):
-                        items[d].add(names[k])
-                edges = np.diff(np.concatenate([[0], (np.cumsum(change[:-1]) > 0).astype(np.int8), [0]]))
-                begins, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-                spans: list[list[dict]] = [[] for _ in n]
-                for d, a, b in zip(np.searchsorted(np.cumsum(n), begins, "right").tolist(), begins.tolist(), ends.tolist(), strict=True):
-                    while a < b:  # a covered run may reach into the next documents
-                        stop = min(b, int(first[d] + n[d]))
-                        if stop > a:
-                            spans[d].append({"start": a - int(first[d]), "end": stop - int(first[d])})
-                        a, d = stop, d + 1
-                yield pa.record_batch(
-                    [pa.array([row["shard"]] * len(n), pa.string()), pa.array(row["doc_ids"], pa.int64()), pa.array(range(len(n)), pa.int64()), pa.array(n), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                    ["shard", "doc_id", "ordinal", "n_words", "spans", "items"],
-                )
+                held.append(_Shard(row))
+                if sum(x.bytes for x in held) >= held_bytes:
+                    yield from searched(held)
+                    held = []
+        yield from searched(held) if held else ()
 
     return run
 
 
 def search(index: DataFrame, bench: DataFrame, item_id: str = "item_id", text: str = "text", words: int = PHRASE, slop: int = 0) -> DataFrame:
-    """One row per indexed document: doc_id, n_words, spans (covered word ranges) and items (ids found, as strings).
+    """One row per indexed document: doc_id, row, n_words, spans (covered word ranges) and items (ids found, as strings).
 
     ``slop`` 0 finds exact phrases; above it, places where each term lies within ``slop`` words of its turn.
-    A benchmark beyond ``BLOCK_WORDS`` is searched in passes whose rows are joined by shard and ordinal.
     """
-    spark = index.sparkSession
-    shape = "shard string, doc_id long, ordinal long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
-    passes = [index.mapInArrow(_searcher(spark.sparkContext.broadcast(b), slop), shape) for b in phrase_blocks(bench, item_id, text, words)]
-    if not passes:
-        nothing = {"terms": np.zeros(1, np.uint64), "at": np.zeros((0, words), np.int64), "length": np.zeros(0, np.int64), "item": np.zeros(0, np.int64), "names": ["-"]}
-        passes = [index.mapInArrow(_searcher(spark.sparkContext.broadcast(nothing), slop), shape)]
-    if len(passes) == 1:
-        return passes[0].drop("shard", "ordinal")
-    rows = passes[0]
-    for more in passes[1:]:
-        rows = rows.unionByName(more)
-    both = rows.groupBy("shard", "ordinal").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return both.select("doc_id", "n_words", _merged("spans").alias("spans"), "items")
-
-
-def _merged(spans: str):
-    """Sorted spans with those that touch or overlap made one."""
-    last = lambda acc: F.element_at(acc, -1)
-    grow = lambda acc, x: F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last(acc)["start"].alias("start"), F.greatest(last(acc)["end"], x["end"]).alias("end"))))
-    return F.aggregate(spans, F.array().cast("array<struct<start:long,end:long>>"), lambda acc, x: F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] >= x["start"]), grow(acc, x)).otherwise(F.concat(acc, F.array(x))))
+    return index.mapInArrow(_searcher(stored_items(bench, item_id, text), words, slop, BLOCK_WORDS, HELD_BYTES, KEPT_BYTES), "doc_id long, row long, n_words long, spans array<struct<start:long,end:long>>, items array<string>")
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,10 +294,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_documents(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without any occurrence of a benchmark window; all columns stay.
 
-    A null id is compared null-safely; if an id is repeated, each of its rows goes when one of them is hit.
+    Rows are known by id and text together, null-safely, so a hit takes no other text of the same id, or of none, along.
     """
-    hit = search(build_index(docs, doc_id, text), bench).where(F.size("items") > 0).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(written(hit, "hits"), docs[doc_id].cast("long").eqNullSafe(F.col("_hit")), "left_anti")
+    name, row = unused(docs, "hit"), unused(docs, "hash")
+    found = search(build_index(docs, doc_id, text), bench).where(F.size("spans") > 0)
+    hits = written(found.select(F.col("doc_id").alias(name), F.col("row").alias(row)).distinct(), "hits")
+    return docs.join(hits, F.col(doc_id).cast("long").eqNullSafe(F.col(name)) & (F.xxhash64(text) == F.col(row)), "left_anti")
 
 
 OP1_SQL = r"""
