@@ -59,6 +59,71 @@ def test_quality_thresholds_hold_their_risk(spark):
     assert kept.columns == docs.columns and kept.count() == sum(got.values())
     assert quality.verdicts(docs, labels.limit(0)).where("not kept").count() == 0
     assert quality.good_documents(docs.limit(0), labels).count() == 0
+    clash = docs.selectExpr("*", "1 as __c", "2 as rule_counts", "3 as Stratum", "4 as c")
+    assert quality.good_documents(clash, labels).columns == clash.columns and quality.good_documents(clash, labels).where("__c = 1 and rule_counts = 2 and c = 4").count() == kept.count()
+
+
+def brute_cutoffs(rows):
+    """Cutoffs by stratum from (stratum, counts by name, good), one row at a time, by the rules in words."""
+    from math import comb
+
+    out, strata = {}, sorted({s for s, _, _ in rows})
+    for s in strata:
+        own = [([float(f(c)) for f, _, _ in quality.RULES.values()], g) for x, c, g in rows if x == s]
+        grids = [list(map(float, quality.grid(r))) for r in quality.RULES]
+        bad, good = [v for v, g in own if not g], [v for v, g in own if g]
+        over = lambda v, state: any(k >= 0 and x > grids[i][k] for i, (x, k) in enumerate(zip(v, state, strict=True)))
+        state, walk = [-1] * len(grids), []
+        for _ in grids:
+            left = [v for v in bad if not over(v, state)]
+            worth = {(i, k): sum(v[i] > grids[i][k] for v in left) / max(1, len(bad)) - (k - state[i]) / quality.GRID for i in range(len(grids)) for k in range(state[i] + 1, quality.GRID)}
+            (i, k), most = max(worth.items(), key=lambda x: (x[1], -x[0][0], -x[0][1]))
+            if most <= 0:
+                break
+            walk += [(i, j) for j in range(state[i] + 1, k + 1)]
+            state[i] = k
+        left, more = [v for v in bad if not over(v, state)], []
+        for i in range(len(grids)):
+            at, had = state[i], 0
+            while at < quality.GRID - 1:
+                rates = {k: (sum(v[i] > grids[i][k] for v in left) - had) / (k - at) for k in range(at + 1, quality.GRID)}
+                k = max(rates, key=lambda k: (rates[k], -k))
+                if rates[k] <= 0:
+                    break
+                more += [(-rates[k], i, j) for j in range(at + 1, k + 1)]
+                at, had = k, sum(v[i] > grids[i][k] for v in left)
+        walk += [(i, k) for _, i, k in sorted(more)]
+        state, best = [-1] * len(grids), (0.0, None)
+        for i, k in walk if good and bad else ():
+            state[i] = max(state[i], k)
+            lost, gained = sum(over(v, state) for v in good), sum(over(v, state) for v in bad)
+            chance = sum(comb(len(good), j) * quality.RISK**j * (1 - quality.RISK) ** (len(good) - j) for j in range(lost + 1))
+            if chance > quality.LEVEL / len(strata):
+                break
+            worth = gained / len(bad) - quality.REGRET * lost / len(good)
+            if worth > best[0] + 1e-12:
+                best = (worth, list(state))
+        if best[1]:
+            out[s] = {r: grids[i][best[1][i]] for i, r in enumerate(quality.RULES) if best[1][i] >= 0}
+    return out
+
+
+def test_verdicts_of_the_query_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    marks = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    counts = {d: dict(zip(quality._COUNTS, quality.counts_of((r.text or "").encode()), strict=True)) for d, r in docs.items()}
+    failed = {d: c["n_words"] < 10 or 100 * c["n_repeat_words"] > 20 * c["n_words"] for d, c in counts.items()}
+    cut = brute_cutoffs([(docs[d].lang or "", counts[d], marks[d] == 1) for d in docs if d in marks and marks[d] is not None and not failed[d]])
+    assert cut
+    got = {r.doc_id: r for r in quality.op10(spark, sf).collect()}
+    rejected = 0
+    for d, r in docs.items():
+        own = cut.get(r.lang or "", {})
+        want = not failed[d] and all(quality.RULES[k][0](counts[d]) <= x for k, x in own.items())
+        assert (got[d].base_failed, got[d].kept) == (failed[d], want), d
+        rejected += not failed[d] and not want
+    assert rejected > 0
 
 
 def test_few_labels_get_cutoffs(spark):
@@ -138,6 +203,17 @@ def test_mix_edges(spark):
     out = mixing.mixed(docs)
     assert out.columns == docs.columns and out.count() == sum(r.copies for r in sized)
     assert mixing.mixed(docs.limit(0)).count() == 0
+    clash = docs.selectExpr("*", "1 as __d", "2 as __r", "3 as mix_id", "4 as Copies", "5 as mix_times")
+    assert mixing.mixed(clash).columns == clash.columns and mixing.mixed(clash).where("__d = 1 and __r = 2 and mix_id = 3 and copies = 4 and mix_times = 5").count() == out.count()
+
+
+def test_repeated_rows_share_their_copies(spark):
+    docs = spark.createDataFrame([(i // 3, "a b c" if i % 3 else "x y z", None if i % 2 else "s", i) for i in range(90)] + [(None, None, None, 90)] * 3, "doc_id long, text string, source string, n int")
+    copies = {(r.doc_id, r.row, r.source): 0 for r in mixing.systematic(mixing.sizes(docs)).collect()}
+    for r in mixing.systematic(mixing.sizes(docs)).collect():
+        copies[r.doc_id, r.row, r.source] += r.copies
+    got = Counter((r.doc_id, r.row, r.source) for r in mixing.mixed(docs).selectExpr("doc_id", "xxhash64(text) as row", "source").collect())
+    assert got == Counter({k: n for k, n in copies.items() if n})
 
 
 def jump_hash(key, n):

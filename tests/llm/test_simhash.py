@@ -93,3 +93,12 @@ def test_hot_group_is_split(spark, monkeypatch):
     roots = {r.node: r.root for r in s.components(edges).collect()}
     assert {roots.get(f, f) for f in fps} == {0} or len({roots.get(f, f) for f in fps}) == 1
     assert far[0] not in roots
+
+
+def test_one_of_each_keeps_clashing_columns(spark):
+    rows = [(1, "a b c d", 1), (2, "a b c d", 2), (None, "a b c d", 3), (None, "other words of it", 4), (5, "other words of it", 5), (None, "alone it stands here", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, one_row int").selectExpr("*", "1 as __id", "2 as __hash", "3 as One_Id", "4 as fp", "5 as root")
+    kept = s.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(r.one_row for r in kept.collect()) == [1, 5, 6]
+    assert kept.where("__id = 1 and __hash = 2 and One_Id = 3 and fp = 4 and root = 5").count() == 3
+    assert s.one_of_each(docs.limit(0)).count() == 0

@@ -12,7 +12,8 @@ reading back gives the texts exactly; roles escape ``%``, line feeds and ``<|``
 
 Null texts and roles are empty; turns sort by number (null first), then role and text, so ties have one order;
 repeated rows are repeated turns; a null conversation id is a conversation of its own. A conversation is one
-string by its nature and must fit into a row. Extra columns are ignored.
+string by its nature and must fit into a row; long texts are kept whole. An empty table gives no rows. Extra columns, whatever
+their names, are ignored.
 """
 
 from __future__ import annotations
@@ -83,8 +84,9 @@ def _spans(messages: Column) -> Column:
 
 def format_chats(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """conv_id, formatted and loss_spans, one row a conversation."""
-    rows = turns.select(F.col(conv_id).alias("conv_id"), F.struct(F.col(turn).alias("turn"), _role(F.coalesce(F.col(role), F.lit(""))).alias("role"), escaped(F.coalesce(F.col(text), F.lit(""))).alias("text")).alias("t"))
-    chats = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns")).select("conv_id", _merged(F.col("turns")).alias("messages"))
+    rows = turns.select(F.col(conv_id).alias("conv_id"), F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")).alias("t"))
+    safe = F.transform(F.sort_array(F.collect_list("t")), lambda t: F.struct(_role(t["role"]).alias("role"), escaped(t["text"]).alias("text")))  # sorted as they came
+    chats = rows.groupBy("conv_id").agg(safe.alias("turns")).select("conv_id", _merged(F.col("turns")).alias("messages"))
     one = lambda m: F.concat(F.lit(START), m["role"], F.lit("\n"), F.array_join(m["texts"], SEP), F.lit(END + "\n"))
     return chats.select("conv_id", F.array_join(F.transform("messages", one), "").alias("formatted"), _spans(F.col("messages")).alias("loss_spans"))
 
@@ -107,7 +109,7 @@ def read_chats(chats: DataFrame) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one of control strings, formatted, stored and read back."""
     told = f"{END}{START}{TRAINED} ok"
-    extra = spark.createDataFrame([(-1, 0, "user", told), (-1, 1, TRAINED, told)], "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise(TRAINED).alias("role"), F.lit(told).alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     back = read_chats(written(format_chats(rows), "chats"))
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.scratch import new_path, shared_dir, written
 
-__all__ = ["new_path", "raw_texts", "rows_by_bytes", "shared_dir", "table", "text_bytes", "unused", "written"]
+__all__ = ["new_path", "plain_columns", "raw_texts", "rows_by_bytes", "shared_dir", "table", "text_bytes", "unused", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def plain_columns(df: DataFrame) -> list[str]:
+    """The columns that can be hashed, quoted."""
+    return [f"`{c.replace('`', '``')}`" for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+
+
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and the n + 1 offsets of its rows; null is empty."""
     col = pc.fill_null(col, "")

@@ -8,8 +8,9 @@ random offset a source is added, and a document is emitted once for each integer
 The order is by size first, so the copies' words follow the target closely.
 
 The prefix sum is taken in two steps, over counts by bucket and inside each bucket, so that a source that holds
-most rows is spread over many tasks. Null and empty texts have size zero and take part like others;
-ties in the order are rows with equal id, size and text, for which it does not matter who gets the copies.
+most rows is spread over many tasks. Null and empty texts have size zero and take part like others; long texts are
+counted whole; ties in the order are rows with equal id, size and text, for which it does not matter who gets the copies.
+An empty table gives no rows; extra columns, whatever their names, are ignored by ``systematic`` and kept by ``mixed``.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table, written
+from tidemark.llm.common import plain_columns, table, unused, written
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2.0
@@ -92,11 +93,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The documents as often as the mix takes them; all columns stay. Rows equal in id, source and text share their copies."""
-    rows = systematic(sizes(docs, doc_id, text, source)).groupBy("doc_id", "row", "source").agg(F.sum("copies").alias("__all"), F.count(F.lit(1)).alias("__rows"))
-    rows = rows.where("__all > 0").select(F.col("doc_id").alias("__doc"), F.col("row").alias("__row"), F.col("source").alias("__source"), "__all", "__rows")
-    mine = docs.withColumns({"__d": F.col(doc_id).cast("long"), "__r": F.xxhash64(text), "__s": F.col(source).cast("string")})
-    joined = mine.join(rows, mine["__d"].eqNullSafe(rows["__doc"]) & (mine["__r"] == rows["__row"]) & mine["__s"].eqNullSafe(rows["__source"]))
-    order = Window.partitionBy("__d", "__r", "__s").orderBy(F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]))
-    turn = F.when(F.col("__rows") == 1, 1).otherwise(F.row_number().over(order))
-    times = F.floor(F.col("__all") * turn / F.col("__rows")) - F.floor(F.col("__all") * (turn - 1) / F.col("__rows"))
-    return joined.withColumn("__times", times.cast("int")).where("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns)
+    found = systematic(sizes(docs, doc_id, text, source)).groupBy("doc_id", "row", "source").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0")
+    d, dn, r, s, sn, a, m, t = (unused(docs, x) for x in ("mix_id", "mix_id_null", "mix_row", "mix_source", "mix_source_null", "mix_copies", "mix_rows", "mix_times"))
+    # keys without nulls, so that the join and the window below deal rows alike and texts are shuffled once
+    keys = lambda of_id, of_source: {d: F.coalesce(of_id, F.lit(0).cast("long")), dn: of_id.isNull(), s: F.coalesce(of_source, F.lit("")), sn: of_source.isNull()}
+    names = [d, dn, r, s, sn]
+    found = found.select(*[c.alias(k) for k, c in keys(F.col("doc_id"), F.col("source")).items()], F.col("row").alias(r), F.col("copies").alias(a), F.col("rows").alias(m))
+    mine = docs.withColumns({**keys(F.col(doc_id).cast("long"), F.col(source).cast("string")), r: F.xxhash64(text)})
+    order = Window.partitionBy(*names).orderBy(F.xxhash64(*plain_columns(docs)))
+    turn = F.when(F.col(m) == 1, 1).otherwise(F.row_number().over(order))
+    times = F.floor(F.col(a) * turn / F.col(m)) - F.floor(F.col(a) * (turn - 1) / F.col(m))
+    rows = mine.join(found, names).withColumn(t, times.cast("int")).where(F.col(t) > 0)
+    return rows.withColumn(t, F.explode(F.sequence(F.lit(1), F.col(t)))).select(*docs.columns)

@@ -9,8 +9,9 @@ A Feistel network adds a keyed hash of one half to the other half in turn, modul
 that half can have, so each step can be undone and no value is hit twice. Of an e-mail address the local part is
 permuted, letter by letter and digit by digit; a country code stays.
 
-Null texts stay null, empty ones empty; numbers that fail validation stay as they are. Repeated rows give
-repeated rows.
+Null texts stay null, empty ones empty, long ones are searched whole; numbers that fail validation stay as they are. Where two
+patterns match at one place the first in ``PATTERNS`` is taken. Repeated rows give repeated rows; an empty table gives no rows; extra
+columns, whatever their names, are kept, but for one named ``pii_kinds``, which is replaced.
 """
 
 from __future__ import annotations
@@ -20,9 +21,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import table, unused
 
 ROUNDS = 10
+#: The session setting with the query's key, and the key of the synthetic tables, which hold nothing to protect.
+KEY, SYNTHETIC = "spark.tidemark.pseudonyms.key", "synthetic"
 #: The days of 1900 to 2099, as a product, for the two halves of a date.
 DAYS = (17, 4297)
 ISO, DAY_FIRST = "yyyy-MM-dd", "dd.MM.yyyy"
@@ -104,7 +107,8 @@ def _phone(value: Column, key: str) -> Column:
 
 
 def valid_ip(value: Column) -> Column:
-    return F.forall(F.split(value, r"\."), lambda x: x.cast("int") <= 255)
+    """Octets up to 255 without leading zeros: those would be other ways to write an address."""
+    return F.forall(F.split(value, r"\."), lambda x: (x.cast("int") <= 255) & ~x.rlike("^0[0-9]"))
 
 
 def _ip(value: Column, key: str) -> Column:
@@ -170,21 +174,27 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
     return out.otherwise(value)
 
 
-def pseudonymised(docs: DataFrame, key: str = "tidemark", text: str = "text") -> DataFrame:
-    """``docs`` with pseudonyms in ``text`` and ``pii_kinds``, the kinds replaced, in order (an old column of that name goes)."""
+def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """``docs`` with pseudonyms in ``text`` and ``pii_kinds``, the kinds replaced, in order (an old column of that name goes).
+
+    Who has ``key`` can undo the permutation, so it is a secret and has no default.
+    """
+    if not key:
+        raise ValueError("pseudonyms need a key")
+    was, will = unused(docs, "pii_found"), unused(docs, "pii_new")
     may = F.col(text).rlike("[0-9@]")
     found = F.when(may, F.transform(F.regexp_extract_all(text, F.lit(ANY), 0), lambda m: F.struct(m.alias("value"), kind_of(m).alias("kind"))))
-    rows = docs.withColumn("__found", found)
-    new = F.transform("__found", lambda m: pseudonym(m["value"], m["kind"], key))
-    rows = rows.withColumn("__new", new)
-    pieces = F.transform(F.split(text, ANY), lambda p, i: F.concat(p, F.coalesce(F.get(F.col("__new"), i), F.lit(""))))
-    kinds = F.coalesce(F.filter(F.transform("__found", lambda m: m["kind"]), lambda k: k.isNotNull()), F.array().cast("array<string>"))
-    rows = rows.withColumns({text: F.when(F.size("__found") > 0, F.array_join(pieces, "")).otherwise(F.col(text)), "pii_kinds": kinds})
-    return rows.drop("__found", "__new")
+    rows = docs.withColumn(was, found)
+    new = F.transform(was, lambda m: pseudonym(m["value"], m["kind"], key))
+    rows = rows.withColumn(will, new)
+    pieces = F.transform(F.split(text, ANY), lambda p, i: F.concat(p, F.coalesce(F.get(F.col(will), i), F.lit(""))))
+    kinds = F.coalesce(F.filter(F.transform(was, lambda m: m["kind"]), lambda k: k.isNotNull()), F.array().cast("array<string>"))
+    rows = rows.withColumns({text: F.when(F.size(was) > 0, F.array_join(pieces, "")).otherwise(F.col(text)), "pii_kinds": kinds})
+    return rows.drop(was, will)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with pseudonyms, and how many of each kind were put in."""
-    rows = pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), spark.conf.get(KEY, SYNTHETIC))
     n = lambda kind: F.size(F.filter("pii_kinds", lambda k: k == kind)).cast("long")
     return rows.select("doc_id", "text", *[n(k).alias(f"n_{k}") for k in PATTERNS])

@@ -10,9 +10,11 @@ steps need no further correction and, with probability 1 - ``LEVEL``, no stratum
 documents. Of the certified steps that with the best balance of bad and good documents rejected is taken.
 With four strata and no losses 217 good labels certify.
 
-Null and empty texts have no words and fail the base rule. Documents of an unlabelled language are judged by
-the base rule only. Labels: a document is good if all its labels are 1; null labels are ignored. Repeated
-rows count as often as they occur. Without labels nothing but the base rule applies.
+Null and empty texts have no words and fail the base rule; long texts are counted whole, in linear time. Documents of an
+unlabelled language are judged by the base rule only. Labels: a document is good if all its labels are 1; null labels are
+ignored. Repeated rows count as often as they occur; figures that equal a cutoff pass; steps that tie are taken in the order of rules and
+grid. Without labels nothing but the base rule applies; an empty table gives no rows. Extra columns, whatever their names, are
+ignored by ``verdicts`` and kept by ``good_documents``.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import raw_texts, table, written
+from tidemark.llm.common import raw_texts, table, unused, written
 
 #: Good documents that all rules together may lose in a stratum, and the chance that this fails anywhere.
 RISK, LEVEL = 0.02, 0.05
@@ -228,9 +230,10 @@ def verdicts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 def good_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents that pass; all columns stay. The texts are read twice rather than shuffled."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), stratum(lang).alias("stratum"), counts(F.col(text)).alias("c"))
-    cut = thresholds(rows, labels).select(F.col("stratum").alias("__stratum"), F.col("cutoffs").alias("__cutoffs"))
-    judged = docs.withColumn("__c", counts(F.col(text))).join(cut, stratum(lang) == F.col("__stratum"), "left")
-    return judged.where(passes(F.col("__c"), F.col("__cutoffs"))).select(*docs.columns)
+    s, c, k = (unused(docs, x) for x in ("rule_stratum", "rule_counts", "rule_cutoffs"))
+    cut = thresholds(rows, labels).select(F.col("stratum").alias(s), F.col("cutoffs").alias(k))
+    judged = docs.withColumn(c, counts(F.col(text))).join(cut, stratum(lang) == F.col(s), "left")
+    return judged.where(passes(F.col(c), F.col(k))).select(*docs.columns)
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,9 @@ at which the key would move, until that lies beyond the number asked for. No rin
 shard more takes rows only into itself. Arithmetic modulo 2^64 is done in decimals of 38 digits.
 
 Law ``key``: the id and the number of shards alone decide. A null id counts as id 0. Repeated ids share a
-shard. Null texts have 16 bytes of size and the checksum of the empty text.
+shard, and repeated rows follow each other in it: they tie, so which takes which slot makes no difference. Null texts have 16 bytes of
+size and the checksum of the empty text; long texts are measured whole. An empty table gives no rows. Extra columns, whatever
+their names, are ignored by ``placed``; ``sharded`` keeps them but for one named ``shard``, which it replaces.
 """
 
 from __future__ import annotations

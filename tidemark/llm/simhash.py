@@ -11,8 +11,10 @@ and each two parts meet in a block of their own, so no task holds a large block
 A block reports a spanning forest of its links, not the links themselves; components follow by
 alternating large-star and small-star steps over tables in the shared folder.
 
-Null and empty texts have fingerprint zero and are linked like others. A null id takes part and is never
-the smallest id of a component unless all are null (then component_id is null). Repeated rows give repeated rows.
+Null and empty texts have fingerprint zero and are linked like others; long texts are hashed whole. A null id takes part and is never
+the smallest id of a component unless all are null (then component_id is null). Repeated rows give repeated rows; equal
+fingerprints tie and are one class; an empty table gives no rows; extra columns, whatever their names, are ignored by
+``near_duplicates`` and kept as they are by ``one_of_each``.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import raw_texts, table, written
+from tidemark.llm.common import plain_columns, raw_texts, table, unused, written
 
 SHINGLE = 3
 RADIUS = 3
@@ -262,9 +264,11 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fou
     ``found`` names the components, as ``near_duplicates`` does. If the smallest id is repeated in its component, the text with the smaller hash stays, once.
     """
     own = found(docs, doc_id, text).where(F.col("component_id").eqNullSafe(F.col("doc_id")))
-    kept = own.groupBy("root").agg(F.min("doc_id").alias("__id"), F.min("row").alias("__row")).select("__id", "__row").distinct()
-    plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
-    rows = docs.withColumns({"__own": F.col(doc_id).cast("long"), "__hash": F.xxhash64(text)})
-    rows = rows.join(kept, F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__row")))
-    once = Window.partitionBy("__own", "__hash").orderBy(F.xxhash64(*plain))
-    return rows.withColumn("__n", F.row_number().over(once)).where("__n = 1").select(*docs.columns)
+    d, r, z, n = (unused(docs, x) for x in ("one_id", "one_row", "one_null", "one_turn"))
+    kept = own.groupBy("root").agg(F.min("doc_id").alias("least"), F.min("row").alias(r))
+    # ids without nulls, so that the join and the window below deal rows alike and texts are shuffled once
+    keys = lambda col: {d: F.coalesce(col, F.lit(0).cast("long")), z: col.isNull()}
+    kept = kept.withColumns(keys(F.col("least"))).select(d, r, z).distinct()
+    rows = docs.withColumns({**keys(F.col(doc_id).cast("long")), r: F.xxhash64(text)}).join(kept, [d, r, z])
+    once = Window.partitionBy(d, r, z).orderBy(F.xxhash64(*plain_columns(docs)))
+    return rows.withColumn(n, F.row_number().over(once)).where(F.col(n) == 1).select(*docs.columns)

@@ -8,7 +8,8 @@ length and the payload's digest before it gives a record.
 
 Null html is an empty payload, and payloads under ``LEAST`` bytes are never revisits. Null ids sort last: a null
 page_id is a response only where all of its payload's ids are null. Pages that share payload and smallest id
-are all responses. Repeated rows give repeated records; extra columns are ignored.
+are all responses. Repeated rows give repeated records; long payloads are stored whole, a record a frame; an empty table
+gives no archives and no rows; extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -111,10 +112,14 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     spark = pages.sparkSession
     payload = F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), payload.alias("payload"), F.sha1(payload).alias("sha1"))
-    first = rows.groupBy("sha1").agg(F.min("page_id").alias("first"))
+    # only ids and digests meet by digest, which one page may share with very many; payloads are dealt by page
+    ids = written(rows.select("page_id", "sha1"), "digests")
+    first = ids.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    later = ids.join(first, "sha1").where(~F.col("page_id").eqNullSafe(F.col("first"))).select(F.col("page_id").alias("later"), F.col("sha1").alias("of"), "first").distinct()
     size = F.octet_length("payload").cast("long")
-    refers = F.when((size >= LEAST) & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    judged = rows.join(first, "sha1").select("page_id", "url", F.when(refers.isNull(), F.col("payload")).alias("payload"), refers.alias("refers"), size.alias("size"), "sha1")
+    refers = F.when(size >= LEAST, F.col("first"))
+    met = rows.join(later, F.col("page_id").eqNullSafe(F.col("later")) & (F.col("sha1") == F.col("of")), "left")
+    judged = met.select("page_id", "url", F.when(refers.isNull(), F.col("payload")).alias("payload"), refers.alias("refers"), size.alias("size"), "sha1")
     sample = rows.where(F.octet_length("payload") <= SAMPLE_BYTES).select("payload").limit(SAMPLE)
     folder = new_path(spark, "warc")
     store, at = fs.FileSystem.from_uri(folder)
