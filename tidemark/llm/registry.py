@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from tidemark.llm import chat, decontaminate, htmltext, mixing, pii, quality, secrets, sharding, simhash, warc
 
 
@@ -18,7 +17,6 @@ def queries() -> dict:
         "op8_simhash": simhash.op8,
         "op9_shard": sharding.op9,
         "op10_quality": quality.op10,
-        "pipeline": corpus_pipeline.run,
     }
 
 

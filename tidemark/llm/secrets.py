@@ -23,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import raw_texts, table
+from tidemark.llm.common import raw_texts, table, written
 
 KINDS = ("assign", "access", "hex")
 #: Ordinary tokens: of letters only, and with digits or signs.
 ORDINARY = ("word", "sign")
 #: Distinct labelled values of a kind (and ordinary tokens) that the automata are fitted on, a third of them held out.
 SAMPLE = 900
+#: How many times the sample is sorted to find it.
+SPARE = 4
 #: Fewest labelled values of a kind.
 FEWEST = 12
 #: The merge test's level, the held-out credentials below the threshold, the room a character below them where they are
@@ -172,9 +174,11 @@ def likelihood(model: Automaton, word: str) -> float:
 
 def sampled(docs: DataFrame, text: str = "text") -> dict[str, list[str]]:
     """For each kind, and each of ``ORDINARY`` tokens, at most ``SAMPLE`` distinct values, those with the least hashes."""
-    values = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(_values, "kind string, value string").distinct()
-    least = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
-    top = values.withColumn("n", F.row_number().over(least)).where(F.col("n") <= SAMPLE)  # cut inside each partition first
+    values = written(docs.select(F.col(text).cast("string").alias("text")).mapInArrow(_values, "kind string, value string").distinct().withColumn("hash", F.xxhash64("value")), "credentials")
+    # of so many values, evenly hashed, the SAMPLE least lie below this share of all hashes: few rows are left to sort
+    below = [F.when(F.col("kind") == r["kind"], F.lit(min(2**63 - 1, -(2**63) + SPARE * SAMPLE * 2**64 // r["n"]))) for r in values.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()]
+    least = Window.partitionBy("kind").orderBy("hash", "value")
+    top = values.where(F.col("hash") <= F.coalesce(*below, F.lit(0))).withColumn("n", F.row_number().over(least)).where(F.col("n") <= SAMPLE)
     out: dict[str, list[str]] = {kind: [] for kind in (*KINDS, *ORDINARY)}
     for r in top.orderBy("kind", "n").collect():
         out[r["kind"]].append(r["value"])
