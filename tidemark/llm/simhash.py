@@ -263,12 +263,20 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fou
 
     ``found`` names the components, as ``near_duplicates`` does. If the smallest id is repeated in its component, the text with the smaller hash stays, once.
     """
-    own = found(docs, doc_id, text).where(F.col("component_id").eqNullSafe(F.col("doc_id")))
     d, r, z, n = (unused(docs, x) for x in ("one_id", "one_row", "one_null", "one_turn"))
-    kept = own.groupBy("root").agg(F.min("doc_id").alias("least"), F.min("row").alias(r))
-    # ids without nulls, so that the join and the window below deal rows alike and texts are shuffled once
+    # ids without nulls, so that joins and windows deal rows alike
     keys = lambda col: {d: F.coalesce(col, F.lit(0).cast("long")), z: col.isNull()}
-    kept = kept.withColumns(keys(F.col("least"))).select(d, r, z).distinct()
-    rows = docs.withColumns({**keys(F.col(doc_id).cast("long")), r: F.xxhash64(text)}).join(kept, [d, r, z])
+    rows = found(docs, doc_id, text)
+    kept = rows.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).groupBy("root").agg(F.min("doc_id").alias("least"), F.min("row").alias("first"))
+    stays = F.col("doc_id").eqNullSafe(F.col("least")) & (F.col("row") == F.col("first"))
+    each = rows.join(kept, "root").groupBy("doc_id", "row").agg(F.max(stays).alias("stays"), F.count(F.lit(1)).alias("n"))
+    each = written(each.where(~F.col("stays") | (F.col("n") > 1)).withColumns(keys(F.col("doc_id"))).select(d, z, F.col("row").alias(r), "stays"), "copies")
+    # texts meet only what goes, not all that stays; of rows that are repeated as they are, one is numbered out
+    mine = docs.withColumns({**keys(F.col(doc_id).cast("long")), r: F.xxhash64(text)})
+    rest = mine.join(each.where(~F.col("stays")).drop("stays"), [d, r, z], "left_anti")
+    twice = each.where("stays").drop("stays")
+    if twice.isEmpty():
+        return rest.select(*docs.columns)
     once = Window.partitionBy(d, r, z).orderBy(F.xxhash64(*plain_columns(docs)))
-    return rows.withColumn(n, F.row_number().over(once)).where(F.col(n) == 1).select(*docs.columns)
+    numbered = rest.join(twice, [d, r, z], "left_semi").withColumn(n, F.row_number().over(once)).where(F.col(n) == 1)
+    return rest.join(twice, [d, r, z], "left_anti").select(*docs.columns).unionByName(numbered.select(*docs.columns))
