@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as t
 from tidemark.functions.identity import content_id, overall_status, row_id
-from tidemark.operators import annotate, entities, labels, quality, reports, snapshots, tables, upkeep
+from tidemark.operators import annotate, entities, labels, quality, reports, roles, snapshots, tables, upkeep
 from tidemark.sources import imports, topics
 
 READ = "source string, platform_event_id string, event_id long, created_at timestamp, observed_at timestamp, view_count long, like_count long, comment_count long, view_count_available boolean, like_count_available boolean, comment_count_available boolean"
@@ -110,9 +110,52 @@ def test_segments_and_noise(spark):
 
 
 def test_roles(spark):
-    rows = [(1, "Why does nobody talk about this truth?"), (2, "Subscribe and click the link in bio"), (2, "The range is 500 km at 120 mph"), (2, "I bought it and my experience is long"), (2, "plain words only here today nothing")]
-    got = [(r.role, r.tier) for r in annotate.with_role(spark.createDataFrame(rows, "position int, segment string")).collect()]
-    assert [g[0] for g in got[:4]] == ["hook", "cta", "proof", "storytelling"] and got[1][1] == "gold"
+    rows = [
+        (1, "Why does nobody talk about this truth?"), (2, "Subscribe and click the link in bio"), (2, "The range is 500 km at 120 mph"), (2, "I bought it and my experience is long"), (2, "plain words only here with nothing"),
+        (2, "but hurry, a better guide"), (2, "credit: the people who made it all"), (2, "too short"), (2, "Every problem is one we build for"),
+    ]
+    got = [(r.role, r.tier, r.sure, r.confidence) for r in roles.with_role(spark.createDataFrame(rows, "position int, segment string")).collect()]
+    assert [g[0] for g in got[:4]] == ["hook", "cta", "proof", "storytelling"] and got[1][1] == "gold" and got[1][3] == 1.0
+    assert got[4][:2] == ("uncertain", "uncertain")
+    assert got[5] == ("objection_handling", "silver", round((0.68 + 0.65) / 2, 4), 0.6667)  # the third reader takes "better"
+    assert got[6] == ("uncertain", "uncertain", round((0.5 + 0.85 + 0.5) / 3, 4), 1.0)  # the second knows a credit line
+    assert got[7] == ("uncertain", "uncertain", round((0.75 + 0.7 + 0.7) / 3, 4), 1.0)
+    assert got[8][:2] == ("pain_point", "silver")
+    # three different roles: the higher priority wins, and the first reader's among equals
+    ties = [(2, "i decided our feature is due today"), (2, "over 5 clients, a trusted limited time")]
+    got = [(r.role, r.confidence, r.tier) for r in roles.with_role(spark.createDataFrame(ties, "position int, segment string")).collect()]
+    assert got[0] == ("urgency", 0.3333, "silver")
+    for rules in roles.READERS:
+        for _, _, patterns, more in rules:
+            for p in [*patterns, *more.get("and", []), *more.get("not", [])]:
+                assert roles.literal(p) in p.replace("\\", "")
+
+
+def test_role_features(spark):
+    df = spark.createDataFrame([("a", "Subscribe now. It has 5 km\nplain words only here with nothing • no"), ("b", ""), ("c", None)], "k string, x string")
+    got = roles.role_features(df, "k", "x").collect()
+    assert [r.k for r in got] == ["a"] and got[0].role_n_segments == 3 and got[0].role_n_cta == 1 and got[0].role_n_proof == 1 and got[0].role_diversity == 3 and abs(got[0].role_ratio_uncertain - 1 / 3) < 1e-6
+
+
+def test_exact_quantiles(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    rows = [(str(k), float(x)) for k in range(3) for x in np.round(rng.normal(0, 50, 101 + k), 1)] + [(None, 3.0), (None, None), ("e", None)]
+    got = {r.k: r for r in reports.quantiles(spark.createDataFrame(rows, "k string, v double"), "v", {"a": 0.25, "b": 0.9, "c": 1.0}, ("k",)).collect()}
+    assert set(got) == {"0", "1", "2", None} and got[None].a == 3.0
+    for k in "012":
+        assert np.allclose([got[k].a, got[k].b, got[k].c], np.quantile([v for x, v in rows if x == k], [0.25, 0.9, 1.0]))
+
+
+def test_folds(spark):
+    rows = spark.range(2000).select((F.col("id") % 97).alias("g"), (F.col("id") % 97 % 5 == 0).cast("int").alias("y"))
+    dealt = labels.stratified_folds(rows, "g", "y", 5)
+    assert dealt.count() == 2000 and labels.straddling(dealt, "fold", "g").count() == 0 and labels.uncovered(dealt, 5, "fold", "y").count() == 0
+    sizes = [r["count"] for r in dealt.where("y = 1").groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and max(sizes) <= 2 * min(sizes)
+    assert labels.uncovered(dealt.where("fold <> 3"), 5, "fold", "y").first().fold == 3
+    assert labels.straddling(spark.createDataFrame([(1, "a"), (2, "a"), (1, "b")], "fold int, g string"), "fold", "g").first().g == "a"
 
 
 def test_sentiment_by_hand(spark):
@@ -165,17 +208,34 @@ def test_merges(spark, tmp_path):
     assert safe["u2"].note == "keep" and safe["u2"].attempt_count == 4  # late news fills gaps only
     again = tables.merged(tables.merged(old, new, key), new, key)
     assert sorted(map(str, again.collect())) == sorted(map(str, tables.merged(old, new, key).collect()))
-    table = tables.VersionedTable(spark, f"{tmp_path}/t")
-    table.upsert(old, key)
-    table.upsert(new, key)
-    assert table.versions() == [1, 2] and table.read(1).count() == 3 and table.read().count() == 4
-    journal = tables.VersionedTable(spark, f"{tmp_path}/j", append_only=True)
+    path = f"{tmp_path}/t"
+    tables.upsert(old, path, key)
+    tables.upsert(new, path, key)
+    kept = {r.user_id: r for r in tables.stored(spark, path).collect()}
+    assert len(kept) == 4 and (kept["u"].attempt_count, kept["u2"].note, kept["u3"].platform_event_id) == (3, "changed", "3")
     for _ in range(2):
-        journal.insert_new(spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "event_id int, v string"), "event_id")
-    journal.insert_new(spark.createDataFrame([(3, "c", 1)], "event_id int, v string, extra int"), "event_id")
-    assert sorted(r.event_id for r in journal.read().collect()) == [1, 2, 3] and journal.read(1).count() == 2 and "extra" in journal.read().columns
-    report = tables.compacted(table)
-    assert report["rows"] == 4 and report["files_after"] == 1
+        tables.append_new(spark.createDataFrame([(1, "a", 7), (1, "a", 7), (2, "b", 8)], "event_id int, v string, part int"), f"{tmp_path}/j", "event_id", "part")
+    tables.append_new(spark.createDataFrame([(3, "c", 1, 7), (2, "z", 1, 8)], "event_id int, v string, extra int, part int"), f"{tmp_path}/j", "event_id", "part")
+    assert sorted((r.event_id, r.v, r.extra) for r in tables.stored(spark, f"{tmp_path}/j").collect()) == [(1, "a", None), (2, "b", None), (3, "c", 1)]
+    assert tables.stored(spark, f"{tmp_path}/none") is None
+
+
+def test_snapshots(spark, tmp_path):
+    path = f"{tmp_path}/s"
+    rows = spark.range(40).select("id", (F.col("id") % 4).alias("k"))
+    tables.snapshot(rows.repartition(5), path, "1")
+    report = {r.when: r for r in tables.compacted(tables.pinned(spark, path), path, "2").collect()}
+    assert (report["before"].files, report["after"].files, report["before"].rows, report["after"].rows) == (5, 1, 40, 40)
+    tables.rekeyed(tables.pinned(spark, path), F.col("k").cast("string"), ["id"], path, "3")
+    assert sorted((r.row_key, r.id) for r in tables.pinned(spark, path).collect()) == [("0", 36), ("1", 37), ("2", 38), ("3", 39)]
+    with pytest.raises(ValueError):
+        tables.rekeyed(tables.pinned(spark, path, "2"), F.when(F.col("k") > 0, F.col("k")).cast("string"), ["id"], path, "4")
+    assert tables.pinned(spark, path, "2").count() == 40 and tables.pinned(spark, path).count() == 4  # the backup is there, what failed is not
+    manifest = tables.exported(rows, f"{tmp_path}/e", "id", "csv", F.col("k") == 1).first()
+    assert (manifest.rows, manifest.format, manifest.columns) == (10, "csv", "id,k")
+    journal = spark.createDataFrame([(1, "2024")], "event_id int, ingested_at string")
+    missing, proofs = tables.backfill_journal(spark.createDataFrame([(1, "2023"), (2, "2022")], "n int, seen string"), journal, F.col("n"), "seen")
+    assert [(r.event_id, r.ingested_at, r.synthetic) for r in missing.collect()] == [(2, "2022", True)] and [tuple(r) for r in proofs.collect()] == [(2, "2022")]
 
 
 def test_collapse_keeps_the_last_known(spark):
@@ -190,7 +250,9 @@ def test_transcripts(spark):
     spans = spark.createDataFrame([("v", 0, 10), ("v", 5, 12), ("v", 20, 25), ("v", 21, 22), ("v", 9, 3)], "k string, start int, end int")
     assert entities.covered_seconds(spans, "k").first().covered == 17
     tree = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("d", None)], "id string, parent_id string")
-    assert {r.id: (r.root_id, r.depth) for r in entities.comment_tree(tree, 5).collect()} == {"a": ("a", 0), "b": ("a", 1), "c": ("a", 2), "d": ("d", 0)}
+    assert {r.id: (r.root_id, r.depth) for r in entities.comment_tree(tree).collect()} == {"a": ("a", 0), "b": ("a", 1), "c": ("a", 2), "d": ("d", 0)}
+    deep = spark.createDataFrame([("0", None)] + [(str(i), str(i - 1)) for i in range(1, 70)] + [("x", "y"), ("y", "x"), ("o", "gone"), ("p", "o")], "id string, parent_id string")
+    assert {r.id: (r.root_id, r.depth) for r in entities.comment_tree(deep).collect()} == {str(i): ("0", i) for i in range(70)}  # no depth is too great; rings and orphans have no root
 
 
 def test_decoding_and_letters(spark):

@@ -1,3 +1,5 @@
+import pytest
+
 from tidemark import scratch
 
 
@@ -10,15 +12,17 @@ class Conf:
 
 
 class Session:
-    def __init__(self, value, app):
+    def __init__(self, value, app, master="local[2]"):
         self.conf = Conf(value)
-        self.sparkContext = type("Context", (), {"applicationId": app})
+        self.sparkContext = type("Context", (), {"applicationId": app, "master": master})
 
 
 def test_shared_folder_is_the_one_named():
     assert scratch.shared_dir(Session("hdfs://x/y/", "a")) == "hdfs://x/y"
     own = scratch.shared_dir(Session(None, "b"))
     assert own.startswith("file:///") and scratch.shared_dir(Session(None, "b")) == own != scratch.shared_dir(Session(None, "c"))
+    with pytest.raises(ValueError):
+        scratch.shared_dir(Session(None, "d", "spark://host:7077"))
     assert scratch.new_path(Session("s3://k", "d"), "n") != scratch.new_path(Session("s3://k", "d"), "n")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.scratch import written
+
 from tidemark.functions.identity import content_id
 from tidemark.functions.text import path_part, slug_title, video_id
 from tidemark.operators.snapshots import latest_known
@@ -161,12 +163,17 @@ def covered_seconds(rows: DataFrame, key: str, start: str = "start", end: str =
     return rows.where(F.col(end) > F.col(start)).withColumn("_a", added).groupBy(key).agg(F.sum("_a").alias("covered"))
 
 
-def comment_tree(rows: DataFrame, most: int = 20) -> DataFrame:
-    """Depth and root of each comment from (id, parent_id), level by level; each level is one join on the level before."""
-    level = rows.where("parent_id is null").select("id", "parent_id", F.col("id").alias("root_id"), F.lit(0).alias("depth"))
-    all_levels = level
-    for depth in range(1, most + 1):
-        above = level.select(F.col("id").alias("parent_id"), "root_id")
-        level = rows.join(above, "parent_id").select("id", "parent_id", "root_id", F.lit(depth).alias("depth"))
-        all_levels = all_levels.unionByName(level)
-    return all_levels
+def comment_tree(rows: DataFrame) -> DataFrame:
+    """Depth and root of each comment from (id, parent_id), at any depth.
+
+    Each comment points at an ancestor, at first its parent; in each round it points at what that one points at, so a depth of n takes
+    about log2(n) rounds of one join. Comments whose ancestors are missing, or go round in a circle, have no root and are left out.
+    """
+    top = F.col("parent_id").isNull()
+    now = written(rows.select("id", "parent_id", F.coalesce("parent_id", "id").alias("root_id"), F.when(top, 0).otherwise(1).alias("depth"), top.alias("at_root")), "tree")
+    before = None
+    while (left := now.where("not at_root").count()) not in (0, before):
+        up = now.select(F.col("id").alias("root_id"), F.col("root_id").alias("up"), F.col("depth").alias("more"), F.col("at_root").alias("done"))
+        moved = now.where("not at_root").drop("at_root").join(up, "root_id").select("id", "parent_id", F.col("up").alias("root_id"), (F.col("depth") + F.col("more")).alias("depth"), F.col("done").alias("at_root"))
+        now, before = written(now.where("at_root").unionByName(moved), "tree"), left
+    return now.where("at_root").drop("at_root")

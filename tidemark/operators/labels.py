@@ -57,33 +57,51 @@ def early_trajectory(rates: DataFrame, horizon_hours: float, label_hours: float,
     return rows.withColumn("span_hours", F.col("last_age_hours") - F.col("first_age_hours"))
 
 
-def balanced(rows: DataFrame, groups: list[str], key: Column, seed: int = 42, target: int = 0) -> DataFrame:
-    """As many rows of each group as the smallest has (or ``target``, if less), by order of a seeded hash.
+def hash_ranked(rows: DataFrame, groups: list[str], hashed: Column, most: DataFrame | None = None) -> DataFrame:
+    """``rows`` with ``_rank``, their place by ``hashed`` (hex digits) within their group, from 1.
 
-    The smallest size is joined in as a one-row table rather than collected; counting and ranking share one exchange.
+    Hashes are uniform: counts by their first digits tell how many rows come before each part of a group, and rows are numbered
+    inside those parts only, so no task numbers a whole group. With ``most`` (groups and ``_most``, or ``_most`` alone in one row) parts
+    that lie beyond that many rows of their group are left out before anything is sorted, and so are later rows.
     """
-    order = F.sha2(F.concat_ws(":", F.lit(str(seed)), key), 256)
-    sizes = rows.groupBy(*groups).count()
-    least = sizes.agg(F.min("count").alias("_least"))
+    rows = rows.withColumns({"_hash": hashed, "_head": F.substring(hashed, 1, 3)})
+    heads = rows.groupBy(*groups, "_head").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*groups).orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
+    heads = heads.withColumn("_ahead", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    same = lambda a, b, keys: reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[f"_of_{k}"]) for k in keys])
+    own = lambda df, keys: df.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *[c for c in df.columns if c not in keys])
+    if most is not None and len(most.columns) == 1:
+        heads = heads.crossJoin(F.broadcast(most)).where("_ahead < _most")  # one row is broadcast
+    elif most is not None:
+        limits = own(most, groups)
+        heads = heads.join(limits, same(heads, limits, groups)).where("_ahead < _most").drop(*[c for c in limits.columns if c != "_most"])
+    parts = own(heads.drop("_n"), [*groups, "_head"])
+    met = rows.join(parts, same(rows, parts, [*groups, "_head"])).drop(*[c for c in parts.columns if c.startswith("_of_")])
+    ranked = met.withColumn("_rank", F.col("_ahead") + F.row_number().over(Window.partitionBy(*groups, "_head").orderBy("_hash")))
+    return (ranked.where("_rank <= _most").drop("_most") if most is not None else ranked).drop("_head", "_ahead")
+
+
+def balanced(rows: DataFrame, groups: list[str], key: Column, seed: int = 42, target: int = 0) -> DataFrame:
+    """As many rows of each group as the smallest has (or ``target``, if less), by order of a seeded hash."""
+    least = rows.groupBy(*groups).count().agg(F.min("count").alias("_most"))
     if target:
-        least = least.select(F.least("_least", F.lit(target)).alias("_least"))
-    ranked = rows.withColumn("balance_rank", F.row_number().over(Window.partitionBy(*groups).orderBy(order)))
-    return ranked.join(F.broadcast(least), F.col("balance_rank") <= F.col("_least")).drop("_least").withColumn("balance_group", F.concat_ws("|", *groups))  # one row is broadcast
+        least = least.select(F.least("_most", F.lit(target)).alias("_most"))
+    ranked = hash_ranked(rows, groups, F.sha2(F.concat_ws(":", F.lit(str(seed)), key), 256), least)
+    return ranked.withColumnRenamed("_rank", "balance_rank").drop("_hash").withColumn("balance_group", F.concat_ws("|", *groups))
 
 
 def nested_balanced(rows: DataFrame, outer: str, inner: str, key: Column, seed: int = 42) -> DataFrame:
     """T5: in each outer group, as many rows of each inner group as its smallest has."""
-    order = F.sha2(F.concat_ws(":", F.lit(str(seed)), key), 256)
-    least = rows.groupBy(outer, inner).count().groupBy(outer).agg(F.min("count").alias("_least"))
-    ranked = rows.withColumn("balance_rank", F.row_number().over(Window.partitionBy(outer, inner).orderBy(order)))
-    return ranked.join(least, outer).where("balance_rank <= _least").drop("_least")
+    sizes = rows.groupBy(outer, inner).count()
+    most = sizes.withColumn("_most", F.min("count").over(Window.partitionBy(outer))).drop("count")  # a row a group
+    ranked = hash_ranked(rows, [outer, inner], F.sha2(F.concat_ws(":", F.lit(str(seed)), key), 256), most)
+    return ranked.withColumnRenamed("_rank", "balance_rank").drop("_hash")
 
 
 def capped(rows: DataFrame, stratum: str, key: Column, quota: int, limit: int, seed: int = 42) -> DataFrame:
     """Up to ``quota`` rows a stratum by hash order, then the rest by hash order until ``limit`` rows are there."""
-    rows = rows.withColumn("_hash", F.sha2(F.concat_ws(":", F.lit(str(seed)), key), 256))
-    ranked = rows.withColumn("_extra", F.row_number().over(Window.partitionBy(stratum).orderBy("_hash")) > quota)
-    return ranked.orderBy("_extra", "_hash").limit(limit).drop("_extra", "_hash")
+    ranked = hash_ranked(rows, [stratum], F.sha2(F.concat_ws(":", F.lit(str(seed)), key), 256))
+    return ranked.orderBy(F.col("_rank") > quota, "_hash").limit(limit).drop("_rank", "_hash")
 
 
 def one_per_author(rows: DataFrame, author: str, key: Column, limit: int, seed: int = 42) -> DataFrame:
@@ -116,15 +134,44 @@ def fold_of(group: Column, folds: int, seed: int) -> Column:
 
 
 def fold_check(rows: DataFrame, fold: str, group: str, label: str) -> DataFrame:
-    """Rows, groups, labels by fold, and a fingerprint of the folds' groups."""
-    return rows.groupBy(fold).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(group).alias("groups"), F.count_if(F.col(label) == 1).alias("positives"), F.sha2(F.array_join(F.array_sort(F.collect_set(F.col(group).cast("string"))), ","), 256).alias("fingerprint"))
+    """Rows, groups, labels by fold, and a fingerprint of the folds' groups: the sum of their hashes, whatever their order."""
+    found = rows.groupBy(fold).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("positives"))
+    marks = F.conv(F.substring(F.sha2(F.col(group).cast("string"), 256), 1, 15), 16, 10).cast("decimal(38,0)")
+    groups = rows.select(fold, group).distinct().groupBy(fold).agg(F.count(F.lit(1)).alias("groups"), F.sum(marks).cast("string").alias("fingerprint"))
+    return found.join(groups, fold)
+
+
+def uncovered(rows: DataFrame, folds: int, fold: str, label: str) -> DataFrame:
+    """The folds from 0 that lack rows of a label, which no model can be tested on; empty where every fold covers both."""
+    have = rows.groupBy(fold).agg(F.count_if(F.col(label) == 1).alias("positives"), F.count_if(F.col(label) == 0).alias("negatives"))
+    every = rows.sparkSession.range(folds).select(F.col("id").cast("int").alias(fold))
+    return every.join(have, fold, "left").fillna(0, ["positives", "negatives"]).where("positives = 0 or negatives = 0")
+
+
+def straddling(rows: DataFrame, split: str, group: str) -> DataFrame:
+    """The groups that more than one split holds, with the number of splits; empty for a sound split."""
+    return rows.groupBy(group).agg(F.count_distinct(split).alias("splits")).where("splits > 1")
+
+
+def stratified_folds(rows: DataFrame, group: str, label: str, folds: int, seed: int = 42) -> DataFrame:
+    """``fold`` by group, dealt so that folds share each stratum evenly.
+
+    A group's stratum is its share of positives in tenths and the size of its rows in powers of two; in each stratum groups are ranked by a seeded hash and
+    dealt round and round, from another fold in each stratum.
+    """
+    groups = rows.groupBy(group).agg(F.floor(F.avg(F.col(label).cast("double")) * 10).cast("int").alias("_share"), F.floor(F.log2(F.count(F.lit(1)))).cast("int").alias("_size"))
+    ranked = hash_ranked(groups, ["_share", "_size"], F.sha2(F.concat(F.lit(f"{seed}:"), F.col(group).cast("string")), 256))
+    dealt = ranked.select(group, F.pmod(F.col("_rank") - 1 + F.xxhash64("_share", "_size", F.lit(seed)), F.lit(folds)).cast("int").alias("fold"))
+    return rows.join(dealt, group)
 
 
 def thresholds(scored: DataFrame, source: str = "source", score: str = "engagement_score", quantile: float = 0.75, fewest: int = 1) -> DataFrame:
     """Each platform's exact linear quantile of its train scores; platforms with fewer than ``fewest`` scores get none."""
+    from tidemark.operators.reports import quantiles
+
     s = F.when(~F.isnan(score), F.col(score))
-    rows = scored.groupBy(source).agg(F.count(s).alias("reference_count"), F.min(s).alias("lowest"), F.percentile(s, F.lit(0.5)).alias("median"), F.percentile(s, F.lit(quantile)).alias("threshold"), F.max(s).alias("highest"))
-    return rows.where(F.col("reference_count") >= fewest)
+    rows = scored.groupBy(source).agg(F.count(s).alias("reference_count"), F.min(s).alias("lowest"), F.max(s).alias("highest")).where(F.col("reference_count") >= fewest)
+    return rows.join(quantiles(scored.select(source, s.alias("_s")), "_s", {"median": 0.5, "threshold": quantile}, (source,)), source)
 
 
 def labelled(scored: DataFrame, limits: DataFrame, source: str = "source", score: str = "engagement_score") -> DataFrame:

@@ -54,32 +54,51 @@ def progress(rows: DataFrame, identifier: str, time: str, measures: dict[str, Co
     return running.unpivot([identifier, "date"], list(measures), "metric", "value")
 
 
+def running_sums(counts: DataFrame, keys: list[str], value: str, sums: tuple[str, ...], down: bool = False) -> DataFrame:
+    """``counts`` (one row a key and value) with, for each of ``sums``, what the values before sum to (``_before``) and all of the key (``_all``).
+
+    The sums are taken over ranges of values first and inside each range then, so no window holds all values of a key.
+    Keys are compared null-safely. Values that are equal must be one row.
+    """
+    v = F.col(value).cast("double")
+    ranged = counts.withColumn("_g", F.floor(F.log2(F.abs(v) + 1) * 64 * F.signum(v)) * (-1 if down else 1))
+    order = F.col(value).desc() if down else F.col(value)
+    groups = ranged.groupBy(*keys, "_g").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    ahead, whole = Window.partitionBy(*keys).orderBy("_g").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys)
+    groups = groups.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_g").alias("_gg"), *[F.coalesce(F.sum(f"_t_{s}").over(ahead), F.lit(0)).alias(f"_a_{s}") for s in sums], *[F.sum(f"_t_{s}").over(whole).alias(f"{s}_all") for s in sums])
+    inside = Window.partitionBy(*keys, "_g").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranged = ranged.withColumns({f"_i_{s}": F.coalesce(F.sum(s).over(inside), F.lit(0)) for s in sums})
+    joined = ranged.join(groups, reduce(lambda a, b: a & b, [ranged[k].eqNullSafe(groups[f"_k_{k}"]) for k in keys], ranged["_g"] == groups["_gg"]))
+    return joined.select(*counts.columns, *[(F.col(f"_a_{s}") + F.col(f"_i_{s}")).alias(f"{s}_before") for s in sums], *[f"{s}_all" for s in sums])
+
+
 def average_ranks(rows: DataFrame, columns: tuple[str, ...], partition: str | None = None) -> DataFrame:
     """Each column's average-tie rank over n, from counts by value rather than by numbering all rows in one window.
 
-    A value's rank is the number of smaller values plus half of its own ties and a half; values are
-    counted first, and the running sum over them is taken in two steps, over ranges of values and within them.
+    A value's rank is the number of smaller values plus half of its own ties and a half.
     """
     keys = [partition] if partition else []
     out = rows
     for c in columns:
-        counts = rows.where(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(F.lit(1)).alias("_k"))
-        # ranges by the leading bits of the value's order
-        ranged = counts.withColumn("_g", F.floor(F.log2(F.abs(F.col(c).cast("double")) + 1) * 64 * F.signum(F.col(c).cast("double"))))
-        group = ranged.groupBy(*keys, "_g").agg(F.sum("_k").alias("_gk"))
-        before = Window.partitionBy(*keys).orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
-        whole = Window.partitionBy(*keys)
-        group = group.select(*keys, "_g", F.coalesce(F.sum("_gk").over(before), F.lit(0)).alias("_ahead"), F.sum("_gk").over(whole).alias("_n"))
-        inside = Window.partitionBy(*keys, "_g").orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
-        ranks = ranged.withColumn("_in", F.coalesce(F.sum("_k").over(inside), F.lit(0))).join(group, [*keys, "_g"])
-        ranks = ranks.select(*keys, c, ((F.col("_ahead") + F.col("_in") + (F.col("_k") + 1) / 2) / F.col("_n")).alias(f"{c}_rank"))
-        out = out.join(ranks, [*keys, c], "left")
+        counts = running_sums(rows.where(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(F.lit(1)).alias("_n")), keys, c, ("_n",))
+        out = out.join(counts.select(*keys, c, ((F.col("_n_before") + (F.col("_n") + 1) / 2) / F.col("_n_all")).alias(f"{c}_rank")), [*keys, c], "left")
     return out
 
 
+def quantiles(rows: DataFrame, value: str, shares: dict[str, float], keys: tuple[str, ...] = ()) -> DataFrame:
+    """The exact, linearly interpolated quantiles of each key's values that are not null, by name; from counts by value, so no task holds all of them."""
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running_sums(counts, list(keys), value, ("_n",))
+    at = lambda place: F.max(F.when((F.col("_n_before") <= place) & (place < F.col("_n_before") + F.col("_n")), F.col(value).cast("double")))
+    place = {name: (F.col("_n_all") - 1) * F.lit(float(q)) for name, q in shares.items()}
+    found = ranked.groupBy(*keys).agg(*[x for name, p in place.items() for x in (at(F.floor(p)).alias(f"_lo_{name}"), at(F.ceil(p)).alias(f"_hi_{name}"), F.max(p).alias(f"_p_{name}"))])
+    mixed = lambda n: F.when(F.col(f"_lo_{n}") == F.col(f"_hi_{n}"), F.col(f"_lo_{n}")).otherwise((F.ceil(f"_p_{n}") - F.col(f"_p_{n}")) * F.col(f"_lo_{n}") + (F.col(f"_p_{n}") - F.floor(f"_p_{n}")) * F.col(f"_hi_{n}"))
+    return found.select(*keys, *[mixed(n).alias(n) for n in shares])
+
+
 def classes(rows: DataFrame, score: str, names: tuple[str, ...] = ("low", "medium", "high")) -> DataFrame:
     """Classes between exact quantiles, the cut itself belonging to the lower class."""
-    cuts = rows.agg(F.percentile(score, F.array(*[F.lit(i / len(names)) for i in range(1, len(names))])).alias("_cuts"))
+    cuts = quantiles(rows, score, {f"_q{i}": i / len(names) for i in range(1, len(names))}).select(F.array(*[f"_q{i}" for i in range(1, len(names))]).alias("_cuts"))
     place = F.size(F.filter("_cuts", lambda x: F.col(score) > x))
     label = F.element_at(F.array(*map(F.lit, names)), place + 1)
     return rows.crossJoin(F.broadcast(cuts)).withColumn(f"{score}_class", label).drop("_cuts")  # one row is broadcast
@@ -93,7 +112,7 @@ def zscored(rows: DataFrame, metrics: tuple[str, ...], source: str = "source", q
     n = reduce(lambda a, b: a + b, [F.col(m).isNotNull().cast("int") for m in metrics])
     z = reduce(lambda a, b: a + b, [F.coalesce((x - F.col(f"_m_{m}")) / F.when(F.col(f"_s_{m}") > 0, F.col(f"_s_{m}")).otherwise(1.0), F.lit(0.0)) for m, x in logs.items()])
     scored = joined.withColumn("engagement_score", F.when(n > 0, z / F.sqrt(n.cast("double")))).drop(*[f"_{k}_{m}" for k in "ms" for m in metrics])
-    cuts = scored.groupBy(source).agg(F.percentile("engagement_score", F.lit(quantile)).alias("_cut"))
+    cuts = quantiles(scored, "engagement_score", {"_cut": quantile}, (source,))
     return scored.join(cuts, source).withColumn("viral", (F.col("engagement_score") >= F.col("_cut")).cast("int")).drop("_cut")
 
 
@@ -127,13 +146,10 @@ def calibration_error(rows: DataFrame, label: str, score: str, bins: int = 10, *
 
 def ranking_metrics(rows: DataFrame, label: str, score: str, *by: str) -> DataFrame:
     """ROC-AUC by average ranks and average precision by scores from the top; from counts by distinct score."""
-    counts = rows.groupBy(*by, score).agg(F.sum(label).alias("hits"), F.count(F.lit(1)).alias("k"))
-    down = Window.partitionBy(*by).orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*by)
-    c = counts.withColumns({"above": F.sum("hits").over(down), "seen": F.sum("k").over(down), "positives": F.sum("hits").over(whole), "n": F.sum("k").over(whole)})
-    area = (F.col("k") - F.col("hits")) * (F.col("above") - F.col("hits") / 2)  # positives above each negative, ties half
-    gain = F.col("hits") * F.col("above") / F.col("seen")
-    out = c.groupBy(*by).agg(F.sum(area).alias("area"), F.sum(gain).alias("gain"), F.max("positives").alias("positives"), F.max("n").alias("n"))
+    c = running_sums(rows.groupBy(*by, score).agg(F.sum(label).alias("hits"), F.count(F.lit(1)).alias("k")), list(by), score, ("hits", "k"), down=True)
+    area = (F.col("k") - F.col("hits")) * (F.col("hits_before") + F.col("hits") / 2)  # positives above each negative, ties half
+    gain = F.col("hits") * (F.col("hits_before") + F.col("hits")) / (F.col("k_before") + F.col("k"))
+    out = c.groupBy(*by).agg(F.sum(area).alias("area"), F.sum(gain).alias("gain"), F.max("hits_all").alias("positives"), F.max("k_all").alias("n"))
     both = (F.col("positives") > 0) & (F.col("n") > F.col("positives"))
     return out.select(*by, F.when(both, F.col("area") / (F.col("positives") * (F.col("n") - F.col("positives")))).alias("roc_auc"), F.when(both, F.col("gain") / F.col("positives")).alias("average_precision"))
 

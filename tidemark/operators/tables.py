@@ -1,80 +1,70 @@
-"""Tables without a table format: versioned Parquet directories, and the merges that make new versions.
+"""Merges and upkeep of tables in plain partitioned Parquet folders.
 
-A table is a folder of versions ``v=N`` and of markers ``_current/N``; a marker is written after its version, so a failed write
-leaves the old one current, and a reader that resolved a version keeps it. Markers and versions are written and listed through
-Spark alone, so the folder can be in any store.
+A journal is only appended to, and looked up only in the parts that new rows fall in. Current state is dealt into buckets by key, and a
+merge rewrites the buckets it has news for. Snapshots are partitions of one folder that are written whole and never changed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from tidemark.scratch import written
+
 # Outcomes that later news cannot undo, and columns by their way to merge.
 TERMINAL = {"transcript_lifecycle_status": ("available", ("available", "unavailable", "disabled", "permanent_error"))}
 OUTCOMES = ("metadata_status", "transcript_status", "comments_status", "collection_status")
 GREATEST = ("attempt_count", "last_attempt_at", "updated_at")
 
 
-class VersionedTable:
-    """A table whose every write is a new version.
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table in a folder, or None if nothing was written yet."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException:
+        return None
+
+
+def touched(old: DataFrame, rows: DataFrame, part: str) -> DataFrame:
+    """The rows of ``old`` in the parts that ``rows`` fall in; the parts found prune the scan."""
+    parts = rows.select(F.col(part).cast(old.schema[part].dataType).alias(part)).distinct()
+    return old.join(F.broadcast(parts), part, "left_semi")  # the days or buckets of one batch
+
+
+def append_new(rows: DataFrame, path: str, key: str, part: str) -> None:
+    """Adds the rows whose key is not there yet. A row's ``part`` follows from the row, so a repeated one is sought where it lies."""
+    rows = rows.dropDuplicates([key])
+    old = stored(rows.sparkSession, path)
+    if old is not None:
+        rows = new_rows(touched(old, rows, part), rows, [key])
+    rows.write.mode("append").partitionBy(part).parquet(path)
 
-    A journal (``append_only``) keeps only what each version adds, so adding rows never rewrites old ones; its
-    content is that of all versions up to the current one.
+
+def upsert(rows: DataFrame, path: str, key: Column, order: str | None = None, buckets: int = 64) -> None:
+    """K4, K5: merges rows by ``key``, keeping known values; only buckets that have news are written.
+
+    Buckets are replaced when all of their rows are written. Should a store lose one between its removal and its successor's arrival, the journal has
+    all events, and ``pipeline.rebuilt`` makes the state again.
     """
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    old = stored(rows.sparkSession, path)
+    if old is not None:
+        rows = merged(touched(old, rows, "bucket"), rows, key, order)
+    rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
+def snapshot(rows: DataFrame, path: str, name: str) -> None:
+    """K9: the whole table as a snapshot of that name."""
+    rows.write.mode("overwrite").parquet(f"{path}/snapshot={name}")
+
 
-    def __init__(self, spark: SparkSession, path: str, append_only: bool = False):
-        self.spark, self.path, self.append_only = spark, path.rstrip("/"), append_only
-
-    def versions(self) -> list[int]:
-        try:
-            rows = self.spark.read.schema("version long").json(f"{self.path}/_current").collect()  # a number a version
-        except AnalysisException:
-            return []
-        return sorted(r["version"] for r in rows)
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """The current version, or a pinned one."""
-        there = self.versions()
-        version = there[-1] if version is None else version
-        if version not in there:
-            raise ValueError(f"{self.path} has no version {version}")
-        parts = [v for v in there if v <= version] if self.append_only else [version]
-        return self.spark.read.option("mergeSchema", self.append_only).option("basePath", self.path).parquet(*[f"{self.path}/v={v}" for v in parts]).drop("v")
-
-    def exists(self) -> bool:
-        return bool(self.versions())
-
-    def write(self, rows: DataFrame) -> int:
-        version = (self.versions() or [0])[-1] + 1
-        rows.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-        self.spark.range(1).select(F.lit(version).cast("long").alias("version")).coalesce(1).write.mode("append").json(f"{self.path}/_current")
-        return version
-
-    def insert_new(self, rows: DataFrame, key: str) -> int:
-        """Adds the rows whose key is not there yet."""
-        rows = rows.dropDuplicates([key])
-        if not self.exists():
-            return self.write(rows)
-        old = self.read()
-        fresh = new_rows(old, rows, [key])
-        return self.write(fresh if self.append_only else aligned_union(old, fresh))
-
-    def upsert(self, rows: DataFrame, identity: Column, order: str | None = None) -> int:
-        """K4, K5: merges rows by identity, keeping known values."""
-        if not self.exists():
-            return self.write(rows)
-        return self.write(merged(self.read(), rows, identity, order))
-
-    def replace(self, rows: DataFrame, keys: list[str]) -> int:
-        """K7: rows with the same keys give way to the new ones."""
-        if not self.exists():
-            return self.write(rows)
-        return self.write(replaced(self.read(), rows, keys))
+def pinned(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
+    """The snapshot of that name, or the last one by name."""
+    rows = spark.read.option("mergeSchema", True).parquet(path).withColumn("snapshot", F.col("snapshot").cast("string"))
+    name = name or rows.agg(F.max("snapshot")).first()[0]  # reads no column but the partition's
+    return rows.where(F.col("snapshot") == name).drop("snapshot")
 
 
 def aligned_union(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -187,14 +177,16 @@ def aligned(rows: DataFrame, target: T.StructType) -> DataFrame:
     return rows.withColumns(cast) if cast else rows
 
 
-def compacted(table: VersionedTable, target_bytes: int = 128 << 20) -> dict[str, int]:
-    """Few files of about ``target_bytes``; the rows' number must stay."""
-    before = storage(table.read()).agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows")).first()
-    version = table.write(table.read().repartition(max(1, -(-(before["bytes"] or 0) // target_bytes))))
-    after = storage(table.read()).agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows")).first()
-    if (after["rows"] or 0) != (before["rows"] or 0):
+def compacted(rows: DataFrame, path: str, name: str, target_bytes: int = 128 << 20) -> DataFrame:
+    """``rows`` as a snapshot of few files of about ``target_bytes``; their number must stay. Gives files, bytes and rows before and after."""
+    totals = lambda df, when: storage(df).agg(F.lit(when).alias("when"), F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
+    before = totals(rows, "before").first()
+    snapshot(rows.repartition(max(1, -(-(before["bytes"] or 0) // target_bytes))), path, name)
+    report = totals(rows, "before").unionByName(totals(pinned(rows.sparkSession, path, name), "after"))
+    after = report.where(F.col("when") == "after").first()
+    if after["rows"] != before["rows"]:
         raise RuntimeError(f"compaction changed {before['rows']} rows into {after['rows']}")
-    return {"version": version, "files_before": before["files"], "files_after": after["files"], "rows": before["rows"] or 0}
+    return report
 
 
 def storage(rows: DataFrame) -> DataFrame:
@@ -203,26 +195,53 @@ def storage(rows: DataFrame) -> DataFrame:
     return files.groupBy("file").agg(F.max("bytes").alias("bytes"), F.count(F.lit(1)).alias("rows"))
 
 
-def rekeyed(table: VersionedTable, key: Callable[[DataFrame], Column], order: list[str]) -> int:
-    """A new key for all rows, one row a key (the last by ``order``), checked before it becomes current."""
-    rows = table.read()
-    rows = rows.withColumn("row_key", key(rows))
+def partitions(rows: DataFrame, *by: str) -> DataFrame:
+    """Files, bytes and rows of each partition of a file-based table."""
+    files = rows.groupBy(*by, F.col("_metadata.file_path").alias("file")).agg(F.max(F.col("_metadata.file_size")).alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    return files.groupBy(*by).agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
+
+
+def rekeyed(rows: DataFrame, key: Column, order: list[str], path: str, name: str) -> DataFrame:
+    """A new key for all rows, one row a key (the last by ``order``), staged, checked, and only then the table's last snapshot.
+
+    The snapshot before it stays as a backup. A row without a key, or a key left out or given twice, stops it before it becomes visible.
+    """
+    rows = rows.withColumn("row_key", key)
     own = [c for c in rows.columns if c != "row_key"]
-    last = rows.groupBy("row_key").agg(F.max_by(F.struct(*own), F.struct(*order)).alias("_r")).select("row_key", "_r.*")
-    bad = last.where("row_key is null").limit(1).count()
-    if bad:
-        raise ValueError("a row has no key")
-    return table.write(last)
-
-
-def exported(rows: DataFrame, path: str, order: str) -> dict[str, int]:
-    """Rows in order, over many files, and a manifest whose count must be that of the files."""
-    n = rows.count()
-    rows.repartitionByRange(order).sortWithinPartitions(order).write.mode("overwrite").parquet(path)
-    there = rows.sparkSession.read.parquet(path).count()
-    if n != there:
-        raise RuntimeError(f"{there} of {n} rows were written")
-    return {"rows": n}
+    staged = written(rows.groupBy("row_key").agg(F.max_by(F.struct(*own), F.struct(*order)).alias("_r")).select("row_key", "_r.*"), "staged")
+    want = rows.agg(F.count_distinct("row_key").alias("n"), F.count_if(F.col("row_key").isNull()).alias("bad")).first()
+    have = staged.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("row_key").alias("keys")).first()
+    if want["bad"] or not want["n"] == have["n"] == have["keys"]:
+        raise ValueError(f"{want['bad']} rows without a key, {want['n']} keys, {have['n']} rows staged")
+    snapshot(staged, path, name)
+    return pinned(rows.sparkSession, path, name)
+
+
+def backfill_journal(current: DataFrame, journal: DataFrame, id_of: Column, at: str) -> tuple[DataFrame, DataFrame]:
+    """Journal rows, marked as synthetic, for rows of current tables that the journal lacks, and the proofs that they are applied."""
+    made = current.withColumns({"event_id": id_of, "ingested_at": F.col(at), "synthetic": F.lit(True)})
+    missing = new_rows(journal, made.dropDuplicates(["event_id"]), ["event_id"])
+    return missing, missing.select("event_id", F.col("ingested_at").alias("applied_at"))
+
+
+def exported(rows: DataFrame, path: str, order: str, form: str = "parquet", where: Column | None = None) -> DataFrame:
+    """Rows (those for which ``where`` holds) in order over many files, as Parquet, CSV or JSON lines, and a manifest beside them.
+
+    The manifest is a JSON file of the folder ``manifest``: the count, which must be that of the files, the columns and a fingerprint of the ids.
+    """
+    spark = rows.sparkSession
+    rows = rows if where is None else rows.where(where)
+    out = rows if form == "parquet" else flat(rows)
+    writer = out.repartitionByRange(order).sortWithinPartitions(order).write.mode("overwrite")
+    reader = {"parquet": spark.read, "csv": spark.read.option("header", True).option("escape", '"').option("multiLine", True), "json": spark.read}[form]
+    (writer.option("header", True).option("escape", '"') if form == "csv" else writer).format(form).save(f"{path}/data")
+    marks = lambda df: df.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.conv(F.substring(F.sha2(F.col(order).cast("string"), 256), 1, 15), 16, 10).cast("decimal(38,0)")).cast("string").alias("fingerprint"))
+    want, have = marks(rows).first(), marks(reader.format(form).load(f"{path}/data")).first()
+    if want != have:
+        raise RuntimeError(f"{have['rows']} of {want['rows']} rows were written")
+    manifest = spark.range(1).select(F.lit(form).alias("format"), F.lit(have["rows"]).alias("rows"), F.lit(have["fingerprint"]).alias("fingerprint"), F.lit(",".join(rows.columns)).alias("columns"))
+    manifest.write.mode("overwrite").json(f"{path}/manifest")
+    return spark.read.schema(manifest.schema).json(f"{path}/manifest")
 
 
 def flat(rows: DataFrame) -> DataFrame:

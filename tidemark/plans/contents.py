@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import bindings as b
 from tidemark.operators import entities as e
 from tidemark.operators import quality, tables
+from tidemark.scratch import written
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -17,12 +18,12 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     s = lambda x: F.col(x).cast("string")
     link = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("https://y.com/watch?v="), s("doc_id"))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("https://x.com/i/status/"), s("doc_id"))).otherwise(F.concat(F.lit("https://r.com/r/"), F.col("source"), F.lit("/comments/"), s("doc_id"), F.lit("/some_title-of-it/")))
     posts = d.select(
-        source(F.col("doc_id")).alias("source"), F.when(F.col("doc_id") % 4 != 0, s("doc_id")).alias("platform_event_id"), link.alias("url"), F.concat(F.lit("t"), s("doc_id")).alias("title"), F.substring("text", 1, 80).alias("text"), F.concat(F.lit("p"), (F.col("doc_id") % 97).cast("string")).alias("user_id"), F.col("lang").alias("language"),
+        source(F.col("doc_id")).alias("source"), F.when(F.col("doc_id") % 4 != 0, s("doc_id")).alias("platform_event_id"), link.alias("url"), F.concat(F.lit("t"), s("doc_id")).alias("title"), F.col("text"), F.concat(F.lit("p"), (F.col("doc_id") % 97).cast("string")).alias("user_id"), F.col("lang").alias("language"),
         F.when(F.col("doc_id") % 3 == 2, "post").alias("relation_type"), F.lit(None).cast("string").alias("conversation_id"), F.when(F.col("doc_id") % 5 == 0, "success").otherwise("failed").alias("metadata_status"), (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(mins=F.col("doc_id").cast("int"))).alias("event_ts"), (F.col("doc_id") * 2).alias("event_id"), F.lit(None).cast("long").alias("score"),
     )
     link = F.concat(F.lit("https://r.com/r/sub/comments/"), s("conv_id"), F.lit("/x/c"), s("turn"))
     replies = c.select(
-        source(F.col("conv_id")).alias("source"), F.concat(s("conv_id"), F.lit("-"), s("turn")).alias("platform_event_id"), link.alias("url"), F.lit(None).cast("string").alias("title"), F.substring("text", 1, 80).alias("text"), F.concat(F.lit("p"), (F.col("conv_id") % 97).cast("string")).alias("user_id"), F.lit("en").alias("language"),
+        source(F.col("conv_id")).alias("source"), F.concat(s("conv_id"), F.lit("-"), s("turn")).alias("platform_event_id"), link.alias("url"), F.lit(None).cast("string").alias("title"), F.col("text"), F.concat(F.lit("p"), (F.col("conv_id") % 97).cast("string")).alias("user_id"), F.lit("en").alias("language"),
         F.when(F.col("conv_id") % 3 != 2, "reply").alias("relation_type"), s("conv_id").alias("conversation_id"), F.lit(None).cast("string").alias("metadata_status"), (F.lit("2024-01-02").cast("timestamp") + F.make_dt_interval(mins=F.col("conv_id").cast("int"))).alias("event_ts"), (F.col("conv_id") * 1000 + F.col("turn") * 2 + 1).alias("event_id"), F.length("text").cast("long").alias("score"),
     )
     return posts.unionByName(replies)
@@ -41,14 +42,14 @@ def interactions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stats(spark: SparkSession, sf: str) -> DataFrame:
-    rows = e.normalised(_events(spark, sf)).persist()  # three builders read it
+    rows = written(e.normalised(_events(spark, sf)), "canonical")  # three builders read it
     readings = rows.where("not is_interaction").select("content_id", F.col("event_ts").alias("observed_at"), "event_id", F.when(F.col("event_id") % 3 != 0, F.col("event_id")).alias("view_count"), (F.col("event_id") % 5 != 0).alias("view_count_available"))
     made = e.content_stats(e.contents(rows), e.interactions(rows), readings, ("view_count",))
     return made.select("content_id", "source", "interaction_count", "unique_users", F.round("avg_length", 6).alias("avg_length"), "total_score", "latest_view_count", "latest_view_count_available")
 
 
 def evolution(spark: SparkSession, sf: str) -> DataFrame:
-    rows = e.normalised(_events(spark, sf)).persist()  # two builders read it
+    rows = written(e.normalised(_events(spark, sf)), "canonical")  # two builders read it
     return e.user_evolution(e.contents(rows), e.interactions(rows)).withColumn("avg_length", F.round("avg_length", 6))
 
 
@@ -85,7 +86,7 @@ def tree(spark: SparkSession, sf: str) -> DataFrame:
     c = b.table(spark, sf, "conversations")
     node = lambda turn: F.concat_ws("-", F.col("conv_id").cast("string"), turn.cast("string"))
     rows = c.select(node(F.col("turn")).alias("id"), F.when(F.col("turn") > 0, node(F.floor(F.col("turn") / 2))).alias("parent_id"))
-    return e.comment_tree(rows, 12)
+    return e.comment_tree(rows)
 
 
 def optional_columns(spark: SparkSession, sf: str) -> DataFrame:
@@ -110,9 +111,9 @@ QUERIES = {
 
 _SRC = lambda n: f"CASE {n} % 3 WHEN 0 THEN 'youtube' WHEN 1 THEN 'x' ELSE 'reddit' END"
 _EVENTS = f"""WITH ev AS (
-  SELECT {_SRC('doc_id')} AS source, CASE WHEN doc_id % 4 <> 0 THEN doc_id::VARCHAR END AS pid, CASE doc_id % 3 WHEN 0 THEN 'https://y.com/watch?v=' || doc_id WHEN 1 THEN 'https://x.com/i/status/' || doc_id ELSE 'https://r.com/r/' || source || '/comments/' || doc_id || '/some_title-of-it/' END AS url, 't' || doc_id AS title, substr(text, 1, 80) AS text,
+  SELECT {_SRC('doc_id')} AS source, CASE WHEN doc_id % 4 <> 0 THEN doc_id::VARCHAR END AS pid, CASE doc_id % 3 WHEN 0 THEN 'https://y.com/watch?v=' || doc_id WHEN 1 THEN 'https://x.com/i/status/' || doc_id ELSE 'https://r.com/r/' || source || '/comments/' || doc_id || '/some_title-of-it/' END AS url, 't' || doc_id AS title, text,
     'p' || doc_id % 97 AS user_id, lang AS language, CASE WHEN doc_id % 3 = 2 THEN 'post' END AS relation, NULL AS conv, CASE WHEN doc_id % 5 = 0 THEN 'success' ELSE 'failed' END AS metadata_status, TIMESTAMP '2024-01-01' + to_minutes(doc_id) AS event_ts, doc_id * 2 AS event_id, NULL::BIGINT AS score, doc_id::VARCHAR AS derived, source AS sub0 FROM documents
-  UNION ALL SELECT {_SRC('conv_id')}, conv_id || '-' || turn, 'https://r.com/r/sub/comments/' || conv_id || '/x/c' || turn, NULL, substr(text, 1, 80), 'p' || conv_id % 97, 'en', CASE WHEN conv_id % 3 <> 2 THEN 'reply' END, conv_id::VARCHAR, NULL, TIMESTAMP '2024-01-02' + to_minutes(conv_id), conv_id * 1000 + turn * 2 + 1, length(text)::BIGINT, CASE WHEN conv_id % 3 = 2 THEN conv_id::VARCHAR END, 'sub' FROM conversations
+  UNION ALL SELECT {_SRC('conv_id')}, conv_id || '-' || turn, 'https://r.com/r/sub/comments/' || conv_id || '/x/c' || turn, NULL, text, 'p' || conv_id % 97, 'en', CASE WHEN conv_id % 3 <> 2 THEN 'reply' END, conv_id::VARCHAR, NULL, TIMESTAMP '2024-01-02' + to_minutes(conv_id), conv_id * 1000 + turn * 2 + 1, length(text)::BIGINT, CASE WHEN conv_id % 3 = 2 THEN conv_id::VARCHAR END, 'sub' FROM conversations
 ), o AS (SELECT *, coalesce(pid, derived, url) AS own, CASE WHEN source = 'reddit' THEN coalesce(conv, derived, pid, url) ELSE coalesce(pid, derived, url) END AS root FROM ev),
 n AS (SELECT *, sha256(source || ':' || root) AS content_id, CASE WHEN source = 'reddit' THEN sha256(source || ':' || root) END AS parent_content_id, coalesce(relation IN ('comment', 'reply', 'interaction'), false) OR (source = 'reddit' AND relation IS NULL) AS is_interaction FROM o),
 norm AS (SELECT *, CASE WHEN is_interaction THEN sha256(source || ':' || own) ELSE sha256(source || ':' || own || ':' || user_id) END AS interaction_id, CASE source WHEN 'reddit' THEN 'reddit_post' WHEN 'x' THEN 'x_post' ELSE 'youtube_video' END AS content_type, CASE source WHEN 'reddit' THEN 'reddit_comment' WHEN 'x' THEN 'x_reply' ELSE 'youtube_comment' END AS interaction_type,

@@ -9,6 +9,7 @@ from tidemark import bindings as b
 from tidemark.bindings import with_
 from tidemark.functions import text as t
 from tidemark.operators import annotate, entities, labels, tables, upkeep
+from tidemark.operators import roles as role_rules
 from tidemark.operators import snapshots as s
 from tidemark.scratch import spread, written
 
@@ -29,7 +30,7 @@ def u_snapshot(rows: DataFrame):
 def merged_sources(spark: SparkSession, sf: str) -> DataFrame:
     """New rows of one source beside those of another with other columns, once by id, then once by text."""
     p = b.posts(spark, sf).select("platform_event_id", "source", F.lower("text").alias("text"), F.length("text").alias("n"))
-    old, new = p.where("platform_event_id % 2 = 0").drop("n"), p.where("platform_event_id % 3 = 0")
+    old, new = p.where("platform_event_id % 2 = 0").drop("n"), p.where("platform_event_id % 2 <> 0 or platform_event_id % 3 = 0")
     both = tables.aligned_union(old, tables.new_rows(old, new, ["platform_event_id"]))
     order = F.struct(F.length("platform_event_id"), "platform_event_id")
     return both.groupBy("text").agg(F.min_by(F.struct("platform_event_id", "source", "n"), order).alias("_r")).select("_r.*")
@@ -40,7 +41,7 @@ def annotation(spark: SparkSession, sf: str) -> DataFrame:
     posts = b.posts(spark, sf).where(F.length("text").between(20, 3000)).dropDuplicates(["source", "lang", "text"])
     sample = written(labels.nested_balanced(posts, "lang", "source", F.col("platform_event_id")), "sample")
     rows = annotate.segments(spread(sample), "platform_event_id", "text").where(annotate.noise_reason(F.col("segment")).isNull())
-    rows = annotate.with_sentiment(annotate.with_role(rows), "segment")
+    rows = annotate.with_sentiment(role_rules.with_role(rows), "segment")
     compound, flag = annotate.for_role(F.col("compound"), F.col("role"))
     rows = rows.withColumns({"compound": compound, "role_flag": flag})
     return rows.select("platform_event_id", "position", "role", "tier", F.round("compound", 4).alias("compound"), annotate.ternary(F.col("compound")).alias("sentiment"), "role_flag")
@@ -57,7 +58,7 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
     """Reading effort, role mix, audience and one-hot languages of each post."""
     posts = spread(b.posts(spark, sf))
     effort = t.with_reading_effort(posts.withColumn("model_text", t.model_text(t.folded(F.col("text")))), "model_text")
-    roles = annotate.with_role(annotate.segments(posts, "platform_event_id", "text"))
+    roles = role_rules.with_role(annotate.segments(posts, "platform_event_id", "text"))
     mix = roles.groupBy("platform_event_id").agg(F.count(F.lit(1)).alias("segments"), F.count_distinct("role").alias("role_diversity"))
     rows = effort.join(mix, "platform_event_id", "left")
     return rows.select("platform_event_id", "reading_effort", F.coalesce("segments", F.lit(0)).alias("segments"), F.coalesce("role_diversity", F.lit(0)).alias("role_diversity"), *[(F.col("lang") == x).cast("int").alias(f"lang_{x}") for x in ("en", "fr", "de", "es")])
@@ -77,7 +78,7 @@ QUERIES = {"b3_readings": readings, "b15_j15_w15_merged_sources": merged_sources
 SQL = {
     "b3_readings": with_("observations", """, o AS (SELECT *, date_trunc('hour', observed_at) AS hour FROM observations WHERE view_count IS NOT NULL)
 SELECT source, platform_event_id, hour, (epoch(hour) - epoch(date_trunc('hour', created_at)))::BIGINT // 60 AS age_minutes, view_count, like_count, comment_count, event_id FROM o QUALIFY row_number() OVER (PARTITION BY source, platform_event_id, hour ORDER BY event_id) = 1"""),
-    "b15_j15_w15_merged_sources": with_("posts", """, u AS (SELECT platform_event_id, source, lower(text) AS text, CASE WHEN platform_event_id::BIGINT % 2 <> 0 THEN length(text) END AS n FROM posts WHERE platform_event_id::BIGINT % 2 = 0 OR platform_event_id::BIGINT % 3 = 0)
+    "b15_j15_w15_merged_sources": with_("posts", """, u AS (SELECT platform_event_id, source, lower(text) AS text, CASE WHEN platform_event_id::BIGINT % 2 <> 0 THEN length(text) END AS n FROM posts)
 SELECT platform_event_id, source, n::INTEGER AS n FROM u QUALIFY row_number() OVER (PARTITION BY text ORDER BY length(platform_event_id), platform_event_id) = 1"""),
     "j9_w9_due_transcripts": """WITH w AS (SELECT *, ['success', 'not_found', 'Disabled', 'rate_limited', 'ip_blocked', 'permanent_error', ' pending ', 'odd'][event_id % 8 + 1] AS word FROM events),
 a AS (SELECT user_id, event_id, ts, event_id % 6 AS attempts, CASE WHEN event_id % 8 = 0 THEN 'available' WHEN event_id % 31 = 0 THEN 'unavailable' ELSE CASE lower(trim(word)) WHEN 'not_found' THEN 'unavailable' WHEN 'ip_blocked' THEN 'blocked' WHEN 'odd' THEN 'retryable_error' ELSE lower(trim(word)) END END AS state FROM w),

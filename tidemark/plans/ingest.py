@@ -56,7 +56,8 @@ def collapse(spark: SparkSession, sf: str) -> DataFrame:
 
 def upsert(spark: SparkSession, sf: str) -> DataFrame:
     rows = _updates(spark, sf)
-    return t.merged(_state(rows.where("event_id % 7 < 4 and user_id % 3 <> 1")), _state(rows.where("event_id % 7 >= 4 and user_id % 3 <> 2")), t.identity())
+    early = F.when(F.col("user_id") % 3 == 0, F.col("event_id") % 7 < 4).otherwise(F.col("user_id") % 3 == 2)  # a third of the users is new, a third has no news
+    return t.merged(_state(rows.where(early)), _state(rows.where(~early)), t.identity())
 
 
 def upsert_observed(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,7 +67,7 @@ def upsert_observed(spark: SparkSession, sf: str) -> DataFrame:
 
 def insert_new(spark: SparkSession, sf: str) -> DataFrame:
     e = b.table(spark, sf, "events").select("event_id", "user_id")
-    old, rows = e.where("event_id % 2 = 0"), e.where("event_id % 3 = 0").withColumn("note", F.lit("new"))
+    old, rows = e.where("event_id % 2 = 0"), e.where("event_id % 2 <> 0 or event_id % 3 = 0").withColumn("note", F.lit("new"))
     return t.aligned_union(old, t.new_rows(old, rows, ["event_id"]))
 
 
@@ -82,8 +83,8 @@ def replace_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def null_safe(spark: SparkSession, sf: str) -> DataFrame:
-    p = b.table(spark, sf, "part").where("p_partkey < 100").select(F.when(F.col("p_partkey") > 0, F.col("p_partkey")).alias("key"), "p_brand")
-    new = b.table(spark, sf, "part").where("p_partkey < 200 and p_partkey % 2 = 0").select(F.when(F.col("p_partkey") > 0, F.col("p_partkey")).alias("key"), F.when(F.col("p_partkey") % 4 == 0, F.lit("new")).alias("p_brand"))
+    p = b.table(spark, sf, "part").where("p_partkey % 3 <> 1").select(F.when(F.col("p_partkey") > 0, F.col("p_partkey")).alias("key"), "p_brand")
+    new = b.table(spark, sf, "part").where("p_partkey % 3 = 1 or p_partkey % 2 = 0").select(F.when(F.col("p_partkey") > 0, F.col("p_partkey")).alias("key"), F.when(F.col("p_partkey") % 4 == 0, F.lit("new")).alias("p_brand"))
     return t.null_safe_merged(p, new, ["key"])
 
 
@@ -182,15 +183,15 @@ SQL = {
     "a6_dead_letter_report": with_("event_log", _DECODED + " SELECT reason, count(*) AS n FROM g WHERE reason IS NOT NULL GROUP BY reason"),
     "s7_framed": "SELECT event_id AS n, CASE WHEN event_id % 3 < 2 THEN event_id::VARCHAR END AS event_id, CASE WHEN event_id % 3 = 1 THEN event_type END AS k, CASE WHEN event_id % 3 = 2 THEN 'unregistered_writer_schema' END AS decode_error FROM events",
     "w1_collapse": f"WITH {_UPDATES} {_COLLAPSE('true')}",
-    "k4_k5_upsert": f"""WITH {_UPDATES}, t AS ({_COLLAPSE('event_id % 7 < 4 AND user_id % 3 <> 1')}), s AS ({_COLLAPSE('event_id % 7 >= 4 AND user_id % 3 <> 2')})
+    "k4_k5_upsert": f"""WITH {_UPDATES}, t AS ({_COLLAPSE('user_id % 3 = 2 OR (user_id % 3 = 0 AND event_id % 7 < 4)')}), s AS ({_COLLAPSE('user_id % 3 = 1 OR (user_id % 3 = 0 AND event_id % 7 >= 4)')})
 SELECT coalesce(s.source, t.source) AS source, coalesce(s.platform_event_id, t.platform_event_id) AS platform_event_id, coalesce(s.user_id, t.user_id) AS user_id, coalesce(s.url, t.url) AS url, coalesce(s.event_ts, t.event_ts) AS event_ts, coalesce(s.event_id, t.event_id) AS event_id, greatest(s.updated_at, t.updated_at) AS updated_at,
   coalesce(s.amount, t.amount) AS amount, coalesce(s.props, t.props) AS props, {_STATUS} AS metadata_status, greatest(s.attempt_count, t.attempt_count) AS attempt_count FROM t FULL JOIN s ON t.user_id = s.user_id""",
     "r8_upsert_observed": f"""WITH {_UPDATES}, t AS ({_COLLAPSE('event_id % 7 < 4')}), s AS ({_COLLAPSE('event_id % 7 >= 4')})
 SELECT coalesce(s.platform_event_id, t.platform_event_id) AS platform_event_id, coalesce(s.user_id, t.user_id) AS user_id, CASE WHEN s.updated_at < t.updated_at THEN coalesce(t.amount, s.amount) ELSE coalesce(s.amount, t.amount) END AS amount, greatest(s.updated_at, t.updated_at) AS updated_at, greatest(s.attempt_count, t.attempt_count) AS attempt_count, {_STATUS} AS metadata_status FROM t FULL JOIN s ON t.user_id = s.user_id""",
-    "k3_k10_k13_insert_new": "SELECT event_id, user_id, CASE WHEN event_id % 2 <> 0 THEN 'new' END AS note FROM events WHERE event_id % 2 = 0 OR event_id % 3 = 0",
+    "k3_k10_k13_insert_new": "SELECT event_id, user_id, CASE WHEN event_id % 2 <> 0 THEN 'new' END AS note FROM events",
     "k6_update_only": "SELECT c_custkey, c_name, coalesce(m, c_acctbal) AS c_acctbal FROM customer LEFT JOIN (SELECT o_custkey, max(o_totalprice) FILTER (o_orderstatus = 'F') AS m FROM orders GROUP BY 1) ON c_custkey = o_custkey",
     "k7_replace_latest": "SELECT p_partkey, p_brand, CASE WHEN p_partkey % 5 = 0 THEN p_retailprice * 2 ELSE p_retailprice END AS p_retailprice FROM part",
-    "k8_null_safe_merge": "SELECT nullif(p_partkey, 0) AS key, CASE WHEN p_partkey % 4 = 0 THEN 'new' WHEN p_partkey < 100 THEN p_brand END AS p_brand FROM part WHERE p_partkey < 100 OR (p_partkey < 200 AND p_partkey % 2 = 0)",
+    "k8_null_safe_merge": "SELECT nullif(p_partkey, 0) AS key, CASE WHEN p_partkey % 4 = 0 THEN 'new' WHEN p_partkey % 3 <> 1 THEN p_brand END AS p_brand FROM part",
     "k11_k12_backfill_delete": "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus ELSE lower(o_orderpriority) END AS status, o_orderpriority FROM orders WHERE o_orderpriority <> '5-LOW'",
     "a4_a5_j1_j2_b19_reconcile": f"""WITH {_JOURNAL}, lost AS (SELECT * FROM journal ANTI JOIN proofs USING (event_id)), orphan AS (SELECT * FROM proofs ANTI JOIN journal USING (event_id))
 SELECT (SELECT count(*) FROM journal) AS journal_events, (SELECT count(*) FROM proofs) AS proofs, (SELECT count(*) FROM lost) AS missing, (SELECT max(epoch(TIMESTAMP '2024-02-01')::BIGINT - floor(epoch(ingested_at))::BIGINT) FROM lost) AS oldest_missing_seconds, (SELECT count(*) FROM orphan) AS orphans,

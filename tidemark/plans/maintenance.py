@@ -73,7 +73,7 @@ def fallbacks(spark: SparkSession, sf: str) -> DataFrame:
 
 def lineage(spark: SparkSession, sf: str) -> DataFrame:
     c, o = b.table(spark, sf, "customer").select("c_custkey", "c_name"), b.table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
-    rows = u.layers(c.where("c_custkey % 50 = 0"), "c_custkey", customer=c, orders=o)
+    rows = u.layers(c, "c_custkey", customer=c, orders=o)
     return rows
 
 
@@ -90,15 +90,25 @@ def available(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def compaction(spark: SparkSession, sf: str) -> DataFrame:
-    """A table in many files, compacted, keyed anew and exported in order; counts must stay."""
+    """Snapshots of a table: in many files, compacted, keyed anew, and what an ordered export's manifest tells of it."""
     path = new_path(spark, "upkeep")
-    table = tables.VersionedTable(spark, path)
-    table.write(b.table(spark, sf, "orders").repartition(12))
-    report = tables.compacted(table)
-    tables.rekeyed(table, lambda df: F.sha2(F.concat_ws("|", "o_custkey", "o_orderdate"), 256), ["o_orderkey"])
-    out = tables.exported(table.read(), f"{path}-export", "o_orderkey")
-    stored = tables.storage(spark.read.parquet(f"{path}-export")).agg(F.sum("rows").alias("stored_rows"))
-    return stored.select(F.lit(report["files_before"]).cast("long").alias("files_before"), F.lit(report["files_after"]).cast("long").alias("files_after"), F.lit(report["rows"]).cast("long").alias("rows"), F.lit(out["rows"]).cast("long").alias("keyed_rows"), "stored_rows")
+    tables.snapshot(b.table(spark, sf, "orders").repartition(12), path, "1")
+    tables.compacted(tables.pinned(spark, path), path, "2")
+    tables.rekeyed(tables.pinned(spark, path), F.sha2(F.concat_ws("|", "o_custkey", "o_orderdate"), 256), ["o_orderkey"], path, "3")
+    manifest = tables.exported(tables.pinned(spark, path), f"{path}-export", "o_orderkey")
+    stored = tables.partitions(spark.read.option("mergeSchema", True).parquet(path), "snapshot").select(F.col("snapshot").cast("string").alias("part"), "rows")
+    sums = [tables.pinned(spark, path, n).agg(F.lit(n).alias("part"), F.count_distinct("o_orderkey").alias("keys"), F.sum("o_orderkey").alias("total")) for n in "123"]
+    found = stored.join(sums[0].unionByName(sums[1]).unionByName(sums[2]), "part")
+    return found.unionByName(manifest.select(F.lit("export").alias("part"), "rows", F.lit(None).cast("long").alias("keys"), F.lit(None).cast("long").alias("total")))
+
+
+def filtered_exports(spark: SparkSession, sf: str) -> DataFrame:
+    """The same filtered rows as CSV, JSON lines and Parquet; manifests must agree."""
+    o = b.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", F.array("o_orderstatus", "o_orderpriority").alias("tags"), "o_totalprice")
+    path, made = new_path(spark, "exports"), []
+    for form in ("csv", "json", "parquet"):
+        made.append(tables.exported(o, f"{path}/{form}", "o_orderkey", form, F.col("o_totalprice") > 1000))
+    return made[0].unionByName(made[1]).unionByName(made[2])
 
 
 def exports(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,7 +137,7 @@ def api(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "p4_protect": protect, "p22_audit": audit, "p7_p8_predicates": predicates, "p12_thumbnails": thumbnails, "p13_t3_explorer": explorer, "p14_p15_p17_relevance": relevance, "a26_b21_health": health, "a27_s14_quota": quota, "j16_fallbacks": fallbacks, "j3_j19_layers": lineage, "j20_t4_candidates": candidates,
-    "a38_any_available": available, "k14_k16_s13_w16_upkeep": compaction, "k17_s10_export_import": exports, "s11_api_comments": api,
+    "a38_any_available": available, "k14_k16_s13_w16_upkeep": compaction, "k17_filtered_exports": filtered_exports, "k17_s10_export_import": exports, "s11_api_comments": api,
 }
 
 _SRC = "CASE user_id % 3 WHEN 0 THEN 'youtube' WHEN 1 THEN 'x' ELSE 'reddit' END"
@@ -142,9 +152,11 @@ UNION ALL SELECT source, count(*), 'snapshots' FROM o WHERE (source = 'youtube'
 t AS (SELECT day, sum(units)::BIGINT AS used, coalesce(sum(units) FILTER (workload = 'recent_metrics'), 0)::BIGINT AS recent FROM d GROUP BY day), r AS (SELECT *, least(1.0::DOUBLE, used / 4000) AS p FROM d JOIN t USING (day)), q AS (SELECT *, CASE WHEN p >= 0.95 AND workload <> 'recent_metrics' THEN 'critical_quota_pressure' WHEN p >= 0.8 AND workload = 'comments' THEN 'secondary_workload_suspended' END AS reason FROM r)
 SELECT day, workload, units, calls, used, recent, round(p, 6) AS pressure, reason, CASE WHEN reason IS NOT NULL THEN 0 WHEN workload = 'recent_metrics' THEN greatest(4000 - used, 0) ELSE greatest(greatest(4000 - used, 0) - greatest(2000 - recent, 0), 0) END::BIGINT AS spendable FROM q""",
     "j16_fallbacks": "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_brand WHEN p_partkey % 3 = 0 THEN 'one' WHEN p_partkey % 5 <> 0 THEN 'two' END AS p_brand, CASE WHEN p_partkey % 7 = 0 THEN p_size WHEN p_partkey % 5 <> 0 THEN 2 END AS p_size FROM part",
-    "j3_j19_layers": """SELECT 'customer' AS layer, c_custkey, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}' AS row FROM customer WHERE c_custkey % 50 = 0 UNION ALL SELECT 'orders', o_custkey, '{"c_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || '}' FROM orders WHERE o_custkey % 50 = 0""",
+    "j3_j19_layers": """SELECT 'customer' AS layer, c_custkey, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}' AS row FROM customer UNION ALL SELECT 'orders', o_custkey, '{"c_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || '}'  FROM orders JOIN customer ON o_custkey = c_custkey""",
     "a38_any_available": "SELECT l_orderkey, bool_or(l_returnflag = 'R') AS available FROM lineitem GROUP BY l_orderkey",
-    "k14_k16_s13_w16_upkeep": "SELECT 12::BIGINT AS files_before, 1::BIGINT AS files_after, count(*) AS rows, count(DISTINCT (o_custkey, o_orderdate)) AS keyed_rows, count(DISTINCT (o_custkey, o_orderdate)) AS stored_rows FROM orders",
+    "k14_k16_s13_w16_upkeep": """WITH k AS (SELECT max(o_orderkey) AS o_orderkey FROM orders GROUP BY o_custkey, o_orderdate), s AS (SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS keys, sum(o_orderkey)::BIGINT AS total FROM orders), l AS (SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS keys, sum(o_orderkey)::BIGINT AS total FROM k)
+SELECT unnest(['1', '2']) AS part, rows, keys, total FROM s UNION ALL SELECT '3', rows, keys, total FROM l UNION ALL SELECT 'export', rows, NULL, NULL FROM l""",
+    "k17_filtered_exports": """SELECT unnest(['csv', 'json', 'parquet']) AS format, count(*) AS rows, sum(('0x' || substr(sha256(o_orderkey::VARCHAR), 1, 15))::HUGEINT)::VARCHAR AS fingerprint, 'o_orderkey,o_orderdate,tags,o_totalprice' AS columns FROM orders WHERE o_totalprice > 1000""",
     "k17_s10_export_import": """SELECT 'x' AS source, event_id::VARCHAR AS platform_event_id, 'https://x.com/s/' || event_id AS url, 'say ' || event_type AS clean_text, CASE WHEN event_id % 9 <> 0 THEN sha256('salt:u' || user_id) END AS author_hash, date_trunc('second', ts) AS event_ts, floor(value)::BIGINT * 1000 AS like_count, event_id % 2 = 0 AS is_reply, CASE WHEN event_id % 9 = 0 THEN 'missing: author_hash' END AS rejected FROM events""",
     "s11_api_comments": "SELECT conv_id::VARCHAR AS video_id, conv_id || '-' || turn AS comment_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) > 1 AS is_reply, sha256('salt:' || role) AS author_hash, length(text)::BIGINT AS like_count, contains(text, '?') AS has_question, 4::INTEGER AS video_age_days FROM conversations",
 }

@@ -49,7 +49,9 @@ def shares(spark: SparkSession, sf: str) -> DataFrame:
 def communities(spark: SparkSession, sf: str) -> DataFrame:
     """Posts by community with its first post, and the distribution of lengths."""
     p = b.posts(spark, sf)
-    return p.groupBy("community").agg(F.count(F.lit(1)).alias("posts"), F.min_by("platform_event_id", F.struct("event_ts", "platform_event_id")).alias("first_post"), F.max("event_ts").alias("latest"), F.median(F.length("text")).alias("median_length"), F.round(F.percentile(F.length("text"), F.lit(0.9)), 6).alias("p90_length"))
+    found = p.groupBy("community").agg(F.count(F.lit(1)).alias("posts"), F.min_by(F.struct("platform_event_id", "source", "author_hash"), F.struct("event_ts", "platform_event_id")).alias("first"), F.max("event_ts").alias("latest"))
+    lengths = r.quantiles(p.select("community", F.length("text").alias("length")), "length", {"median_length": 0.5, "p90_length": 0.9}, ("community",))
+    return found.join(lengths, "community").select("community", "posts", F.col("first.platform_event_id").alias("first_post"), F.col("first.source").alias("first_source"), F.col("first.author_hash").alias("first_author"), "latest", "median_length", F.round("p90_length", 6).alias("p90_length"))
 
 
 def snapshots(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,7 +77,7 @@ def legacy_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, sf: str) -> DataFrame:
-    rows = r.repetitions(b.table(spark, sf, "lineitem").where("l_linenumber <= 3"), "l_linenumber", "l_quantity")
+    rows = r.repetitions(b.table(spark, sf, "lineitem"), "l_linenumber", "l_quantity")
     return rows.withColumns({c: F.round(c, 6) for c in ("mean", "stddev", "ratio_to_previous")})
 
 
@@ -229,7 +231,7 @@ SQL = {
 SELECT identifier, date, 'events' AS metric, e::BIGINT AS value FROM c UNION ALL SELECT identifier, date, 'views', v::BIGINT FROM c UNION ALL SELECT identifier, date, 'likes', l::BIGINT FROM c"""),
     "a11_rollup_counts": with_("activity", "SELECT source, event_ts::DATE AS day, count(*) AS n, grouping_id(source, event_ts::DATE)::BIGINT AS level FROM activity GROUP BY ROLLUP (source, event_ts::DATE)"),
     "a10_a13_a14_shares": with_("activity", f"SELECT 'source:' || source AS slice, {_SHARES} FROM activity GROUP BY source UNION ALL SELECT 'role:' || role, {_SHARES} FROM activity GROUP BY role"),
-    "a15_a25_communities": with_("posts", "SELECT community, count(*) AS posts, arg_min(platform_event_id, (event_ts, platform_event_id)) AS first_post, max(event_ts) AS latest, median(length(text))::DOUBLE AS median_length, round(quantile_cont(length(text), 0.9)::DOUBLE, 6) AS p90_length FROM posts GROUP BY community"),
+    "a15_a25_communities": with_("posts", "SELECT community, count(*) AS posts, arg_min(platform_event_id, (event_ts, platform_event_id)) AS first_post, arg_min(source, (event_ts, platform_event_id)) AS first_source, arg_min(author_hash, (event_ts, platform_event_id)) AS first_author, max(event_ts) AS latest, median(length(text))::DOUBLE AS median_length, round(quantile_cont(length(text), 0.9)::DOUBLE, 6) AS p90_length FROM posts GROUP BY community"),
     "a16_snapshot_totals": with_("observations", _LAST + ", w AS (SELECT source, sum(view_count)::BIGINT AS views, sum(like_count)::BIGINT AS likes, count(*) AS posts, floor(median(trunc((floor(epoch(observed_at)) - floor(epoch(created_at))) / 60)))::BIGINT AS median_age FROM last GROUP BY source) UNPIVOT w ON views, likes, posts, median_age INTO NAME metric VALUE value"),
     "a24_w13_w14_b23_videos": f"""WITH a AS (SELECT o_custkey AS c_custkey, count(*) AS n_comments, avg((o_orderstatus = 'F')::INT) AS reply_ratio, sum(floor(o_totalprice))::BIGINT AS likes FROM orders GROUP BY 1 HAVING count(*) >= 5), r AS (SELECT a.*, floor(c_acctbal)::BIGINT AS reach, likes / greatest(floor(c_acctbal), 1) AS like_rate FROM a JOIN customer USING (c_custkey)),
 k AS (SELECT *, {_RANK('reach')} AS reach_rank, {_RANK('like_rate')} AS like_rate_rank, {_RANK('reply_ratio')} AS reply_ratio_rank FROM r), s AS (SELECT *, round((reach_rank + like_rate_rank + reply_ratio_rank) / 3, 9) AS score FROM k), q AS (SELECT quantile_cont(score, 1.0 / 3) AS a, quantile_cont(score, 2.0 / 3) AS b FROM s)
@@ -237,7 +239,7 @@ SELECT c_custkey, n_comments, likes, reach, round(reach_rank, 9) AS reach_rank,
     "a21_zscore_label": with_("observations", _LAST + """, l AS (SELECT *, ln(1 + view_count) AS v, ln(1 + like_count) AS k, ln(1 + comment_count) AS c FROM last), st AS (SELECT source, avg(v) AS mv, avg(k) AS mk, avg(c) AS mc, stddev_pop(v) AS sv, stddev_pop(k) AS sk, stddev_pop(c) AS sc FROM l GROUP BY source),
 z AS (SELECT source, platform_event_id, CASE WHEN view_count IS NOT NULL THEN (coalesce((v - mv) / coalesce(nullif(sv, 0), 1), 0) + coalesce((k - mk) / coalesce(nullif(sk, 0), 1), 0) + coalesce((c - mc) / coalesce(nullif(sc, 0), 1), 0)) / sqrt(3) END AS score FROM l JOIN st USING (source)), q AS (SELECT source, quantile_cont(score, 0.75) AS cut FROM z GROUP BY source)
 SELECT z.source, platform_event_id, round(score, 6) AS engagement_score, (score >= cut)::INTEGER AS viral FROM z JOIN q USING (source)"""),
-    "a35_repetitions": "WITH a AS (SELECT l_linenumber, count(l_quantity) AS runs, median(l_quantity) AS median, min(l_quantity) AS least, max(l_quantity) AS most, avg(l_quantity) AS mean, stddev_pop(l_quantity) AS stddev FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1) SELECT * REPLACE (round(mean, 6) AS mean, round(stddev, 6) AS stddev), round(median / lag(median) OVER (ORDER BY l_linenumber), 6) AS ratio_to_previous FROM a",
+    "a35_repetitions": "WITH a AS (SELECT l_linenumber, count(l_quantity) AS runs, median(l_quantity) AS median, min(l_quantity) AS least, max(l_quantity) AS most, avg(l_quantity) AS mean, stddev_pop(l_quantity) AS stddev FROM lineitem GROUP BY 1) SELECT * REPLACE (round(mean, 6) AS mean, round(stddev, 6) AS stddev), round(median / lag(median) OVER (ORDER BY l_linenumber), 6) AS ratio_to_previous FROM a",
     "a30_a32_metrics": f"""WITH {_SCORED}, c AS (SELECT source, count(*) AS n, count(*) FILTER (label = 1 AND score >= 0.4) AS tp, count(*) FILTER (label = 0 AND score >= 0.4) AS fp, count(*) FILTER (label = 1 AND score < 0.4) AS fn, count(*) FILTER (label = 0 AND score < 0.4) AS tn, avg((score - label) ** 2) AS brier FROM sc GROUP BY source),
 e AS (SELECT source, sum(n * abs(a - s)) / sum(n) AS ece FROM (SELECT source, least(floor(score * 10), 9) AS bin, count(*) AS n, avg(label) AS a, avg(score) AS s FROM sc GROUP BY ALL) GROUP BY source),
 pairs AS (SELECT p.source, avg(CASE WHEN p.score > q.score THEN 1.0 WHEN p.score = q.score THEN 0.5 ELSE 0.0 END) AS roc_auc FROM sc p JOIN sc q ON p.source = q.source AND p.label = 1 AND q.label = 0 GROUP BY p.source),
@@ -251,7 +253,7 @@ SELECT c.source, n, tp, fp, fn, tn, round(brier, 6) AS brier, round((tp + tn) /
     "t5_nested_balanced": with_("posts", ", k AS (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY sha256('42:' || platform_event_id)) AS r FROM posts), m AS (SELECT lang, min(n) AS n FROM (SELECT lang, source, count(*) AS n FROM posts GROUP BY lang, source) GROUP BY lang) SELECT k.lang, source, platform_event_id FROM k JOIN m USING (lang) WHERE r <= m.n"),
     "t6_capped": with_("posts", ", k AS (SELECT *, sha256('42:' || platform_event_id) AS h, row_number() OVER (PARTITION BY community ORDER BY sha256('42:' || platform_event_id)) > 5 AS extra FROM posts) SELECT community, platform_event_id FROM k ORDER BY extra, h LIMIT 150"),
     "t7_one_per_author": with_("posts", ", k AS (SELECT *, sha256('42:' || platform_event_id) AS h FROM posts QUALIFY row_number() OVER (PARTITION BY author_hash ORDER BY sha256('42:' || platform_event_id)) = 1) SELECT author_hash, platform_event_id FROM k ORDER BY h LIMIT 60"),
-    "t9_t10_folds": f"WITH {_SCORED}, f AS (SELECT *, doc_id % 50 AS g, (('0x' || substr(sha256('7:' || doc_id % 50), 1, 8))::BIGINT % 5)::INTEGER AS fold FROM sc) SELECT fold, count(*) AS n, count(DISTINCT g) AS groups, count(*) FILTER (label = 1) AS positives, sha256(string_agg(DISTINCT g::VARCHAR, ',' ORDER BY g::VARCHAR)) AS fingerprint FROM f GROUP BY fold",
+    "t9_t10_folds": f"WITH {_SCORED}, f AS (SELECT *, doc_id % 50 AS g, (('0x' || substr(sha256('7:' || doc_id % 50), 1, 8))::BIGINT % 5)::INTEGER AS fold FROM sc) SELECT fold, count(*) AS n, count(DISTINCT g) AS groups, count(*) FILTER (label = 1) AS positives, (SELECT sum(('0x' || substr(sha256(x.g::VARCHAR), 1, 15))::HUGEINT) FROM (SELECT DISTINCT g, fold FROM f) x WHERE x.fold = f.fold)::VARCHAR AS fingerprint FROM f GROUP BY fold",
     "u4_fan_out": "WITH u AS (SELECT 'author' AS role, user_id::VARCHAR AS i FROM events WHERE event_id % 4 <> 0 UNION ALL SELECT 'owner', (user_id % 20)::VARCHAR FROM events WHERE event_type = 'view' UNION ALL SELECT 'collaborator', unnest(['a', event_type]) FROM events WHERE event_id % 10 = 0) SELECT role, count(*) AS n, count(DISTINCT i) AS identifiers FROM u GROUP BY role",
     "a18_collaborators": "SELECT count(*) FILTER (event_type = 'view') AS known_owners, count(*) FILTER (event_id % 10 = 0) AS with_collaborators, (SELECT count(DISTINCT event_type) + 1 FROM events WHERE event_id % 10 = 0) AS collaborators FROM events",
     "f44_f47_row_quality": with_("observations", _LAST + """, p AS (SELECT *, greatest(1e-6, least(1 - 1e-6, coalesce(like_count, 0) / (coalesce(view_count, 0) + 20))) AS q FROM last)

@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from tidemark import bindings as b
 from tidemark.bindings import with_
-from tidemark.operators.tables import VersionedTable
+from tidemark.operators import tables
 from tidemark.plans.ingest import _DECODED
 from tidemark.scratch import new_path
 from tidemark.sources import topics
 from tidemark.streaming import pipeline as p
 
 
+SALT = "salt"
+
+
 def _topic(spark: SparkSession, sf: str) -> str:
     path = new_path(spark, "topic")
     b.event_log(spark, sf).repartition(4).write.json(path)
@@ -22,19 +25,19 @@ def _topic(spark: SparkSession, sf: str) -> str:
 
 def _journalled(spark: SparkSession, sf: str) -> str:
     base = new_path(spark, "journal")
-    p.journal(topics.topic_stream(spark, _topic(spark, sf)), base, p.checkpoint_name(base, "journal", "events", "v1")).awaitTermination()
+    p.journal(topics.topic_stream(spark, _topic(spark, sf)), base, p.checkpoint_name(base, "journal", "events", "v1"), SALT).awaitTermination()
     return base
 
 
 def journal(spark: SparkSession, sf: str) -> DataFrame:
-    return VersionedTable(spark, f"{_journalled(spark, sf)}/journal", append_only=True).read().select("topic", "offset", "event_id", "user_id", "event_type", "value")
+    return tables.stored(spark, f"{_journalled(spark, sf)}/journal").select("topic", "offset", "event_id", "user_id", "event_type", "value")
 
 
 def state(spark: SparkSession, sf: str) -> DataFrame:
     base = _journalled(spark, sf)
     p.apply_events(spark, base)
     p.apply_events(spark, base)  # nothing is left to apply
-    return VersionedTable(spark, f"{base}/state").read().select("user_id", "event_id", "event_type", "value")
+    return tables.stored(spark, f"{base}/state").select("user_id", "event_id", "event_type", "value")
 
 
 def windows(spark: SparkSession, sf: str) -> DataFrame:
@@ -46,10 +49,37 @@ def windows(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("event_type string, hour timestamp, n long").parquet(f"{base}/out")
 
 
-QUERIES = {"r1_r3_s1_k2_stream_journal": journal, "r4_stream_state": state, "e1_s3_stream_windows": windows}
+def dead_letter_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """All that the topic holds now, read once, and its broken messages by topic and reason."""
+    rows = topics.tagged(topics.decoded(topics.topic_batch(spark, _topic(spark, sf))))
+    return topics.split(rows)[1].groupBy("topic", "reason").agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("last_offset"))
+
+
+def sliding(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of 24 hours by the hour, for windows that the watermark closed."""
+    base, path = new_path(spark, "days"), new_path(spark, "events")
+    b.table(spark, sf, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts")).write.parquet(path)
+    p.to_table(p.daily_sliding(topics.table_stream(spark, path), "ts", "event_type"), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.schema("event_type string, until timestamp, n long").parquet(f"{base}/out")
+
+
+def once_in_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Events sent twice, once each, with state that a watermark bounds."""
+    base, path = new_path(spark, "once"), new_path(spark, "twice")
+    e = b.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    e.unionByName(e.where("event_id % 3 = 0")).write.parquet(path)
+    p.to_table(p.deduplicated(topics.table_stream(spark, path), "event_id", "ts", "1 day"), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.schema("event_id long, ts timestamp, event_type string").parquet(f"{base}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
+QUERIES = {"r1_r3_s1_k2_stream_journal": journal, "r4_stream_state": state, "e1_s3_stream_windows": windows, "s2_dead_letter_scan": dead_letter_scan, "e1_sliding_windows": sliding, "r5_once_in_stream": once_in_stream}
 SQL = {
-    "r1_r3_s1_k2_stream_journal": with_("event_log", _DECODED + ' SELECT topic, "offset", event_id, user_id, event_type, value FROM g WHERE reason IS NULL'),
+    "r1_r3_s1_k2_stream_journal": with_("event_log", _DECODED + """ SELECT topic, "offset", event_id, sha256('salt:' || user_id) AS user_id, event_type, value FROM g WHERE reason IS NULL"""),
     "r4_stream_state": with_("event_log", _DECODED + """, v AS (SELECT g.*, e.ts FROM g JOIN events e ON e.event_id = g."offset" WHERE reason IS NULL)
-SELECT user_id, event_id, event_type, value FROM v QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""),
+SELECT sha256('salt:' || user_id) AS user_id, event_id, event_type, value FROM v QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""),
+    "s2_dead_letter_scan": with_("event_log", _DECODED + ' SELECT topic, reason, count(*) AS n, max("offset") AS last_offset FROM g WHERE reason IS NOT NULL GROUP BY ALL'),
+    "e1_sliding_windows": """WITH w AS (SELECT event_type, unnest(generate_series(date_trunc('hour', ts) + INTERVAL 1 HOUR, date_trunc('hour', ts) + INTERVAL 24 HOUR, INTERVAL 1 HOUR)) AS until FROM events)
+SELECT event_type, until, count(*) AS n FROM w WHERE until <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY ALL""",
+    "r5_once_in_stream": "SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY event_type",
     "e1_s3_stream_windows": "WITH h AS (SELECT event_type, date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1, 2) SELECT * FROM h WHERE hour + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)",
 }

@@ -10,6 +10,7 @@ from tidemark.bindings import with_
 from tidemark.functions import identity as i
 from tidemark.functions import text as t
 from tidemark.operators import annotate as a
+from tidemark.operators import roles as role_rules
 from tidemark.scratch import spread
 
 
@@ -27,7 +28,7 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
     made = t.text_counts()
-    rows = _cleaned(spark, sf).where("text_for_model is not null")
+    rows = _cleaned(spark, sf).where("text is not null")  # as good as the cleaned text's, and no cleaning runs twice for it
     ratio = lambda k, c: F.round(c, 6) if k.endswith("ratio") or k == "lexical_diversity" else c.cast("long")
     return rows.select("source", "platform_event_id", "author_hash", "event_ts", *[ratio(k, c).alias(k) for k, c in made.items()])
 
@@ -72,7 +73,7 @@ def segments(spark: SparkSession, sf: str) -> DataFrame:
 
 def roles(spark: SparkSession, sf: str) -> DataFrame:
     rows = a.segments(_posts(spark, sf), "platform_event_id", "text").where(a.noise_reason(F.col("segment")).isNull())
-    return a.with_role(rows).groupBy("role", "tier").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("platform_event_id").alias("posts"))
+    return role_rules.with_role(rows).groupBy("role", "tier").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("platform_event_id").alias("posts"), F.round(F.avg("sure"), 4).alias("sure"))
 
 
 def sentiment(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,14 +82,11 @@ def sentiment(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("platform_event_id", "language", "hits", F.round("compound", 4).alias("compound"), "sentiment", a.stance(F.col("probe"), F.col("language"), F.col("sentiment")).alias("stance"))
 
 
-def effort_by_role(spark: SparkSession, sf: str) -> DataFrame:
-    """Roles per post as counts, shares and the number of kinds."""
-    rows = a.with_role(a.segments(_posts(spark, sf), "platform_event_id", "text"))
-    n = {r: F.count_if(F.col("role") == r) for r in ("proof", "benefit", "uncertain")}
-    return rows.groupBy("platform_event_id").agg(F.count(F.lit(1)).alias("segments"), F.count_distinct("role").alias("diversity"), *[c.alias(f"{r}_count") for r, c in n.items()], *[F.round(c / F.count(F.lit(1)), 6).alias(f"{r}_ratio") for r, c in n.items()])
+def role_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return role_rules.role_features(_posts(spark, sf), "platform_event_id", "text")
 
 
-QUERIES = {"f1_f4_clean_text": clean, "f9_f12_b9_text_features": features, "f36_f37_reading_effort": effort, "f5_f7_f8_f14_ids": ids, "f6_f13_urls": urls, "f29_f33_f51_parsers": parsers, "f34_f35_keywords": keywords, "f38_w18_p16_segments": segments, "f39_roles": roles, "f40_f43_sentiment": sentiment, "a28_role_mix": effort_by_role}
+QUERIES = {"f1_f4_clean_text": clean, "f9_f12_b9_text_features": features, "f36_f37_reading_effort": effort, "f5_f7_f8_f14_ids": ids, "f6_f13_urls": urls, "f29_f33_f51_parsers": parsers, "f34_f35_keywords": keywords, "f38_w18_p16_segments": segments, "f39_roles": roles, "f40_f43_sentiment": sentiment, "a28_role_mix": role_mix}
 
 _CLEAN = r""", scrubbed AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '</?[A-Za-z][^>]*>', ' ', 'g'),
   '[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+(?:\.[\p{L}\p{N}_-]+)+', ' <EMAIL> ', 'g'), '(?:https?://|www\.)[^\s<>"'']*[^\s<>"''.,;:!?)}\]]', ' <URL> ', 'g'), '@[\p{L}\p{N}_]+', ' <USER> ', 'g'), '\b(?:\d{1,3}\.){3}\d{1,3}\b', ' <IP> ', 'g'), '\+?\d[\d\s\-.()]{6,}\d', ' <PHONE> ', 'g') AS s FROM posts),
@@ -105,7 +103,49 @@ flat AS (SELECT platform_event_id, k, generate_subscripts(p, 1) AS j, unnest(p)
 once AS (SELECT platform_event_id, segment, min(k * 10 + j) AS o FROM flat WHERE length(segment) >= 3 GROUP BY ALL),
 segments AS (SELECT platform_event_id, row_number() OVER (PARTITION BY platform_event_id ORDER BY o) AS position, segment FROM once)"""
 
+_NOISE = r"""CASE WHEN length(trim(segment)) < 8 THEN 'too_short' WHEN regexp_matches(segment, '^\s*\d{1,2}:\d{2}(:\d{2})?\s') THEN 'chapter_timestamp' WHEN regexp_matches(segment, '^(?:\s*#\S+\s*)+$') THEN 'hashtag_only'
+  WHEN regexp_matches(segment, '^\s*[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+\.[\p{L}\p{N}_.-]+\s*$') THEN 'email_only' WHEN regexp_matches(segment, '__LABEL__') THEN 'label_only'
+  WHEN regexp_matches(segment, 'https?://\S+|\bwww\.\S+') AND length(trim(regexp_replace(segment, 'https?://\S+|\bwww\.\S+', '', 'g'), ' :|-–—.,')) < 15 THEN 'url_only' END""".replace("__LABEL__", a.NOISE[-1][1])
+
+
+def _re2(pattern: str) -> str:
+    """A role pattern for DuckDB, whose word boundaries know ASCII only: they are spelled out, but for one after a sign."""
+    w, n = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
+    if pattern == r"\b#1\b":
+        return f"{w}#1(?:$|{n})"
+    p = pattern.replace(r"\b.*\b", f"(?:{n}|{n}.*{n})").replace(r"\b.*", f"{n}.*")
+    p = f"(?:^|{n})" + p[2:] if p.startswith(r"\b") else p
+    return p[:-2] + f"(?:$|{n})" if p.endswith(r"\b") and "%" not in p else p
+
+
+def _role_sql(segments: str, key: str = "platform_event_id") -> str:
+    """CTEs from ``segments`` (key, position, segment) to ``roled`` with role, sure, confidence and tier."""
+    q = lambda x: "'" + x.replace("'", "''") + "'"
+    some = lambda patterns: "(" + " OR ".join(f"regexp_matches(t, {q(_re2(p))})" for p in patterns) + ")"
+    votes = []
+    for k, (rules, (few, credit, else_)) in enumerate(zip(role_rules.READERS, role_rules.UNSURE, strict=True)):
+        cases = []
+        for role, sure, patterns, more in rules:
+            test = some(patterns) + (f" AND {some(more['and'])}" if "and" in more else "") + (f" AND NOT {some(more['not'])}" if "not" in more else "") + (" AND position = 1" if more.get("first") else "")
+            cases.append(f"WHEN {test} THEN {{'r': {q(role)}, 's': {sure}::DOUBLE}}")
+        cases.append(f"WHEN len(list_filter(regexp_split_to_array(t, '\\s+'), lambda x: x <> '')) <= 4 THEN {{'r': 'uncertain', 's': {few}::DOUBLE}}")
+        if credit:
+            cases.append("WHEN " + " OR ".join(f"starts_with(t, {q(c)})" for c in role_rules.CREDIT) + f" THEN {{'r': 'uncertain', 's': {credit}::DOUBLE}}")
+        votes.append(f"CASE {' '.join(cases)} ELSE {{'r': 'uncertain', 's': {else_}::DOUBLE}} END AS v{k}")
+    rank = lambda r: f"CASE {r} " + " ".join(f"WHEN {q(x)} THEN {p}" for x, p in role_rules.PRIORITY.items()) + " END"
+    return f""", low AS (SELECT {key}, position, segment, lower(trim(segment, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))) AS t FROM {segments}),
+voted AS (SELECT {key}, position, {", ".join(votes)} FROM low),
+ballots AS (SELECT {key}, position, unnest([v0, v1, v2]) AS v, unnest([0, 1, 2]) AS k FROM voted),
+tally AS (SELECT {key}, position, v.r AS role, count(*) AS n, avg(v.s) AS sure, min(k) AS k FROM ballots GROUP BY ALL),
+roled AS (SELECT {key}, position, role, round(sure, 4) AS sure, round(n / 3, 4) AS confidence, CASE WHEN role = 'uncertain' THEN 'uncertain' WHEN n = 3 THEN 'gold' ELSE 'silver' END AS tier
+  FROM tally QUALIFY row_number() OVER (PARTITION BY {key}, position ORDER BY n DESC, {rank("role")} DESC, k) = 1)"""
+
+
 SQL = {
+    "f39_roles": with_("posts", _SEGMENTS + f", kept AS (SELECT * FROM segments WHERE {_NOISE} IS NULL)" + _role_sql("kept") + " SELECT role, tier, count(*) AS n, count(DISTINCT platform_event_id) AS posts, round(avg(sure), 4) AS sure FROM roled GROUP BY ALL"),
+    "a28_role_mix": with_("posts", r""", flat AS (SELECT platform_event_id, unnest(list_filter(list_transform(regexp_split_to_array(regexp_replace(trim(text, chr(32) || chr(9) || chr(10) || chr(13)), '([.!?])\s+', '\1' || chr(10), 'g'), '\n+|\s+•\s+'), lambda s: trim(s, chr(32) || chr(9) || chr(10) || chr(13))), lambda s: length(s) >= 3)) AS segment,
+  generate_subscripts(list_filter(list_transform(regexp_split_to_array(regexp_replace(trim(text, chr(32) || chr(9) || chr(10) || chr(13)), '([.!?])\s+', '\1' || chr(10), 'g'), '\n+|\s+•\s+'), lambda s: trim(s, chr(32) || chr(9) || chr(10) || chr(13))), lambda s: length(s) >= 3), 1) AS position FROM posts)""" + _role_sql("flat")
+      + " SELECT platform_event_id, " + ", ".join(f"count(*) FILTER (role = '{r}') AS role_n_{r}, round(count(*) FILTER (role = '{r}') / count(*), 6) AS role_ratio_{r}" for r in role_rules.ROLES) + ", count(*) AS role_n_segments, count(DISTINCT role) AS role_diversity FROM roled GROUP BY platform_event_id"),
     "f1_f4_clean_text": with_("posts", _CLEAN + " SELECT platform_event_id, clean_text, m AS text_for_model, CASE WHEN clean_text IS NULL OR clean_text = '' THEN 'empty_after_clean' WHEN length(clean_text) > 10000 THEN 'text_too_long' END AS invalid_reason FROM ready"),
     "f9_f12_b9_text_features": with_("posts", _CLEAN + rf""" SELECT source, platform_event_id, author_hash, event_ts, length(m)::BIGINT AS character_count, len(list_filter(regexp_split_to_array(trim(m), '\s+'), lambda x: x <> ''))::BIGINT AS word_count,
   len(list_filter(regexp_split_to_array(trim(m), '[.!?]+'), lambda x: trim(x) <> ''))::BIGINT AS sentence_count, CASE WHEN m = '' THEN 0 ELSE len(regexp_split_to_array(m, '\r\n|\r|\n')) END::BIGINT AS line_count,
@@ -131,6 +171,5 @@ SELECT page_id, regexp_replace(link, '#.*$', '') AS canonical, nullif(regexp_ext
   CASE WHEN event_id % 7 < 3 THEN ['a', 'b', 'c' || event_id] WHEN event_id % 7 < 5 THEN ['x', event_id::VARCHAR] END AS parts, (CASE WHEN event_id % 7 > 2 THEN event_id % 7 ELSE 0 END) * 3600 + event_id % 60 * 60 + event_id % 50 AS seconds, 'failed token=<REDACTED> for <EMAIL>' AS message FROM events""",
     "f34_f35_keywords": with_("posts", r"""SELECT platform_event_id, contains(text, '?') AS has_question, regexp_matches(lower(text), '\b(?:price|cost|cheap|expensive|\$)') AS mentions_price, regexp_matches(lower(text), '\b(?:range|km|miles|mileage)\b') AS mentions_range, regexp_matches(lower(text), '\b(?:charg|battery|plug)') AS mentions_charging,
   trim(regexp_replace(replace(regexp_replace(regexp_replace(text, '(?i)https?://\S+|www\.\S+', ' ', 'g'), '@[\p{L}\p{N}_]+', ' ', 'g'), '#', ''), '\s+', ' ', 'g')) AS model_text FROM posts"""),
-    "f38_w18_p16_segments": with_("posts", _SEGMENTS + r""" SELECT platform_event_id, position, segment, CASE WHEN length(trim(segment)) < 8 THEN 'too_short' WHEN regexp_matches(segment, '^\s*\d{1,2}:\d{2}(:\d{2})?\s') THEN 'chapter_timestamp' WHEN regexp_matches(segment, '^(?:\s*#\S+\s*)+$') THEN 'hashtag_only'
-  WHEN regexp_matches(segment, '^\s*[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+\.[\p{L}\p{N}_.-]+\s*$') THEN 'email_only' END AS noise_reason FROM segments"""),
+    "f38_w18_p16_segments": with_("posts", _SEGMENTS + f" SELECT platform_event_id, position, segment, {_NOISE} AS noise_reason FROM segments"),
 }

@@ -14,9 +14,11 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names; a fresh local one only where it names none (tests)."""
+    """The folder the cluster names; a fresh local one only for a local master that names none (tests)."""
     base = spark.conf.get(CHECKPOINT, None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT} must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _own:
             _own[app] = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"

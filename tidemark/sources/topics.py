@@ -78,4 +78,4 @@ def tagged(rows: DataFrame) -> DataFrame:
 def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The valid rows, and dead letters that keep nothing of the payload but its size and hash."""
     good = rows.where("reason is null").drop("reason", "raw", "decode_error")
-    return good, rows.where("reason is not null").select("topic", "partition", "offset", "reason", rejected(F.col("raw")).alias("payload"))
+    return good, rows.where("reason is not null").select("topic", "partition", "offset", "reason", rejected(F.col("raw")).alias("payload"), *[c for c in ("day",) if c in rows.columns])

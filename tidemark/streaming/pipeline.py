@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.identity import row_id
-from tidemark.operators.tables import VersionedTable, collapsed
+from tidemark.functions import text
+from tidemark.functions.identity import row_id, salted
+from tidemark.operators import tables
+from tidemark.operators.tables import collapsed
 from tidemark.sources import topics
 
 
@@ -42,19 +44,21 @@ def started(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoi
     return writer.start()
 
 
-def journal(stream: DataFrame, path: str, checkpoint: str, mode: str = "available_now") -> StreamingQuery:
-    """Decode, tag, and write dead letters and journal in this order."""
+def journal(stream: DataFrame, path: str, checkpoint: str, salt: str, mode: str = "available_now") -> StreamingQuery:
+    """Decode, tag, protect (P4), and write dead letters and journal in this order, by day of the message.
+
+    Personal data is hashed or cleaned before anything is stored, and what cannot be decoded is stored as its size and hash only.
+    """
 
     def batch(rows: DataFrame, _: int) -> None:
-        spark = rows.sparkSession
-        rows = topics.tagged(topics.decoded(rows)).persist()
+        rows = topics.tagged(topics.decoded(rows)).withColumn("day", F.to_date("timestamp")).persist()
         try:
             good, dead = topics.split(rows)
             dead = dead.withColumn("letter_id", row_id(F.col("topic"), F.col("partition"), F.col("offset")))
-            VersionedTable(spark, f"{path}/dead", append_only=True).insert_new(dead, "letter_id")
+            tables.append_new(dead, f"{path}/dead", "letter_id", "day")
             fault("after_dead_letters")
             # Once in the batch, and once in the table
-            VersionedTable(spark, f"{path}/journal", append_only=True).insert_new(good, "event_id")
+            tables.append_new(protected_event(good, salt), f"{path}/journal", "event_id", "day")
             fault("after_journal")
         finally:
             rows.unpersist()
@@ -62,29 +66,53 @@ def journal(stream: DataFrame, path: str, checkpoint: str, mode: str = "availabl
     return started(stream, batch, checkpoint, mode)
 
 
-def apply_events(spark: SparkSession, path: str, keys: tuple[str, ...] = ("user_id",), order: tuple[str, ...] = ("timestamp", "event_id")) -> int:
+def protected_event(rows: DataFrame, salt: str) -> DataFrame:
+    """An event with its person hashed and, where it has them, its URL plain and its texts cleaned."""
+    out = {"user_id": salted(salt, F.col("user_id").cast("string"))}
+    if "url" in rows.columns:
+        out["url"] = text.without_fragment(F.col("url"))
+    out |= {c: text.clean_text(F.col(c)) for c in ("title", "raw_text") if c in rows.columns}
+    return rows.withColumns(out)
+
+
+def applicable(spark: SparkSession, path: str, since: str | None = None) -> DataFrame | None:
+    """The journal's events without a proof that they were applied, in the form that is handed on: projected, with their stage.
+
+    ``since`` (a day) leaves older parts of journal and proofs unread.
+    """
+    events, proofs = tables.stored(spark, f"{path}/journal"), tables.stored(spark, f"{path}/applied")
+    if events is None:
+        return None
+    events = events.select("event_id", "user_id", "event_type", "value", "timestamp", "day", F.lit("silver").alias("stage"))
+    late = F.lit(True) if since is None else F.col("day") >= F.lit(since).cast("date")
+    events = events.where(late)
+    return events if proofs is None else events.join(proofs.where(late).select("event_id", "day"), ["event_id", "day"], "left_anti")
+
+
+def apply_events(spark: SparkSession, path: str, keys: tuple[str, ...] = ("user_id",), order: tuple[str, ...] = ("timestamp", "event_id"), since: str | None = None) -> int:
     """Merges the journal's unapplied events into the state, then records them; returns how many there were."""
-    table = VersionedTable(spark, f"{path}/journal", append_only=True)
-    proofs = VersionedTable(spark, f"{path}/applied", append_only=True)
-    state = VersionedTable(spark, f"{path}/state")
-    if not table.exists():
+    events = applicable(spark, path, since)
+    if events is None:
         return 0
-    events = table.read()
-    if proofs.exists():
-        events = events.join(proofs.read().select("event_id"), "event_id", "left_anti")
     events = events.persist()
     try:
         n = events.count()
         if n:
-            news = collapsed(events, list(keys), list(order))
-            state.upsert(news, F.concat_ws("\u001f", *[F.col(k).cast("string") for k in keys]), order=order[0])
+            news = collapsed(events.drop("day", "stage"), list(keys), list(order))
+            tables.upsert(news, f"{path}/state", F.concat_ws("\u001f", *[F.col(k).cast("string") for k in keys]), order=order[0])
             fault("after_state")
-            proofs.insert_new(events.select("event_id"), "event_id")
+            tables.append_new(events.select("event_id", "day"), f"{path}/applied", "event_id", "day")
         return n
     finally:
         events.unpersist()
 
 
+def rebuilt(spark: SparkSession, path: str, keys: tuple[str, ...] = ("user_id",), order: tuple[str, ...] = ("timestamp", "event_id")) -> DataFrame:
+    """The state as the whole journal gives it."""
+    events = tables.stored(spark, f"{path}/journal").select("event_id", "user_id", "event_type", "value", "timestamp")
+    return collapsed(events, list(keys), list(order))
+
+
 def deduplicated(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:
     """Repeats dropped within a delay, with state that a watermark bounds."""
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
