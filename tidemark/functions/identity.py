@@ -42,3 +42,14 @@ def overall_status(statuses: Column) -> Column:
     """failed if all failed, partial if some did, success otherwise; null for none."""
     bad = F.size(F.filter(statuses, lambda s: s.isin("failed", "error", "permanent_error")))
     return F.when(F.size(statuses) == 0, None).when(bad == F.size(statuses), "failed").when(bad > 0, "partial").otherwise("success")
+
+
+def normalised_list(items: Column) -> Column:
+    """the items of a set-like field, without blanks and repeats, in order; null if nothing is left."""
+    kept = F.array_sort(F.array_distinct(F.filter(F.transform(items, lambda x: F.trim(F.regexp_replace(x, r"\s+", " "))), lambda x: x != "")))
+    return F.when(F.size(kept) > 0, kept)
+
+
+def changed_fields(before: dict[str, Column], after: dict[str, Column]) -> Column:
+    """the names, in order, of the fields that differ, null-safely."""
+    return F.array_compact(F.array(*[F.when(~before[n].eqNullSafe(after[n]), F.lit(n)) for n in sorted(after)]))

@@ -99,6 +99,29 @@ def user_evolution(content: DataFrame, replies: DataFrame) -> DataFrame:
     )
 
 
+# Error codes that decide a transcript's state, states that may change yet, and the words of old for states.
+BLOCKED_CODES = ("ip_blocked", "request_blocked")
+PERMANENT_CODES = ("dependency_missing", "invalid_video_id", "missing_video_id")
+RETRYABLE = ("pending", "rate_limited", "blocked", "retryable_error")
+TERMINAL_STATES = ("available", "unavailable", "disabled", "permanent_error")
+LEGACY = {"pending": "pending", "available": "success", "unavailable": "not_available", "disabled": "disabled", "rate_limited": "rate_limited", "blocked": "rate_limited", "retryable_error": "failed", "permanent_error": "failed"}
+
+
+def lifecycle_state(status: Column, error: Column, has_text: Column, attempts: Column, most: int | None = None) -> Column:
+    """F16: a transcript's state by its text, its error code or its status word; states that may change end after ``most`` attempts."""
+    s, e = F.lower(F.trim(F.coalesce(status, F.lit("pending")))), F.lower(F.trim(F.coalesce(error, F.lit(""))))
+    state = F.when(has_text, "available").when(e.isin(*BLOCKED_CODES), "blocked").when(e.isin(*PERMANENT_CODES), "permanent_error").when(s.isin(*RETRYABLE, *TERMINAL_STATES), s)
+    state = state.when(s == "success", "available").when(s.isin("not_available", "age_restricted", "not_found"), "unavailable").when(s == "ip_blocked", "blocked").otherwise("retryable_error")
+    if most is None:
+        return state
+    return F.when(state.isin(*RETRYABLE) & (F.coalesce(attempts, F.lit(0)) >= max(1, most)), "permanent_error").otherwise(state)
+
+
+def legacy_status(state: Column) -> Column:
+    """F16: the word of old for a state."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in LEGACY.items() for x in kv]), state)
+
+
 def lifecycle(text: Column, told: Column, status: Column) -> Column:
     """F16: a transcript's state from its text, a state already given, or a status word of old."""
     s = F.lower(F.trim(status))

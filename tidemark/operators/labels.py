@@ -178,3 +178,41 @@ def labelled(scored: DataFrame, limits: DataFrame, source: str = "source", score
     """viral from the platform's threshold on."""
     rows = scored.join(limits.select(source, "threshold"), source)
     return rows.withColumn("label_value", F.when(F.col(score) >= F.col("threshold"), "viral").otherwise("not_viral"))
+
+
+def eligible(rows: DataFrame, sources: tuple[str, ...], least: int = 20) -> DataFrame:
+    """Rows that may become examples: a known source, an id, a time, and a text of ``least`` characters."""
+    return rows.where(F.col("source").isin(*sources) & F.col("platform_event_id").isNotNull() & F.col("event_ts").isNotNull() & (F.length(F.trim("text_for_model")) >= least))
+
+
+def one_feature_row(rows: DataFrame, marks: tuple[str, ...] = ("author_hash", "text_for_model")) -> DataFrame:
+    """The first feature row of each post; of rows of one time that with the least hash of ``marks``."""
+    tie = F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in marks]), 256)
+    own = [c for c in rows.columns if c not in KEYS]
+    return rows.groupBy(*KEYS).agg(F.min_by(F.struct(*own), F.struct("event_ts", tie)).alias("_f")).select(*KEYS, "_f.*").select(*rows.columns)
+
+
+def dataset_manifest(examples: DataFrame, schema_version: str, snapshots: dict[str, int], filters: dict[str, str], nullable: tuple[str, ...], key: str = "example_id") -> DataFrame:
+    """One row that tells what a dataset is made of: version, period, counts, missing rates, labels by source, and a fingerprint of its ids.
+
+    The version is a hash of the inputs (schema, snapshots, filters) in canonical form, so equal inputs have equal versions.
+    """
+    import json
+
+    inputs = json.dumps({"schema_version": schema_version, "source_snapshots": snapshots, "filters": filters}, sort_keys=True, separators=(",", ":"))
+    marks = F.conv(F.substring(F.col(key), 1, 15), 16, 10).cast("decimal(38,0)")
+    rates = [F.round(F.avg(F.col(c).isNull().cast("double")), 6).alias(f"missing_{c}") for c in nullable]
+    whole = examples.agg(F.count(F.lit(1)).alias("example_count"), F.min("event_ts").alias("period_start"), F.max("event_ts").alias("period_end"), F.sum(marks).cast("string").alias("fingerprint"), *rates)
+    cells = examples.groupBy("source", "label_value").agg(F.count(F.lit(1)).alias("n"))  # a row a source and label
+    told = cells.agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "source", "label_value", F.col("n").cast("string")))), ",").alias("distribution"))
+    version = F.concat(F.lit(f"dataset-{schema_version}-"), F.substring(F.sha2(F.lit(inputs), 256), 1, 20))
+    return whole.crossJoin(told).withColumn("dataset_version", version)  # one row each
+
+
+def persisted_holdout(rows: DataFrame, held: DataFrame, key: str) -> DataFrame:
+    """The rows of a hold-out that was stored before. Ids must be unique, and none of the hold-out may be missing."""
+    doubled = rows.groupBy(key).count().where("count > 1").limit(1).count()
+    lost = held.select(key).distinct().join(rows, key, "left_anti").count()
+    if doubled or lost:
+        raise ValueError(f"{'ids are not unique; ' if doubled else ''}{lost} ids of the hold-out are missing")
+    return rows.join(held.select(key).distinct(), key, "left_semi")

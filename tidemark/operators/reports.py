@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -154,24 +155,35 @@ def ranking_metrics(rows: DataFrame, label: str, score: str, *by: str) -> DataFr
     return out.select(*by, F.when(both, F.col("area") / (F.col("positives") * (F.col("n") - F.col("positives")))).alias("roc_auc"), F.when(both, F.col("gain") / F.col("positives")).alias("average_precision"))
 
 
-def bootstrap(rows: DataFrame, label: str, score: str, group: str, rounds: int, seed: int = 42) -> DataFrame:
-    """Percentile intervals of the Brier score with whole groups drawn again and again.
+def bootstrap(rows: DataFrame, label: str, scores: tuple[str, ...], group: str, rounds: int, seed: int = 42) -> DataFrame:
+    """Percentile intervals of each score's Brier score, and of the difference of each later one to the first, with whole groups drawn again and again.
 
-    Each group's weight in a round is a Poisson(1) draw from a hash of seed, round and group, so groups need not be
-    gathered; sums by group are made first, and each round is one weighted sum of them.
+    Each group's weight in a round is a Poisson(1) draw from a hash of seed, round and group, so groups need not be gathered and all scores share the
+    draws (the differences are paired); sums by group are made first, and each round is one weighted sum of them.
     """
-    err = F.pow(F.col(score) - F.col(label), F.lit(2))
-    groups = rows.groupBy(group).agg(F.sum(err).alias("e"), F.count(F.lit(1)).alias("n"))
-    unit = (F.pmod(F.xxhash64(F.lit(seed), "round", group), F.lit(1 << 40)) + 0.5) / (1 << 40)
-    steps, total, mass = [], 0.0, 0.36787944117144233  # Poisson(1) probabilities
-    for k in range(8):
+    errors = [F.sum(F.pow(F.col(s) - F.col(label), F.lit(2))).alias(f"_e{k}") for k, s in enumerate(scores)]
+    groups = rows.groupBy(group).agg(*errors, F.count(F.lit(1)).alias("_n"))
+    unit = (F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("round").cast("string"), F.col(group).cast("string")), 256), 1, 13), 16, 10).cast("double") + 0.5) / 2**52
+    weight = reduce(lambda a, b: a + b, [(F.col("_u") >= s).cast("int") for s in POISSON])
+    drawn = groups.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds)))).withColumn("_u", unit).withColumn("_w", weight)
+    each = drawn.groupBy("round").agg(*[F.try_divide(F.sum(F.col(f"_e{k}") * F.col("_w")), F.sum(F.col("_n") * F.col("_w"))).alias(s) for k, s in enumerate(scores)])
+    each = each.withColumns({f"{s} - {scores[0]}": F.col(s) - F.col(scores[0]) for s in scores[1:]})
+    names = [c for c in each.columns if c != "round"]
+    long = each.unpivot("round", names, "metric", "value")
+    return long.groupBy("metric").agg(F.count("value").alias("rounds"), F.percentile("value", F.lit(0.025)).alias("low"), F.percentile("value", F.lit(0.975)).alias("high"))  # one value a round
+
+
+def _poisson(most: int = 8) -> tuple[float, ...]:
+    out, total, mass = [], 0.0, math.exp(-1)
+    for k in range(most):
         total += mass
-        steps.append(total)
+        out.append(total)
         mass /= k + 1
-    weight = reduce(lambda a, b: a + b, [(F.col("_u") >= s).cast("int") for s in steps])
-    drawn = groups.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds)))).withColumn("_u", unit).withColumn("_w", weight)
-    each = drawn.groupBy("round").agg(F.try_divide(F.sum(F.col("e") * F.col("_w")), F.sum(F.col("n") * F.col("_w"))).alias("brier"))
-    return each.agg(F.count("brier").alias("rounds"), F.percentile("brier", F.lit(0.025)).alias("low"), F.percentile("brier", F.lit(0.975)).alias("high"))
+    return tuple(out)
+
+
+#: The cumulative probabilities of Poisson(1): a draw is the number of them that do not exceed a uniform number.
+POISSON = _poisson()
 
 
 def collaborator_coverage(rows: DataFrame, owner: str, collaborators: str) -> DataFrame:
@@ -214,3 +226,20 @@ def logit(p: Column, edge: float = 1e-6) -> Column:
 def platt(score: Column, slope: float, offset: float) -> Column:
     """a calibrated probability."""
     return 1 / (1 + F.exp(-(F.lit(slope) * score + offset)))
+
+
+def topic_context(rows: DataFrame, key: str, topic: str, at: str, span: int = 3600) -> DataFrame:
+    """For each row the topic's rows in the ``span`` seconds before it, its growth from the hour and the day before, and the hours since it was first seen.
+
+    Rows are dealt by topic and hour, each to its own hour and the next, so no task holds a whole topic; growth comes from counts by hour and day.
+    """
+    hour = F.floor(F.col(at) / span)
+    dealt = rows.select(key, topic, at, F.explode(F.array(hour, hour + 1)).alias("_h"))
+    recent = F.count(F.lit(1)).over(Window.partitionBy(topic, "_h").orderBy(at).rangeBetween(-span, -1))
+    out = dealt.withColumn("recent_posts_1h", recent).where(F.col("_h") == hour).drop("_h")
+    for name, seconds in (("trend_growth_1h", 3600), ("trend_growth_24h", 86400)):
+        n = rows.groupBy(topic, F.floor(F.col(at) / seconds).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+        grown = n.join(n.select(topic, (F.col("_p") + 1).alias("_p"), F.col("_n").alias("_b")), [topic, "_p"], "left").select(topic, "_p", ((F.col("_n") - F.col("_b")) / F.col("_b")).alias(name))
+        out = out.withColumn("_p", F.floor(F.col(at) / seconds)).join(grown, [topic, "_p"]).drop("_p")
+    first = rows.groupBy(topic).agg(F.min(at).alias("_first"))
+    return out.join(first, topic).select(key, topic, "recent_posts_1h", "trend_growth_1h", "trend_growth_24h", ((F.col(at) - F.col("_first")) / 3600).alias("topic_freshness_hours"))

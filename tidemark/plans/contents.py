@@ -63,6 +63,15 @@ def _attempts(spark: SparkSession, sf: str) -> DataFrame:
     return rows
 
 
+def lifecycles(spark: SparkSession, sf: str) -> DataFrame:
+    """F16: states by status word, error code, text and attempts, and the words of old for them."""
+    n = F.col("event_id")
+    word = F.element_at(F.array(*map(F.lit, ("success", "partial", " Not_Found", "age_restricted", "rate_limited", "unavailable", "odd", "pending"))), (n % 8 + 1).cast("int"))
+    code = F.when(n % 5 == 0, "request_blocked").when(n % 7 == 0, "Invalid_Video_Id").when(n % 11 == 0, "other")
+    rows = b.table(spark, sf, "events").select("event_id", e.lifecycle_state(F.when(n % 13 != 0, word), code, n % 17 == 0, n % 6, 4).alias("state"))
+    return rows.withColumn("legacy", e.legacy_status(F.col("state")))
+
+
 def transcripts(spark: SparkSession, sf: str) -> DataFrame:
     return e.best_transcripts(_attempts(spark, sf), ["video_id", "language_code"])
 
@@ -105,7 +114,7 @@ def orphans(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
-    "p6_f15_normalised": normalised, "b1_a1_contents": contents, "b2_interactions": interactions, "b5_a2_j8_content_stats": stats, "b6_a3_u1_user_evolution": evolution, "b4_f16_f17_w4_transcripts": transcripts, "p10_p23_b20_retries": retries, "p9_w8_f26_f53_refresh_targets": refresh,
+    "p6_f15_normalised": normalised, "b1_a1_contents": contents, "b2_interactions": interactions, "b5_a2_j8_content_stats": stats, "b6_a3_u1_user_evolution": evolution, "b4_f16_f17_w4_transcripts": transcripts, "f16_lifecycles": lifecycles, "p10_p23_b20_retries": retries, "p9_w8_f26_f53_refresh_targets": refresh,
     "w17_covered_seconds": covered, "s15_comment_tree": tree, "s12_p5_p20_optional_columns": optional_columns, "u5_orphan_files": orphans,
 }
 
@@ -136,6 +145,10 @@ SELECT c.content_id, source, interaction_count, unique_users, round(avg_length,
     "b6_a3_u1_user_evolution": _EVENTS + _CONTENTS + f""", act AS (SELECT author_id_hash AS u, source, event_date, content_id, subreddit, NULL AS conv, text, 1 AS made FROM contents UNION ALL SELECT user_id, source, event_ts::DATE, content_id, NULL, conv, text, 0 FROM replies)
 SELECT u AS user_id_hash, source, event_date, sum(made)::BIGINT AS contents_created, sum(1 - made)::BIGINT AS interactions_created, count(DISTINCT content_id) AS distinct_contents, count(DISTINCT subreddit) AS distinct_subreddits, count(DISTINCT conv) AS distinct_conversations, round({_WORDS('text')}, 6) AS avg_length, count(*) FILTER (contains(coalesce(text, ''), '?')) AS questions FROM act GROUP BY ALL""",
     "b4_f16_f17_w4_transcripts": _ATTEMPTS + " SELECT video_id, language_code, attempt_id, lifecycle_status, last_attempt_at, updated_at, attempt_count, retry_seconds FROM a QUALIFY row_number() OVER (PARTITION BY video_id, language_code ORDER BY (lifecycle_status = 'available') DESC, last_attempt_at DESC NULLS LAST, updated_at DESC, attempt_id DESC) = 1",
+    "f16_lifecycles": """WITH w AS (SELECT event_id, event_id % 6 AS attempts, event_id % 17 = 0 AS has_text, CASE WHEN event_id % 13 <> 0 THEN ['success', 'partial', 'not_found', 'age_restricted', 'rate_limited', 'unavailable', 'odd', 'pending'][event_id % 8 + 1] ELSE 'pending' END AS s, CASE WHEN event_id % 5 = 0 THEN 'request_blocked' WHEN event_id % 7 = 0 THEN 'invalid_video_id' WHEN event_id % 11 = 0 THEN 'other' END AS c FROM events),
+a AS (SELECT *, CASE WHEN has_text THEN 'available' WHEN c = 'request_blocked' THEN 'blocked' WHEN c = 'invalid_video_id' THEN 'permanent_error' WHEN s IN ('rate_limited', 'unavailable', 'pending') THEN s WHEN s = 'success' THEN 'available' WHEN s IN ('not_found', 'age_restricted') THEN 'unavailable' ELSE 'retryable_error' END AS st FROM w),
+f AS (SELECT event_id, CASE WHEN st IN ('pending', 'rate_limited', 'blocked', 'retryable_error') AND attempts >= 4 THEN 'permanent_error' ELSE st END AS state FROM a)
+SELECT *, CASE state WHEN 'available' THEN 'success' WHEN 'unavailable' THEN 'not_available' WHEN 'blocked' THEN 'rate_limited' WHEN 'retryable_error' THEN 'failed' WHEN 'permanent_error' THEN 'failed' ELSE state END AS legacy FROM f""",
     "p10_p23_b20_retries": _ATTEMPTS + " SELECT * FROM a WHERE lifecycle_status IN ('retryable_error', 'rate_limited', 'blocked', 'pending') AND attempt_count < 4 AND (last_attempt_at IS NULL OR last_attempt_at <= TIMESTAMP '2024-01-19') ORDER BY last_attempt_at NULLS FIRST, attempt_id LIMIT 200",
     "p9_w8_f26_f53_refresh_targets": """WITH r AS (SELECT event_id AS content_id, event_type AS source, ts AS event_ts, CASE WHEN event_id % 5 <> 0 THEN ts + INTERVAL 36 HOUR END AS next_refresh_at, round((CASE WHEN event_id % 1000 < 6 THEN 30 WHEN event_id % 1000 < 24 THEN 60 WHEN event_id % 1000 < 72 THEN 180 WHEN event_id % 1000 < 168 THEN 360 WHEN event_id % 1000 < 720 THEN 1440 ELSE 10080 END)
   * CASE WHEN event_id % 3 = 0 AND floor(value) * 40 >= 1000 THEN 0.5 ELSE 1.0 END)::BIGINT AS minutes FROM events)

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tidemark import bindings as b
 from tidemark.bindings import with_
 from tidemark.functions import text as t
-from tidemark.operators import annotate, entities, labels, tables, upkeep
+from tidemark.operators import annotate, entities, labels, reports, tables, upkeep
 from tidemark.operators import roles as role_rules
 from tidemark.operators import snapshots as s
+from tidemark.plans import texts
 from tidemark.scratch import spread, written
 
 
@@ -38,13 +39,14 @@ def merged_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 def annotation(spark: SparkSession, sf: str) -> DataFrame:
     """A balanced sample of posts, cut into segments, noise out, with roles and role-aware sentiment."""
-    posts = b.posts(spark, sf).where(F.length("text").between(20, 3000)).dropDuplicates(["source", "lang", "text"])
+    first = F.struct(F.length("platform_event_id"), "platform_event_id")
+    posts = b.posts(spark, sf).where(F.length("text").between(20, 3000)).groupBy("source", "lang", "text").agg(F.min_by("platform_event_id", first).alias("platform_event_id"))
     sample = written(labels.nested_balanced(posts, "lang", "source", F.col("platform_event_id")), "sample")
     rows = annotate.segments(spread(sample), "platform_event_id", "text").where(annotate.noise_reason(F.col("segment")).isNull())
     rows = annotate.with_sentiment(role_rules.with_role(rows), "segment")
     compound, flag = annotate.for_role(F.col("compound"), F.col("role"))
     rows = rows.withColumns({"compound": compound, "role_flag": flag})
-    return rows.select("platform_event_id", "position", "role", "tier", F.round("compound", 4).alias("compound"), annotate.ternary(F.col("compound")).alias("sentiment"), "role_flag")
+    return rows.select("platform_event_id", "position", "role", "tier", F.round("compound", 3).alias("compound"), annotate.ternary(F.col("compound")).alias("sentiment"), "role_flag")
 
 
 def reactions(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,13 +57,18 @@ def reactions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
-    """Reading effort, role mix, audience and one-hot languages of each post."""
+    """Reading effort of the model's text, role mix, audience (here the posts of the author's community, unknown for some) and one-hot languages of each post."""
     posts = spread(b.posts(spark, sf))
     effort = t.with_reading_effort(posts.withColumn("model_text", t.model_text(t.folded(F.col("text")))), "model_text")
-    roles = role_rules.with_role(annotate.segments(posts, "platform_event_id", "text"))
-    mix = roles.groupBy("platform_event_id").agg(F.count(F.lit(1)).alias("segments"), F.count_distinct("role").alias("role_diversity"))
-    rows = effort.join(mix, "platform_event_id", "left")
-    return rows.select("platform_event_id", "reading_effort", F.coalesce("segments", F.lit(0)).alias("segments"), F.coalesce("role_diversity", F.lit(0)).alias("role_diversity"), *[(F.col("lang") == x).cast("int").alias(f"lang_{x}") for x in ("en", "fr", "de", "es")])
+    mix = role_rules.role_features(posts, "platform_event_id", "text").select("platform_event_id", "role_n_segments", "role_diversity", "role_n_proof", "role_ratio_uncertain")
+    sizes = posts.groupBy("community").agg(F.count(F.lit(1)).alias("size"))
+    known = F.col("platform_event_id").cast("long") % 7 != 0
+    rows = effort.join(mix, "platform_event_id", "left").join(sizes, "community").withColumns({"audience": F.when(known, F.col("size")), "audience_flag": known})
+    aud = reports.audience("audience", "audience_flag")
+    return rows.select(
+        "platform_event_id", F.round("reading_effort", 3).alias("reading_effort"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("role_n_segments", "role_diversity", "role_n_proof", "role_ratio_uncertain")],
+        F.round(aud["audience_log"], 6).alias("audience_log"), aud["audience_known"].alias("audience_known"), aud["audience_zero"].alias("audience_zero"), *[(F.col("lang") == x).cast("int").alias(f"lang_{x}") for x in ("en", "fr", "de", "es")],
+    )
 
 
 def due_transcripts(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,7 +82,14 @@ def due_transcripts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {"b3_readings": readings, "b15_j15_w15_merged_sources": merged_sources, "b16_f42_annotation": annotation, "b17_a37_reactions": reactions, "b14_features": features, "j9_w9_due_transcripts": due_transcripts}
+_CUT = texts._SEGMENTS.replace("FROM posts)", "FROM sample)")  # the same segments, of a sample
 SQL = {
+    "b17_a37_reactions": with_("interactions", texts.sentiment_sql("interactions", "source", "text") + " SELECT source, sentiment, stance, count(*) AS n FROM felt GROUP BY ALL"),
+    "b16_f42_annotation": with_("posts", ", uniq AS (SELECT source, lang, text, arg_min(platform_event_id, (length(platform_event_id), platform_event_id)) AS platform_event_id FROM posts WHERE length(text) BETWEEN 20 AND 3000 GROUP BY ALL), numbered AS (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY sha256('42:' || platform_event_id)) AS r FROM uniq), least AS (SELECT lang, min(n) AS n FROM (SELECT lang, source, count(*) AS n FROM uniq GROUP BY ALL) GROUP BY lang), sample AS (SELECT platform_event_id, text FROM numbered JOIN least USING (lang) WHERE r <= n)"
+      + _CUT + f", told AS (SELECT * FROM segments WHERE {texts._NOISE} IS NULL)" + texts._role_sql("told") + texts.sentiment_sql("told", "platform_event_id, position", "segment")
+      + f""", j AS (SELECT f.platform_event_id, f.position, role, tier, compound, CASE WHEN compound < 0 THEN CASE role {" ".join(f"WHEN '{k}' THEN {v}" for k, v in annotate.ROLE_FACTOR.items())} END END AS factor FROM felt f JOIN roled r ON f.platform_event_id = r.platform_event_id AND f.position = r.position),
+c AS (SELECT *, round(compound * coalesce(factor, 1.0), 4) AS k FROM j)
+SELECT platform_event_id, position, role, tier, round(k, 3) AS compound, CASE WHEN k >= {annotate.NEUTRAL} THEN 'positive' WHEN k <= -{annotate.NEUTRAL} THEN 'negative' ELSE 'neutral' END AS sentiment, CASE WHEN role = 'pain_point' THEN 'intentional_negative_rhetoric' WHEN factor IS NOT NULL THEN 'adjusted_for_role:' || role END AS role_flag FROM c"""),
     "b3_readings": with_("observations", """, o AS (SELECT *, date_trunc('hour', observed_at) AS hour FROM observations WHERE view_count IS NOT NULL)
 SELECT source, platform_event_id, hour, (epoch(hour) - epoch(date_trunc('hour', created_at)))::BIGINT // 60 AS age_minutes, view_count, like_count, comment_count, event_id FROM o QUALIFY row_number() OVER (PARTITION BY source, platform_event_id, hour ORDER BY event_id) = 1"""),
     "b15_j15_w15_merged_sources": with_("posts", """, u AS (SELECT platform_event_id, source, lower(text) AS text, CASE WHEN platform_event_id::BIGINT % 2 <> 0 THEN length(text) END AS n FROM posts)

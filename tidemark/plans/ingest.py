@@ -154,18 +154,27 @@ def replay(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def versions(spark: SparkSession, sf: str) -> DataFrame:
-    """A version of a user's metadata where it differs from the one before, by a hash of its canonical form."""
+    """A version of a user's metadata where it differs from the one before, by a hash of its canonical form, and what changed."""
     from pyspark.sql import Window
 
     e = b.table(spark, sf, "events").withColumn("k", (F.get_json_object("props", "$.k").cast("long") / 25).cast("long"))
-    e = e.withColumn("metadata_hash", i.fingerprint(k=F.col("k"), kind=F.when(F.col("event_type") == "error", "error").otherwise("fine")))
-    before = F.lag("metadata_hash").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    return e.withColumn("previous_hash", before).where("previous_hash is null or previous_hash <> metadata_hash").select("user_id", F.col("ts").alias("valid_from"), "event_id", "k", "metadata_hash", "previous_hash")
+    fields = {"k": F.col("k"), "kind": F.when(F.col("event_type") == "error", "error").otherwise("fine"), "tags": i.normalised_list(F.array(F.when(F.col("k") > 1, F.lit(" b  c")), F.lit("a"), F.when(F.col("k") > 2, F.lit("a")), F.lit(" ")))}
+    e = e.withColumns(fields).withColumn("metadata_hash", i.fingerprint(k=F.col("k"), kind=F.col("kind"), tags=F.col("tags")))
+    before = F.lag(F.struct(*fields, "metadata_hash")).over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    e = e.withColumn("_b", before)
+    changed = i.changed_fields({n: F.col(f"_b.{n}") for n in fields}, {n: F.col(n) for n in fields})
+    return e.where("_b is null or _b.metadata_hash <> metadata_hash").select("user_id", F.col("ts").alias("valid_from"), "event_id", "k", "tags", "metadata_hash", F.col("_b.metadata_hash").alias("previous_hash"), changed.alias("changed"))
+
+
+def latest_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each user's messages the last one by offset, then partition."""
+    rows = _events(spark, sf).where("user_id is not null")
+    return rows.groupBy("user_id").agg(F.max_by(F.struct("topic", "partition", "offset", "event_id"), F.struct("offset", "partition")).alias("_r")).select("user_id", "_r.*")
 
 
 QUERIES = {
     "s5_s6_p1_p2_decode": decode, "p3_k1_dead_letters": dead_letters, "a6_dead_letter_report": dead_letter_report, "s7_framed": framed, "w1_collapse": collapse, "k4_k5_upsert": upsert, "r8_upsert_observed": upsert_observed, "k3_k10_k13_insert_new": insert_new, "k6_update_only": update_only, "k7_replace_latest": replace_latest,
-    "k8_null_safe_merge": null_safe, "k11_k12_backfill_delete": backfill_delete, "a4_a5_j1_j2_b19_reconcile": reconcile, "t2_repair_set": repair, "j5_k18_theta_join": theta, "b18_f49_u5_quality_rules": rules, "a7_completeness": complete, "p19_p21_violations": audits, "p24_one_lineage": lineage, "a39_replay": replay, "b10_p11_f27_f28_versions": versions,
+    "k8_null_safe_merge": null_safe, "k11_k12_backfill_delete": backfill_delete, "a4_a5_j1_j2_b19_reconcile": reconcile, "t2_repair_set": repair, "j5_k18_theta_join": theta, "b18_f49_u5_quality_rules": rules, "a7_completeness": complete, "p19_p21_violations": audits, "p24_one_lineage": lineage, "a39_replay": replay, "b10_p11_f27_f28_versions": versions, "w10_latest_raw": latest_raw,
 }
 
 _DECODED = """, d AS (SELECT topic, "partition", "offset", value AS raw, json_valid(value) AS ok, CASE WHEN json_valid(value) THEN value END AS j FROM event_log),
@@ -208,6 +217,9 @@ SELECT rule_id, kind, severity, table_name, round(value, 6) AS value, threshold,
 SELECT violation, count(*) AS n FROM (SELECT unnest(CASE WHEN len(l) = 0 THEN [NULL] ELSE l END) AS violation FROM v) GROUP BY violation""",
     "p24_one_lineage": f"WITH {_UPDATES} SELECT count(DISTINCT source) AS source_values, count(DISTINCT event_ts) AS event_ts_values, count(*) AS n, 0::BIGINT AS source_missing, 0::BIGINT AS event_ts_missing, true AS is_one FROM u",
     "a39_replay": "SELECT count(*) AS n, count(*) FILTER (c_custkey % 100 = 7) AS unmatched, 0.5::DOUBLE AS largest_difference, count(*) FILTER (c_custkey % 100 = 7) AS label_changes, false AS agrees FROM customer",
-    "b10_p11_f27_f28_versions": """WITH k AS (SELECT *, floor((props ->> '$.k')::BIGINT / 25)::BIGINT AS k FROM events), h AS (SELECT *, sha256('{"k":' || k || ',"kind":"' || CASE WHEN event_type = 'error' THEN 'error' ELSE 'fine' END || '"}') AS metadata_hash FROM k),
-  l AS (SELECT *, lag(metadata_hash) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous_hash FROM h) SELECT user_id, ts AS valid_from, event_id, k, metadata_hash, previous_hash FROM l WHERE previous_hash IS NULL OR previous_hash <> metadata_hash""",
+    "b10_p11_f27_f28_versions": """WITH k AS (SELECT *, floor((props ->> '$.k')::BIGINT / 25)::BIGINT AS k FROM events), g AS (SELECT *, CASE WHEN event_type = 'error' THEN 'error' ELSE 'fine' END AS kind, CASE WHEN k > 1 THEN ['a', 'b c'] ELSE ['a'] END AS tags FROM k),
+  h AS (SELECT *, sha256('{"k":' || k || ',"kind":"' || kind || '","tags":[' || CASE WHEN k > 1 THEN '"a","b c"' ELSE '"a"' END || ']}') AS metadata_hash FROM g),
+  l AS (SELECT *, lag(metadata_hash) OVER w AS previous_hash, lag(k) OVER w AS pk, lag(kind) OVER w AS pkind, lag(tags) OVER w AS ptags FROM h WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id, ts AS valid_from, event_id, k, tags, metadata_hash, previous_hash, list_filter([CASE WHEN k IS DISTINCT FROM pk THEN 'k' END, CASE WHEN kind IS DISTINCT FROM pkind THEN 'kind' END, CASE WHEN tags IS DISTINCT FROM ptags THEN 'tags' END], lambda x: x IS NOT NULL) AS changed FROM l WHERE previous_hash IS NULL OR previous_hash <> metadata_hash""",
+    "w10_latest_raw": with_("event_log", _DECODED + ' SELECT user_id, topic, "partition", "offset", event_id FROM g WHERE user_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY "offset" DESC, "partition" DESC) = 1'),
 }

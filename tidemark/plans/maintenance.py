@@ -10,6 +10,7 @@ from tidemark.bindings import with_
 from tidemark.functions import text as t
 from tidemark.operators import annotate, tables
 from tidemark.operators import upkeep as u
+from tidemark.plans import texts
 from tidemark.scratch import new_path
 from tidemark.sources import imports
 
@@ -142,6 +143,13 @@ QUERIES = {
 
 _SRC = "CASE user_id % 3 WHEN 0 THEN 'youtube' WHEN 1 THEN 'x' ELSE 'reddit' END"
 SQL = {
+    "p4_protect": with_("posts", texts._CLEAN + """ SELECT platform_event_id, CASE WHEN platform_event_id::BIGINT % 10 = 0 THEN author_hash ELSE sha256('salt:' || author_hash) END AS user_id, CASE WHEN source = 'x' THEN 'https://x.com/i/status/' || platform_event_id ELSE 'https://e.com/' || platform_event_id END AS url, sha256(m) AS model_sha FROM ready"""),
+    "p22_audit": with_("posts", texts._CLEAN + r""", kept AS (SELECT platform_event_id, platform_event_id::BIGINT AS n, text, clean_text AS want, CASE WHEN platform_event_id::BIGINT % 70 <> 1 THEN clean_text || CASE WHEN platform_event_id::BIGINT % 50 = 0 THEN ' more' ELSE '' END END AS have,
+  list_concat(list_concat(regexp_extract_all(text, '[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+(?:\.[\p{L}\p{N}_-]+)+'), regexp_extract_all(text, '@[\p{L}\p{N}_]+')), regexp_extract_all(text, '\b(?:\d{1,3}\.){3}\d{1,3}\b')) AS vals FROM ready),
+v AS (SELECT unnest(list_filter([CASE WHEN have IS NULL THEN 'row_absent' END, CASE WHEN have <> want THEN 'clean_text_differs' END, CASE WHEN len(list_filter(vals, lambda x: contains(have, x))) > 0 THEN 'sensitive_value_survived' END], lambda x: x IS NOT NULL)) AS violation FROM kept)
+SELECT violation, count(*) AS n FROM v GROUP BY violation"""),
+    "j20_t4_candidates": with_("posts", texts._CLEAN + """, k AS (SELECT platform_event_id, source, len(regexp_extract_all(m, '<EMAIL>'))::BIGINT AS email_token_count, len(regexp_extract_all(m, '<PHONE>'))::BIGINT AS phone_token_count, len(regexp_extract_all(m, '<IP>'))::BIGINT AS ip_token_count FROM ready WHERE source <> 'x')
+SELECT platform_event_id, email_token_count, phone_token_count, ip_token_count, (email_token_count > 0)::INTEGER + (phone_token_count > 0)::INTEGER + (ip_token_count > 0)::INTEGER AS kinds, least(email_token_count, 3) * 5 + least(phone_token_count, 3) * 3 + least(ip_token_count, 3) * 2 AS score FROM k WHERE email_token_count + phone_token_count + ip_token_count > 0 ORDER BY score DESC, kinds DESC, platform_event_id LIMIT 20"""),
     "p7_p8_predicates": with_("observations", """, o AS (SELECT *, event_id % 40 = 0 AS snap, event_id % 3 = 0 AS comment FROM observations) SELECT source, count(*) AS n, 'root_videos' AS kind FROM o WHERE source = 'youtube' AND NOT comment GROUP BY source
 UNION ALL SELECT source, count(*), 'snapshots' FROM o WHERE (source = 'youtube' AND snap) OR view_count IS NOT NULL GROUP BY source"""),
     "p12_thumbnails": "SELECT user_id AS content_id, arg_max('v' || event_id, (ts, 'v' || event_id)) AS video_id, 'https://img.youtube.com/vi/' || arg_max('v' || event_id, (ts, 'v' || event_id)) || '/default.jpg' AS thumbnail_url FROM events WHERE event_id % 3 <> 0 GROUP BY user_id",

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from tidemark import bindings as b
 from tidemark.bindings import with_
+from tidemark.functions import text
 from tidemark.operators import labels as lab
 from tidemark.operators import reports as r
 from tidemark.operators import snapshots as s
+from tidemark.plans.texts import _CLEAN
+from tidemark.scratch import written
 
 _METRICS = ("view_count", "like_count")
 
@@ -64,11 +67,14 @@ def snapshots(spark: SparkSession, sf: str) -> DataFrame:
 def videos(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as videos and orders as comments: aggregates, average-tie ranks, blend and class."""
     o, c = b.table(spark, sf, "orders"), b.table(spark, sf, "customer")
-    agg = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_comments"), F.avg((F.col("o_orderstatus") == "F").cast("double")).alias("reply_ratio"), F.sum(F.floor("o_totalprice")).cast("long").alias("likes")).where("n_comments >= 5")
-    rows = agg.join(c.select("c_custkey", F.floor("c_acctbal").cast("long").alias("reach")), "c_custkey").withColumn("like_rate", F.col("likes") / F.greatest("reach", F.lit(1)))
-    ranked = r.average_ranks(rows, ("reach", "like_rate", "reply_ratio"))
-    blend = ranked.withColumn("score", F.round((F.col("reach_rank") + F.col("like_rate_rank") + F.col("reply_ratio_rank")) / 3, 9))
-    return r.classes(blend, "score").select("c_custkey", "n_comments", "likes", "reach", F.round("reach_rank", 9).alias("reach_rank"), F.round("like_rate_rank", 9).alias("like_rate_rank"), F.round("reply_ratio_rank", 9).alias("reply_ratio_rank"), "score", "score_class")
+    mood = F.when(F.col("o_orderpriority") == "1-URGENT", -0.5).when(F.col("o_orderpriority") == "5-LOW", 0.4).otherwise(0.0)
+    agg = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_comments"), F.avg((F.col("o_orderstatus") == "F").cast("double")).alias("reply_ratio"), F.sum(F.floor("o_totalprice")).cast("long").alias("likes"), F.round(F.avg(mood), 9).alias("mean_sentiment"), F.avg((mood > 0).cast("double")).alias("pos_ratio"), F.avg((mood < 0).cast("double")).alias("neg_ratio")).where("n_comments >= 5")
+    rows = agg.join(c.select("c_custkey", F.floor("c_acctbal").cast("long").alias("reach")), "c_custkey").withColumns({"like_rate": F.col("likes") / F.greatest("reach", F.lit(1)), "comment_rate": F.col("n_comments") / F.greatest("reach", F.lit(1))})
+    ranked = r.average_ranks(rows, ("reach", "like_rate", "comment_rate", "reply_ratio"))
+    blend = ranked.withColumn("score", F.round((F.col("reach_rank") + F.col("like_rate_rank") + F.col("comment_rate_rank") + F.col("reply_ratio_rank")) / 4, 9))
+    # reception: the mean mood, in classes of its own
+    both = r.classes(r.classes(blend, "score"), "mean_sentiment")
+    return both.select("c_custkey", "n_comments", "likes", "reach", "mean_sentiment", F.round("pos_ratio", 9).alias("pos_ratio"), F.round("neg_ratio", 9).alias("neg_ratio"), "mean_sentiment_class", F.round("comment_rate_rank", 9).alias("comment_rate_rank"), F.round("reach_rank", 9).alias("reach_rank"), F.round("like_rate_rank", 9).alias("like_rate_rank"), F.round("reply_ratio_rank", 9).alias("reply_ratio_rank"), "score", "score_class")
 
 
 def legacy_score(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,7 +105,9 @@ def bins(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def interval(spark: SparkSession, sf: str) -> DataFrame:
-    return r.bootstrap(_scored(spark, sf), "label", "score", "source", 200)
+    """By author; a second score beside the first, and their paired difference."""
+    rows = _scored(spark, sf).withColumns({"author": F.col("doc_id") % 97, "shrunk": F.col("score") / 2 + 0.25})
+    return r.bootstrap(rows, "label", ("score", "shrunk"), "author", 200).withColumns({c: F.round(c, 6) for c in ("low", "high")})
 
 
 def examples(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,6 +128,19 @@ def _examples(spark: SparkSession, sf: str) -> DataFrame:
     return lab.labelled(split, limits)
 
 
+def training_dataset(spark: SparkSession, sf: str) -> DataFrame:
+    """The dataset as one job: posts' first feature rows, those eligible, labelled readings, stored, its hold-out found again, and its manifest."""
+    p = b.posts(spark, sf)
+    again = p.where(F.col("platform_event_id").cast("long") % 4 == 0).withColumn("event_ts", F.col("event_ts") + F.expr("INTERVAL 1 DAY"))  # posts that were read twice
+    ready = p.unionByName(again).withColumn("text_for_model", text.for_model(text.clean_text(F.col("text")))).drop("text")
+    feats = lab.eligible(lab.one_feature_row(ready), b.SOURCES)
+    rows = _examples(spark, sf).join(feats.drop("event_ts"), list(s.KEYS))
+    stored = written(rows.select("example_id", *s.KEYS, "event_ts", "label_value", "split_name", "author_hash", F.col("like_count").alias("likes"), "text_for_model"), "dataset")
+    manifest = lab.dataset_manifest(stored, "v1", {"events": 1, "documents": 1}, {"horizon": "24h", "least": "20"}, ("author_hash", "likes", "text_for_model"))
+    held = lab.persisted_holdout(stored, stored.where("split_name = 'holdout'").select("example_id"), "example_id")
+    return manifest.crossJoin(held.agg(F.count(F.lit(1)).alias("holdout")))  # one row each
+
+
 def label_report(spark: SparkSession, sf: str) -> DataFrame:
     """Labels by split and source, with the period and the share of missing likes."""
     rows = _examples(spark, sf)
@@ -206,9 +227,16 @@ def activity_windows(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("event_type", "hour", "n", F.sum("n").over(day).alias("n_24h"))
 
 
+def context(spark: SparkSession, sf: str) -> DataFrame:
+    """An event's topic at its time: events of the hour before, growth by hour and by day, and how long the topic is known."""
+    e = b.table(spark, sf, "events").select("event_id", F.col("event_type").alias("topic"), F.unix_timestamp(F.col("ts").cast("timestamp")).alias("at"))
+    return r.topic_context(e, "event_id", "topic", "at").withColumns({c: F.round(c, 6) for c in ("trend_growth_1h", "trend_growth_24h", "topic_freshness_hours")})
+
+
 QUERIES = {
+    "b24_context": context,
     "a9_engagement_by_source": engagement, "a12_identifier_activity": people, "t1_top_identifiers": top_people, "w12_progress": progress, "a11_rollup_counts": counts, "a10_a13_a14_shares": shares, "a15_a25_communities": communities, "a16_snapshot_totals": snapshots, "a24_w13_w14_b23_videos": videos,
-    "a21_zscore_label": legacy_score, "a35_repetitions": repeats, "a30_a32_metrics": metrics, "a31_reliability": bins, "a33_bootstrap": interval, "b12_a22_a23_f24_t8_examples": examples, "a8_a17_a29_label_report": label_report, "b11_w7_balanced": balanced, "t5_nested_balanced": nested, "t6_capped": quota,
+    "a21_zscore_label": legacy_score, "a35_repetitions": repeats, "a30_a32_metrics": metrics, "a31_reliability": bins, "a33_bootstrap": interval, "b12_a22_a23_f24_t8_examples": examples, "a8_a17_a29_label_report": label_report, "b12_training_dataset": training_dataset, "b11_w7_balanced": balanced, "t5_nested_balanced": nested, "t6_capped": quota,
     "t7_one_per_author": diverse, "t9_t10_folds": folds, "u4_fan_out": people_roles, "a18_collaborators": coverage, "f44_f47_row_quality": row_quality, "b25_prepublication": prepublication, "j10_j14_j21_lookups": lookups, "u2_u3_u6_union_dedupe": keep_and_dedupe, "e1_activity_windows": activity_windows,
 }
 
@@ -224,6 +252,18 @@ x AS (SELECT *, (view_count IS NOT NULL)::INT + (like_count IS NOT NULL)::INT +
 y AS (SELECT *, total / sqrt(n) AS score FROM x WHERE n > 0), g AS (SELECT gh, row_number() OVER (ORDER BY gh) AS k, count(*) OVER () AS m FROM (SELECT DISTINCT gh FROM y)), z AS (SELECT y.*, CASE WHEN k <= ceil(m * 0.2) THEN 'holdout' ELSE 'train' END AS split_name FROM y JOIN g USING (gh)),
 t AS (SELECT source, quantile_cont(score, 0.75) AS threshold FROM z WHERE split_name = 'train' GROUP BY source), ex AS (SELECT z.*, threshold, CASE WHEN score >= threshold THEN 'viral' ELSE 'not_viral' END AS label_value FROM z JOIN t USING (source))"""
 SQL = {
+    "b24_context": """WITH e AS (SELECT event_id, event_type AS topic, floor(epoch(ts))::BIGINT AS sec FROM events), n AS (SELECT *, count(*) OVER (PARTITION BY topic ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND 1 PRECEDING) AS recent, (sec - min(sec) OVER (PARTITION BY topic)) / 3600 AS fresh FROM e),
+h AS (SELECT topic, sec // 3600 AS h, count(*) AS n FROM e GROUP BY ALL), d AS (SELECT topic, sec // 86400 AS d, count(*) AS n FROM e GROUP BY ALL)
+SELECT event_id, n.topic AS topic, recent AS recent_posts_1h, round((h1.n - h0.n) / h0.n, 6) AS trend_growth_1h, round((d1.n - d0.n) / d0.n, 6) AS trend_growth_24h, round(fresh, 6) AS topic_freshness_hours FROM n
+  JOIN h h1 ON h1.topic = n.topic AND h1.h = sec // 3600 LEFT JOIN h h0 ON h0.topic = n.topic AND h0.h = sec // 3600 - 1 JOIN d d1 ON d1.topic = n.topic AND d1.d = sec // 86400 LEFT JOIN d d0 ON d0.topic = n.topic AND d0.d = sec // 86400 - 1""",
+    "a33_bootstrap": f"""WITH {_SCORED}, g AS (SELECT doc_id % 97 AS author, sum((score - label) ** 2) AS e0, sum((score / 2 + 0.25 - label) ** 2) AS e1, count(*) AS n FROM sc GROUP BY 1),
+u AS (SELECT *, (('0x' || substr(sha256('42:' || round || ':' || author), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u FROM g, range(1, 201) x(round)), w AS (SELECT *, {" + ".join(f"(u >= {x!r})::INT" for x in r.POISSON)} AS w FROM u),
+v AS (SELECT round, sum(e0 * w) / sum(n * w) AS a, sum(e1 * w) / sum(n * w) AS b FROM w GROUP BY round), l AS (SELECT 'score' AS metric, a AS value FROM v UNION ALL SELECT 'shrunk', b FROM v UNION ALL SELECT 'shrunk - score', b - a FROM v)
+SELECT metric, count(value) AS rounds, round(quantile_cont(value, 0.025), 6) AS low, round(quantile_cont(value, 0.975), 6) AS high FROM l GROUP BY metric""",
+    "b12_training_dataset": with_("observations posts", _EXAMPLES + _CLEAN + """, m AS (SELECT z.*, r.author_hash, r.m AS txt FROM ex z JOIN ready r ON r.source = z.source AND r.platform_event_id = z.platform_event_id WHERE length(trim(r.m)) >= 20),
+i AS (SELECT *, sha256(source || chr(31) || platform_event_id || chr(31) || event_id || chr(31) || '24h') AS example_id FROM m), c AS (SELECT source || ':' || label_value || ':' || count(*) AS cell FROM i GROUP BY source, label_value)
+SELECT count(*) AS example_count, min(created_at) AS period_start, max(created_at) AS period_end, sum(('0x' || substr(example_id, 1, 15))::HUGEINT)::VARCHAR AS fingerprint, 0.0::DOUBLE AS missing_author_hash, round(avg((like_count IS NULL)::INT), 6) AS missing_likes, 0.0::DOUBLE AS missing_text_for_model, (SELECT string_agg(cell, ',' ORDER BY cell) FROM c) AS distribution,
+  'dataset-v1-' || substr(sha256('{"filters":{"horizon":"24h","least":"20"},"schema_version":"v1","source_snapshots":{"documents":1,"events":1}}'), 1, 20) AS dataset_version, count(*) FILTER (split_name = 'holdout') AS holdout FROM i"""),
     "a9_engagement_by_source": with_("observations", "SELECT source, count(*) AS events, sum(view_count)::BIGINT AS view_count, sum(like_count)::BIGINT AS like_count, arg_max(comment_count, (observed_at, event_id)) FILTER (comment_count IS NOT NULL) AS latest_comment_count, count(view_count) AS view_count_rows, count(like_count) AS like_count_rows, max(observed_at) AS latest FROM observations GROUP BY source"),
     "a12_identifier_activity": with_("activity", _PEOPLE + " SELECT * REPLACE (round(avg_words, 6) AS avg_words, round(reply_rate_pct, 6) AS reply_rate_pct, round(avg_view_count, 6) AS avg_view_count, round(avg_like_count, 6) AS avg_like_count), round(total_engagement / events, 6) AS avg_engagement FROM p"),
     "t1_top_identifiers": with_("activity", _PEOPLE + " SELECT identifier, events, total_engagement FROM p ORDER BY total_engagement DESC NULLS LAST, events DESC, identifier LIMIT 25"),
@@ -233,9 +273,9 @@ SELECT identifier, date, 'events' AS metric, e::BIGINT AS value FROM c UNION ALL
     "a10_a13_a14_shares": with_("activity", f"SELECT 'source:' || source AS slice, {_SHARES} FROM activity GROUP BY source UNION ALL SELECT 'role:' || role, {_SHARES} FROM activity GROUP BY role"),
     "a15_a25_communities": with_("posts", "SELECT community, count(*) AS posts, arg_min(platform_event_id, (event_ts, platform_event_id)) AS first_post, arg_min(source, (event_ts, platform_event_id)) AS first_source, arg_min(author_hash, (event_ts, platform_event_id)) AS first_author, max(event_ts) AS latest, median(length(text))::DOUBLE AS median_length, round(quantile_cont(length(text), 0.9)::DOUBLE, 6) AS p90_length FROM posts GROUP BY community"),
     "a16_snapshot_totals": with_("observations", _LAST + ", w AS (SELECT source, sum(view_count)::BIGINT AS views, sum(like_count)::BIGINT AS likes, count(*) AS posts, floor(median(trunc((floor(epoch(observed_at)) - floor(epoch(created_at))) / 60)))::BIGINT AS median_age FROM last GROUP BY source) UNPIVOT w ON views, likes, posts, median_age INTO NAME metric VALUE value"),
-    "a24_w13_w14_b23_videos": f"""WITH a AS (SELECT o_custkey AS c_custkey, count(*) AS n_comments, avg((o_orderstatus = 'F')::INT) AS reply_ratio, sum(floor(o_totalprice))::BIGINT AS likes FROM orders GROUP BY 1 HAVING count(*) >= 5), r AS (SELECT a.*, floor(c_acctbal)::BIGINT AS reach, likes / greatest(floor(c_acctbal), 1) AS like_rate FROM a JOIN customer USING (c_custkey)),
-k AS (SELECT *, {_RANK('reach')} AS reach_rank, {_RANK('like_rate')} AS like_rate_rank, {_RANK('reply_ratio')} AS reply_ratio_rank FROM r), s AS (SELECT *, round((reach_rank + like_rate_rank + reply_ratio_rank) / 3, 9) AS score FROM k), q AS (SELECT quantile_cont(score, 1.0 / 3) AS a, quantile_cont(score, 2.0 / 3) AS b FROM s)
-SELECT c_custkey, n_comments, likes, reach, round(reach_rank, 9) AS reach_rank, round(like_rate_rank, 9) AS like_rate_rank, round(reply_ratio_rank, 9) AS reply_ratio_rank, score, CASE WHEN score > q.b THEN 'high' WHEN score > q.a THEN 'medium' ELSE 'low' END AS score_class FROM s, q""",
+    "a24_w13_w14_b23_videos": f"""WITH a AS (SELECT o_custkey AS c_custkey, count(*) AS n_comments, avg((o_orderstatus = 'F')::INT) AS reply_ratio, sum(floor(o_totalprice))::BIGINT AS likes, round(avg(CASE o_orderpriority WHEN '1-URGENT' THEN -0.5 WHEN '5-LOW' THEN 0.4 ELSE 0.0 END), 9) AS mean_sentiment, avg((o_orderpriority = '5-LOW')::INT) AS pos_ratio, avg((o_orderpriority = '1-URGENT')::INT) AS neg_ratio FROM orders GROUP BY 1 HAVING count(*) >= 5), r AS (SELECT a.*, floor(c_acctbal)::BIGINT AS reach, likes / greatest(floor(c_acctbal), 1) AS like_rate, n_comments / greatest(floor(c_acctbal), 1) AS comment_rate FROM a JOIN customer USING (c_custkey)),
+k AS (SELECT *, {_RANK('reach')} AS reach_rank, {_RANK('like_rate')} AS like_rate_rank, {_RANK('comment_rate')} AS comment_rate_rank, {_RANK('reply_ratio')} AS reply_ratio_rank FROM r), s AS (SELECT *, round((reach_rank + like_rate_rank + comment_rate_rank + reply_ratio_rank) / 4, 9) AS score FROM k), q AS (SELECT quantile_cont(score, 1.0 / 3) AS a, quantile_cont(score, 2.0 / 3) AS b, quantile_cont(mean_sentiment, 1.0 / 3) AS ma, quantile_cont(mean_sentiment, 2.0 / 3) AS mb FROM s)
+SELECT c_custkey, n_comments, likes, reach, mean_sentiment, round(pos_ratio, 9) AS pos_ratio, round(neg_ratio, 9) AS neg_ratio, CASE WHEN mean_sentiment > q.mb THEN 'high' WHEN mean_sentiment > q.ma THEN 'medium' ELSE 'low' END AS mean_sentiment_class, round(comment_rate_rank, 9) AS comment_rate_rank, round(reach_rank, 9) AS reach_rank, round(like_rate_rank, 9) AS like_rate_rank, round(reply_ratio_rank, 9) AS reply_ratio_rank, score, CASE WHEN score > q.b THEN 'high' WHEN score > q.a THEN 'medium' ELSE 'low' END AS score_class FROM s, q""",
     "a21_zscore_label": with_("observations", _LAST + """, l AS (SELECT *, ln(1 + view_count) AS v, ln(1 + like_count) AS k, ln(1 + comment_count) AS c FROM last), st AS (SELECT source, avg(v) AS mv, avg(k) AS mk, avg(c) AS mc, stddev_pop(v) AS sv, stddev_pop(k) AS sk, stddev_pop(c) AS sc FROM l GROUP BY source),
 z AS (SELECT source, platform_event_id, CASE WHEN view_count IS NOT NULL THEN (coalesce((v - mv) / coalesce(nullif(sv, 0), 1), 0) + coalesce((k - mk) / coalesce(nullif(sk, 0), 1), 0) + coalesce((c - mc) / coalesce(nullif(sc, 0), 1), 0)) / sqrt(3) END AS score FROM l JOIN st USING (source)), q AS (SELECT source, quantile_cont(score, 0.75) AS cut FROM z GROUP BY source)
 SELECT z.source, platform_event_id, round(score, 6) AS engagement_score, (score >= cut)::INTEGER AS viral FROM z JOIN q USING (source)"""),

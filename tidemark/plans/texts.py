@@ -141,7 +141,29 @@ roled AS (SELECT {key}, position, role, round(sure, 4) AS sure, round(n / 3, 4)
   FROM tally QUALIFY row_number() OVER (PARTITION BY {key}, position ORDER BY n DESC, {rank("role")} DESC, k) = 1)"""
 
 
+def sentiment_sql(source: str, key: str, text: str) -> str:
+    """CTEs from ``source`` (key columns and text) to ``felt`` with language, hits, compound, sentiment and stance."""
+    q = lambda x: "'" + x.replace("'", "''") + "'"
+    lexicon = ", ".join(f"({q(p)}, {q(p.split()[0])}, {len(p.split())}, {v}::DOUBLE)" for p, v in (a.LEXICON_VI | a.LEXICON_EN).items())
+    boosters = ", ".join(f"({q(w)}, {v}::DOUBLE)" for w, v in (a.STRONGER | {k: -v for k, v in a.WEAKER.items()}).items())
+    negators = ", ".join(map(q, a.NEGATORS))
+    some = lambda marks: "CASE WHEN language = 'vi' THEN " + " OR ".join(f"contains(low, {q(m)})" for m in marks["vi"]) + " ELSE " + " OR ".join(f"contains(low, {q(m)})" for m in marks["en"]) + " END"
+    return f""", lexicon(p, first, n, v) AS (VALUES {lexicon}), boosters(w, push) AS (VALUES {boosters}),
+tok AS (SELECT row_number() OVER () AS rid, {key}, lower(coalesce({text}, '')) AS low, regexp_extract_all(lower(coalesce({text}, '')), '[\\p{{L}}\\p{{N}}_]+') AS t FROM {source}),
+word AS (SELECT rid, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM tok),
+near AS (SELECT rid, i, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2, lead(w, 3) OVER o AS w3, lag(w, 1) OVER o AS b1, lag(w, 2) OVER o AS b2, lag(w, 3) OVER o AS b3 FROM word WINDOW o AS (PARTITION BY rid ORDER BY i)),
+hit AS (SELECT near.*, l.n, v FROM near JOIN lexicon l ON l.p = CASE l.n WHEN 1 THEN w WHEN 2 THEN w || ' ' || w1 WHEN 3 THEN w || ' ' || w1 || ' ' || w2 ELSE w || ' ' || w1 || ' ' || w2 || ' ' || w3 END AND l.first = w),
+kept AS (SELECT * FROM hit h WHERE NOT EXISTS (SELECT 1 FROM hit g WHERE g.rid = h.rid AND g.n > h.n AND g.i <= h.i + h.n - 1 AND g.i + g.n - 1 >= h.i)),
+moved AS (SELECT rid, v + sign(v) * 4 * coalesce(push, 0) AS m, coalesce(b1 IN ({negators}), false) OR coalesce(b2 IN ({negators}), false) OR coalesce(b3 IN ({negators}), false) AS turned FROM kept LEFT JOIN boosters b ON b.w = b1),
+total AS (SELECT rid, count(*) AS hits, sum(CASE WHEN turned THEN -m - sign(m) * {a.NEGATION} ELSE m END) AS s FROM moved GROUP BY rid),
+felt0 AS (SELECT tok.*, coalesce(hits, 0) AS hits, coalesce(s / sqrt(s * s + {a.ALPHA}), 0.0) AS compound, CASE WHEN regexp_matches(low, '[{t.VIETNAMESE}]') THEN 'vi' ELSE 'en' END AS language FROM tok LEFT JOIN total USING (rid)),
+felt1 AS (SELECT *, CASE WHEN compound >= {a.NEUTRAL} THEN 'positive' WHEN compound <= -{a.NEUTRAL} THEN 'negative' ELSE 'neutral' END AS sentiment FROM felt0),
+felt AS (SELECT *, CASE WHEN {some(a.HOSTILE)} THEN 'hostile' WHEN {some(a.SCEPTIC)} THEN 'sceptique' WHEN {some(a.ADHERE)} THEN 'adhère' WHEN sentiment = 'positive' THEN 'adhère' WHEN sentiment = 'negative' THEN 'sceptique' ELSE 'neutre' END AS stance FROM felt1)"""
+
+
+_PROBES = "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in a.PROBES) + "]"
 SQL = {
+    "f40_f43_sentiment": with_("posts", f", probed AS (SELECT platform_event_id, {_PROBES}[platform_event_id::BIGINT % {len(a.PROBES)} + 1] || ' ' || text AS probe FROM posts)" + sentiment_sql("probed", "platform_event_id", "probe") + " SELECT platform_event_id, language, hits, round(compound, 4) AS compound, sentiment, stance FROM felt"),
     "f39_roles": with_("posts", _SEGMENTS + f", kept AS (SELECT * FROM segments WHERE {_NOISE} IS NULL)" + _role_sql("kept") + " SELECT role, tier, count(*) AS n, count(DISTINCT platform_event_id) AS posts, round(avg(sure), 4) AS sure FROM roled GROUP BY ALL"),
     "a28_role_mix": with_("posts", r""", flat AS (SELECT platform_event_id, unnest(list_filter(list_transform(regexp_split_to_array(regexp_replace(trim(text, chr(32) || chr(9) || chr(10) || chr(13)), '([.!?])\s+', '\1' || chr(10), 'g'), '\n+|\s+•\s+'), lambda s: trim(s, chr(32) || chr(9) || chr(10) || chr(13))), lambda s: length(s) >= 3)) AS segment,
   generate_subscripts(list_filter(list_transform(regexp_split_to_array(regexp_replace(trim(text, chr(32) || chr(9) || chr(10) || chr(13)), '([.!?])\s+', '\1' || chr(10), 'g'), '\n+|\s+•\s+'), lambda s: trim(s, chr(32) || chr(9) || chr(10) || chr(13))), lambda s: length(s) >= 3), 1) AS position FROM posts)""" + _role_sql("flat")
