@@ -86,14 +86,27 @@ def out_of_fold(rows: DataFrame, features: list[str], label: str, group: Column,
     return reduce(DataFrame.unionByName, made)
 
 
-def calibrated(rows: DataFrame, label: str, score: str = "score") -> DataFrame:
-    """Platt scaling of out-of-fold scores."""
+def platt_fit(rows: DataFrame, label: str, score: str = "score") -> tuple[float, float]:
+    """slope and offset of the logit that fit the labels best."""
     from tidemark.operators.reports import logit
 
-    data = rows.withColumn("_z", logit(F.col(score)))
-    fit = LogisticRegression(featuresCol="_f", labelCol=label, maxIter=50).fit(VectorAssembler(inputCols=["_z"], outputCol="_f").transform(data))
-    slope, offset = float(fit.coefficients[0]), float(fit.intercept)
-    return data.withColumn("calibrated", 1 / (1 + F.exp(-(F.col("_z") * slope + offset)))).drop("_z")
+    data = VectorAssembler(inputCols=["_z"], outputCol="_f").transform(rows.withColumn("_z", logit(F.col(score))))
+    fit = LogisticRegression(featuresCol="_f", labelCol=label, maxIter=50).fit(data)
+    return float(fit.coefficients[0]), float(fit.intercept)
+
+
+def nested(rows: DataFrame, label: str, folds: int, score: str = "score") -> DataFrame:
+    """M5: ``calibrated`` and ``threshold`` of each fold's out-of-fold scores, both fitted on the other folds only."""
+    from tidemark.operators.reports import logit, platt
+
+    made = []
+    for k in range(folds):  # a fit a fold
+        others = rows.where(F.col("fold") != k)
+        slope, offset = platt_fit(others, label, score)
+        apply = lambda df, a=slope, c=offset: df.withColumn("calibrated", platt(logit(F.col(score)), a, c))
+        best = best_threshold(apply(others), label, "calibrated").first()
+        made.append(apply(rows.where(F.col("fold") == k)).withColumn("threshold", F.lit(best["threshold"] if best else 0.5)))
+    return reduce(DataFrame.unionByName, made)
 
 
 def best_threshold(rows: DataFrame, label: str, score: str, steps: int = 90) -> DataFrame:
@@ -106,6 +119,34 @@ def best_threshold(rows: DataFrame, label: str, score: str, steps: int = 90) ->
     return out.orderBy(F.desc("f1"), "threshold").limit(1).select("threshold", "f1")
 
 
+def out_of_fold_classes(rows: DataFrame, fit: Callable[[DataFrame], object], group: Column, folds: int = 3, seed: int = 7, keep: tuple[str, ...] = ()) -> DataFrame:
+    """M2, M9: each row's class by a model that saw none of its group."""
+    rows = rows.withColumn("fold", fold_of(group, folds, seed))
+    return reduce(DataFrame.unionByName, [fit(rows.where(F.col("fold") != k)).transform(rows.where(F.col("fold") == k)).select(*keep, "fold", "prediction") for k in range(folds)])
+
+
+def majority(rows: DataFrame, label: str) -> DataFrame:
+    """M9: the accuracy of always naming the most frequent class."""
+    n = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_k"))  # a row a class
+    return n.agg((F.max("_k") / F.sum("_k")).alias("accuracy"))
+
+
+def directions(rows: DataFrame, features: list[str], label: str) -> DataFrame:
+    """M9: each feature's mean by class, and its distance from the mean of all rows in deviations of all rows."""
+    long = rows.select(label, F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features])).alias("_x")).select(label, "_x.*")
+    whole = long.groupBy("feature").agg(F.avg("v").alias("_m"), F.stddev_pop("v").alias("_s"))
+    each = long.groupBy("feature", label).agg(F.avg("v").alias("mean"))
+    return each.join(whole, "feature").select("feature", label, "mean", F.try_divide(F.col("mean") - F.col("_m"), F.col("_s")).alias("push"))
+
+
+def top_words(model, words: int = 10) -> DataFrame:
+    """M3: the words that weigh most in each topic."""
+    spark = model.stages[-1].describeTopics(1).sparkSession
+    named = spark.createDataFrame([(i, w) for i, w in enumerate(model.stages[1].vocabulary)], "term int, word string")  # the vocabulary's bound
+    each = model.stages[-1].describeTopics(words).select("topic", F.posexplode("termIndices").alias("place", "term"))
+    return each.join(named, "term").groupBy("topic").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "word"))), lambda x: x["word"]).alias("words"))
+
+
 def forest(rows: DataFrame, features: list[str], label: str, trees: int = 20, seed: int = 42):
     """M9."""
     return RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=5, seed=seed).fit(assembled(rows, features))
@@ -139,13 +180,16 @@ def factors(model, rows: DataFrame, features: list[str], top: int = 3) -> DataFr
     return rows.withColumn("factors", F.transform(F.slice(F.sort_array(each, asc=False), 1, top), lambda x: F.concat_ws(":", x["feature"], F.round(x["push"], 4).cast("string"))))
 
 
-def scored(rows: DataFrame, score: str, threshold: float) -> DataFrame:
+def scored(rows: DataFrame, score: str, threshold: float | Column) -> DataFrame:
     """M8: label, threshold and confidence, the distance from the threshold."""
     return rows.withColumns({"label": F.when(F.col(score) >= threshold, "viral").otherwise("not_viral"), "threshold": F.lit(threshold), "confidence": F.abs(F.col(score) - threshold)})
 
 
 def similar(vectors: DataFrame, asked: DataFrame, key: str, vector: str, k: int = 10, tables: int = 12, width: float = 0.6, reach: float = 2.0) -> DataFrame:
-    """Each asked vector's nearest by cosine: candidates by random projections of unit vectors, exact order among them."""
+    """Each asked vector's nearest by cosine: candidates by random projections of unit vectors, exact order among them.
+
+    Recall against brute force is told by ``recall_of``; more ``tables`` or a greater ``width`` raise it.
+    """
     from pyspark.sql import Window
 
     def unit(df: DataFrame) -> DataFrame:
@@ -157,3 +201,44 @@ def similar(vectors: DataFrame, asked: DataFrame, key: str, vector: str, k: int
     near = model.approxSimilarityJoin(a, b, reach, "distance").select("datasetA.a", "datasetB.b", (1 - F.col("distance") * F.col("distance") / 2).alias("cosine")).where("a <> b")
     turn = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
     return near.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= k)
+
+
+def nearest(vectors: DataFrame, asked: DataFrame, key: str, vector: str, k: int = 10, block: int = 64) -> DataFrame:
+    """Each asked vector's nearest by cosine, exactly: the asked vectors are taken past all rows in blocks, and each block keeps its own best.
+
+    Rows without an id are neither asked nor found; equal cosines go by id.
+    """
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import Window
+
+    sides = asked.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("a"), vector).withColumn("_deal", F.pmod(F.xxhash64("a"), F.lit(16)))
+    sides = sides.withColumn("_block", F.floor((F.row_number().over(Window.partitionBy("_deal").orderBy("a")) - 1) / block))
+    held = sides.groupBy("_deal", "_block").agg(F.collect_list(F.struct("a", F.col(vector).alias("v"))).alias("_asked")).select("_asked")
+    rows = vectors.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("b"), F.col(vector).alias("v"))
+
+    def best(batches):
+        for batch in batches:
+            out = []
+            for asked_rows, ids, vs in zip(batch["_asked"], batch["_ids"], batch["_vs"], strict=True):
+                q = np.array([list(x["v"]) for x in asked_rows], np.float64)
+                m = np.array([list(x) for x in vs], np.float64)
+                cosine = (q / np.linalg.norm(q, axis=1, keepdims=True).clip(1e-300)) @ (m / np.linalg.norm(m, axis=1, keepdims=True).clip(1e-300)).T
+                ids = np.array(ids)
+                for i, x in enumerate(asked_rows):
+                    c = np.where(ids == x["a"], -np.inf, cosine[i])
+                    for j in np.lexsort((ids, -c))[:k]:
+                        if c[j] > -np.inf:
+                            out.append((x["a"], int(ids[j]), float(c[j])))
+            yield pd.DataFrame(out, columns=["a", "b", "cosine"])
+
+    packed = rows.groupBy(F.pmod(F.xxhash64("b"), F.lit(64)).alias("_p"), F.floor(F.col("b") / 4096).alias("_q")).agg(F.collect_list("b").alias("_ids"), F.collect_list("v").alias("_vs"))
+    found = packed.crossJoin(held).select("_asked", "_ids", "_vs").mapInPandas(best, "a long, b long, cosine double")  # a stated query set against all rows, in blocks
+    turn = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
+    return found.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= k)
+
+
+def recall_of(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """The share of the exact neighbours that were found."""
+    hit = exact.join(found.select("a", "b", F.lit(1).alias("_h")), ["a", "b"], "left")
+    return hit.agg(F.avg(F.coalesce("_h", F.lit(0)).cast("double")).alias("recall"), F.count(F.lit(1)).alias("n"))
