@@ -32,7 +32,7 @@ SHARD_BYTES = 2 << 20
 #: Words of test phrases that are searched at once.
 BLOCK_WORDS = 1 << 20
 #: Bytes of shards that a task holds while the benchmark goes past, and of a benchmark that it keeps rather than reads again.
-HELD_BYTES, KEPT_BYTES = 32 << 20, 32 << 20
+HELD_BYTES, KEPT_BYTES = 12 << 20, 32 << 20
 #: Candidate places held at once in the intersection.
 CANDIDATES = 1 << 20
 PHRASE = 10

@@ -271,9 +271,10 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fou
     stays = F.col("doc_id").eqNullSafe(F.col("least")) & (F.col("row") == F.col("first"))
     each = rows.join(kept, "root").groupBy("doc_id", "row").agg(F.max(stays).alias("stays"), F.count(F.lit(1)).alias("n"))
     each = written(each.where(~F.col("stays") | (F.col("n") > 1)).withColumns(keys(F.col("doc_id"))).select(d, z, F.col("row").alias(r), "stays"), "copies")
-    # texts meet only what goes, not all that stays; of rows that are repeated as they are, one is numbered out
+    # texts meet only what goes, not all that stays; of rows that are repeated as they are, one is numbered out. What goes grows
+    # with the documents, so it is merged at every size rather than broadcast while it is small
     mine = docs.withColumns({**keys(F.col(doc_id).cast("long")), r: F.xxhash64(text)})
-    rest = mine.join(each.where(~F.col("stays")).drop("stays"), [d, r, z], "left_anti")
+    rest = mine.join(each.where(~F.col("stays")).drop("stays").hint("merge"), [d, r, z], "left_anti")
     twice = each.where("stays").drop("stays")
     if twice.isEmpty():
         return rest.select(*docs.columns)
