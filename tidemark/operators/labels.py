@@ -161,7 +161,7 @@ def stratified_folds(rows: DataFrame, group: str, label: str, folds: int, seed:
     """
     groups = rows.groupBy(group).agg(F.floor(F.avg(F.col(label).cast("double")) * 10).cast("int").alias("_share"), F.floor(F.log2(F.count(F.lit(1)))).cast("int").alias("_size"))
     ranked = hash_ranked(groups, ["_share", "_size"], F.sha2(F.concat(F.lit(f"{seed}:"), F.col(group).cast("string")), 256))
-    dealt = ranked.select(group, F.pmod(F.col("_rank") - 1 + F.xxhash64("_share", "_size", F.lit(seed)), F.lit(folds)).cast("int").alias("fold"))
+    dealt = ranked.select(group, F.pmod(F.col("_rank") - 1 + F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(str(seed)), "_share", "_size"), 256), 1, 8), 16, 10).cast("long"), F.lit(folds)).cast("int").alias("fold"))
     return rows.join(dealt, group)
 
 

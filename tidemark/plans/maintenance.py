@@ -123,6 +123,58 @@ def exports(spark: SparkSession, sf: str) -> DataFrame:
     return back.select("source", "platform_event_id", "url", "clean_text", "author_hash", "event_ts", "like_count", "is_reply", "rejected")
 
 
+def refresh_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as a refresh file with planted faults, read with its full schema and judged; rows by broken rule."""
+    e, n = b.table(spark, sf, "events"), F.col("event_id")
+    e = e.unionByName(e.where("event_id % 50 = 0"))
+    ident, at, seen = F.concat(F.lit("v"), n.cast("string")), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), n % 3 != 0
+    flag = F.when(n % 37 == 0, ~seen).otherwise(seen)
+    rows = e.select(
+        F.when(n % 97 == 0, "reddit").otherwise("x").alias("source"), ident.alias("platform_event_id"), F.lit("u").alias("user_id"), F.lit("https://x.com/u").alias("url"), at.alias("event_ts"), F.when(n % 31 != 0, at).alias("metadata_refreshed_at"),
+        F.when(n % 2 == 0, F.sha2(F.concat_ws("\u001f", F.lit("x"), ident, F.when(n % 43 == 0, F.lit("never")).otherwise(at)), 256)).alias("observation_id"), F.when(seen, F.floor("value").cast("long")).alias("view_count"), flag.alias("view_count_available"),
+        F.when(n % 61 == 0, "no json").when(n % 5 == 0, F.concat(F.lit('{"view_count":'), F.when(n % 41 == 0, ~flag).otherwise(flag).cast("string"), F.lit("}"))).alias("coverage_json"), F.when(n % 53 == 0, "short").alias("event_id"),
+    )
+    path = new_path(spark, "refresh")
+    rows.write.json(path)
+    judged = imports.observation_violations(imports.refresh_file(spark, path), "x")
+    return judged.select(F.explode("violations").alias("violation")).groupBy("violation").agg(F.count(F.lit(1)).alias("n"))
+
+
+def audiences(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as accounts without a size of their own, orders as profile reads."""
+    c, o = b.table(spark, sf, "customer"), b.table(spark, sf, "orders")
+    k = F.col("c_custkey")
+    rows = c.select("c_custkey", F.when(k % 2 == 0, F.concat(F.lit(" @Acc"), k.cast("string"))).alias("screen_name"), F.concat(F.lit("https://x.com/acc"), k.cast("string"), F.lit("/status/1")).alias("url"), F.when(k % 5 == 0, F.floor("c_acctbal").cast("long")).alias("follower_count"))
+    reads = o.select(F.concat(F.lit("acc"), F.col("o_custkey").cast("string")).alias("screen_name"), F.col("o_orderdate").alias("collected_at"), F.floor("o_totalprice").cast("long").alias("follower_count"), F.when(F.col("o_orderstatus") == "F", "OK").otherwise("failed").alias("status"))
+    return imports.with_audience(rows, reads).select("c_custkey", "follower_count", "audience_from")
+
+
+def api_videos(spark: SparkSession, sf: str) -> DataFrame:
+    """The videos' side of nested API answers."""
+    c, k = b.table(spark, sf, "customer"), F.col("c_custkey")
+    text = lambda x: x.cast("string")
+    answers = c.select(
+        text(k).alias("video_id"),
+        F.struct(F.struct(F.col("c_name").alias("title"), F.col("c_mktsegment").alias("channelTitle"), F.lit("2024-01-01T00:00:00Z").alias("publishedAt")).alias("snippet"), F.struct(F.concat(text(k), F.lit("K")).alias("viewCount"), F.when(k % 3 != 0, text(k)).alias("likeCount")).alias("statistics"), F.struct(F.concat(F.lit("PT"), text(k % 60), F.lit("M"), text(k % 50), F.lit("S")).alias("duration")).alias("contentDetails")).alias("video_metadata"),
+    )
+    path = new_path(spark, "videos")
+    answers.write.json(path)
+    return imports.videos(spark.read.schema(imports.ANSWER).json(path)).select("video_id", "title", "channel", "published_at", "view_count", "like_count", "duration_seconds")
+
+
+def search_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """a search query for each part from its brand and type."""
+    return b.table(spark, sf, "part").select("p_partkey", t.search_query(F.array("p_brand", F.concat(F.lit('"'), "p_type")), "OR", "en", "-is:retweet").alias("query"))
+
+
+def history(spark: SparkSession, sf: str) -> DataFrame:
+    """Journal rows and proofs made up for current rows that the journal never saw."""
+    o, k = b.table(spark, sf, "orders"), F.col("o_orderkey")
+    journal = o.where(k % 3 != 0).select(F.sha2(F.concat(F.lit("s:"), k.cast("string")), 256).alias("event_id"))
+    missing, proofs = tables.backfill_journal(o.select("o_orderkey", "o_orderdate"), journal, F.sha2(F.concat(F.lit("s:"), k.cast("string")), 256), "o_orderdate")
+    return missing.join(proofs, "event_id").select("o_orderkey", "event_id", "ingested_at", "synthetic", "applied_at")
+
+
 def api(spark: SparkSession, sf: str) -> DataFrame:
     """Conversations as nested API answers, written as JSON and flattened again."""
     c = b.table(spark, sf, "conversations")
@@ -138,11 +190,20 @@ def api(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "p4_protect": protect, "p22_audit": audit, "p7_p8_predicates": predicates, "p12_thumbnails": thumbnails, "p13_t3_explorer": explorer, "p14_p15_p17_relevance": relevance, "a26_b21_health": health, "a27_s14_quota": quota, "j16_fallbacks": fallbacks, "j3_j19_layers": lineage, "j20_t4_candidates": candidates,
-    "a38_any_available": available, "k14_k16_s13_w16_upkeep": compaction, "k17_filtered_exports": filtered_exports, "k17_s10_export_import": exports, "s11_api_comments": api,
+    "a38_any_available": available, "k14_k16_s13_w16_upkeep": compaction, "k17_filtered_exports": filtered_exports, "k17_s10_export_import": exports, "s11_api_comments": api, "s9_p19_refresh_validation": refresh_validation, "j11_j12_audiences": audiences, "s11_api_videos": api_videos, "f50_search_queries": search_queries, "k18_history": history,
 }
 
 _SRC = "CASE user_id % 3 WHEN 0 THEN 'youtube' WHEN 1 THEN 'x' ELSE 'reddit' END"
 SQL = {
+    "s9_p19_refresh_validation": """WITH e AS (SELECT *, event_id AS n FROM events UNION ALL SELECT *, event_id FROM events WHERE event_id % 50 = 0), r AS (SELECT n, CASE WHEN n % 97 = 0 THEN 'reddit' ELSE 'x' END AS source, n % 3 <> 0 AS seen, CASE WHEN n % 37 = 0 THEN n % 3 = 0 ELSE n % 3 <> 0 END AS flag, n % 31 <> 0 AS has_at FROM e),
+v AS (SELECT unnest(list_filter([CASE WHEN source <> 'x' THEN 'unexpected_source' END, CASE WHEN NOT has_at THEN 'missing_identity' END, CASE WHEN n % 2 = 0 AND has_at AND n % 43 = 0 THEN 'invalid_observation_id' END, CASE WHEN n % 53 = 0 THEN 'invalid_event_id' END, CASE WHEN n % 53 = 0 THEN 'invalid_payload_fingerprint' END, CASE WHEN n % 53 = 0 THEN 'missing_producer_name' END, CASE WHEN n % 53 = 0 THEN 'missing_producer_run_id' END,
+  CASE WHEN n % 53 = 0 THEN 'missing_collection_method' END, CASE WHEN n % 53 = 0 THEN 'missing_provenance_json' END, CASE WHEN flag <> seen THEN 'view_count_flag_mismatch' END, CASE WHEN n % 61 = 0 THEN 'invalid_coverage' END, CASE WHEN n % 61 <> 0 AND n % 5 = 0 AND n % 41 = 0 THEN 'view_count_coverage_mismatch' END, CASE WHEN n % 50 = 0 THEN 'duplicate_observation' END], lambda x: x IS NOT NULL)) AS violation FROM r)
+SELECT violation, count(*) AS n FROM v GROUP BY violation""",
+    "j11_j12_audiences": """WITH p AS (SELECT o_custkey, arg_max(floor(o_totalprice)::BIGINT, (o_orderdate, floor(o_totalprice)::BIGINT)) AS r FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN floor(c_acctbal)::BIGINT ELSE r END AS follower_count, CASE WHEN c_custkey % 5 = 0 THEN 'own' WHEN r IS NOT NULL THEN 'profile' END AS audience_from FROM customer LEFT JOIN p ON o_custkey = c_custkey""",
+    "s11_api_videos": "SELECT c_custkey::VARCHAR AS video_id, c_name AS title, c_mktsegment AS channel, TIMESTAMP '2024-01-01' AS published_at, c_custkey * 1000 AS view_count, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS like_count, c_custkey % 60 * 60 + c_custkey % 50 AS duration_seconds FROM customer",
+    "f50_search_queries": """SELECT p_partkey, '("' || trim(p_brand) || '" OR "' || trim(p_type) || '") lang:en -is:retweet' AS query FROM part""",
+    "k18_history": "SELECT o_orderkey, sha256('s:' || o_orderkey) AS event_id, o_orderdate AS ingested_at, true AS synthetic, o_orderdate AS applied_at FROM orders WHERE o_orderkey % 3 = 0",
     "p4_protect": with_("posts", texts._CLEAN + """ SELECT platform_event_id, CASE WHEN platform_event_id::BIGINT % 10 = 0 THEN author_hash ELSE sha256('salt:' || author_hash) END AS user_id, CASE WHEN source = 'x' THEN 'https://x.com/i/status/' || platform_event_id ELSE 'https://e.com/' || platform_event_id END AS url, sha256(m) AS model_sha FROM ready"""),
     "p22_audit": with_("posts", texts._CLEAN + r""", kept AS (SELECT platform_event_id, platform_event_id::BIGINT AS n, text, clean_text AS want, CASE WHEN platform_event_id::BIGINT % 70 <> 1 THEN clean_text || CASE WHEN platform_event_id::BIGINT % 50 = 0 THEN ' more' ELSE '' END END AS have,
   list_concat(list_concat(regexp_extract_all(text, '[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+(?:\.[\p{L}\p{N}_-]+)+'), regexp_extract_all(text, '@[\p{L}\p{N}_]+')), regexp_extract_all(text, '\b(?:\d{1,3}\.){3}\d{1,3}\b')) AS vals FROM ready),

@@ -170,6 +170,15 @@ def folds(spark: SparkSession, sf: str) -> DataFrame:
     return lab.fold_check(rows, "fold", "group", "label")
 
 
+def stratified(spark: SparkSession, sf: str) -> DataFrame:
+    """Stratified folds by group, with the folds that lack a label and the groups that straddle folds (none, if all is sound)."""
+    rows = _scored(spark, sf).withColumn("group", F.col("doc_id") % 50)
+    dealt = written(lab.stratified_folds(rows, "group", "label", 5), "folds")
+    lacking, torn = lab.uncovered(dealt, 5, "fold", "label"), lab.straddling(dealt, "fold", "group")
+    found = lab.fold_check(dealt, "fold", "group", "label")
+    return found.crossJoin(lacking.agg(F.count(F.lit(1)).alias("uncovered_folds"))).crossJoin(torn.agg(F.count(F.lit(1)).alias("torn_groups")))  # one row each
+
+
 def people_roles(spark: SparkSession, sf: str) -> DataFrame:
     """Authors, owners and collaborators as one list of identifiers, counted by role."""
     e = b.table(spark, sf, "events").select(F.when(F.col("event_id") % 4 != 0, F.col("user_id")).alias("author"), F.when(F.col("event_type") == "view", F.col("user_id") % 20).alias("owner"), F.when(F.col("event_id") % 10 == 0, F.array(F.lit("a"), F.col("event_type"))).otherwise(F.array().cast("array<string>")).alias("collaborators"))
@@ -237,7 +246,7 @@ QUERIES = {
     "b24_context": context,
     "a9_engagement_by_source": engagement, "a12_identifier_activity": people, "t1_top_identifiers": top_people, "w12_progress": progress, "a11_rollup_counts": counts, "a10_a13_a14_shares": shares, "a15_a25_communities": communities, "a16_snapshot_totals": snapshots, "a24_w13_w14_b23_videos": videos,
     "a21_zscore_label": legacy_score, "a35_repetitions": repeats, "a30_a32_metrics": metrics, "a31_reliability": bins, "a33_bootstrap": interval, "b12_a22_a23_f24_t8_examples": examples, "a8_a17_a29_label_report": label_report, "b12_training_dataset": training_dataset, "b11_w7_balanced": balanced, "t5_nested_balanced": nested, "t6_capped": quota,
-    "t7_one_per_author": diverse, "t9_t10_folds": folds, "u4_fan_out": people_roles, "a18_collaborators": coverage, "f44_f47_row_quality": row_quality, "b25_prepublication": prepublication, "j10_j14_j21_lookups": lookups, "u2_u3_u6_union_dedupe": keep_and_dedupe, "e1_activity_windows": activity_windows,
+    "t7_one_per_author": diverse, "t9_t10_folds": folds, "t9_t10_stratified_folds": stratified, "u4_fan_out": people_roles, "a18_collaborators": coverage, "f44_f47_row_quality": row_quality, "b25_prepublication": prepublication, "j10_j14_j21_lookups": lookups, "u2_u3_u6_union_dedupe": keep_and_dedupe, "e1_activity_windows": activity_windows,
 }
 
 _SHARES = "count(DISTINCT identifier) AS identifiers, round(avg(length(text)), 6) AS avg_text, round(avg((like_count IS NOT NULL)::INT) * 100, 6) AS likes_pct, round(avg(is_reply::INT) * 100, 6) AS replies_pct"
@@ -294,6 +303,10 @@ SELECT c.source, n, tp, fp, fn, tn, round(brier, 6) AS brier, round((tp + tn) /
     "t6_capped": with_("posts", ", k AS (SELECT *, sha256('42:' || platform_event_id) AS h, row_number() OVER (PARTITION BY community ORDER BY sha256('42:' || platform_event_id)) > 5 AS extra FROM posts) SELECT community, platform_event_id FROM k ORDER BY extra, h LIMIT 150"),
     "t7_one_per_author": with_("posts", ", k AS (SELECT *, sha256('42:' || platform_event_id) AS h FROM posts QUALIFY row_number() OVER (PARTITION BY author_hash ORDER BY sha256('42:' || platform_event_id)) = 1) SELECT author_hash, platform_event_id FROM k ORDER BY h LIMIT 60"),
     "t9_t10_folds": f"WITH {_SCORED}, f AS (SELECT *, doc_id % 50 AS g, (('0x' || substr(sha256('7:' || doc_id % 50), 1, 8))::BIGINT % 5)::INTEGER AS fold FROM sc) SELECT fold, count(*) AS n, count(DISTINCT g) AS groups, count(*) FILTER (label = 1) AS positives, (SELECT sum(('0x' || substr(sha256(x.g::VARCHAR), 1, 15))::HUGEINT) FROM (SELECT DISTINCT g, fold FROM f) x WHERE x.fold = f.fold)::VARCHAR AS fingerprint FROM f GROUP BY fold",
+    "t9_t10_stratified_folds": f"""WITH {_SCORED}, g AS (SELECT doc_id % 50 AS g, floor(avg(label) * 10)::INTEGER AS share, floor(log2(count(*)))::INTEGER AS size FROM sc GROUP BY 1),
+d AS (SELECT g, ((row_number() OVER (PARTITION BY share, size ORDER BY sha256('42:' || g)) - 1 + ('0x' || substr(sha256('42:' || share || ':' || size), 1, 8))::BIGINT) % 5)::INTEGER AS fold FROM g), f AS (SELECT sc.*, g, fold FROM sc JOIN d ON g = doc_id % 50),
+c AS (SELECT fold, count(*) AS n, count(*) FILTER (label = 1) AS positives, count(DISTINCT g) AS groups FROM f GROUP BY fold)
+SELECT c.*, (SELECT sum(('0x' || substr(sha256(d.g::VARCHAR), 1, 15))::HUGEINT) FROM d WHERE d.fold = c.fold)::VARCHAR AS fingerprint, (SELECT count(*) FROM range(5) r(k) LEFT JOIN c x ON x.fold = r.k WHERE coalesce(x.positives, 0) = 0 OR coalesce(x.n - x.positives, 0) = 0) AS uncovered_folds, 0::BIGINT AS torn_groups FROM c""",
     "u4_fan_out": "WITH u AS (SELECT 'author' AS role, user_id::VARCHAR AS i FROM events WHERE event_id % 4 <> 0 UNION ALL SELECT 'owner', (user_id % 20)::VARCHAR FROM events WHERE event_type = 'view' UNION ALL SELECT 'collaborator', unnest(['a', event_type]) FROM events WHERE event_id % 10 = 0) SELECT role, count(*) AS n, count(DISTINCT i) AS identifiers FROM u GROUP BY role",
     "a18_collaborators": "SELECT count(*) FILTER (event_type = 'view') AS known_owners, count(*) FILTER (event_id % 10 = 0) AS with_collaborators, (SELECT count(DISTINCT event_type) + 1 FROM events WHERE event_id % 10 = 0) AS collaborators FROM events",
     "f44_f47_row_quality": with_("observations", _LAST + """, p AS (SELECT *, greatest(1e-6, least(1 - 1e-6, coalesce(like_count, 0) / (coalesce(view_count, 0) + 20))) AS q FROM last)

@@ -21,14 +21,55 @@ ALIASES = {
     "view_count": ("view_count", "video_view_count", "views"),
     "reply_count": ("reply_count", "replies", "thread_total_reply_count"),
 }
-REFRESH = "source string, platform_event_id string, user_id string, url string, event_ts string, metadata_refreshed_at string, view_count long, like_count long, comment_count long, view_count_available boolean, like_count_available boolean, comment_count_available boolean"
+# The columns of a refresh file.
+METRICS = ("like_count", "view_count", "comment_count", "reply_count", "retweet_count", "bookmark_count", "score", "follower_count", "subscriber_count", "subreddit_member_count")
+ENVELOPE = ("event_id", "payload_fingerprint", "producer_name", "producer_run_id", "collection_method", "provenance_json")
+_TEXTS = "user_id url event_ts source platform_event_id observation_id metadata_refreshed_at last_metrics_refresh_at next_metrics_refresh_at metrics_refresh_status metrics_error_code owner_channel_id api_endpoint coverage_json".split()
+REFRESH = ", ".join([f"{c} string" for c in (*_TEXTS, *ENVELOPE)] + ["metrics_refresh_count int", "collaborator_channel_ids array<string>"] + [f"{m} long" for m in METRICS] + [f"{c}_available boolean" for c in (*METRICS, "metadata", "transcript", "comments")])
 
 
 def refresh_file(spark: SparkSession, path: str) -> DataFrame:
-    """Readings as typed JSON lines."""
+    """Readings as typed JSON lines, all 45 columns."""
     return spark.read.schema(REFRESH).json(path)
 
 
+def observation_violations(rows: DataFrame, source: str) -> DataFrame:
+    """``rows`` of a refresh file with ``violations``, the names of the rules they break, in order of the rules."""
+    identity, at = F.coalesce(*[F.when(F.col(c) != "", F.col(c)) for c in ("platform_event_id", "url")]), F.when(F.col("metadata_refreshed_at") != "", F.col("metadata_refreshed_at"))
+    told = F.greatest(*[F.col(c).isNotNull() for c in ENVELOPE])
+    hexes = lambda c: F.lower(F.coalesce(c, F.lit(""))).rlike("^[0-9a-f]{64}$")
+    names = [
+        F.when(~F.col("source").eqNullSafe(F.lit(source)), "unexpected_source"),
+        F.when(identity.isNull() | at.isNull(), "missing_identity"),
+        F.when(F.col("observation_id").isNotNull() & identity.isNotNull() & at.isNotNull() & (F.col("observation_id") != F.sha2(F.concat_ws("\u001f", F.lit(source), identity, at), 256)), "invalid_observation_id"),
+        *[F.when(told & ~hexes(F.col(c)), f"invalid_{c}") for c in ENVELOPE[:2]],
+        *[F.when(told & (F.coalesce(c, F.lit("")) == ""), f"missing_{c}") for c in ENVELOPE[2:]],
+        *[F.when(F.col(f"{m}_available").isNotNull() & (F.col(f"{m}_available") != F.col(m).isNotNull()), f"{m}_flag_mismatch") for m in METRICS],
+        F.when(F.col("coverage_json").isNotNull() & F.from_json("coverage_json", "map<string,string>").isNull(), "invalid_coverage"),
+        *[F.when(F.col(f"{m}_available").isNotNull() & F.from_json("coverage_json", "map<string,string>").isNotNull() & ~F.get_json_object("coverage_json", f"$.{m}").eqNullSafe(F.col(f"{m}_available").cast("string")), f"{m}_coverage_mismatch") for m in METRICS],
+    ]
+    rows = rows.withColumns({"_identity": identity, "_at": at})
+    doubled = rows.groupBy("source", "_identity", "_at").agg((F.count(F.lit(1)) > 1).alias("_twice"))
+    same = lambda a, b: [a[c].eqNullSafe(b[c]) for c in ("source", "_identity", "_at")]
+    met = rows.join(doubled, same(rows, doubled)).drop(*[doubled[c] for c in ("source", "_identity", "_at")])
+    return met.withColumn("violations", F.array_compact(F.array(*names, F.when(F.col("_twice"), "duplicate_observation")))).drop("_identity", "_at", "_twice")
+
+
+def account_key(name: Column, url: Column) -> Column:
+    """An account's name without its sign, in lower case, from a column or else from a post's URL."""
+    own = F.lower(F.regexp_replace(F.trim(name), "^@+", ""))
+    return F.coalesce(F.when(own != "", own), F.lower(t.path_part(url, r"(?:x|twitter)\.com/([A-Za-z0-9_]+)/status/")))
+
+
+def with_audience(rows: DataFrame, profiles: DataFrame, name: str = "screen_name", url: str = "url", size: str = "follower_count") -> DataFrame:
+    """A missing audience filled from the account's last profile that was read well; an own value stays. ``audience_from`` tells which."""
+    good = profiles.where((F.lower("status") == "ok") & F.col(size).isNotNull()).withColumn("_key", account_key(F.col("screen_name"), F.lit(None).cast("string")))
+    last = good.groupBy("_key").agg(F.max_by(size, F.struct("collected_at", size)).alias("_read"))
+    met = rows.withColumn("_key", account_key(F.col(name), F.col(url))).join(last, "_key", "left")
+    kind = F.when(F.col(size).isNotNull(), "own").when(F.col("_read").isNotNull(), "profile")
+    return met.withColumns({"audience_from": kind, size: F.coalesce(size, "_read")}).drop("_key", "_read")
+
+
 def _known(rows: DataFrame, names: tuple[str, ...]) -> Column:
     """The first of the columns that is there and neither null nor blank."""
     there = [F.when(F.trim(F.col(n).cast("string")) != "", F.col(n).cast("string")) for n in names if n in rows.columns]
