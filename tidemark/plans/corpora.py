@@ -83,7 +83,20 @@ def due_transcripts(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {"b3_readings": readings, "b15_j15_w15_merged_sources": merged_sources, "b16_f42_annotation": annotation, "b17_a37_reactions": reactions, "b14_features": features, "j9_w9_due_transcripts": due_transcripts}
 _CUT = texts._SEGMENTS.replace("FROM posts)", "FROM sample)")  # the same segments, of a sample
+def _features_sql() -> str:
+    """The parts of the SQL for reading effort and role mix, put together for B14."""
+    effort, mix = texts.SQL["f36_f37_reading_effort"], texts.SQL["a28_role_mix"]
+    last = lambda q: q.rindex("SELECT platform_event_id, ")
+    effort_from, mix_from = effort.index(", c AS (SELECT"), mix.index(", flat AS (SELECT")
+    model = r"""trim(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?i)(https?)\s*:\s*/\s*/\s*', '\1://', 'g'), '(?i)https?://\S+|www\.\S+', ' ', 'g'), '<(?:USER|EMAIL|PHONE|IP|URL)>|\[(?i:redacted|removed|deleted)\]', ' ', 'g'), '@[\p{L}\p{N}_]+', ' ', 'g'), '#', ''), '\s+', ' ', 'g'))"""
+    return with_("posts", f", mt AS (SELECT platform_event_id, {model} AS text FROM posts)" + effort[effort_from : last(effort)].replace("FROM posts)", "FROM mt)") + ", eff AS (" + effort[last(effort) :] + ")" + mix[mix_from : last(mix)] + ", mix AS (" + mix[last(mix) :] + """),
+n AS (SELECT community, count(*) AS size FROM posts GROUP BY 1)
+SELECT p.platform_event_id, reading_effort, coalesce(role_n_segments, 0) AS role_n_segments, coalesce(role_diversity, 0) AS role_diversity, coalesce(role_n_proof, 0) AS role_n_proof, coalesce(role_ratio_uncertain, 0) AS role_ratio_uncertain, CASE WHEN p.platform_event_id::BIGINT % 7 <> 0 THEN round(ln(1 + size), 6) ELSE 0.0 END AS audience_log,
+  (p.platform_event_id::BIGINT % 7 <> 0)::INTEGER AS audience_known, 0 AS audience_zero, (lang = 'en')::INTEGER AS lang_en, (lang = 'fr')::INTEGER AS lang_fr, (lang = 'de')::INTEGER AS lang_de, (lang = 'es')::INTEGER AS lang_es FROM posts p JOIN eff ON eff.platform_event_id = p.platform_event_id JOIN n ON n.community = p.community LEFT JOIN mix ON mix.platform_event_id = p.platform_event_id""")
+
+
 SQL = {
+    "b14_features": _features_sql(),
     "b17_a37_reactions": with_("interactions", texts.sentiment_sql("interactions", "source", "text") + " SELECT source, sentiment, stance, count(*) AS n FROM felt GROUP BY ALL"),
     "b16_f42_annotation": with_("posts", ", uniq AS (SELECT source, lang, text, arg_min(platform_event_id, (length(platform_event_id), platform_event_id)) AS platform_event_id FROM posts WHERE length(text) BETWEEN 20 AND 3000 GROUP BY ALL), numbered AS (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY sha256('42:' || platform_event_id)) AS r FROM uniq), least AS (SELECT lang, min(n) AS n FROM (SELECT lang, source, count(*) AS n FROM uniq GROUP BY ALL) GROUP BY lang), sample AS (SELECT platform_event_id, text FROM numbered JOIN least USING (lang) WHERE r <= n)"
       + _CUT + f", told AS (SELECT * FROM segments WHERE {texts._NOISE} IS NULL)" + texts._role_sql("told") + texts.sentiment_sql("told", "platform_event_id, position", "segment")
