@@ -120,7 +120,8 @@ def zscored(rows: DataFrame, metrics: tuple[str, ...], source: str = "source", q
 def repetitions(rows: DataFrame, size: str, seconds: str) -> DataFrame:
     """Spread of repeated measurements by size, and the ratio of medians to the size before."""
     s = F.col(seconds)
-    out = rows.groupBy(size).agg(F.count(s).alias("runs"), F.median(s).alias("median"), F.min(s).alias("least"), F.max(s).alias("most"), F.avg(s).alias("mean"), F.stddev_pop(s).alias("stddev"))
+    out = rows.groupBy(size).agg(F.count(s).alias("runs"), F.min(s).alias("least"), F.max(s).alias("most"), F.avg(s).alias("mean"), F.stddev_pop(s).alias("stddev"))
+    out = out.join(quantiles(rows, seconds, {"median": 0.5}, (size,)), size)
     return out.withColumn("ratio_to_previous", F.col("median") / F.lag("median").over(Window.orderBy(size)))  # one row a size
 
 

@@ -16,12 +16,17 @@ SECONDARY = ("comments", "transcripts", "channels")
 
 
 def protected(rows: DataFrame, salt: str, snapshot: Column | None = None) -> DataFrame:
-    """Hashed people, plain URLs, cleaned texts; a snapshot's id is a hash already and stays."""
+    """Hashed people and accounts, plain URLs, cleaned texts, metadata without accounts; a snapshot's id is a hash already and stays."""
     user = salted(salt, F.col("user_id"))
     user = user if snapshot is None else F.when(snapshot, F.col("user_id")).otherwise(user)
     url = F.when((F.col("source") == "x") & F.col("platform_event_id").isNotNull(), F.concat(F.lit("https://x.com/i/status/"), "platform_event_id")).otherwise(F.col("url"))
     clean = t.clean_text(F.coalesce("raw_text", "title"))
-    rows = rows.withColumns({"user_id": user, "url": t.without_fragment(url), "clean_text": clean, "title": t.clean_text(F.col("title"))})
+    own = {"user_id": user, "url": t.without_fragment(url), "clean_text": clean, "title": t.clean_text(F.col("title"))}
+    if "x_account" in rows.columns:
+        own["x_account"] = salted(salt, F.col("x_account"))
+    if "metadata_json" in rows.columns:
+        own["metadata_json"] = t.redacted_field(F.col("metadata_json"), "x_account")
+    rows = rows.withColumns(own)
     return rows.withColumns({"raw_text": F.col("clean_text"), "text_for_model": t.for_model(F.col("clean_text"))})
 
 

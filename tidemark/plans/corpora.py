@@ -88,7 +88,7 @@ def _features_sql() -> str:
     effort, mix = texts.SQL["f36_f37_reading_effort"], texts.SQL["a28_role_mix"]
     last = lambda q: q.rindex("SELECT platform_event_id, ")
     effort_from, mix_from = effort.index(", c AS (SELECT"), mix.index(", flat AS (SELECT")
-    model = r"""trim(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?i)(https?)\s*:\s*/\s*/\s*', '\1://', 'g'), '(?i)https?://\S+|www\.\S+', ' ', 'g'), '<(?:USER|EMAIL|PHONE|IP|URL)>|\[(?i:redacted|removed|deleted)\]', ' ', 'g'), '@[\p{L}\p{N}_]+', ' ', 'g'), '#', ''), '\s+', ' ', 'g'))"""
+    model = r"""trim(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '(?i)(https?://)\s+', '\1', 'g'), '(?i)https?://\S+|www\.\S+', ' ', 'g'), '<[A-Z_]+>', ' ', 'g'), '@[\p{L}\p{N}_]+', ' ', 'g'), '#', ' '), '\s+', ' ', 'g'))"""
     return with_("posts", f", mt AS (SELECT platform_event_id, {model} AS text FROM posts)" + effort[effort_from : last(effort)].replace("FROM posts)", "FROM mt)") + ", eff AS (" + effort[last(effort) :] + ")" + mix[mix_from : last(mix)] + ", mix AS (" + mix[last(mix) :] + """),
 n AS (SELECT community, count(*) AS size FROM posts GROUP BY 1)
 SELECT p.platform_event_id, reading_effort, coalesce(role_n_segments, 0) AS role_n_segments, coalesce(role_diversity, 0) AS role_diversity, coalesce(role_n_proof, 0) AS role_n_proof, coalesce(role_ratio_uncertain, 0) AS role_ratio_uncertain, CASE WHEN p.platform_event_id::BIGINT % 7 <> 0 THEN round(ln(1 + size), 6) ELSE 0.0 END AS audience_log,

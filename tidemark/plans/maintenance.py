@@ -16,8 +16,8 @@ from tidemark.sources import imports
 
 
 def protect(spark: SparkSession, sf: str) -> DataFrame:
-    rows = b.posts(spark, sf).select("source", "platform_event_id", F.lit("t").alias("title"), F.col("text").alias("raw_text"), F.concat(F.lit("https://e.com/"), "platform_event_id", F.lit("#frag")).alias("url"), F.col("author_hash").alias("user_id"))
-    return u.protected(rows, "salt", F.col("platform_event_id").cast("long") % 10 == 0).select("platform_event_id", "user_id", "url", F.sha2("text_for_model", 256).alias("model_sha"))
+    rows = b.posts(spark, sf).select("source", "platform_event_id", F.lit("t").alias("title"), F.col("text").alias("raw_text"), F.concat(F.lit("https://e.com/"), "platform_event_id", F.lit("#frag")).alias("url"), F.col("author_hash").alias("user_id"), F.when(F.col("source") == "x", F.concat(F.lit("acc"), "platform_event_id")).alias("x_account"), F.concat(F.lit('{"x_account" : "acc'), "platform_event_id", F.lit('", "k": 1}')).alias("metadata_json"))
+    return u.protected(rows, "salt", F.col("platform_event_id").cast("long") % 10 == 0).select("platform_event_id", "user_id", "url", F.sha2("text_for_model", 256).alias("model_sha"), "x_account", "metadata_json")
 
 
 def audit(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,7 +204,7 @@ SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN floor(c_acctbal)::BIGINT ELSE
     "s11_api_videos": "SELECT c_custkey::VARCHAR AS video_id, c_name AS title, c_mktsegment AS channel, TIMESTAMP '2024-01-01' AS published_at, c_custkey * 1000 AS view_count, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS like_count, c_custkey % 60 * 60 + c_custkey % 50 AS duration_seconds FROM customer",
     "f50_search_queries": """SELECT p_partkey, '("' || trim(p_brand) || '" OR "' || trim(p_type) || '") lang:en -is:retweet' AS query FROM part""",
     "k18_history": "SELECT o_orderkey, sha256('s:' || o_orderkey) AS event_id, o_orderdate AS ingested_at, true AS synthetic, o_orderdate AS applied_at FROM orders WHERE o_orderkey % 3 = 0",
-    "p4_protect": with_("posts", texts._CLEAN + """ SELECT platform_event_id, CASE WHEN platform_event_id::BIGINT % 10 = 0 THEN author_hash ELSE sha256('salt:' || author_hash) END AS user_id, CASE WHEN source = 'x' THEN 'https://x.com/i/status/' || platform_event_id ELSE 'https://e.com/' || platform_event_id END AS url, sha256(m) AS model_sha FROM ready"""),
+    "p4_protect": with_("posts", texts._CLEAN + """ SELECT platform_event_id, CASE WHEN platform_event_id::BIGINT % 10 = 0 THEN author_hash ELSE sha256('salt:' || author_hash) END AS user_id, CASE WHEN source = 'x' THEN 'https://x.com/i/status/' || platform_event_id ELSE 'https://e.com/' || platform_event_id END AS url, sha256(m) AS model_sha, CASE WHEN source = 'x' THEN sha256('salt:acc' || platform_event_id) END AS x_account, '{"x_account" : "<USER>", "k": 1}' AS metadata_json FROM ready"""),
     "p22_audit": with_("posts", texts._CLEAN + r""", kept AS (SELECT platform_event_id, platform_event_id::BIGINT AS n, text, clean_text AS want, CASE WHEN platform_event_id::BIGINT % 70 <> 1 THEN clean_text || CASE WHEN platform_event_id::BIGINT % 50 = 0 THEN ' more' ELSE '' END END AS have,
   list_concat(list_concat(regexp_extract_all(text, '[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+(?:\.[\p{L}\p{N}_-]+)+'), regexp_extract_all(text, '@[\p{L}\p{N}_]+')), regexp_extract_all(text, '\b(?:\d{1,3}\.){3}\d{1,3}\b')) AS vals FROM ready),
 v AS (SELECT unnest(list_filter([CASE WHEN have IS NULL THEN 'row_absent' END, CASE WHEN have <> want THEN 'clean_text_differs' END, CASE WHEN len(list_filter(vals, lambda x: contains(have, x))) > 0 THEN 'sensitive_value_survived' END], lambda x: x IS NOT NULL)) AS violation FROM kept)

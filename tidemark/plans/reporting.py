@@ -60,7 +60,9 @@ def communities(spark: SparkSession, sf: str) -> DataFrame:
 def snapshots(spark: SparkSession, sf: str) -> DataFrame:
     """Totals of the latest readings by source, in long form, and the median age."""
     last = s.latest(s.with_rates(b.observations(spark, sf)))
-    wide = last.groupBy("source").agg(F.sum("view_count").alias("views"), F.sum("like_count").alias("likes"), F.count(F.lit(1)).alias("posts"), F.median("age_minutes").cast("long").alias("median_age"))
+    wide = last.groupBy("source").agg(F.sum("view_count").alias("views"), F.sum("like_count").alias("likes"), F.count(F.lit(1)).alias("posts"))
+    ages = r.quantiles(last, "age_minutes", {"median_age": 0.5}, ("source",))
+    wide = wide.join(ages, "source").withColumn("median_age", F.col("median_age").cast("long"))
     return wide.unpivot("source", ["views", "likes", "posts", "median_age"], "metric", "value")
 
 
@@ -212,7 +214,7 @@ def lookups(spark: SparkSession, sf: str) -> DataFrame:
     c, o = b.table(spark, sf, "customer"), b.table(spark, sf, "orders")
     size = F.when(F.col("c_custkey") % 3 != 0, F.floor("c_acctbal").cast("long"))
     rows = c.select("c_custkey", "c_nationkey", size.alias("own_size"))
-    medians = rows.groupBy("c_nationkey").agg(F.median("own_size").alias("median_size"))
+    medians = r.quantiles(rows, "own_size", {"median_size": 0.5}, ("c_nationkey",))
     last = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max_by(F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey")), F.when(F.col("o_orderstatus") == "F", F.struct("o_orderdate", "o_orderkey"))).alias("last_order"), F.count(F.lit(1)).alias("orders"))
     joined = rows.join(medians, "c_nationkey").join(last, "c_custkey", "left")
     return joined.select("c_custkey", F.coalesce(F.col("own_size").cast("double"), "median_size").alias("size"), "last_order", F.coalesce("orders", F.lit(0)).alias("orders"))

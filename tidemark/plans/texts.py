@@ -63,7 +63,7 @@ def parsers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keywords(spark: SparkSession, sf: str) -> DataFrame:
-    return _posts(spark, sf).select("platform_event_id", *[c.alias(k) for k, c in t.keyword_flags(F.col("text")).items()], t.model_text(F.col("text")).alias("model_text"))
+    return _posts(spark, sf).select("platform_event_id", *[c.alias(k) for k, c in t.keyword_flags(F.col("text")).items()], F.round(t.upper_ratio(F.col("text")), 6).alias("upper_ratio"), t.model_text(t.folded(F.col("text"))).alias("model_text"))
 
 
 def segments(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,6 +192,7 @@ SELECT page_id, regexp_replace(link, '#.*$', '') AS canonical, nullif(regexp_ext
   CASE WHEN event_id % 7 < 3 THEN make_timestamp((event_id + 1700000000) * 1000000) WHEN event_id % 7 < 5 THEN ('2024-01-0' || event_id % 7 || ' 10:00:00')::TIMESTAMP END AS at, [true, false, true, false, NULL, true, false][event_id % 7 + 1] AS flag,
   CASE WHEN event_id % 7 < 3 THEN ['a', 'b', 'c' || event_id] WHEN event_id % 7 < 5 THEN ['x', event_id::VARCHAR] END AS parts, (CASE WHEN event_id % 7 > 2 THEN event_id % 7 ELSE 0 END) * 3600 + event_id % 60 * 60 + event_id % 50 AS seconds, 'failed token=<REDACTED> for <EMAIL>' AS message FROM events""",
     "f34_f35_keywords": with_("posts", r"""SELECT platform_event_id, contains(text, '?') AS has_question, regexp_matches(lower(text), '\b(?:price|cost|cheap|expensive|\$)') AS mentions_price, regexp_matches(lower(text), '\b(?:range|km|miles|mileage)\b') AS mentions_range, regexp_matches(lower(text), '\b(?:charg|battery|plug)') AS mentions_charging,
-  trim(regexp_replace(replace(regexp_replace(regexp_replace(text, '(?i)https?://\S+|www\.\S+', ' ', 'g'), '@[\p{L}\p{N}_]+', ' ', 'g'), '#', ''), '\s+', ' ', 'g')) AS model_text FROM posts"""),
+  round(coalesce(len(regexp_extract_all(text, '[A-Z]')) / nullif(len(regexp_extract_all(text, '[A-Za-z]')), 0), 0), 6) AS upper_ratio,
+  trim(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '(?i)(https?://)\s+', '\1', 'g'), '(?i)https?://\S+|www\.\S+', ' ', 'g'), '<[A-Z_]+>', ' ', 'g'), '@[\p{L}\p{N}_]+', ' ', 'g'), '#', ' '), '\s+', ' ', 'g')) AS model_text FROM posts"""),
     "f38_w18_p16_segments": with_("posts", _SEGMENTS + f" SELECT platform_event_id, position, segment, {_NOISE} AS noise_reason FROM segments"),
 }
