@@ -42,7 +42,7 @@ def root_videos(rows: DataFrame) -> DataFrame:
     return rows.where((F.col("source") == "youtube") & ~kind.rlike("comment|reply") & (t.video_id(F.col("url")).isNotNull() | F.col("platform_event_id").isNotNull()))
 
 
-def thumbnails(rows: DataFrame, safe: str = r"^https://([a-z0-9-]+\.)*(ytimg|ggpht|youtube)\.com/") -> DataFrame:
+def thumbnails(rows: DataFrame, safe: str = r"^https://(?!\.|[^/]*\.\.)[a-z0-9.-]*(?<![a-z0-9-])(?:ytimg|ggpht|youtube)\.com/") -> DataFrame:
     """Contents whose thumbnail is missing or unsafe, with one made from the video's id, once a content."""
     bad = F.col("thumbnail_url").isNull() | (F.trim("thumbnail_url") == "") | ~F.lower(F.trim("thumbnail_url")).rlike(safe)
     found = rows.where(bad & F.col("video_id").rlike("^[A-Za-z0-9_-]{1,64}$"))
