@@ -29,9 +29,11 @@ KEY, SYNTHETIC = "spark.tidemark.pseudonyms.key", "synthetic"
 #: The days of 1900 to 2099, as a product, for the two halves of a date.
 DAYS = (17, 4297)
 ISO, DAY_FIRST = "yyyy-MM-dd", "dd.MM.yyyy"
-#: Fixed patterns: what may be personal data.
+#: A label of a domain that cannot be its last, and one that can. Repeated groups are possessive: others go a stack frame deeper each time.
+_POOR, _GOOD = r"(?:\.(?![A-Za-z]{2})[A-Za-z0-9-]++)*+", r"\.(?=[A-Za-z]{2})"
+#: Fixed patterns: what may be personal data. An address ends in the last label that begins with two letters, after the letters.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:{_POOR}{_GOOD}[A-Za-z0-9-]++(?={_POOR}{_GOOD}))*+{_POOR}\.[A-Za-z]{{2,}}+",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9]|-[0-9])",
     "day": r"(?<![0-9./])[0-9]{2}(?<mark>[./])[0-9]{2}\k<mark>(?:19|20)[0-9]{2}(?![0-9]|[./][0-9])",
