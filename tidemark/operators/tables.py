@@ -1,7 +1,8 @@
 """Merges and upkeep of tables in plain partitioned Parquet folders.
 
-A journal is only appended to, and looked up only in the parts that new rows fall in. Current state is dealt into buckets by key, and a
-merge rewrites the buckets it has news for. Snapshots are partitions of one folder that are written whole and never changed.
+A journal is only appended to. Beside it lies a table of its keys, dealt into buckets by their hashes, of which a batch reads its own only, so a
+key is there once in the whole journal. Current state is dealt into buckets by key; a merge writes the buckets it has news for beside the live ones,
+which stay until their successors are whole. Snapshots are partitions of one folder that are written whole and never changed.
 """
 
 from __future__ import annotations
@@ -20,11 +21,13 @@ GREATEST = ("attempt_count", "last_attempt_at", "updated_at")
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table in a folder, or None if nothing was written yet."""
+    """The table in a folder, or None if nothing was written yet; any other failure to read it is one."""
     try:
         return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no folder, or none with a file
+            return None
+        raise
 
 
 def touched(old: DataFrame, rows: DataFrame, part: str) -> DataFrame:
@@ -34,7 +37,7 @@ def touched(old: DataFrame, rows: DataFrame, part: str) -> DataFrame:
 
 
 def append_new(rows: DataFrame, path: str, key: str, part: str) -> None:
-    """Adds the rows whose key is not there yet. A row's ``part`` follows from the row, so a repeated one is sought where it lies."""
+    """Adds the rows whose key is not there yet, where a row's ``part`` follows from its key, so that a repeated one is sought where it lies."""
     rows = rows.dropDuplicates([key])
     old = stored(rows.sparkSession, path)
     if old is not None:
@@ -42,17 +45,69 @@ def append_new(rows: DataFrame, path: str, key: str, part: str) -> None:
     rows.write.mode("append").partitionBy(part).parquet(path)
 
 
+def _of_keys(path: str) -> str:
+    return f"{path.rstrip('/')}_keys"
+
+
+def append_once(rows: DataFrame, path: str, key: str, part: str, order: tuple[str, ...] = (), buckets: int = 256) -> None:
+    """Adds the rows whose key is nowhere in the journal, whatever part they and the journal's row are in. Rows without a key are left out.
+
+    A key belongs to one part, the least that the batch which brought it first had it in, and only a row of that part can be its row. The keys are written
+    to their index before the rows are to the journal: a batch that stops between the two is read again, finds its keys with their parts,
+    and adds the rows that are not yet there. So replays, also in other batches, give each key once. Of a batch's rows of one key and part the first by
+    ``order`` is taken.
+    """
+    spark = rows.sparkSession
+    rows = rows.where(F.col(key).isNotNull()).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    kind = rows.schema[part].dataType
+    claims = rows.groupBy("bucket", key).agg(F.min(part).alias(part))
+    known = stored(spark, _of_keys(path))
+    if known is not None:
+        known = touched(known, claims, "bucket").select(key, F.col(part).cast(kind).alias("_home"))
+        claims = claims.join(known.select(key), key, "left_anti")
+    claims = written(claims, "claims")
+    claims.repartition("bucket").sortWithinPartitions(key).write.mode("append").partitionBy("bucket").parquet(_of_keys(path))
+    homes = claims.select(key, F.col(part).alias("_home"))
+    if known is not None:
+        homes = homes.unionByName(known)
+    rows = rows.join(homes, key).where(F.col(part) == F.col("_home")).drop("_home", "bucket")
+    first = F.struct(*order, F.xxhash64(*[c for c, k in rows.dtypes if "map<" not in k]))
+    append_new(rows.groupBy(key).agg(F.min_by(F.struct(*[c for c in rows.columns if c != key]), first).alias("_r")).select(key, "_r.*"), path, key, part)
+
+
+def compacted_keys(spark: SparkSession, path: str, key: str) -> None:
+    """Rewrites the buckets of a journal's key index as one file each, each key once."""
+    whole = written(spark.read.parquet(_of_keys(path)).dropDuplicates([key]), "keys")
+    whole.repartition("bucket").sortWithinPartitions(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(_of_keys(path))
+
+
+def _live(rows: DataFrame) -> DataFrame:
+    """bucket and its slot of the highest generation: a row a bucket."""
+    return rows.groupBy("bucket").agg(F.max_by("slot", "generation").alias("slot"), F.max("generation").alias("generation"))
+
+
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The state that ``upsert`` keeps, or None if there is none yet."""
+    old = stored(spark, path)
+    return None if old is None else old.join(F.broadcast(_live(old).select("bucket", "slot")), ["bucket", "slot"], "left_semi").drop("slot", "generation")
+
+
 def upsert(rows: DataFrame, path: str, key: Column, order: str | None = None, buckets: int = 64) -> None:
     """K4, K5: merges rows by ``key``, keeping known values; only buckets that have news are written.
 
-    Buckets are replaced when all of their rows are written. Should a store lose one between its removal and its successor's arrival, the journal has
-    all events, and ``pipeline.rebuilt`` makes the state again.
+    A bucket has two slots. Its merged rows go to the one that is not live and become live by their higher generation, so the rows before
+    them are there until then, and a merge that stops halfway is simply repeated. A bucket is one file, which appears whole or not at all.
     """
+    spark = rows.sparkSession
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-    old = stored(rows.sparkSession, path)
+    old = stored(spark, path)
+    live = {r["bucket"]: (r["slot"], r["generation"]) for r in _live(old).collect()} if old is not None else {}  # a row a bucket
     if old is not None:
-        rows = merged(touched(old, rows, "bucket"), rows, key, order)
-    rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+        rows = merged(touched(current(spark, path), rows, "bucket"), rows, key, order)
+    slots = F.create_map(*[F.lit(x) for b, (slot, _) in live.items() for x in (b, 1 - slot)]) if live else F.lit(None)
+    slot = F.coalesce(F.try_element_at(slots, F.col("bucket")), F.lit(0)) if live else F.lit(0)
+    rows = rows.withColumns({"slot": slot.cast("int"), "generation": F.lit(1 + max((g for _, g in live.values()), default=0)).cast("long")})
+    rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "slot").parquet(path)
 
 
 def snapshot(rows: DataFrame, path: str, name: str) -> None:
@@ -61,9 +116,10 @@ def snapshot(rows: DataFrame, path: str, name: str) -> None:
 
 
 def pinned(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
-    """The snapshot of that name, or the last one by name."""
+    """The snapshot of that name, or the last one: names that are numbers stand by number, others by time or text."""
     rows = spark.read.option("mergeSchema", True).parquet(path).withColumn("snapshot", F.col("snapshot").cast("string"))
-    name = name or rows.agg(F.max("snapshot")).first()[0]  # reads no column but the partition's
+    order = F.struct(F.col("snapshot").try_cast("decimal(38,0)"), F.col("snapshot").try_cast("timestamp"), "snapshot")
+    name = name or rows.agg(F.max_by("snapshot", order)).first()[0]  # reads no column but the partition's
     return rows.where(F.col("snapshot") == name).drop("snapshot")
 
 

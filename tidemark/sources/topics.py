@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.identity import rejected
 
 ENVELOPE = "topic string, partition int, offset long, timestamp timestamp, value string"
 EVENT = "event_id long, user_id long, event_type string, value long"
+#: Canonical events of posts, with what is nested in them; every field may be missing.
+POST = """event_id string, observation_id string, source string, platform_event_id string, user_id string, content_id string, root_content_id string, parent_content_id string, event_type string, content_type string, relation_type string,
+title string, raw_text string, clean_text string, text_for_model string, language string, url string, published_at string, collected_at string, view_count long, like_count long, comment_count long,
+author struct<id: string, name: string, biography: string>, mentions array<string>, comments array<struct<id: string, author: string, text: string>>, extra map<string, string>, transcript_text string, transcript_status string, metadata_json string"""
 _BAD = "_corrupt_record"
 
 
@@ -30,18 +37,44 @@ def table_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
 
-def heartbeat(spark: SparkSession, per_second: int = 1) -> DataFrame:
-    """A source that only says when to read again."""
-    return spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
+def heartbeat(spark: SparkSession, per_batch: int = 1) -> DataFrame:
+    """A rate source, which only says when to read again."""
+    return spark.readStream.format("rate-micro-batch").option("rowsPerBatch", per_batch).load()
 
 
 def decoded(envelopes: DataFrame, schema: str = EVENT) -> DataFrame:
     """The message's fields beside its envelope, and ``decode_error`` for text that is no JSON of this form."""
-    rows = envelopes.withColumnRenamed("value", "raw").withColumn("_p", F.from_json("raw", f"{schema}, {_BAD} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}))
-    bad = F.col(f"_p.{_BAD}").isNotNull() | F.col("_p").isNull()
-    names = [x.strip().split()[0] for x in schema.split(",")]
-    # a broken message gives no field at all
-    return rows.select("topic", "partition", "offset", "timestamp", "raw", F.when(bad, "malformed_json").alias("decode_error"), *[F.when(~bad, F.col(f"_p.{n}")).alias(n) for n in names])
+    return decoded_by_topic(envelopes, {None: schema})
+
+
+def fields_of(schemas: Mapping[str | None, str]) -> dict[str, T.DataType]:
+    """All fields of some schemas in order; a name has one type in all of them."""
+    out: dict[str, T.DataType] = {}
+    for schema in schemas.values():
+        for f in T.StructType.fromDDL(schema):
+            if out.setdefault(f.name, f.dataType) != f.dataType:
+                raise ValueError(f"{f.name} is {out[f.name].simpleString()} and {f.dataType.simpleString()}")
+    return out
+
+
+def decoded_by_topic(envelopes: DataFrame, schemas: Mapping[str | None, str]) -> DataFrame:
+    """Messages read by the schema registered for their topic (None: for all others), with the fields of all schemas, null where a topic has none.
+
+    ``decode_error`` is malformed_json or unregistered_topic; a broken message gives no field at all.
+    """
+    fields, bad, known, out = fields_of(schemas), F.lit(False), F.lit(False), {}
+    rows = envelopes.withColumnRenamed("value", "raw")
+    for k, (topic, schema) in enumerate(schemas.items()):
+        own = {f.name for f in T.StructType.fromDDL(schema)}
+        mine = ~known if topic is None else F.col("topic") == topic
+        rows = rows.withColumn(f"_p{k}", F.when(mine, F.from_json("raw", f"{schema}, {_BAD} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})))
+        p = F.col(f"_p{k}")
+        bad = F.when(mine, p[_BAD].isNotNull() | p.isNull()).otherwise(bad)
+        for name in own:
+            out[name] = F.when(mine & p[_BAD].isNull(), p[name]).otherwise(out.get(name, F.lit(None).cast(fields[name])))
+        known = known | mine
+    error = F.when(~known, "unregistered_topic").when(bad, "malformed_json")
+    return rows.select("topic", "partition", "offset", "timestamp", "raw", error.alias("decode_error"), *[out[n].alias(n) for n in fields])
 
 
 def framed(value: Column, writers: dict[int, str]) -> tuple[Column, Column]:
@@ -71,8 +104,10 @@ def first_failure(*rules: tuple[Column, str]) -> Column:
 
 
 def tagged(rows: DataFrame) -> DataFrame:
-    """The first reason to reject a decoded event."""
-    return rows.withColumn("reason", first_failure((F.col("decode_error").isNotNull(), "malformed_json"), (F.col("user_id").isNull(), "missing_user_id"), (F.col("event_type").isNull(), "missing_event_type"), (F.col("event_type") == "error", "collector_error"), (F.col("value") < 0, "negative_value")))
+    """The first reason to reject a decoded event; a schema without readings has none that is negative."""
+    negative = F.col("value") < 0 if "value" in rows.columns else F.lit(False)
+    first = first_failure((F.col("user_id").isNull(), "missing_user_id"), (F.col("event_type").isNull(), "missing_event_type"), (F.col("event_type") == "error", "collector_error"), (negative, "negative_value"))
+    return rows.withColumn("reason", F.coalesce(F.col("decode_error"), first))
 
 
 def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -9,19 +9,23 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions import text
-from tidemark.functions.identity import row_id, salted
+from tidemark.functions import privacy
+from tidemark.functions.identity import row_id
 from tidemark.operators import tables
 from tidemark.operators.tables import collapsed
 from tidemark.sources import topics
 
 
+#: One schema for all topics.
+EVENTS: Mapping[str | None, str] = {None: topics.EVENT}
+
+
 class CrashForTest(RuntimeError):
     """Raised by the fault hook only."""
 
@@ -44,21 +48,22 @@ def started(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoi
     return writer.start()
 
 
-def journal(stream: DataFrame, path: str, checkpoint: str, salt: str, mode: str = "available_now") -> StreamingQuery:
-    """Decode, tag, protect (P4), and write dead letters and journal in this order, by day of the message.
+def journal(stream: DataFrame, path: str, checkpoint: str, salt: str, mode: str = "available_now", schemas: Mapping[str | None, str] = EVENTS, rules: Mapping[str, str] = privacy.RULES) -> StreamingQuery:
+    """Decode by each topic's schema, tag, protect (P4), and write dead letters and journal in this order, by day of the message.
 
-    Personal data is hashed or cleaned before anything is stored, and what cannot be decoded is stored as its size and hash only.
+    Every text of a message, however deep, is hashed or cleaned by the path of its schema before anything is stored; what cannot be decoded is
+    stored as its size and hash only, and fields outside the schema are not read at all.
     """
+    fields = list(topics.fields_of(schemas))
 
     def batch(rows: DataFrame, _: int) -> None:
-        rows = topics.tagged(topics.decoded(rows)).withColumn("day", F.to_date("timestamp")).persist()
+        rows = topics.tagged(topics.decoded_by_topic(rows, schemas)).withColumn("day", F.to_date("timestamp")).persist()
         try:
             good, dead = topics.split(rows)
             dead = dead.withColumn("letter_id", row_id(F.col("topic"), F.col("partition"), F.col("offset")))
             tables.append_new(dead, f"{path}/dead", "letter_id", "day")
             fault("after_dead_letters")
-            # Once in the batch, and once in the table
-            tables.append_new(protected_event(good, salt), f"{path}/journal", "event_id", "day")
+            tables.append_once(privacy.protected_rows(good, salt, fields, rules), f"{path}/journal", "event_id", "day", order=("timestamp", "partition", "offset"))
             fault("after_journal")
         finally:
             rows.unpersist()
@@ -66,15 +71,6 @@ def journal(stream: DataFrame, path: str, checkpoint: str, salt: str, mode: str
     return started(stream, batch, checkpoint, mode)
 
 
-def protected_event(rows: DataFrame, salt: str) -> DataFrame:
-    """An event with its person hashed and, where it has them, its URL plain and its texts cleaned."""
-    out = {"user_id": salted(salt, F.col("user_id").cast("string"))}
-    if "url" in rows.columns:
-        out["url"] = text.without_fragment(F.col("url"))
-    out |= {c: text.clean_text(F.col(c)) for c in ("title", "raw_text") if c in rows.columns}
-    return rows.withColumns(out)
-
-
 def applicable(spark: SparkSession, path: str, since: str | None = None) -> DataFrame | None:
     """The journal's events without a proof that they were applied, in the form that is handed on: projected, with their stage.
 
@@ -135,3 +131,64 @@ def sessions(stream: DataFrame, time: str, author: str, gap: str = "30 minutes",
 
 def to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return stream.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def period_counts(stream: DataFrame, topic: str, time: str, seconds: int, delay: str = "1 hour") -> DataFrame:
+    """Topic, start, n and before: the rows of each closed period and of the period before it.
+
+    A row counts for its own period and, as one before, for the next, so one windowed aggregation has both. The watermark
+    is that of the later times, so it stands as far behind the newest row as ``delay`` says.
+    """
+    at = F.explode(F.array(F.col(time), F.timestamp_seconds(F.unix_micros(time) / 1_000_000 + seconds)))
+    both = stream.select(topic, F.col(time).alias("_time"), at.alias("_at")).withWatermark("_at", f"{seconds} seconds {delay}")
+    counted = both.groupBy(F.window("_at", f"{seconds} seconds").alias("w"), topic).agg(F.count_if(F.col("_at") == F.col("_time")).alias("n"), F.count_if(F.col("_at") != F.col("_time")).alias("before"))
+    return counted.where("n > 0").select(topic, F.col("w.start").alias("start"), "n", "before")
+
+
+GROWTH = {"trend_growth_1h": 3600, "trend_growth_24h": 86400}
+
+
+def growth(spark: SparkSession, source: str, base: str, key: str, topic: str, time: str, delay: str = "1 hour") -> None:
+    """How a topic grows from hour to hour and from day to day, for each row of a table that is added to, as its day is closed.
+
+    Rows are admitted once (repeats and rows behind the watermark are dropped for good); closed hours and days are counted from what was
+    admitted; and rows meet both counts in stream-stream joins on topic and interval, whose states the watermarks bound. Each
+    step is a query of its own over the table that the one before appends to. ``grown`` reads the result.
+    """
+    admitted = deduplicated(topics.table_stream(spark, source).select(key, topic, time), key, time, delay)
+    to_table(admitted, f"{base}/rows", f"{base}/rows-mark").awaitTermination()
+    kind = {f.name: f.dataType.simpleString() for f in admitted.schema}
+    rows = lambda: spark.readStream.schema(admitted.schema).parquet(f"{base}/rows")
+    met = rows().withWatermark(time, delay)
+    for name, seconds in GROWTH.items():
+        to_table(period_counts(rows(), topic, time, seconds, delay), f"{base}/{name}", f"{base}/{name}-mark").awaitTermination()
+        counts = spark.readStream.schema(f"{topic} {kind[topic]}, start timestamp, n long, before long").parquet(f"{base}/{name}")
+        change = (F.col("n") - F.col("before")) / F.when(F.col("before") > 0, F.col("before"))
+        counts = counts.withWatermark("start", "0 seconds").select(F.col(topic).alias(f"_t{seconds}"), F.col("start").alias(f"_s{seconds}"), change.alias(name))
+        within = F.expr(f"{time} >= _s{seconds} AND {time} < _s{seconds} + INTERVAL {seconds} SECONDS")
+        met = met.join(counts, (F.col(topic) == F.col(f"_t{seconds}")) & within)
+    to_table(met.select(key, topic, time, *GROWTH), f"{base}/grown", f"{base}/grown-mark").awaitTermination()
+
+
+def grown(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.parquet(f"{base}/grown")
+
+
+def reread(spark: SparkSession, table: str, news: str, keys: list[str], out: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """At every beat the newest snapshot of a table that changes is read again and the news joined to it, as the next snapshot of ``out``.
+
+    A stream over the table's files would see what was added and miss what was replaced. A beat that is repeated writes its own snapshot anew. Without
+    ``interval`` there is one beat, which has ended when this returns.
+    """
+
+    def batch(_: DataFrame, beat: int) -> None:
+        found = tables.stored(spark, news)
+        if found is not None:
+            tables.snapshot(found.join(tables.pinned(spark, table), keys, "left"), out, str(beat))
+
+    writer = topics.heartbeat(spark).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    if interval:
+        return writer.trigger(processingTime=interval).start()
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
