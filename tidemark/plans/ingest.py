@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,9 @@ from tidemark import bindings as b
 from tidemark.bindings import with_
 from tidemark.functions import identity as i
 from tidemark.operators import quality as q
+from tidemark.operators import rulebook
 from tidemark.operators import tables as t
+from tidemark.scratch import new_path
 from tidemark.sources import topics
 
 
@@ -172,9 +176,43 @@ def latest_raw(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("user_id").agg(F.max_by(F.struct("topic", "partition", "offset", "event_id"), F.struct("offset", "partition")).alias("_r")).select("user_id", "_r.*")
 
 
+#: A rule document over the driver's tables, with a strict and a lenient profile.
+RULES = {
+    "schema_version": "v1",
+    "profiles": {
+        "strict": {"allow_empty": False, "empty_severity": "error", "fail_severities": ["error"]},
+        "lenient": {"allow_empty": True, "empty_severity": "warning", "fail_severities": ["error"], "overrides": {"orders_keys": {"max_duplicates": 10**9}, "orders_age": {"severity": "warning"}}},
+    },
+    "rules": [
+        {"id": "orders_schema", "kind": "schema", "table": "orders", "required_columns": {"o_orderkey": "*", "o_totalprice": "double", "o_missing": "*"}, "severity": "warning"},
+        {"id": "orders_keys", "kind": "unique_key", "table": "orders", "columns": ["o_custkey"], "max_duplicates": 0},
+        {"id": "orders_states", "kind": "partitions", "table": "orders", "columns": ["o_orderstatus"], "min_partitions": 2},
+        {"id": "orders_there", "kind": "table_empty", "table": "orders", "min_rows": 1},
+        {"id": "nothing_there", "kind": "table_empty", "table": "nothing", "min_rows": 1},
+        {"id": "orders_known", "kind": "completeness", "table": "orders", "columns": ["o_custkey", "status"], "min_rate": 0.9},
+        {"id": "lines_per_order", "kind": "volume_ratio", "upstream_table": "orders", "downstream_table": "lineitem", "min_ratio": 1.0, "max_ratio": 7.0},
+        {"id": "orders_grow", "kind": "volume_history", "table": "orders", "runs": 3, "min_ratio": 0.8, "max_ratio": 1.2},
+        {"id": "orders_age", "kind": "freshness", "table": "orders", "timestamp_column": "o_orderdate", "max_age_minutes": 60},
+        {"id": "absent", "kind": "table_empty", "table": "absent", "min_rows": 1, "severity": "warning"},
+    ],
+}
+
+
+def rule_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The rules over half of the orders and then, twice, over all of them; the history has each run once."""
+    path = new_path(spark, "quality")
+    orders = b.table(spark, sf, "orders").withColumn("status", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")))
+    frames = {"orders": orders.where("o_orderkey % 2 = 0"), "lineitem": b.table(spark, sf, "lineitem"), "nothing": orders.limit(0)}
+    at = lambda hour: F.lit(f"1999-01-01 0{hour}:00:00").cast("timestamp")
+    rulebook.run_and_store(spark, rulebook.parsed(RULES, "strict"), frames, at(1), "first", path)
+    for _ in range(2):
+        rulebook.run_and_store(spark, rulebook.parsed(json.dumps(RULES), "lenient"), {**frames, "orders": orders}, at(2), "second", path)
+    return t.stored(spark, path).select("result_id", "run_id", "rule_id", "severity", "table_name", F.round("metric_value", 6).alias("metric_value"), "row_count", "status", "message", "fails_run")
+
+
 QUERIES = {
     "s5_s6_p1_p2_decode": decode, "p3_k1_dead_letters": dead_letters, "a6_dead_letter_report": dead_letter_report, "s7_framed": framed, "w1_collapse": collapse, "k4_k5_upsert": upsert, "r8_upsert_observed": upsert_observed, "k3_k10_k13_insert_new": insert_new, "k6_update_only": update_only, "k7_replace_latest": replace_latest,
-    "k8_null_safe_merge": null_safe, "k11_k12_backfill_delete": backfill_delete, "a4_a5_j1_j2_b19_reconcile": reconcile, "t2_repair_set": repair, "j5_k18_theta_join": theta, "b18_f49_u5_quality_rules": rules, "a7_completeness": complete, "p19_p21_violations": audits, "p24_one_lineage": lineage, "a39_replay": replay, "b10_p11_f27_f28_versions": versions, "w10_latest_raw": latest_raw,
+    "k8_null_safe_merge": null_safe, "k11_k12_backfill_delete": backfill_delete, "a4_a5_j1_j2_b19_reconcile": reconcile, "t2_repair_set": repair, "j5_k18_theta_join": theta, "b18_f49_u5_quality_rules": rules, "b18_rule_history": rule_history, "a7_completeness": complete, "p19_p21_violations": audits, "p24_one_lineage": lineage, "a39_replay": replay, "b10_p11_f27_f28_versions": versions, "w10_latest_raw": latest_raw,
 }
 
 _DECODED = """, d AS (SELECT topic, "partition", "offset", value AS raw, json_valid(value) AS ok, CASE WHEN json_valid(value) THEN value END AS j FROM event_log),
@@ -207,6 +245,21 @@ SELECT (SELECT count(*) FROM journal) AS journal_events, (SELECT count(*) FROM p
   (SELECT count(*) - count(DISTINCT event_id) FROM journal) AS journal_duplicates, (SELECT count(*) - count(DISTINCT event_id) FROM proofs) AS proof_duplicates, false AS is_clean, (SELECT count(*) FROM lost WHERE source = 'view') AS missing_views""",
     "t2_repair_set": f"WITH {_JOURNAL} SELECT * FROM journal ANTI JOIN proofs USING (event_id) ORDER BY ingested_at, event_id LIMIT 50",
     "j5_k18_theta_join": f"WITH {_UPDATES}, s AS ({_COLLAPSE('true')}) SELECT u.event_id, s.event_id AS state_event_id FROM u JOIN s ON u.platform_event_id = s.platform_event_id OR (u.platform_event_id IS NULL AND s.platform_event_id IS NULL AND u.user_id = s.user_id AND u.url = s.url)",
+    "b18_rule_history": r"""WITH o AS (SELECT *, nullif(o_orderstatus, 'P') AS status FROM orders), runs(run_id, profile, lenient, half, seen) AS (VALUES ('first', 'strict', false, true, TIMESTAMP '1999-01-01 01:00:00'), ('second', 'lenient', true, false, TIMESTAMP '1999-01-01 02:00:00')),
+m AS (SELECT run_id, profile, lenient, seen, count(*) AS n, count(DISTINCT o_custkey) AS custs, count(DISTINCT o_orderstatus) AS states, count(status) AS known, max(o_orderdate) AS newest FROM runs JOIN o ON NOT half OR o_orderkey % 2 = 0 GROUP BY ALL),
+v AS (SELECT run_id, profile, lenient, r.* FROM m, LATERAL (SELECT unnest([
+  {'rule_id': 'orders_schema', 'severity': 'warning', 'table_name': 'orders', 'metric_value': 1.0::DOUBLE, 'row_count': n, 'ok': false, 'message': NULL::VARCHAR},
+  {'rule_id': 'orders_keys', 'severity': 'error', 'table_name': 'orders', 'metric_value': (n - custs)::DOUBLE, 'row_count': n, 'ok': lenient OR n = custs, 'message': NULL},
+  {'rule_id': 'orders_states', 'severity': 'error', 'table_name': 'orders', 'metric_value': states::DOUBLE, 'row_count': n, 'ok': states >= 2, 'message': NULL},
+  {'rule_id': 'orders_there', 'severity': 'error', 'table_name': 'orders', 'metric_value': n::DOUBLE, 'row_count': n, 'ok': true, 'message': NULL},
+  {'rule_id': 'nothing_there', 'severity': CASE WHEN lenient THEN 'warning' ELSE 'error' END, 'table_name': 'nothing', 'metric_value': 0.0, 'row_count': 0, 'ok': false, 'message': 'nothing to measure'},
+  {'rule_id': 'orders_known', 'severity': 'error', 'table_name': 'orders', 'metric_value': known / n, 'row_count': n, 'ok': known / n >= 0.9, 'message': NULL},
+  {'rule_id': 'lines_per_order', 'severity': 'error', 'table_name': 'orders->lineitem', 'metric_value': (SELECT count(*) FROM lineitem) / n, 'row_count': n, 'ok': (SELECT count(*) FROM lineitem) / n BETWEEN 1 AND 7, 'message': NULL},
+  {'rule_id': 'orders_grow', 'severity': 'error', 'table_name': 'orders', 'metric_value': CASE WHEN lenient THEN n / (SELECT n FROM m WHERE NOT lenient) ELSE 1.0 END, 'row_count': n, 'ok': NOT lenient OR n / (SELECT n FROM m WHERE NOT lenient) BETWEEN 0.8 AND 1.2, 'message': NULL},
+  {'rule_id': 'orders_age', 'severity': CASE WHEN lenient THEN 'warning' ELSE 'error' END, 'table_name': 'orders', 'metric_value': greatest(0, (floor(epoch(seen)) - floor(epoch(newest))) / 60), 'row_count': n, 'ok': greatest(0, (floor(epoch(seen)) - floor(epoch(newest))) / 60) <= 60, 'message': NULL},
+  {'rule_id': 'absent', 'severity': 'warning', 'table_name': 'absent', 'metric_value': NULL, 'row_count': NULL, 'ok': false, 'message': 'no table absent'}], recursive := true)) r)
+SELECT sha256(run_id || chr(31) || profile || chr(31) || rule_id) AS result_id, run_id, rule_id, severity, table_name, round(metric_value, 6) AS metric_value, row_count,
+  CASE WHEN ok THEN 'passed' WHEN rule_id = 'nothing_there' AND lenient THEN 'anomaly' ELSE 'failed' END AS status, message, NOT ok AND severity = 'error' AS fails_run FROM v""",
     "b18_f49_u5_quality_rules": """WITH v AS (SELECT * FROM (VALUES ('r1', 'schema', 'error', 'orders', 1.0::DOUBLE, 0.0::DOUBLE), ('r2', 'unique_key', 'error', 'orders', (SELECT count(*) - count(DISTINCT o_orderkey) FROM orders)::DOUBLE, 0.0), ('r3', 'completeness', 'error', 'events', (SELECT least(avg((props IS NOT NULL)::INT), avg((value IS NOT NULL)::INT)) FROM events), 0.99),
   ('r4', 'volume_ratio', 'warning', 'orders', (SELECT (SELECT count(*) FROM orders) / (SELECT count(*) FROM events)), 0.5), ('r5', 'freshness', 'error', 'events', (SELECT epoch(TIMESTAMP '2024-02-01') - floor(epoch(max(ts))) FROM events), 86400.0), ('r6', 'partitions', 'error', 'events', (SELECT count(DISTINCT event_type) FROM events)::DOUBLE, 6.0), ('r7', 'table_empty', 'error', 'events', 1.0, 1.0),
   ('r8', 'orphan_files', 'error', 'events', (SELECT count(*) FROM orders WHERE o_orderkey % 50 >= 40)::DOUBLE, 0.0)) x(rule_id, kind, severity, table_name, value, threshold)),
