@@ -10,10 +10,11 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import IDF, BucketedRandomProjectionLSH, CountVectorizer, NGram, RegexTokenizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.labels import fold_of
+from tidemark.scratch import written
 
 VOCABULARY = 20_000
 
@@ -203,37 +204,99 @@ def similar(vectors: DataFrame, asked: DataFrame, key: str, vector: str, k: int
     return near.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= k)
 
 
-def nearest(vectors: DataFrame, asked: DataFrame, key: str, vector: str, k: int = 10, block: int = 64) -> DataFrame:
-    """Each asked vector's nearest by cosine, exactly: the asked vectors are taken past all rows in blocks, and each block keeps its own best.
+#: Rows of a packed block, slices of the distances to a pivot (which are 0 to 2), and asked vectors that meet a block together.
+_BLOCK, _SLICES, _CHUNK = 4096, 64, 64
 
-    Rows without an id are neither asked nor found; equal cosines go by id.
-    """
+
+def _placed(rows: DataFrame, key: str, vector: str, points: list[list[float]], all_pivots: bool) -> DataFrame:
+    """id, u (the unit vector), pivot and r, the distance to it: of the nearest pivot, or of every one. A zero vector has a direction of its own."""
     import numpy as np
     import pandas as pd
-    from pyspark.sql import Window
 
-    sides = asked.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("a"), vector).withColumn("_deal", F.pmod(F.xxhash64("a"), F.lit(16)))
-    sides = sides.withColumn("_block", F.floor((F.row_number().over(Window.partitionBy("_deal").orderBy("a")) - 1) / block))
-    held = sides.groupBy("_deal", "_block").agg(F.collect_list(F.struct("a", F.col(vector).alias("v"))).alias("_asked")).select("_asked")
-    rows = vectors.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("b"), F.col(vector).alias("v"))
+    at = np.array(points, np.float64)
+
+    def run(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            x = np.array(batch["v"].tolist(), np.float64)
+            size = np.linalg.norm(x, axis=1, keepdims=True)
+            u = x / size.clip(1e-300)
+            far = np.sqrt(np.maximum(2 - 2 * (np.concatenate([u, size == 0], axis=1) @ at.T), 0))
+            ids, units = batch["id"].to_numpy(), u.tolist()
+            if all_pivots:
+                n, p = far.shape
+                yield pd.DataFrame({"id": np.repeat(ids, p), "pivot": np.tile(np.arange(p), n), "r": far.ravel()})
+            else:
+                best = far.argmin(axis=1)
+                yield pd.DataFrame({"id": ids, "u": units, "pivot": best, "r": far[np.arange(len(best)), best]})
+
+    rows = rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
+    return rows.mapInPandas(run, "id long, pivot long, r double" if all_pivots else "id long, u array<double>, pivot long, r double")
+
+
+def _met(pairs: DataFrame, asked: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
+    """a, b, cosine: the best of each block for the asked vectors sent there, (a, pivot, slice, salt)."""
+    import numpy as np
+    import pandas as pd
+
+    place = ["pivot", "slice", "salt"]
+    sent = pairs.join(asked.select(F.col("id").alias("a"), "u"), "a").withColumn("chunk", F.pmod(F.xxhash64("a"), F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)).over(Window.partitionBy(*place)) / _CHUNK))))
+    sent = sent.groupBy(*place, "chunk").agg(F.collect_list(F.struct("a", "u")).alias("asked"))
 
     def best(batches):
         for batch in batches:
             out = []
-            for asked_rows, ids, vs in zip(batch["_asked"], batch["_ids"], batch["_vs"], strict=True):
-                q = np.array([list(x["v"]) for x in asked_rows], np.float64)
-                m = np.array([list(x) for x in vs], np.float64)
-                cosine = (q / np.linalg.norm(q, axis=1, keepdims=True).clip(1e-300)) @ (m / np.linalg.norm(m, axis=1, keepdims=True).clip(1e-300)).T
-                ids = np.array(ids)
-                for i, x in enumerate(asked_rows):
-                    c = np.where(ids == x["a"], -np.inf, cosine[i])
-                    for j in np.lexsort((ids, -c))[:k]:
-                        if c[j] > -np.inf:
-                            out.append((x["a"], int(ids[j]), float(c[j])))
+            for some, ids, us in zip(batch["asked"], batch["ids"], batch["us"], strict=True):
+                q, m, ids = np.array([x["u"] for x in some], np.float64), np.array(us.tolist(), np.float64), np.asarray(ids)
+                cosine = q @ m.T
+                names = np.array([x["a"] for x in some])
+                cosine[names[:, None] == ids] = -np.inf
+                for row, a in zip(cosine, names.tolist(), strict=True):
+                    near = np.flatnonzero(row >= np.partition(row, -k)[-k]) if len(row) > k else np.arange(len(row))
+                    out += [(a, int(ids[b]), float(row[b])) for b in near[np.lexsort((ids[near], -row[near]))][:k] if row[b] > -np.inf]
             yield pd.DataFrame(out, columns=["a", "b", "cosine"])
 
-    packed = rows.groupBy(F.pmod(F.xxhash64("b"), F.lit(64)).alias("_p"), F.floor(F.col("b") / 4096).alias("_q")).agg(F.collect_list("b").alias("_ids"), F.collect_list("v").alias("_vs"))
-    found = packed.crossJoin(held).select("_asked", "_ids", "_vs").mapInPandas(best, "a long, b long, cosine double")  # a stated query set against all rows, in blocks
+    return sent.join(blocks, place).select("asked", "ids", "us").mapInPandas(best, "a long, b long, cosine double")
+
+
+def nearest(vectors: DataFrame, asked: DataFrame, key: str, vector: str, k: int = 10, pivots: int = 64, compared: list[int] | None = None) -> DataFrame:
+    """Each asked vector's nearest by cosine, exactly, by inverted lists.
+
+    A bounded sample of ``pivots`` rows parts the unit vectors: each row stands in the list of its nearest pivot, in slices by its distance r to it. A first
+    meeting with the slices next to the asked vector's own gives the distance t of its k-th neighbour at most. By the triangle inequality a row within t has an r
+    within t of the asked vector's distance to the pivot, so it is sent to those slices only, in whatever list. A slice of many
+    rows is dealt into blocks by hash, so a vector that most rows share is many blocks. ``compared`` takes the number of pairs that were measured.
+
+    Rows without an id or a vector are neither asked nor found; equal cosines go by id.
+    """
+    sample = vectors.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).orderBy(F.xxhash64(F.col(key).cast("long")), key).limit(pivots).select(vector).collect()
+    points = []
+    for r in sample:
+        size = sum(float(x) ** 2 for x in r[0]) ** 0.5
+        points.append([float(x) / size if size else 0.0 for x in r[0]] + [float(size == 0)])
+    if not points:
+        return vectors.sparkSession.createDataFrame([], "a long, b long, cosine double, turn int")
+    place = ["pivot", "slice", "salt"]
+    rows = _placed(vectors, key, vector, points, False).withColumn("slice", F.floor(F.col("r") * _SLICES / 2).cast("long"))
+    rows = written(rows, "placed")
+    sizes = rows.groupBy("pivot", "slice").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).alias("blocks"))  # pivots x slices rows at most
+    rows = rows.join(F.broadcast(sizes), ["pivot", "slice"]).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    blocks = written(rows.groupBy(*place).agg(F.min("r").alias("low"), F.max("r").alias("high"), F.count(F.lit(1)).alias("n"), F.collect_list("id").alias("ids"), F.collect_list("u").alias("us")), "blocks")
+    meta = blocks.select(*place, "low", "high", "n")
+    mine = written(_placed(asked, key, vector, points, False), "asked")
+    # of its own list, a block of each of the nearest slices, until they hold k others
+    near = mine.select(F.col("id").alias("a"), "pivot", "r").join(meta.where("salt = 0"), "pivot")
+    ahead = F.sum("n").over(Window.partitionBy("a").orderBy(F.greatest(F.col("r") - F.col("high"), F.col("low") - F.col("r"), F.lit(0.0)), "slice").rowsBetween(Window.unboundedPreceding, -1))
+    own = near.withColumn("_ahead", F.coalesce(ahead, F.lit(0))).where(F.col("_ahead") <= k).select("a", *place)
+    first = _met(own, mine, blocks, k).groupBy("a").agg(F.sort_array(F.collect_list("cosine"), asc=False).alias("found"))  # k from each of at most k + 1 blocks
+    # the cosine is rounded, so the bound is a little wider than it says
+    reach = first.select("a", F.when(F.size("found") >= k, F.sqrt(F.greatest(2 - 2 * F.get("found", F.lit(k - 1)), F.lit(0.0))) + 1e-6).alias("t"))
+    ways = _placed(asked, key, vector, points, True).withColumnRenamed("id", "a").join(reach, "a", "left").withColumn("t", F.coalesce("t", F.lit(9.0)))
+    pairs = written(ways.join(meta, "pivot").where((F.col("r") - F.col("high") <= F.col("t")) & (F.col("low") - F.col("r") <= F.col("t"))).select("a", *place, "n"), "pairs")
+    if compared is not None:
+        compared.append(pairs.agg(F.sum("n")).first()[0] or 0)
+    found = _met(pairs.drop("n"), mine, blocks, k)
     turn = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
     return found.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= k)
 
