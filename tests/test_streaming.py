@@ -22,7 +22,7 @@ def event(i, user, value):
 
 
 def state(spark, base):
-    return sorted((r.event_id, r.value) for r in tables.current(spark, f"{base}/state").collect())
+    return sorted((r.event_id, r.value) for r in tables.stored(spark, f"{base}/state").collect())
 
 
 def run(spark, folder, base, version="v1"):
@@ -124,13 +124,13 @@ def test_state_survives_a_write_that_stops(spark, tmp_path):
     first = spark.createDataFrame([("x", str(i), "u", "l", "t", i) for i in range(20)], shape)
     for k in range(3):
         tables.upsert(first.withColumn("n", F.col("n") + k), path, tables.identity(), buckets=4)
-    assert sorted(r.n for r in tables.current(spark, path).collect()) == list(range(2, 22))
+    assert sorted(r.n for r in tables.stored(spark, path).collect()) == list(range(2, 22))
     import shutil
 
-    live = {(r.bucket, r.slot) for r in tables._live(tables.stored(spark, path)).collect()}
+    live = {(r.bucket, r.slot) for r in tables._live(tables._files(spark, path)).collect()}
     bucket, slot = min(live)
     shutil.rmtree(f"{path}/bucket={bucket}/slot={1 - slot}")  # a write into the idle slots that was stopped
-    assert sorted(r.n for r in tables.current(spark, path).collect()) == list(range(2, 22))
+    assert sorted(r.n for r in tables.stored(spark, path).collect()) == list(range(2, 22))
 
 
 def test_stored_tells_a_missing_table_from_a_broken_one(spark, tmp_path):

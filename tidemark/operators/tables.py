@@ -20,8 +20,8 @@ OUTCOMES = ("metadata_status", "transcript_status", "comments_status", "collecti
 GREATEST = ("attempt_count", "last_attempt_at", "updated_at")
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table in a folder, or None if nothing was written yet; any other failure to read it is one."""
+def _files(spark: SparkSession, path: str) -> DataFrame | None:
+    """All files of a folder, or None if nothing was written yet; any other failure to read it is one."""
     try:
         return spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as e:
@@ -30,6 +30,14 @@ def stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table in a folder, or None if nothing was written yet; of a state that ``upsert`` keeps, the live slots."""
+    rows = _files(spark, path)
+    if rows is None or not {"bucket", "slot", "generation"} <= set(rows.columns):
+        return rows
+    return rows.join(F.broadcast(_live(rows).select("bucket", "slot")), ["bucket", "slot"], "left_semi").drop("slot", "generation")  # a row a bucket
+
+
 def touched(old: DataFrame, rows: DataFrame, part: str) -> DataFrame:
     """The rows of ``old`` in the parts that ``rows`` fall in; the parts found prune the scan."""
     parts = rows.select(F.col(part).cast(old.schema[part].dataType).alias(part)).distinct()
@@ -86,12 +94,6 @@ def _live(rows: DataFrame) -> DataFrame:
     return rows.groupBy("bucket").agg(F.max_by("slot", "generation").alias("slot"), F.max("generation").alias("generation"))
 
 
-def current(spark: SparkSession, path: str) -> DataFrame | None:
-    """The state that ``upsert`` keeps, or None if there is none yet."""
-    old = stored(spark, path)
-    return None if old is None else old.join(F.broadcast(_live(old).select("bucket", "slot")), ["bucket", "slot"], "left_semi").drop("slot", "generation")
-
-
 def upsert(rows: DataFrame, path: str, key: Column, order: str | None = None, buckets: int = 64) -> None:
     """K4, K5: merges rows by ``key``, keeping known values; only buckets that have news are written.
 
@@ -100,10 +102,10 @@ def upsert(rows: DataFrame, path: str, key: Column, order: str | None = None, bu
     """
     spark = rows.sparkSession
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-    old = stored(spark, path)
+    old = _files(spark, path)
     live = {r["bucket"]: (r["slot"], r["generation"]) for r in _live(old).collect()} if old is not None else {}  # a row a bucket
     if old is not None:
-        rows = merged(touched(current(spark, path), rows, "bucket"), rows, key, order)
+        rows = merged(touched(stored(spark, path), rows, "bucket"), rows, key, order)
     slots = F.create_map(*[F.lit(x) for b, (slot, _) in live.items() for x in (b, 1 - slot)]) if live else F.lit(None)
     slot = F.coalesce(F.try_element_at(slots, F.col("bucket")), F.lit(0)) if live else F.lit(0)
     rows = rows.withColumns({"slot": slot.cast("int"), "generation": F.lit(1 + max((g for _, g in live.values()), default=0)).cast("long")})
