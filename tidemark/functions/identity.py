@@ -53,3 +53,9 @@ def normalised_list(items: Column) -> Column:
 def changed_fields(before: dict[str, Column], after: dict[str, Column]) -> Column:
     """the names, in order, of the fields that differ, null-safely."""
     return F.array_compact(F.array(*[F.when(~before[n].eqNullSafe(after[n]), F.lit(n)) for n in sorted(after)]))
+
+
+def transcript_version(video: Column, language: Column, text: Column) -> Column:
+    """a version of a transcript's words: the same for every collection and timing of them."""
+    code = F.lower(F.replace(F.trim(F.coalesce(language, F.lit(""))), F.lit("_"), F.lit("-")))
+    return F.sha2(F.concat_ws(SEP, F.coalesce(video, F.lit("")), code, F.coalesce(text, F.lit(""))), 256)

@@ -244,3 +244,15 @@ def topic_context(rows: DataFrame, key: str, topic: str, at: str, span: int = 36
         out = out.withColumn("_p", F.floor(F.col(at) / seconds)).join(grown, [topic, "_p"]).drop("_p")
     first = rows.groupBy(topic).agg(F.min(at).alias("_first"))
     return out.join(first, topic).select(key, topic, "recent_posts_1h", "trend_growth_1h", "trend_growth_24h", ((F.col(at) - F.col("_first")) / 3600).alias("topic_freshness_hours"))
+
+
+def dataset_overview(rows: DataFrame, source: str, language: str, text: str, viral: Column) -> DataFrame:
+    """Rows, viral rate, mean length and language mix of each source: languages by share, the larger first.
+
+    One aggregation by source and language, and one over its few rows a source.
+    """
+    n = F.count(F.lit(1))
+    parts = rows.groupBy(source, language).agg(n.alias("_n"), F.sum(F.coalesce(viral.cast("long"), F.lit(0))).alias("_v"), F.count(viral).alias("_k"), F.sum(F.length(text)).alias("_l"), F.count(text).alias("_t"))
+    total = parts.groupBy(source).agg(F.sum("_n").alias("n"), F.sum("_v").alias("_sv"), F.sum("_k").alias("_sk"), F.sum("_l").alias("_sl"), F.sum("_t").alias("_st"), F.array_sort(F.collect_list(F.struct((-F.col("_n")).alias("order"), F.coalesce(language, F.lit("unknown")).alias("lang")))).alias("_mix"))
+    share = F.transform("_mix", lambda x: F.concat(x["lang"], F.lit(":"), F.format_number(-100.0 * x["order"] / F.col("n"), 1)))
+    return total.select(source, "n", F.try_divide(F.col("_sv").cast("double"), "_sk").alias("viral_rate"), F.try_divide(F.col("_sl").cast("double"), "_st").alias("mean_length"), F.array_join(share, ", ").alias("language_mix"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import bindings as b
+from tidemark.functions import identity
 from tidemark.operators import entities as e
 from tidemark.operators import quality, tables
 from tidemark.scratch import written
@@ -113,7 +114,16 @@ def orphans(spark: SparkSession, sf: str) -> DataFrame:
     return quality.orphan_files(listed, p.where("page_id % 3 <> 0").select(F.concat(F.lit("s3:/bucket/data/"), F.col("page_id").cast("string")).alias("path")), "path")
 
 
+def versions(spark: SparkSession, sf: str) -> DataFrame:
+    """how often each version of a transcript's words was collected."""
+    d = b.table(spark, sf, "documents")
+    code = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit(" "), F.upper("lang"), F.lit("_X"))).when(F.col("doc_id") % 4 == 1, F.col("lang"))
+    rows = d.select("doc_id", identity.transcript_version(F.col("source"), code, F.col("text")).alias("version"))
+    return rows.groupBy("version").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"))
+
+
 QUERIES = {
+    "f18_transcript_versions": versions,
     "p6_f15_normalised": normalised, "b1_a1_contents": contents, "b2_interactions": interactions, "b5_a2_j8_content_stats": stats, "b6_a3_u1_user_evolution": evolution, "b4_f16_f17_w4_transcripts": transcripts, "f16_lifecycles": lifecycles, "p10_p23_b20_retries": retries, "p9_w8_f26_f53_refresh_targets": refresh,
     "w17_covered_seconds": covered, "s15_comment_tree": tree, "s12_p5_p20_optional_columns": optional_columns, "u5_orphan_files": orphans,
 }
@@ -136,6 +146,7 @@ _ATTEMPTS = """WITH w AS (SELECT *, ['success', 'not_found', 'Disabled', 'rate_l
 a AS (SELECT user_id AS video_id, event_id AS attempt_id, CASE WHEN event_id % 8 = 0 THEN 'available' WHEN event_id % 31 = 0 THEN 'unavailable' ELSE CASE lower(trim(word)) WHEN 'not_found' THEN 'unavailable' WHEN 'ip_blocked' THEN 'blocked' WHEN 'odd' THEN 'retryable_error' ELSE lower(trim(word)) END END AS lifecycle_status,
   CASE WHEN event_id % 6 = 0 THEN 'fr' WHEN event_id % 2 = 0 THEN 'vi' ELSE 'en' END AS language_code, CASE WHEN event_id % 7 <> 0 THEN ts END AS last_attempt_at, ts AS updated_at, event_id % 6 AS attempt_count, least(86400, 60 * 2 ** least(event_id % 25, 20))::BIGINT AS retry_seconds FROM w)"""
 SQL = {
+    "f18_transcript_versions": """SELECT sha256(coalesce(source, '') || chr(31) || CASE doc_id % 4 WHEN 0 THEN coalesce(lower(lang) || '-x', '') WHEN 1 THEN coalesce(lang, '') ELSE '' END || chr(31) || coalesce(text, '')) AS version, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY 1""",
     "p6_f15_normalised": _EVENTS + " SELECT event_id, source, root AS platform_content_id, content_id, parent_content_id, interaction_id, is_interaction, content_type, interaction_type, subreddit, t AS title FROM norm",
     "b1_a1_contents": _EVENTS + _CONTENTS + " SELECT * FROM contents",
     "b2_interactions": _EVENTS + _CONTENTS + " SELECT interaction_id, source, content_id AS root_content_id, interaction_type, user_id AS author_id_hash, event_id, score FROM replies",

@@ -244,8 +244,15 @@ def context(spark: SparkSession, sf: str) -> DataFrame:
     return r.topic_context(e, "event_id", "topic", "at").withColumns({c: F.round(c, 6) for c in ("trend_growth_1h", "trend_growth_24h", "topic_freshness_hours")})
 
 
+def overview(spark: SparkSession, sf: str) -> DataFrame:
+    """Every community's posts, by the labels where they have some."""
+    posts = b.posts(spark, sf).withColumn("doc_id", F.col("platform_event_id").cast("long"))
+    rows = posts.join(b.table(spark, sf, "labels").groupBy("doc_id").agg((F.max("toxic") == 1).alias("viral")), "doc_id", "left")
+    return r.dataset_overview(rows, "community", "lang", "text", F.col("viral")).withColumns({c: F.round(c, 6) for c in ("viral_rate", "mean_length")})
+
+
 QUERIES = {
-    "b24_context": context,
+    "b24_context": context, "a29_overview": overview,
     "a9_engagement_by_source": engagement, "a12_identifier_activity": people, "t1_top_identifiers": top_people, "w12_progress": progress, "a11_rollup_counts": counts, "a10_a13_a14_shares": shares, "a15_a25_communities": communities, "a16_snapshot_totals": snapshots, "a24_w13_w14_b23_videos": videos,
     "a21_zscore_label": legacy_score, "a35_repetitions": repeats, "a30_a32_metrics": metrics, "a31_reliability": bins, "a33_bootstrap": interval, "b12_a22_a23_f24_t8_examples": examples, "a8_a17_a29_label_report": label_report, "b12_training_dataset": training_dataset, "b11_w7_balanced": balanced, "t5_nested_balanced": nested, "t6_capped": quota,
     "t7_one_per_author": diverse, "t9_t10_folds": folds, "t9_t10_stratified_folds": stratified, "u4_fan_out": people_roles, "a18_collaborators": coverage, "f44_f47_row_quality": row_quality, "b25_prepublication": prepublication, "j10_j14_j21_lookups": lookups, "u2_u3_u6_union_dedupe": keep_and_dedupe, "e1_activity_windows": activity_windows,
@@ -263,6 +270,9 @@ x AS (SELECT *, (view_count IS NOT NULL)::INT + (like_count IS NOT NULL)::INT +
 y AS (SELECT *, total / sqrt(n) AS score FROM x WHERE n > 0), g AS (SELECT gh, row_number() OVER (ORDER BY gh) AS k, count(*) OVER () AS m FROM (SELECT DISTINCT gh FROM y)), z AS (SELECT y.*, CASE WHEN k <= ceil(m * 0.2) THEN 'holdout' ELSE 'train' END AS split_name FROM y JOIN g USING (gh)),
 t AS (SELECT source, quantile_cont(score, 0.75) AS threshold FROM z WHERE split_name = 'train' GROUP BY source), ex AS (SELECT z.*, threshold, CASE WHEN score >= threshold THEN 'viral' ELSE 'not_viral' END AS label_value FROM z JOIN t USING (source))"""
 SQL = {
+    "a29_overview": with_("posts", """, l AS (SELECT doc_id, max(toxic) = 1 AS viral FROM labels GROUP BY 1), p AS (SELECT community, coalesce(lang, 'unknown') AS lang, text, viral FROM posts LEFT JOIN l ON l.doc_id = platform_event_id::BIGINT),
+t AS (SELECT community, count(*) AS n, round(avg(viral::INT), 6) AS viral_rate, round(avg(length(text)), 6) AS mean_length FROM p GROUP BY 1), m AS (SELECT community, lang, count(*) AS k FROM p GROUP BY 1, 2)
+SELECT t.community AS community, n, viral_rate, mean_length, (SELECT string_agg(lang || ':' || printf('%.1f', 100.0 * k / n), ', ' ORDER BY k DESC, lang) FROM m WHERE m.community IS NOT DISTINCT FROM t.community) AS language_mix FROM t"""),
     "b24_context": """WITH e AS (SELECT event_id, event_type AS topic, floor(epoch(ts))::BIGINT AS sec FROM events), n AS (SELECT *, count(*) OVER (PARTITION BY topic ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND 1 PRECEDING) AS recent, (sec - min(sec) OVER (PARTITION BY topic)) / 3600 AS fresh FROM e),
 h AS (SELECT topic, sec // 3600 AS h, count(*) AS n FROM e GROUP BY ALL), d AS (SELECT topic, sec // 86400 AS d, count(*) AS n FROM e GROUP BY ALL)
 SELECT event_id, n.topic AS topic, recent AS recent_posts_1h, round((h1.n - h0.n) / h0.n, 6) AS trend_growth_1h, round((d1.n - d0.n) / d0.n, 6) AS trend_growth_24h, round(fresh, 6) AS topic_freshness_hours FROM n
