@@ -10,10 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.plans import contents, corpora, engagement, ingest, maintenance, models, operations, reporting, streams, texts
+from tidemark.plans import contents, corpora, engagement, ingest, maintenance, models, operations, reporting, sourcing, streams, texts
 
 FLAGSHIP = "b8_velocity"
-MODULES = (engagement, contents, corpora, ingest, maintenance, operations, reporting, streams, texts, models)
+MODULES = (engagement, contents, corpora, ingest, maintenance, operations, reporting, sourcing, streams, texts, models)
 
 
 def _plain(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.snapshots import KEYS, observed
@@ -174,6 +174,30 @@ def thresholds(scored: DataFrame, source: str = "source", score: str = "engageme
     return rows.join(quantiles(scored.select(source, s.alias("_s")), "_s", {"median": 0.5, "threshold": quantile}, (source,)), source)
 
 
+def reference_contract(spark: SparkSession, path: str, reference: dict, platforms: tuple[str, ...], horizon_hours: int, quantile: float = 0.75, fewest: int = 1) -> DataFrame:
+    """The thresholds of a score file (CSV with a header, or Parquet) that another job left, a row a platform, with what identifies the data set they are of.
+
+    Columns ``source`` and ``engagement_score`` must be there, the reference must name version, SHA-256 fingerprint and snapshots, and every platform must have ``fewest`` finite scores; else ValueError.
+    """
+    names = [f for f in ("dataset_version", "source_snapshots") if not reference.get(f)]
+    if len(str(reference.get("dataset_fingerprint", ""))) != 64:
+        names.append("dataset_fingerprint")
+    if names:
+        raise ValueError("the reference lacks " + ", ".join(sorted(names)))
+    files = spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else spark.read.option("header", True).csv(path)
+    lacking = sorted({"source", "engagement_score"} - set(files.columns))
+    if lacking:
+        raise ValueError("score file lacks columns " + ", ".join(lacking))
+    score = F.expr("try_cast(engagement_score AS DOUBLE)")
+    scored = files.where(F.col("source").isin(*platforms)).select("source", F.when(F.abs(score) < float("inf"), score).alias("engagement_score"))
+    limits = thresholds(scored, quantile=quantile, fewest=fewest)
+    without = sorted(set(platforms) - {r["source"] for r in limits.select("source").collect()})  # a row a platform
+    if without:
+        raise ValueError("too few scores of " + ", ".join(without))
+    told = {"quantile": float(quantile), "horizon_hours": horizon_hours, "dataset_version": reference["dataset_version"], "dataset_fingerprint": reference["dataset_fingerprint"]}
+    return limits.withColumns({k: F.lit(v) for k, v in told.items()})
+
+
 def labelled(scored: DataFrame, limits: DataFrame, source: str = "source", score: str = "engagement_score") -> DataFrame:
     """viral from the platform's threshold on."""
     rows = scored.join(limits.select(source, "threshold"), source)
