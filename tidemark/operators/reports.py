@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.snapshots import observed
+from tidemark.scratch import written
 
 
 def by_source(rows: DataFrame, summed: tuple[str, ...], profile: tuple[str, ...], time: str, tie: str, source: str = "source") -> DataFrame:
@@ -55,18 +56,30 @@ def progress(rows: DataFrame, identifier: str, time: str, measures: dict[str, Co
     return running.unpivot([identifier, "date"], list(measures), "metric", "value")
 
 
+RANGES = 256  # a power of two
+
+
+def _range_of(v: Column, cuts: Column) -> Column:
+    """How many of the rising ``cuts`` are below a value, by halving; null for null."""
+    steps = F.array(*[F.lit(RANGES >> i) for i in range(1, RANGES.bit_length())])
+    return F.when(v.isNotNull(), F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(cuts, at + step - 1) < v, at + step).otherwise(at)))
+
+
 def running_sums(counts: DataFrame, keys: list[str], value: str, sums: tuple[str, ...], down: bool = False) -> DataFrame:
     """``counts`` (one row a key and value) with, for each of ``sums``, what the values before sum to (``_before``) and all of the key (``_all``).
 
-    The sums are taken over ranges of values first and inside each range then, so no window holds all values of a key.
-    Keys are compared null-safely. Values that are equal must be one row.
+    Each key's values are cut into ``RANGES`` ranges of about equally many values, wherever they lie (its quantiles, from mergeable summaries); the sums
+    are taken over ranges first and inside each range then, so no window holds all values of a key. Where ranges are cut changes the plan's balance,
+    never the result. Keys are compared null-safely; rows without a value are left out; NaN is above all. Values that are equal must be one row.
     """
     v = F.col(value).cast("double")
-    ranged = counts.withColumn("_g", F.floor(F.log2(F.abs(v) + 1) * 64 * F.signum(v)) * (-1 if down else 1))
+    cuts = counts.groupBy(*[F.col(k).alias(f"_c_{k}") for k in keys]).agg(F.percentile_approx(v, [i / RANGES for i in range(1, RANGES)], 4 * RANGES).alias("_cuts"))
+    met = counts.join(cuts, reduce(lambda a, b: a & b, [counts[k].eqNullSafe(cuts[f"_c_{k}"]) for k in keys])) if keys else counts.crossJoin(F.broadcast(cuts))  # without keys one row
+    ranged = met.select(*[counts[c] for c in counts.columns], (_range_of(v, F.col("_cuts")) * (-1 if down else 1)).alias("_g"))
     order = F.col(value).desc() if down else F.col(value)
     groups = ranged.groupBy(*keys, "_g").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     ahead, whole = Window.partitionBy(*keys).orderBy("_g").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*keys)
-    groups = groups.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_g").alias("_gg"), *[F.coalesce(F.sum(f"_t_{s}").over(ahead), F.lit(0)).alias(f"_a_{s}") for s in sums], *[F.sum(f"_t_{s}").over(whole).alias(f"{s}_all") for s in sums])
+    groups = groups.where(F.col("_g").isNotNull()).select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_g").alias("_gg"), *[F.coalesce(F.sum(f"_t_{s}").over(ahead), F.lit(0)).alias(f"_a_{s}") for s in sums], *[F.sum(f"_t_{s}").over(whole).alias(f"{s}_all") for s in sums])
     inside = Window.partitionBy(*keys, "_g").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     ranged = ranged.withColumns({f"_i_{s}": F.coalesce(F.sum(s).over(inside), F.lit(0)) for s in sums})
     joined = ranged.join(groups, reduce(lambda a, b: a & b, [ranged[k].eqNullSafe(groups[f"_k_{k}"]) for k in keys], ranged["_g"] == groups["_gg"]))
@@ -76,14 +89,18 @@ def running_sums(counts: DataFrame, keys: list[str], value: str, sums: tuple[str
 def average_ranks(rows: DataFrame, columns: tuple[str, ...], partition: str | None = None) -> DataFrame:
     """Each column's average-tie rank over n, from counts by value rather than by numbering all rows in one window.
 
-    A value's rank is the number of smaller values plus half of its own ties and a half.
+    A value's rank is the number of smaller values plus half of its own ties and a half; values are compared as doubles. All columns are counted and ranked in one pass, in long
+    form; the ranks meet the rows by value, where a value that most rows share is one row on the ranks' side, which an adaptive join splits.
     """
     keys = [partition] if partition else []
+    long = rows.select(*keys, F.explode(F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_value")) for c in columns])).alias("_l")).select(*keys, "_l.*")
+    counts = long.where(F.col("_value").isNotNull()).groupBy("_column", *keys, "_value").agg(F.count(F.lit(1)).alias("_n"))
+    ranks = written(running_sums(counts, ["_column", *keys], "_value", ("_n",)).select("_column", *keys, "_value", ((F.col("_n_before") + (F.col("_n") + 1) / 2) / F.col("_n_all")).alias("_rank")), "ranks")
     out = rows
     for c in columns:
-        counts = running_sums(rows.where(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(F.lit(1)).alias("_n")), keys, c, ("_n",))
-        out = out.join(counts.select(*keys, c, ((F.col("_n_before") + (F.col("_n") + 1) / 2) / F.col("_n_all")).alias(f"{c}_rank")), [*keys, c], "left")
-    return out
+        own = ranks.where(F.col("_column") == c).select(*keys, F.col("_value").alias("_v"), F.col("_rank").alias(f"{c}_rank"))
+        out = out.withColumn("_v", F.col(c).cast("double")).join(own, [*keys, "_v"], "left").drop("_v")
+    return out.select(*rows.columns, *[f"{c}_rank" for c in columns])
 
 
 def quantiles(rows: DataFrame, value: str, shares: dict[str, float], keys: tuple[str, ...] = ()) -> DataFrame:
