@@ -68,6 +68,8 @@ def brute_cutoffs(rows):
     from math import comb
 
     out, strata = {}, sorted({s for s, _, _ in rows})
+    able = lambda k: sum((1 - quality.RISK) ** sum(g for x, _, g in rows if x == s) <= quality.LEVEL / k for s in strata)
+    shares = min(k for k in range(1, len(strata) + 1) if able(k) <= k)
     for s in strata:
         own = [([float(f(c)) for f, _, _ in quality.RULES.values()], g) for x, c, g in rows if x == s]
         grids = [list(map(float, quality.grid(r))) for r in quality.RULES]
@@ -98,7 +100,7 @@ def brute_cutoffs(rows):
             state[i] = max(state[i], k)
             lost, gained = sum(over(v, state) for v in good), sum(over(v, state) for v in bad)
             chance = sum(comb(len(good), j) * quality.RISK**j * (1 - quality.RISK) ** (len(good) - j) for j in range(lost + 1))
-            if chance > quality.LEVEL / len(strata):
+            if chance > quality.LEVEL / shares:
                 break
             worth = gained / len(bad) - quality.REGRET * lost / len(good)
             if worth > best[0] + 1e-12:
@@ -114,7 +116,11 @@ def test_verdicts_of_the_query_against_brute_force(spark):
     marks = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     counts = {d: dict(zip(quality._COUNTS, quality.counts_of((r.text or "").encode()), strict=True)) for d, r in docs.items()}
     failed = {d: c["n_words"] < 10 or 100 * c["n_repeat_words"] > 20 * c["n_words"] for d, c in counts.items()}
-    cut = brute_cutoffs([(docs[d].lang or "", counts[d], marks[d] == 1) for d in docs if d in marks and marks[d] is not None and not failed[d]])
+    trials = {}  # copies of a text are one trial
+    for d in docs:
+        if marks.get(d) is not None and not failed[d]:
+            trials.setdefault((docs[d].lang or "", docs[d].text), []).append((counts[d], marks[d] == 1))
+    cut = brute_cutoffs([(lang, own[0][0], all(g for _, g in own)) for (lang, _), own in trials.items()])
     assert cut
     got = {r.doc_id: r for r in quality.op10(spark, sf).collect()}
     rejected = 0
@@ -145,6 +151,25 @@ def test_few_labels_get_cutoffs(spark):
         assert all(own[:300]) and not any(own[300:331]) and own[331]
 
 
+@pytest.mark.parametrize("copies", [1, 3])
+def test_copies_of_good_texts_certify_nothing(spark, copies):
+    """100 good texts are too few, however often they are repeated; 300 different ones are enough."""
+    words = lambda i, sign: " ".join(f"w{i}x{j}{sign}" for j in range(30))
+    good = [words(i % (100 if copies == 3 else 300), "") for i in range(300)]
+    bad = [words(1000 + i, "%%") for i in range(40)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(good + bad)], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(i, int(i < 300)) for i in range(340)], "doc_id long, quality int")
+    assert quality.verdicts(docs, marks).where("not kept").count() == (0 if copies == 3 else 40)
+    assert quality.good_documents(docs, marks).count() == (340 if copies == 3 else 300)
+
+
+def test_only_strata_that_can_be_certified_share_the_level():
+    one = quality.LEVEL
+    assert quality.level_of([149]) == quality.level_of([149, 35, 0]) == quality.level_of([200, 140, 100, 3]) == one
+    assert quality.level_of([182, 182]) == quality.level_of([400, 182, 50, 50]) == one / 2
+    assert quality.level_of([217] * 4) == one / 4 and quality.level_of([]) == one and quality.level_of([3, 4]) == one
+
+
 def test_walk_is_nested_and_complete():
     gain = np.zeros((len(quality.RULES), quality.GRID))
     gain[0, 4:], gain[0, 20:], gain[2, 40:] = 30, 50, 1
