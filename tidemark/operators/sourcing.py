@@ -37,10 +37,10 @@ def unseen(rows: DataFrame, current: DataFrame, source: str) -> DataFrame:
     return rows.join(known, "platform_event_id", "left_anti")
 
 
-def usable(rows: DataFrame) -> DataFrame:
-    """Rows with an id and a text of at least ``SHORTEST`` characters, once by id."""
-    rows = rows.where(F.col("platform_event_id").isNotNull() & F.col("title").isNotNull())
-    return once(rows, "platform_event_id").withColumn("title", plain_text(F.col("title"))).where(F.length("title") >= SHORTEST)
+def usable(rows: DataFrame, on_topic: Column | None = None) -> DataFrame:
+    """Rows with an id and a text of at least ``SHORTEST`` characters (that is on topic), once by id; what is not usable is left out before any text is shuffled."""
+    rows = rows.where(F.col("platform_event_id").isNotNull()).withColumn("title", plain_text(F.col("title"))).where(F.length("title") >= SHORTEST)
+    return once(rows if on_topic is None else rows.where(on_topic), "platform_event_id")
 
 
 def community_sizes(current: DataFrame) -> DataFrame:
@@ -78,15 +78,15 @@ def archived(archive: DataFrame, current: DataFrame, communities: list[str], lim
 
 def searched(found: DataFrame, current: DataFrame, profiles: DataFrame, strong: str, context: str, token: str, source: str = "x") -> DataFrame:
     """Rows that a search gave (``platform_event_id``, ``title``, ``event_ts``, ``screen_name``, ``url``, ``follower_count``): usable, new and on topic (P14), a missing audience from the account's last profile."""
-    rows = unseen(usable(found), current, source).where(annotate.relevant(F.col("title"), strong, context, token))
+    rows = unseen(usable(found, annotate.relevant(F.col("title"), strong, context, token)), current, source)
     rows = with_audience(rows, profiles)
     return rows.drop("screen_name", "url", "audience_from").withColumns({"source": F.lit(source), "collection_method": F.lit("search")})
 
 
 def published(public: DataFrame, current: DataFrame, language: str, strong: str, context: str, token: str, limit: int, seed: int = 42, source: str = "x") -> DataFrame:
     """Rows of a published data set (``platform_event_id``, ``title``, ``event_ts``, ``author``, ``lang``): usable, new, on topic, of one language, one an author (T7), at most ``limit``."""
-    rows = usable(public.where((F.col("lang") == language) & F.col("author").isNotNull()))
-    rows = unseen(rows, current, source).where(annotate.relevant(F.col("title"), strong, context, token)).withColumn("author", F.lower("author"))
+    rows = usable(public.where((F.col("lang") == language) & F.col("author").isNotNull()), annotate.relevant(F.col("title"), strong, context, token))
+    rows = unseen(rows, current, source).withColumn("author", F.lower("author"))
     one = labels.one_per_author(rows, "author", F.col("platform_event_id"), limit, seed)
     return one.drop("author", "lang").withColumns({"source": F.lit(source), "collection_method": F.lit("published")})
 
@@ -101,7 +101,7 @@ def live(rows: DataFrame, current: DataFrame, communities: list[str], source: st
 def merged_origins(current: DataFrame, *additions: DataFrame) -> DataFrame:
     """All origins with the columns of all, earlier origins first: once by source and id (rows without an id are kept), then once by source and text.
 
-    Texts are compared in lower case without white space around them. Rows that have no source or no text count as one text, so one of them stays.
+    Texts are compared, by SHA-256, in lower case without white space around them. Rows that have no source or no text count as one text, so one of them stays.
     Each step is one aggregation that is begun before the shuffle, so a text that a third of the rows share is no hot key.
     """
     ranked = [df.withColumn("_rank", F.lit(i)) for i, df in enumerate((current, *additions))]
@@ -114,5 +114,5 @@ def merged_origins(current: DataFrame, *additions: DataFrame) -> DataFrame:
 
     named = least(rows.where(F.col("platform_event_id").isNotNull()), F.struct(F.lower("source"), "platform_event_id"))
     both = named.unionByName(rows.where(F.col("platform_event_id").isNull()))
-    text = F.concat_ws("|", F.lower("source"), F.lower(plain_text(F.col("title"))))
+    text = F.sha2(F.concat_ws("|", F.lower("source"), F.lower(plain_text(F.col("title")))), 256)  # so a text is shuffled once, not as key and row
     return least(both, F.when(F.col("source").isNotNull() & F.col("title").isNotNull(), text)).select(*columns)
