@@ -101,3 +101,88 @@ def test_alike_blocks():
                 break
             group |= more
         assert set(np.flatnonzero(got == got[i]).tolist()) == group
+
+
+def brute_fingerprint(held):
+    """As an integer: each bit that over half of the mixed hashes have."""
+    out = 0
+    for k, times in enumerate(n._TIMES.tolist()):
+        ones = [0] * 64
+        for x in held.tolist():
+            x = x * times % 2**64
+            x = (x ^ x >> 32) * int(n._MIX) % 2**64
+            x ^= x >> 29
+            for b in range(64):
+                ones[b] += x >> b & 1
+        out |= sum(1 << 64 * k + b for b in range(64) if 2 * ones[b] > len(held))
+    return out
+
+
+def brute_groups(bits):
+    """Groups of two or more, of fingerprints that share a deal's bits and are close in the compared words."""
+    blocks, up = {}, list(range(len(bits)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, f in enumerate(bits):
+        for k, picked in enumerate(n._PICK.tolist()):
+            blocks.setdefault((k, *(f >> b & 1 for b in picked)), []).append(i)
+    for own in blocks.values():
+        for i in own:
+            for j in own:
+                if j < i and ((bits[i] ^ bits[j]) % 2 ** (64 * n.WORDS)).bit_count() <= n.RADIUS:
+                    up[root(i)] = root(j)
+    groups = {}
+    for i in range(len(bits)):
+        groups.setdefault(root(i), set()).add(i)
+    return sorted(sorted(g) for g in groups.values() if len(g) > 1)
+
+
+def test_candidates_are_close_fingerprints(spark, monkeypatch):
+    rows = [r for r in near_rows() if r[0] % 3]
+    sets = {}
+    for _, t in rows:
+        s = n.shingle_set((t or "").encode())
+        sets.setdefault(int(np.int64(np.uint64(n.xxhash.xxh64_intdigest(s.tobytes(), 42)))), s)
+    bits = [brute_fingerprint(s) for s in sets.values()]
+    assert [int.from_bytes(n.fingerprint(s).tobytes(), "little") for s in sets.values()] == bits
+    at = {fp: i for i, fp in enumerate(sets)}
+    found = n.written(n.sketches(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)), "sketches")
+    for block in (n.BLOCK, 2):
+        monkeypatch.setattr(n, "BLOCK", block)
+        groups = {}
+        for r in n.candidates(found).collect():
+            groups.setdefault(r.root, []).append(at[r.node])
+        assert sorted(sorted(g) for g in groups.values()) == brute_groups(bits)
+
+
+def test_close_sets_share_a_block_and_far_ones_do_not_meet():
+    rng = np.random.default_rng(5)
+    far = []
+    for common, own in ((400, 50), (40, 5), (8, 1)):  # 0.8, each
+        for _ in range(40):
+            base = rng.integers(0, 2**64, common + 2 * own, np.uint64)
+            a, b = (np.unpackbits(n.fingerprint(x), bitorder="little") for x in (base[: common + own], np.concatenate([base[:common], base[common + own :]])))
+            differ = a != b
+            assert differ[: 64 * n.WORDS].sum() <= n.RADIUS and (~differ[n._PICK].any(axis=1)).any()
+            far.append(a[: 64 * n.WORDS])
+    assert min((x != y).sum() for i, x in enumerate(far) for y in far[:i]) > n.RADIUS
+
+
+def test_large_blocks_come_out_whole(monkeypatch):
+    monkeypatch.setattr(n, "COMPARED", 8)
+    rng = np.random.default_rng(6)
+    sizes = [3, 30, 1, 4, 5, 2, 40]
+    block = np.repeat(np.arange(len(sizes)), sizes)
+    words = rng.integers(0, 2**64, (len(block), n.WORDS), np.uint64)
+    words[1], words[35] = words[0] ^ np.uint64(7), words[34] ^ np.uint64(1)
+    rows = n._rows(block, words)
+    for most in (4, 0):
+        out = [r for b in n._compared(most)(iter([rows.slice(i, 3) for i in range(0, len(block), 3)])) for r in b.to_pylist()]
+        whole = [r["block"] for r in out if r["block"] >= 0]
+        assert sorted(whole) == [b for b in block.tolist() if most and sizes[b] > most]
+        name = n.names(words).tolist()
+        assert {frozenset((r["w0"], r["w1"])) for r in out if r["block"] < 0} == {frozenset(name[0:2]), frozenset(name[34:36])}

@@ -75,8 +75,9 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def planes_of(fps: np.ndarray) -> np.ndarray:
-    """64 rows of bits, packed 64 to a word: row b has bit b of every fingerprint."""
-    bits = np.unpackbits(fps.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").T
+    """A row for each bit, packed 64 to a word: row b has bit b of every fingerprint. A fingerprint is one word or a row of words."""
+    words = fps.reshape(len(fps), fps.shape[1] if fps.ndim > 1 else 1)
+    bits = np.unpackbits(np.ascontiguousarray(words.astype("<u8")).view(np.uint8), axis=1, bitorder="little").T
     packed = np.packbits(np.ascontiguousarray(bits), axis=1, bitorder="little")
     return np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8))).view("<u8")
 
@@ -92,8 +93,8 @@ def _moved(planes: np.ndarray, by: int) -> np.ndarray:
     return out
 
 
-def within(differ: Callable[[int, np.ndarray], np.ndarray], asked: np.ndarray, radius: int = RADIUS) -> np.ndarray:
-    """The bits of ``asked`` (packed pairs, 64 to a word) whose pairs differ in at most ``radius`` planes.
+def within(differ: Callable[[int, np.ndarray], np.ndarray], asked: np.ndarray, radius: int = RADIUS, planes: int = 64) -> np.ndarray:
+    """The bits of ``asked`` (packed pairs, 64 to a word) whose pairs differ in at most ``radius`` of the planes.
 
     ``differ(b, words)`` tells for some words which of their pairs differ in plane b.
     """
@@ -102,7 +103,7 @@ def within(differ: Callable[[int, np.ndarray], np.ndarray], asked: np.ndarray, r
     width = max(1, radius.bit_length())
     ahead = (1 << width) - 1 - radius  # counters begin here and run over at radius + 1
     counters = [np.full(len(live), 2**64 - 1 if ahead >> k & 1 else 0, np.uint64) for k in range(width)]
-    for b in range(64):
+    for b in range(planes):
         if not len(live):
             break
         carry = differ(b, live)
@@ -117,7 +118,7 @@ def within(differ: Callable[[int, np.ndarray], np.ndarray], asked: np.ndarray, r
     return live[word] * 64 + bit
 
 
-def _join(up: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+def join_sets(up: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Joins the sets of each a and b in the forest ``up``, and shortens all its paths."""
     while True:
         while not np.array_equal(up, up[up]):
@@ -143,8 +144,8 @@ def _join_small(fps: np.ndarray, sizes: np.ndarray, up: np.ndarray, radius: int)
         n = int(sizes[: np.searchsorted(-sizes, -by, "left")].sum())
         words = -(-n // 64)
         here, there = planes[:, :words], _moved(planes, by)[:, :words]
-        rows = within(lambda b, w: here[b][w] ^ there[b][w], _packed(np.arange(n) + by < ends[:n]), radius)  # noqa: B023
-        _join(up, rows, rows + by)
+        rows = within(lambda b, w: here[b][w] ^ there[b][w], _packed(np.arange(n) + by < ends[:n]), radius, len(planes))  # noqa: B023
+        join_sets(up, rows, rows + by)
 
 
 def _join_large(fps: np.ndarray, up: np.ndarray, first: int, radius: int, slab: int = 512) -> None:
@@ -152,11 +153,11 @@ def _join_large(fps: np.ndarray, up: np.ndarray, first: int, radius: int, slab:
     n, planes = len(fps), planes_of(fps)
     words = planes.shape[1]
     for i in range(0, n, slab):
-        own = fps[i : i + slab]
-        spread = [np.where(own >> np.uint64(b) & np.uint64(1), np.uint64(2**64 - 1), np.uint64(0)) for b in range(64)]
+        own = fps[i : i + slab].reshape(len(fps[i : i + slab]), -1)
+        spread = [np.where(own[:, b // 64] >> np.uint64(b % 64) & np.uint64(1), np.uint64(2**64 - 1), np.uint64(0)) for b in range(len(planes))]
         asked = _packed(np.arange(n) > np.arange(i, i + len(own))[:, None]).ravel()
-        hits = within(lambda b, w: planes[b][w % words] ^ spread[b][w // words], asked, radius)  # noqa: B023
-        _join(up, first + i + hits // (words * 64), first + hits % (words * 64))
+        hits = within(lambda b, w: planes[b][w % words] ^ spread[b][w // words], asked, radius, len(planes))  # noqa: B023
+        join_sets(up, first + i + hits // (words * 64), first + hits % (words * 64))
 
 
 def linked(fps: np.ndarray, block: np.ndarray, radius: int = RADIUS) -> np.ndarray:
