@@ -63,7 +63,8 @@ def parsers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keywords(spark: SparkSession, sf: str) -> DataFrame:
-    return _posts(spark, sf).select("platform_event_id", *[c.alias(k) for k, c in t.keyword_flags(F.col("text")).items()], F.round(t.upper_ratio(F.col("text")), 6).alias("upper_ratio"), t.model_text(t.folded(F.col("text"))).alias("model_text"))
+    ratio = F.floor(t.upper_ratio(F.col("text")) * 1e6 + 0.5) / 1e6  # as SQL rounds; round() goes by the digits that are printed, so 41 of 640 differed
+    return _posts(spark, sf).select("platform_event_id", *[c.alias(k) for k, c in t.keyword_flags(F.col("text")).items()], ratio.alias("upper_ratio"), t.model_text(t.folded(F.col("text"))).alias("model_text"))
 
 
 def segments(spark: SparkSession, sf: str) -> DataFrame:
