@@ -11,7 +11,7 @@ import os
 import re
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,6 +19,7 @@ from tidemark.functions import privacy
 from tidemark.functions.identity import row_id
 from tidemark.operators import tables
 from tidemark.operators.tables import collapsed
+from tidemark.scratch import written
 from tidemark.sources import topics
 
 
@@ -129,8 +130,8 @@ def sessions(stream: DataFrame, time: str, author: str, gap: str = "30 minutes",
     return stream.withWatermark(time, delay).groupBy(F.session_window(time, gap).alias("w"), author).agg(F.count(F.lit(1)).alias("n")).select(author, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-def to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    return stream.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def to_table(stream: DataFrame, path: str, checkpoint: str, *parts: str) -> StreamingQuery:
+    return stream.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy(*parts).trigger(availableNow=True).start()
 
 
 def period_counts(stream: DataFrame, topic: str, time: str, seconds: int, delay: str = "1 hour") -> DataFrame:
@@ -151,27 +152,48 @@ GROWTH = {"trend_growth_1h": 3600, "trend_growth_24h": 86400}
 def growth(spark: SparkSession, source: str, base: str, key: str, topic: str, time: str, delay: str = "1 hour") -> None:
     """How a topic grows from hour to hour and from day to day, for each row of a table that is added to, as its day is closed.
 
-    Rows are admitted once (repeats and rows behind the watermark are dropped for good); closed hours and days are counted from what was
-    admitted; and rows meet both counts in stream-stream joins on topic and interval, whose states the watermarks bound. Each
-    step is a query of its own over the table that the one before appends to. ``grown`` reads the result.
+    Rows are admitted once (repeats and rows behind the watermark are dropped for good) and lie by day; closed hours and days are counted from
+    what was admitted; and closed hours meet their closed day in a stream-stream join on topic and interval, whose states the watermarks
+    bound and hold counts only. A closed day gets no more rows, so its rows are read then, once, and never wait in a state. Each step is
+    a query of its own over the table that the one before appends to. ``grown`` reads the result.
     """
-    admitted = deduplicated(topics.table_stream(spark, source).select(key, topic, time), key, time, delay)
-    to_table(admitted, f"{base}/rows", f"{base}/rows-mark").awaitTermination()
+    spread = F.pmod(F.xxhash64(key), F.lit(16))  # a day's rows are more than a task's
+    admitted = deduplicated(topics.table_stream(spark, source).select(key, topic, time), key, time, delay).withColumn("_day", F.date_from_unix_date(period(time, 86400)))
+    to_table(admitted.repartition("_day", spread), f"{base}/rows", f"{base}/rows-mark", "_day").awaitTermination()
     kind = {f.name: f.dataType.simpleString() for f in admitted.schema}
-    rows = lambda: spark.readStream.schema(admitted.schema).parquet(f"{base}/rows")
-    met = rows().withWatermark(time, delay)
-    for name, seconds in GROWTH.items():
-        to_table(period_counts(rows(), topic, time, seconds, delay), f"{base}/{name}", f"{base}/{name}-mark").awaitTermination()
-        counts = spark.readStream.schema(f"{topic} {kind[topic]}, start timestamp, n long, before long").parquet(f"{base}/{name}")
+    counts = {}
+    for name, seconds in sorted(GROWTH.items(), key=lambda x: -x[1]):  # days first, so that no day is closed before its hours
+        rows = spark.readStream.schema(admitted.schema).parquet(f"{base}/rows")
+        to_table(period_counts(rows, topic, time, seconds, delay), f"{base}/{name}", f"{base}/{name}-mark").awaitTermination()
+        closed = spark.readStream.schema(f"{topic} {kind[topic]}, start timestamp, n long, before long").parquet(f"{base}/{name}")
         change = (F.col("n") - F.col("before")) / F.when(F.col("before") > 0, F.col("before"))
-        counts = counts.withWatermark("start", "0 seconds").select(F.col(topic).alias(f"_t{seconds}"), F.col("start").alias(f"_s{seconds}"), change.alias(name))
-        within = F.expr(f"{time} >= _s{seconds} AND {time} < _s{seconds} + INTERVAL {seconds} SECONDS")
-        met = met.join(counts, (F.col(topic) == F.col(f"_t{seconds}")) & within)
-    to_table(met.select(key, topic, time, *GROWTH), f"{base}/grown", f"{base}/grown-mark").awaitTermination()
+        counts[seconds] = closed.withWatermark("start", "0 seconds").select(F.col(topic).alias(f"_t{seconds}"), F.col("start").alias(f"_s{seconds}"), change.alias(name))
+    within = F.expr("_s3600 >= _s86400 AND _s3600 < _s86400 + INTERVAL 1 DAY")
+    met = counts[3600].join(counts[86400], (F.col("_t3600") == F.col("_t86400")) & (period("_s3600", 86400) == period("_s86400", 86400)) & within)
+
+    def batch(closed: DataFrame, number: int) -> None:
+        closed = written(closed, "closed")  # a row an hour and topic
+        first, last = closed.agg(*[F.date_from_unix_date(f(period("_s86400", 86400))) for f in (F.min, F.max)]).first()
+        if first is not None:
+            rows = closed.sparkSession.read.schema(admitted.schema).parquet(f"{base}/rows").where(F.col("_day").between(first, last))
+            tables.snapshot(rows.join(closed, (F.col(topic) == F.col("_t3600")) & (period(time, 3600) == period("_s3600", 3600))).select(key, topic, time, *GROWTH), f"{base}/grown", str(number))
+
+    started(met, batch, f"{base}/grown-mark").awaitTermination()
+
+
+def period(time: str, seconds: int) -> Column:
+    """The number of the period since 1970 that a time is in, whatever the session's time zone; its start is that of its ``window``."""
+    second = F.unix_seconds(F.col(time))
+    return ((second - F.pmod(second, F.lit(seconds))) / seconds).cast("int")
 
 
 def grown(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/grown")
+    """The rows of each batch of closed days; a batch that is repeated writes its own anew."""
+    rows = tables.stored(spark, f"{base}/grown")
+    if rows is None:
+        known = spark.read.parquet(f"{base}/rows").drop("_day")
+        return known.where("false").select("*", *[F.lit(None).cast("double").alias(c) for c in GROWTH])
+    return rows.drop("snapshot")
 
 
 def reread(spark: SparkSession, table: str, news: str, keys: list[str], out: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
