@@ -57,24 +57,27 @@ def _of_keys(path: str) -> str:
     return f"{path.rstrip('/')}_keys"
 
 
-def append_once(rows: DataFrame, path: str, key: str, part: str, order: tuple[str, ...] = (), buckets: int = 256) -> None:
+def append_once(rows: DataFrame, path: str, key: str, part: str, order: tuple[str, ...] = (), buckets: int = 256, keys: DataFrame | None = None) -> None:
     """Adds the rows whose key is nowhere in the journal, whatever part they and the journal's row are in. Rows without a key are left out.
 
     A key belongs to one part, the least that the batch which brought it first had it in, and only a row of that part can be its row. The keys are written
     to their index before the rows are to the journal: a batch that stops between the two is read again, finds its keys with their parts,
     and adds the rows that are not yet there. So replays, also in other batches, give each key once. Of a batch's rows of one key and part the first by
-    ``order`` is taken.
+    ``order`` is taken. ``keys`` are the rows' keys and parts, if they are to be had for less than the rows are.
     """
     spark = rows.sparkSession
-    rows = rows.where(F.col(key).isNotNull()).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    rows, keys = (df.where(F.col(key).isNotNull()).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")) for df in (rows, rows if keys is None else keys))
     kind = rows.schema[part].dataType
-    claims = rows.groupBy("bucket", key).agg(F.min(part).alias(part))
+    claims = keys.groupBy("bucket", key).agg(F.min(part).alias(part), F.count(F.lit(1)).alias("_n"))
     known = stored(spark, _of_keys(path))
     if known is not None:
         known = touched(known, claims, "bucket").select(key, F.col(part).cast(kind).alias("_home"))
         claims = claims.join(known.select(key), key, "left_anti")
     claims = written(claims, "claims")
-    claims.repartition("bucket").sortWithinPartitions(key).write.mode("append").partitionBy("bucket").parquet(_of_keys(path))
+    claims.drop("_n").repartition("bucket").sortWithinPartitions(key).write.mode("append").partitionBy("bucket").parquet(_of_keys(path))
+    if known is None and claims.where("_n > 1").isEmpty():  # the first batch, each key once: whole rows need not be moved to be chosen from
+        rows.drop("bucket").write.mode("append").partitionBy(part).parquet(path, compression="zstd")
+        return
     homes = claims.select(key, F.col(part).alias("_home"))
     if known is not None:
         homes = homes.unionByName(known)

@@ -10,7 +10,7 @@ from tidemark.bindings import with_
 from tidemark.operators import tables
 from tidemark.plans.ingest import _DECODED
 from tidemark.plans.texts import _CLEAN
-from tidemark.scratch import new_path
+from tidemark.scratch import new_path, spread
 from tidemark.sources import topics
 from tidemark.streaming import pipeline as p
 
@@ -87,12 +87,12 @@ def once_over_days(spark: SparkSession, sf: str) -> DataFrame:
 def protected(spark: SparkSession, sf: str) -> DataFrame:
     """Posts with texts in nested, listed and mapped fields go through the journal; people are hashed and all texts cleaned."""
     base, path = new_path(spark, "protected"), new_path(spark, "posts")
-    d = b.posts(spark, sf)
+    d = spread(b.posts(spark, sf))
     fields = F.struct(
         F.col("platform_event_id").alias("event_id"), F.lit("post").alias("event_type"), F.col("community").alias("user_id"), F.col("text").alias("raw_text"), F.struct(F.col("lang").alias("id"), F.substring("text", -300, 300).alias("biography")).alias("author"),
         F.array(F.struct(F.lit("c").alias("id"), F.col("community").alias("author"), F.concat(F.lit("re: "), F.coalesce("text", F.lit(""))).alias("text"))).alias("comments"), F.create_map(F.lit("note"), F.col("text")).alias("extra"),
     )
-    d.select(F.lit("posts").alias("topic"), F.lit(0).alias("partition"), F.col("platform_event_id").cast("long").alias("offset"), F.lit("2024-01-01").cast("timestamp").alias("timestamp"), F.to_json(fields).alias("value")).repartition(8).write.json(path)
+    d.select(F.lit("posts").alias("topic"), F.lit(0).alias("partition"), F.col("platform_event_id").cast("long").alias("offset"), F.lit("2024-01-01").cast("timestamp").alias("timestamp"), F.to_json(fields).alias("value")).write.json(path, compression="gzip")  # a topic holds each text three times
     p.journal(topics.topic_stream(spark, path), base, f"{base}/mark", SALT, schemas={"posts": topics.POST}).awaitTermination()
     hashed = lambda c: F.sha2(c, 256)
     return tables.stored(spark, f"{base}/journal").select("event_id", "user_id", hashed(F.col("raw_text")).alias("raw_text"), F.col("author.id").alias("author_id"), hashed(F.col("author.biography")).alias("biography"), F.col("comments")[0]["author"].alias("comment_author"), hashed(F.col("comments")[0]["text"]).alias("comment"), hashed(F.col("extra")["note"]).alias("note"))

@@ -58,16 +58,20 @@ def journal(stream: DataFrame, path: str, checkpoint: str, salt: str, mode: str
     fields = list(topics.fields_of(schemas))
 
     def batch(rows: DataFrame, _: int) -> None:
-        rows = topics.tagged(topics.decoded_by_topic(rows, schemas)).withColumn("day", F.to_date("timestamp")).persist()
+        # messages with all their fields are several times what was read, so only what is broken and the ids are kept from the first pass for the next
+        rows = topics.tagged(topics.decoded_by_topic(rows, schemas)).withColumn("day", F.to_date("timestamp"))
+        few = rows.select("topic", "partition", "offset", "day", "reason", "decode_error", "event_id", F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw")).persist()
         try:
-            good, dead = topics.split(rows)
+            ids, dead = topics.split(few)
             dead = dead.withColumn("letter_id", row_id(F.col("topic"), F.col("partition"), F.col("offset")))
             tables.append_new(dead, f"{path}/dead", "letter_id", "day")
             fault("after_dead_letters")
-            tables.append_once(privacy.protected_rows(good, salt, fields, rules), f"{path}/journal", "event_id", "day", order=("timestamp", "partition", "offset"))
+            safe = privacy.protected_rows(topics.split(rows)[0], salt, fields, rules)
+            ids = privacy.protected_rows(ids, salt, ["event_id"], rules).select("event_id", "day")
+            tables.append_once(safe, f"{path}/journal", "event_id", "day", order=("timestamp", "partition", "offset"), keys=ids)
             fault("after_journal")
         finally:
-            rows.unpersist()
+            few.unpersist()
 
     return started(stream, batch, checkpoint, mode)
 
